@@ -13,8 +13,17 @@ from pyspark.sql import functions as F
 from busframes.functions.bits import bytes_to_hex
 
 
+LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+
+
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    """The lineitem columns the encoders use, spread over the cluster when
+    the file has fewer splits than cores (the driver tables are a single
+    parquet row group)."""
+    from busframes.operators.partition import ensure_parallelism
+
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+                              .select(*LINEITEM_COLUMNS))
 
 
 def raw_frames(li: DataFrame) -> DataFrame:
@@ -55,10 +64,22 @@ def text_lines(frames: DataFrame) -> DataFrame:
     29-bit ``x`` suffix. Relative seconds keep the leading blanks."""
     hex_id = F.concat(F.upper(F.hex("id")), F.when(F.col("module") == 2, F.lit("x")).otherwise(F.lit("")))
     return frames.select(F.concat(
-        F.lit("   "), F.format_string("%.6f", F.col("ts") / F.lit(1e6)), F.lit(" "),
+        F.lit("   "), _seconds6("ts"), F.lit(" "),
         F.col("module").cast("string"), F.lit("  "), hex_id,
         F.lit("       Rx   d "), F.size("data").cast("string"), F.lit(" "),
-        bytes_to_hex("data")).alias("value"))
+        _hex8("data")).alias("value"))
+
+
+def _hex8(data: str) -> F.Column:
+    """Fixture payloads are always 8 bytes: fixed two-digit hex per byte."""
+    return F.concat_ws(" ", *[F.lpad(F.hex(F.get(data, k)), 2, "0") for k in range(8)])
+
+
+def _seconds6(ts_us: str) -> F.Column:
+    """µs -> seconds text with 6 decimals (exact; same text as ``%.6f``)."""
+    ts = F.col(ts_us)
+    return F.concat(F.call_function("div", ts, F.lit(1000000)).cast("string"), F.lit("."),
+                    F.lpad((ts % 1000000).cast("string"), 6, "0"))
 
 
 # Fixed header lines of a text log (not frames: no leading blank), plus one

@@ -54,21 +54,38 @@ def payload_word(data) -> Column:
     return word
 
 
-def extract_bits(data, start, length, word=None) -> Column:
+def hex_payload_word(hex_text) -> Column:
+    """Little-endian 64-bit word of the first 8 bytes of a hex payload text
+    (``'10 50 01 2C'``): one ``conv`` of the byte-reversed digits, no array
+    of bytes. Values >= 2^63 wrap to negative, as in ``payload_word``."""
+    parts = F.slice(F.split(F.trim(_c(hex_text)), " +"), 1, 8)
+    unsigned = F.conv(F.array_join(F.reverse(parts), ""), 16, 10).cast("decimal(20,0)")
+    wrapped = F.when(unsigned >= F.lit(str(2**63)).cast("decimal(20,0)"), unsigned - F.lit(str(2**64)).cast("decimal(20,0)"))
+    return wrapped.otherwise(unsigned).cast("bigint")
+
+
+def hex_payload_size(hex_text) -> Column:
+    """Number of bytes in a hex payload text."""
+    return F.size(F.split(F.trim(_c(hex_text)), " +"))
+
+
+def extract_bits(data, start, length, word=None, size=None) -> Column:
     """Unsigned field of ``length`` bits (1..64) at bit ``start`` of ``data``.
 
     ``data`` is ``array<int>`` of bytes 0..255. Returns ``bigint`` (a 64-bit
     field >= 2^63 wraps to a negative value), or null when the field reaches
     beyond the payload or the length is outside 1..64. ``word`` may name a
     column already holding ``payload_word(data)``: payloads of up to 8 bytes
-    then take the shift-and-mask path.
+    then take the shift-and-mask path; ``size`` may give the payload byte
+    count (default ``size(data)``), so ``data`` is only evaluated for
+    payloads over 8 bytes.
     """
     data, start, length = _c(data), _c(start).cast("int"), _c(length).cast("int")
     general = _extract_general(data, start, length)
     if word is None:
         return general
     fast = _ushr(_c(word), start).bitwiseAND(_ushr(F.lit(-1).cast("bigint"), F.lit(64) - length))
-    size = F.size(data)
+    size = F.size(data) if size is None else _c(size)
     valid = ((length >= 1) & (length <= 64) & (start >= 0) & (start + length <= size * 8))
     return F.when(valid, F.when(size <= 8, fast).otherwise(general))
 
@@ -85,11 +102,11 @@ def _extract_general(data: Column, start: Column, length: Column) -> Column:
     return F.when((length >= 1) & (length <= 64) & (start >= 0), acc.bitwiseAND(mask))
 
 
-def decode_array(data, info, word=None) -> Column:
+def decode_array(data, info, word=None, size=None) -> Column:
     """Values of all signals of ``info`` (array<struct<startBit,signal_name,len>>)
     in ``info`` order, as ``array<bigint>``. Pass ``word`` (a column holding
     ``payload_word(data)``) to decode classic frames by shift and mask."""
-    return F.transform(_c(info), lambda s: extract_bits(data, s["startBit"], s["len"], word))
+    return F.transform(_c(info), lambda s: extract_bits(data, s["startBit"], s["len"], word, size))
 
 
 def hex_bytes(hex_text) -> Column:
@@ -103,14 +120,16 @@ def bytes_to_hex(data) -> Column:
     return F.array_join(F.transform(_c(data), lambda b: F.lpad(F.upper(F.hex(b)), 2, "0")), " ")
 
 
-def decode_map(data, info, word=None) -> Column:
-    """Map form: signal name -> value, from payload bytes (``hex_bytes`` of
-    the text form).
+def decode_map(hex_text, info, word=None, size=None) -> Column:
+    """Map form: signal name -> value, from a hex payload text.
 
-    Signal names in ``info`` must be unique; the dictionary side applies the
-    last-wins rule once per message (see ``SignalDictionary.with_unique_names``).
+    With ``word``/``size`` (``hex_payload_word`` / ``hex_payload_size``)
+    classic frames never build a byte array. Signal names in ``info`` must
+    be unique; the dictionary side applies the last-wins rule once per
+    message (see ``SignalDictionary.with_unique_names``).
     """
-    return F.map_from_arrays(_c(info)["signal_name"], decode_array(data, info, word))
+    return F.map_from_arrays(_c(info)["signal_name"],
+                             decode_array(hex_bytes(hex_text), info, word, size))
 
 
 def hex_id_to_int(token) -> Column:

@@ -2,10 +2,10 @@
 
 ``row_number() over (partition by key order by ...)`` puts a whole key in one
 task; one hot message can hold a third of the rows. Instead: range-partition
-by (key, order), number rows inside each partition, then add the partition's
-offset (one row per partition, broadcast) and subtract the key's first
-global index (one row per key, broadcast). Range partitioning splits a hot
-key across many tasks; both lookups are bounded by the partition / key count.
+by (key, order) -- the range partitioner splits a hot key over many tasks --
+number rows inside each partition, and correct them with one small table of
+per-(partition, key) offsets. That table has at most partitions + keys rows
+(each partition holds a contiguous key range), so broadcasting it is bounded.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row
+_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row
 
 
 def rank_within_key(df: DataFrame, key: list[str], order: list[str],
@@ -27,20 +27,27 @@ def rank_within_key(df: DataFrame, key: list[str], order: list[str],
     local = (ranged.sortWithinPartitions(*cols)
              .withColumn("_mid", F.monotonically_increasing_id())
              .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-             .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))
-                            .alias("_offset"))
-    numbered = (local.join(F.broadcast(offsets), "_pid")
-                .withColumn("_g", F.col("_offset") + F.col("_local")))
-    starts = numbered.groupBy(*key).agg(F.min("_g").alias("_start"))
-    return (numbered.join(F.broadcast(starts), key)
-            .withColumn(col, F.col("_g") - F.col("_start"))
-            .drop("_mid", "_pid", "_local", "_offset", "_g", "_start"))
+             .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+             .drop("_mid"))
+    # one row per (partition, key): rows there and the first local index
+    runs = local.groupBy("_pid", *key).agg(F.count(F.lit(1)).alias("_n"),
+                                           F.min("_local").alias("_first"))
+    # rows before each partition: running total over partitions in order
+    before = Window.orderBy("_pid", *key).rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # global index of a key's first row; per (partition, key): rank = _local + delta
+    key_first = Window.partitionBy(*key)
+    delta = runs.select(
+        "_pid", *key,
+        (F.col("_before") - F.col("_first")
+         - F.min(F.col("_before")).over(key_first)).alias("_delta"))
+    return (local.join(F.broadcast(delta), ["_pid", *key])
+            .withColumn(col, F.col("_local") + F.col("_delta"))
+            .drop("_pid", "_local", "_delta"))
 
 
 def batch_within_key(df: DataFrame, key: list[str], order: list[str], batch_rows: int,
                      col: str = "batch") -> DataFrame:
     """Batch number ``rank div batch_rows`` plus the rank itself."""
     ranked = rank_within_key(df, key, order)
-    return ranked.withColumn(col, F.floor(F.col("rank") / F.lit(batch_rows)).cast("bigint"))
+    return ranked.withColumn(col, F.call_function("div", F.col("rank"), F.lit(batch_rows)))

@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from busframes.functions.bits import decode_array, decode_map, extract_bits, hex_bytes, payload_word
+from busframes.functions.bits import (
+    decode_array, decode_map, extract_bits, hex_payload_size, hex_payload_word, payload_word,
+)
 from busframes.sources.dictionary import SignalDictionary
 
 JOIN_SALTS = 32
@@ -57,11 +59,11 @@ def decode_frames_map(frames: DataFrame, dictionary: SignalDictionary,
                       keep: tuple = ()) -> DataFrame:
     """Text frames (data hex string) -> (ts, id, botschaft, map<string,bigint>).
     A signal name listed twice in a message keeps the later layout."""
-    with_bytes = frames.withColumn("_bytes", hex_bytes("data"))
-    joined = join_dictionary(_with_word(with_bytes, "_bytes"), dictionary,
-                             dictionary.with_unique_names())
+    with_word = (frames.withColumn("_word", hex_payload_word("data"))
+                 .withColumn("_n", hex_payload_size("data")))
+    joined = join_dictionary(with_word, dictionary, dictionary.with_unique_names())
     return joined.select(*keep, "ts", "id", "botschaft",
-                         decode_map("_bytes", "info", "_word").alias("map"))
+                         decode_map("data", "info", "_word", "_n").alias("map"))
 
 
 def decode_frames_long(frames: DataFrame, dictionary: SignalDictionary,

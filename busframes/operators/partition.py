@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 def cluster_by_id(decoded: DataFrame, partitions: int | None = None) -> DataFrame:
     """Hash-partition by id and sort each partition by (id, ts): runs of one
-    id per partition for writers that prepare a statement per id. AQE splits
-    a skewed id's partition only in joins, so a hot id is spread here with a
-    time-bucket salt is left to ``write_partitioned`` (range partitioning)."""
+    id per partition for writers that prepare a statement per id. A hot id
+    stays in one task here; ``range_by_id_ts`` splits it instead."""
     parts = [partitions] if partitions else []
     return decoded.repartition(*parts, "id").sortWithinPartitions("id", "ts")
 
@@ -23,6 +22,17 @@ def range_by_id_ts(decoded: DataFrame, partitions: int | None = None) -> DataFra
     return decoded.repartitionByRange(*parts, "id", "ts").sortWithinPartitions("id", "ts")
 
 
+def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the input has fewer partitions than
+    the cluster can run at once (e.g. one unsplittable file or a single
+    parquet row group). A large scan already has many splits and passes
+    through untouched, so no shuffle is added at scale."""
+    target = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """First ``n`` rows in a total order (top-k: partial sort per task, then
     one merge of k rows per task)."""

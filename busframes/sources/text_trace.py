@@ -40,12 +40,15 @@ def tokenize(col) -> F.Column:
 
 def parse_text_lines(lines: DataFrame, col: str = "value",
                      source_col: str | None = None) -> DataFrame:
-    """Tokenise and type each line; ``reject`` is null for good frames."""
-    tok = tokenize(col)
-    parsed = lines.select(
-        (F.col(source_col) if source_col else F.lit(None).cast("string")).alias("source"),
-        F.col(col).alias("line"),
-        tok.alias("tokens"),
+    """Tokenise and type each line; ``reject`` is null for good frames.
+
+    The tokeniser runs inside a one-row ``inline`` (a Generate): predicates
+    on the parsed columns cannot be pushed below a Generate, so a later
+    ``reject`` filter does not re-run the regex once per referenced token.
+    """
+    source = F.col(source_col) if source_col else F.lit(None).cast("string")
+    parsed = lines.select(F.inline(F.array(F.struct(
+        source.alias("source"), F.col(col).alias("line"), tokenize(col).alias("tokens"))))
     ).select(
         "source", "line",
         F.size("tokens").alias("n_tokens"),
