@@ -40,11 +40,17 @@ def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet",
-                      mode: str = "overwrite", options: dict | None = None) -> None:
+                      mode: str = "overwrite", options: dict | None = None,
+                      within: list[str] | None = None) -> None:
     """One pass, one directory per key value (``key=value``), readable with
-    partition pruning. Rows are range-clustered on the keys first so each
-    task writes few, large files and a hot key spreads over many tasks."""
-    writer = (df.repartitionByRange(*by).sortWithinPartitions(*by)
+    partition pruning. Rows are range-clustered on (keys, ``within``) first:
+    each task writes few, large, ts-ordered files, and because range bounds
+    fall inside a key's ``within`` range, a hot key spreads over many tasks
+    (clustering on the keys alone would put a whole key in one task)."""
+    if within is None:
+        within = ["ts"] if "ts" in df.columns else []
+    cols = [*by, *within]
+    writer = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
               .write.mode(mode).format(fmt).partitionBy(*by))
     if options:
         writer = writer.options(**options)

@@ -1,6 +1,7 @@
 """Replay, reshaping, batching and sink shaping."""
 
 import glob
+import os
 import json
 
 from pyspark.sql import Window
@@ -78,3 +79,35 @@ def test_deliver_recording_client(spark, tmp_dir):
     deliver(df, lambda: RecordingClient(root), batch_rows=1)
     rows = [json.loads(line) for p in glob.glob(f"{root}/*.jsonl") for line in open(p)]
     assert sorted(r["ts"] for r in rows) == [1, 1, 2, 3]
+
+
+def test_partition_helpers(spark, tmp_dir):
+    from busframes.operators.partition import (
+        cluster_by_id, ensure_parallelism, persist, range_by_id_ts, write_partitioned,
+    )
+
+    rows = [(i % 3, i, "hot" if i % 4 else "cold") for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, ts bigint, msg string").coalesce(1)
+    assert ensure_parallelism(df, 4).rdd.getNumPartitions() == 4
+    assert ensure_parallelism(df.repartition(6), 4).rdd.getNumPartitions() == 6
+    # Runs of one id per partition, (id, ts) order inside
+    for part in cluster_by_id(df, 2).rdd.glom().collect():
+        keys = [(r.id, r.ts) for r in part]
+        assert keys == sorted(keys)
+    parts = range_by_id_ts(df, 4).rdd.glom().collect()
+    assert sum(len(p) for p in parts) == 400
+    # A hot key is written by several tasks, read back whole
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny input
+    try:
+        write_partitioned(df.repartition(4), f"{tmp_dir}/w", ["msg"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = spark.read.parquet(f"{tmp_dir}/w")
+    assert back.count() == 400 and back.filter("msg = 'hot'").count() == 300
+    hot_files = [f for f in os.listdir(f"{tmp_dir}/w/msg=hot") if f.endswith(".parquet")]
+    assert len(hot_files) >= 2
+    # R4 / C1
+    assert df.repartition(2).coalesce(1).rdd.getNumPartitions() == 1
+    cached = persist(df)
+    assert cached.count() == 400 and cached.is_cached
+    cached.unpersist()
