@@ -30,7 +30,9 @@ from busframes.operators.shape import (
     values_in_order, wide_from_map, wide_to_cells,
 )
 from busframes.session import shared_dir
-from busframes.sinks.shaping import insert_statements, line_protocol, wide_store_rows
+from busframes.sinks.shaping import (
+    hour_stamped_points, insert_statements, line_protocol, wide_store_rows,
+)
 from busframes.sources import SignalDictionary, read_binary_trace, read_dictionary, read_text_trace
 from busframes.sources.binary_trace import frame_records, read_raw_files, split_framed
 from busframes.sources.text_trace import parse_text_lines, split_parsed
@@ -44,8 +46,15 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.raw_frames(fx.lineitem(spark, sf_dir))
 
 
+_DICTIONARIES: dict = {}
+
+
 def _dictionary(spark: SparkSession) -> SignalDictionary:
-    return SignalDictionary.load(fx.dictionary_rows(spark))
+    """The fixture dictionary, loaded (persisted + measured) once per session."""
+    key = (spark.sparkContext.applicationId, id(spark))
+    if key not in _DICTIONARIES:
+        _DICTIONARIES[key] = SignalDictionary.load(fx.dictionary_rows(spark))
+    return _DICTIONARIES[key]
 
 
 def _text_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,6 +295,13 @@ def q_wide_store_rows(spark, sf_dir):
                                              F.col("vals").alias("value"))))
 
 
+def q_hour_stamped_points(spark, sf_dir):
+    """K8: single points stamped with their UTC hour (ms precision)."""
+    fr = _frames(spark, sf_dir).withColumn("ts", F.col("ts") + F.lit(EPOCH_BASE_US))
+    dec = decode_frames_array(fr, _dictionary(spark), with_names=True)
+    return hour_stamped_points(dec, hour_stamp("ts"))
+
+
 def _row_key(botschaft="botschaft", ts="ts") -> F.Column:
     return F.concat(F.col(botschaft), F.lit(":"), F.col(ts).cast("string"))
 
@@ -345,7 +361,16 @@ def q_dictionary_from_file(spark, sf_dir):
                                         F.sum(F.size("vals")).alias("n_values"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Queries format and parse times in UTC whatever session runs them."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_signal_totals": q_decode_signal_totals,
     "decode_long_rows": q_decode_long_rows,
     "decode_map_totals": q_decode_map_totals,
@@ -373,6 +398,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_statements_batched": q_insert_statements_batched,
     "insert_statements_grouped": q_insert_statements_grouped,
     "line_protocol_points": q_line_protocol_points,
+    "hour_stamped_points": q_hour_stamped_points,
     "wide_store_rows": q_wide_store_rows,
     "key_value_cells": q_key_value_cells,
     "wide_cells": q_wide_cells,
@@ -381,3 +407,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "query_rows_as_maps": q_query_rows_as_maps,
     "dictionary_from_file": q_dictionary_from_file,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _utc(v) for k, v in _QUERIES.items()}

@@ -144,6 +144,14 @@ UNION ALL SELECT ts_ns, id, 'MSG_ALT', CAST(ok & 65535 AS VARCHAR) FROM f WHERE
 FROM f WHERE {_MSG}
 UNION ALL SELECT 'MSG_ALT', ts, 'MSG_ALT,device=Datalogger1 orderkey=' || CAST(ok & 65535 AS VARCHAR)
   || 'i ' || CAST(ts AS VARCHAR) FROM f WHERE id = 101""",
+    "hour_stamped_points": _with(_F) + f"""SELECT 'MSG_' || id AS measurement,
+  epoch_ms(date_trunc('hour', make_timestamp({_US}))) AS time_ms,
+  'MSG_' || id || ',device=Datalogger1 ' || {_FIELDS_SORTED} || ' '
+    || CAST(epoch_ms(date_trunc('hour', make_timestamp({_US}))) AS VARCHAR) AS line
+FROM f WHERE {_MSG}
+UNION ALL SELECT 'MSG_ALT', epoch_ms(date_trunc('hour', make_timestamp({_US}))),
+  'MSG_ALT,device=Datalogger1 orderkey=' || CAST(ok & 65535 AS VARCHAR) || 'i '
+    || CAST(epoch_ms(date_trunc('hour', make_timestamp({_US}))) AS VARCHAR) FROM f WHERE id = 101""",
     "wide_store_rows": _with(_F, _sig()) + """SELECT botschaft AS table_name, 'Datalogger1' AS deviceid,
   ts // 1000 AS ts_ms, signal_name AS column_name, CAST(value AS DECIMAL(20,0)) AS value FROM sig""",
     "key_value_cells": _CELLS,

@@ -61,18 +61,37 @@ def point_struct(decoded: DataFrame, device: str = "Datalogger1") -> DataFrame:
         F.map_from_arrays("names", "vals").alias("fields"))
 
 
-def line_protocol(decoded: DataFrame, device: str = "Datalogger1") -> DataFrame:
-    """Array form with names -> one line-protocol record per frame:
-    ``<measurement>,device=<device> f1=1i,f2=2i <time µs>``; fields sorted
-    by name, null fields left out. Output: measurement, time, line."""
+def _point_head(device: str) -> F.Column:
+    """``<measurement>,device=<device> f1=1i,f2=2i``: fields sorted by name,
+    null fields left out, integers with the ``i`` suffix."""
     fields = F.array_sort(F.filter(F.arrays_zip(F.col("names").alias("k"), F.col("vals").alias("v")),
                                    lambda x: x["v"].isNotNull()))
     field_text = F.array_join(F.transform(fields, lambda x: F.concat(
         _escape_key(x["k"]), F.lit("="), x["v"].cast("string"), F.lit("i"))), ",")
+    return F.concat(_escape_key(F.col("botschaft")), F.lit(",device="), _escape_key(F.lit(device)),
+                    F.lit(" "), field_text)
+
+
+def line_protocol(decoded: DataFrame, device: str = "Datalogger1") -> DataFrame:
+    """Array form with names -> one line-protocol record per frame, time in
+    µs. Output: measurement, time, line."""
     return decoded.select(
         F.col("botschaft").alias("measurement"), F.col("ts").alias("time"),
-        F.concat(_escape_key(F.col("botschaft")), F.lit(",device="), _escape_key(F.lit(device)),
-                 F.lit(" "), field_text, F.lit(" "), F.col("ts").cast("string")).alias("line"))
+        F.concat(_point_head(device), F.lit(" "), F.col("ts").cast("string")).alias("line"))
+
+
+def hour_stamped_points(decoded: DataFrame, stamp=None, device: str = "Datalogger1") -> DataFrame:
+    """Single points whose time is an explicit hour stamp ``yyyyMMddHH``
+    (UTC), in ms; without a stamp the time is left to the store (null).
+    Output: measurement, time_ms, line (line protocol, ms precision)."""
+    from busframes.functions.timefmt import hour_stamp_to_millis
+
+    time_ms = hour_stamp_to_millis(stamp) if stamp is not None else F.lit(None).cast("bigint")
+    pts = decoded.withColumn("_t", time_ms)
+    head = _point_head(device)
+    return pts.select(F.col("botschaft").alias("measurement"), F.col("_t").alias("time_ms"),
+                      F.when(F.col("_t").isNull(), head)
+                      .otherwise(F.concat(head, F.lit(" "), F.col("_t").cast("string"))).alias("line"))
 
 
 def unsigned_decimal(v) -> F.Column:

@@ -50,3 +50,12 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(got_cols) == sorted(exp_cols)
     assert len(got) == len(exp)
     assert _rows(got_cols, got) == _rows(exp_cols, exp)
+
+
+def test_queries_pin_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        row = entry.queries()["frame_time_strings"](spark, SF).orderBy("ts").first()
+        assert row.ts_text.startswith("2020-09-28 00:")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
