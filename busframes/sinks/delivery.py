@@ -42,24 +42,38 @@ def write_jdbc_by_key(df: DataFrame, key: str, url: str, table_for: Callable[[ob
     return keys
 
 
-def deliver(df: DataFrame, client_factory: Callable[[], object], batch_rows: int) -> None:
+def deliver(df: DataFrame, client_factory: Callable[[], object], batch_rows: int) -> int:
     """Send each partition's rows in batches of ``batch_rows`` through a
-    client made on the executor: ``client.send(list_of_dicts)``, ``client.close()``."""
-    def run(rows):
+    client made on the executor: ``client.send(list_of_dicts)``,
+    ``client.close()``. Rows reach Python as Arrow batches and are re-cut
+    to ``batch_rows``, so a task holds at most one batch at a time. Returns
+    the number of rows delivered."""
+    from busframes.session import ship_package
+
+    ship_package(df.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
+
         client = client_factory()
+        sent = 0
+        pending = []
         try:
-            batch = []
-            for r in rows:
-                batch.append(r.asDict(recursive=True))
-                if len(batch) >= batch_rows:
-                    client.send(batch)
-                    batch = []
-            if batch:
-                client.send(batch)
+            for batch in batches:
+                pending.extend(batch.to_pylist())
+                while len(pending) >= batch_rows:
+                    client.send(pending[:batch_rows])
+                    sent += batch_rows
+                    pending = pending[batch_rows:]
+            if pending:
+                client.send(pending)
+                sent += len(pending)
         finally:
             client.close()
+        yield pa.RecordBatch.from_pydict({"sent": [sent]})
 
-    df.foreachPartition(run)
+    total = df.mapInArrow(run, "sent bigint").agg(F.sum("sent")).first()[0]
+    return int(total or 0)
 
 
 class RecordingClient:

@@ -76,9 +76,13 @@ def test_cells_and_maps(spark):
 def test_deliver_recording_client(spark, tmp_dir):
     df = _decoded(spark).repartition(3)
     root = f"{tmp_dir}/sink"
-    deliver(df, lambda: RecordingClient(root), batch_rows=1)
-    rows = [json.loads(line) for p in glob.glob(f"{root}/*.jsonl") for line in open(p)]
-    assert sorted(r["ts"] for r in rows) == [1, 1, 2, 3]
+    assert deliver(df, lambda: RecordingClient(root), batch_rows=1) == 4
+    files = glob.glob(f"{root}/*.jsonl")
+    rows = [json.loads(line) for p in files for line in open(p)]
+    assert sorted(r["ts"] for r in rows) == [1, 1, 2, 3] and len(files) == 4
+    root2 = f"{tmp_dir}/sink2"
+    assert deliver(df.coalesce(1), lambda: RecordingClient(root2), batch_rows=3) == 4
+    assert sorted(len(open(p).readlines()) for p in glob.glob(f"{root2}/*.jsonl")) == [1, 3]
 
 
 def test_partition_helpers(spark, tmp_dir):

@@ -37,7 +37,7 @@ def test_file_scan_glob(spark, tmp_dir):
         with open(os.path.join(tmp_dir, f"trace{i}.asc"), "w") as f:
             f.write("date Thu Dec 3\nbase hex  timestamps absolute\n")
             f.write(f"   {i}.000100 1  65       Rx   d 2 0A 0B\n")
-    out = read_text_trace(spark, os.path.join(tmp_dir, "*.asc"), order_by_ts=True)
+    out = read_text_trace(spark, "file://" + os.path.join(tmp_dir, "*.asc"), order_by_ts=True)
     rows = out.frames.collect()
     assert [r.ts for r in rows] == [100000, 1000100000]
     assert out.rejects.count() == 0
