@@ -31,7 +31,7 @@ from busframes.operators.shape import (
 )
 from busframes.session import shared_dir
 from busframes.sinks.shaping import (
-    hour_stamped_points, insert_statements, line_protocol, wide_store_rows,
+    hour_stamped_points, insert_statements, line_protocol, wide_store_rows, write_sorted_cells,
 )
 from busframes.sources import SignalDictionary, read_binary_trace, read_dictionary, read_text_trace
 from busframes.sources.binary_trace import frame_records, read_raw_files, split_framed
@@ -312,7 +312,7 @@ def q_key_value_cells(spark, sf_dir):
     dec = decode_frames_map(_text_frames(spark, sf_dir), _dictionary(spark))
     cells = map_to_cells(dec.withColumn("rk", _row_key()), "rk", "signals")
     path = shared_dir(spark, "cells")
-    sorted_cells(cells).write.parquet(path)
+    write_sorted_cells(cells, path)
     return spark.read.parquet(path)
 
 

@@ -108,3 +108,23 @@ def wide_store_rows(decoded: DataFrame, device: str = "Datalogger1") -> DataFram
         F.col("botschaft").alias("table_name"), F.lit(device).alias("deviceid"),
         micros_to_millis_timestamp("ts").alias("ts"), "names",
         F.transform("vals", unsigned_decimal).alias("vals"))
+
+
+def write_sorted_cells(cells: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Bulk-load layout for key-value cells: files that are contiguous,
+    sorted (row key, qualifier) ranges.
+
+    The range partitioner samples its input before shuffling it, so the
+    cells are persisted (memory, then disk) for the duration of the write:
+    the upstream decode runs once, not once for the sample and once for the
+    shuffle. The cache is released when the write returns.
+    """
+    from pyspark import StorageLevel
+
+    from busframes.operators.shape import sorted_cells
+
+    cached = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sorted_cells(cached).write.mode("overwrite").format(fmt).save(path)
+    finally:
+        cached.unpersist()
