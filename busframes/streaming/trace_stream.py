@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from busframes.operators.decode import decode_frames_map
+from busframes.operators.decode import decode_frames_long, decode_frames_map
 from busframes.operators.shape import long_from_map
 from busframes.session import shared_dir
 from busframes.sources.dictionary import SignalDictionary
+from busframes.sources.binary_trace import frame_records, split_framed
 from busframes.sources.text_trace import keep_frame_lines, parse_text_lines, split_parsed
 
 
@@ -34,3 +35,27 @@ def decode_text_stream(spark: SparkSession, input_dir: str, dictionary: SignalDi
               .partitionBy("botschaft"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+# the fixed schema of Spark's binaryFile source
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def decode_binary_stream(spark: SparkSession, input_dir: str, dictionary: SignalDictionary,
+                         output_path: str, checkpoint: str | None = None, glob: str | None = None,
+                         max_files_per_trigger: int = 100, available_now: bool = True) -> StreamingQuery:
+    """Binary recordings as they land: whole-file framing per micro-batch,
+    long-form decode, message-partitioned parquet."""
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(input_dir).select("path", "content")
+    frames = split_framed(frame_records(files)).frames.drop("cs")
+    long = decode_frames_long(frames, dictionary).drop("pos")
+    writer = (long.writeStream.format("parquet").outputMode("append")
+              .option("path", output_path)
+              .option("checkpointLocation", checkpoint or shared_dir(spark, "stream-checkpoint"))
+              .partitionBy("botschaft"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from busframes import fixtures as fx
 from busframes.plans.jobs import JOBS, Target, run, with_overrides
 from busframes.sources import SignalDictionary
-from busframes.streaming import decode_text_stream
+from busframes.streaming import decode_binary_stream, decode_text_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,3 +76,14 @@ def test_stream_decodes_new_files(spark, tmp_dir):
     q2.awaitTermination(300)
     assert spark.read.parquet(out).count() == n_values
     assert os.path.isdir(f"{tmp_dir}/ckpt/offsets")
+
+
+def test_binary_stream(spark, tmp_dir):
+    frames, _, bin_dir, d = _inputs(spark, tmp_dir)
+    out = f"{tmp_dir}/bstream-out"
+    q = decode_binary_stream(spark, bin_dir, d, out, checkpoint=f"{tmp_dir}/bckpt", glob="*.bin")
+    q.awaitTermination(300)
+    n_values = 5 * frames.filter(F.col("id").between(101, 105)).count() + frames.filter("id = 101").count()
+    back = spark.read.parquet(out)
+    assert back.count() == n_values
+    assert back.filter("botschaft = 'MSG_ALT'").count() == frames.filter("id = 101").count()
