@@ -6,6 +6,12 @@ by (key, order) -- the range partitioner splits a hot key over many tasks --
 number rows inside each partition, and correct them with one small table of
 per-(partition, key) offsets. That table has at most partitions + keys rows
 (each partition holds a contiguous key range), so broadcasting it is bounded.
+
+The numbered rows are checkpointed (reliably, into ``spark.checkpoint.dir``)
+before the offsets are computed: the range partitioner samples with a seed
+tied to the plan instance, so two evaluations of the same plan may cut the
+ranges differently. Reading one materialised copy makes the offsets and the
+rows agree, and a lost executor cannot change them afterwards.
 """
 
 from __future__ import annotations
@@ -22,13 +28,17 @@ def rank_within_key(df: DataFrame, key: list[str], order: list[str],
 
     ``key + order`` must be a total order up to identical rows.
     """
+    from busframes.session import checkpoint_base
+
+    checkpoint_base(df.sparkSession)
     cols = [*key, *order]
     ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     local = (ranged.sortWithinPartitions(*cols)
              .withColumn("_mid", F.monotonically_increasing_id())
              .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
              .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-             .drop("_mid"))
+             .drop("_mid")
+             .checkpoint(eager=True))
     # one row per (partition, key): rows there and the first local index
     runs = local.groupBy("_pid", *key).agg(F.count(F.lit(1)).alias("_n"),
                                            F.min("_local").alias("_first"))

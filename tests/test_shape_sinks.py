@@ -115,3 +115,15 @@ def test_partition_helpers(spark, tmp_dir):
     cached = persist(df)
     assert cached.count() == 400 and cached.is_cached
     cached.unpersist()
+
+
+def test_rank_within_key_sampled_ranges(spark):
+    # large enough that the range partitioner samples instead of taking all rows
+    df = (spark.range(300_000)
+          .select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
+                  (F.col("id") * 7919 % 100_003).alias("ts"), F.col("id").alias("i")))
+    r = rank_within_key(df, ["k"], ["ts", "i"], partitions=32)
+    ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("k").orderBy("ts", "i")) - 1)
+    joined = r.join(ref, ["k", "ts", "i"])
+    assert joined.count() == 300_000
+    assert joined.filter(F.col("rank") != F.col("ref")).count() == 0
