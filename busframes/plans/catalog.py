@@ -20,13 +20,12 @@ from busframes.functions import (
 )
 from busframes.functions.bits import idiv
 from busframes.functions.timefmt import MILLIS_FORMAT
-from busframes.operators import batching  # noqa: F401
 from busframes.operators.decode import (
     decode_frames_array, decode_frames_long, decode_frames_map,
 )
 from busframes.operators.partition import count_rows, preview, write_partitioned
 from busframes.operators.shape import (
-    long_from_array, long_from_map, map_to_cells, replay, sorted_cells, strings_map,
+    long_from_array, long_from_map, map_to_cells, replay, strings_map,
     values_in_order, wide_from_map, wide_to_cells,
 )
 from busframes.session import shared_dir

@@ -131,7 +131,8 @@ def shape(decoded: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> Da
         return count_rows(decoded)
     arr = _as_array(decoded, dictionary)
     if spec.sink == "message_tables":
-        return arr.select("botschaft", "ts", "id", "names", "vals")
+        # names are per message: kept in the dictionary, not on every row
+        return arr.select("botschaft", "ts", "id", "vals")
     if spec.sink == "statements":
         return insert_statements(arr, spec.batch_rows, prefix=spec.prefix, suffix=spec.suffix,
                                  device=spec.device, tag_number=spec.tag_number)

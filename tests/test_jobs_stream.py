@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from busframes import fixtures as fx
 from busframes.plans.jobs import JOBS, Target, run, with_overrides
+from busframes.plans.views import register_message_views
 from busframes.sources import SignalDictionary
 from busframes.streaming import decode_binary_stream, decode_text_stream
 
@@ -41,6 +42,14 @@ def test_jobs_end_to_end(spark, tmp_dir):
     out = f"{tmp_dir}/messages"
     run(spark, JOBS["HexToCK_2"], bin_dir, d, Target(path=out))
     assert spark.read.parquet(out).count() == n_decoded
+    views = register_message_views(spark, out, d)
+    assert views["MSG_103"] == "msg_MSG_103"
+    wide = spark.sql("SELECT * FROM msg_MSG_103")
+    assert wide.columns == ["ts", "id", "orderkey", "partkey", "mid", "flag", "qty"]
+    assert wide.count() == frames.filter("id = 103").count()
+    check = spark.sql("SELECT count(*) AS n, sum(qty) AS q FROM msg_MSG_103").first()
+    li = fx.lineitem(spark, SF).filter("l_linenumber = 3")
+    assert check.n == li.count() and check.q == li.agg(F.sum(F.col("l_quantity").cast("bigint"))).first()[0]
 
     out = f"{tmp_dir}/messages-text"
     run(spark, JOBS["ModelCKPartition"], text_dir, d, Target(path=out))
