@@ -46,3 +46,20 @@ def register_message_views(spark: SparkSession, path: str, dictionary: SignalDic
         views[name] = v
     spark.read.parquet(path).createOrReplaceTempView(prefix + "all")
     return views
+
+
+def export_message_tables(spark: SparkSession, path: str, dictionary: SignalDictionary,
+                          write: "callable", table_for=lambda botschaft: botschaft) -> list[str]:
+    """One target table per message (named columns): for each message of the
+    dictionary, its pruned wide view is handed to ``write(df, table)`` (e.g.
+    ``lambda df, t: write_jdbc(df, url, t, options, batch_rows)``). Each
+    write reads only that message's directory; messages with no stored
+    rows are skipped by the partition listing."""
+    present = {r.botschaft for r in spark.read.parquet(path).select("botschaft").distinct().collect()}
+    done = []
+    for name, signals in message_signal_names(dictionary).items():
+        if name not in present:
+            continue
+        write(read_message_table(spark, path, name, signals), table_for(name))
+        done.append(name)
+    return done

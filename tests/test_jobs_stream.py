@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from busframes import fixtures as fx
 from busframes.plans.jobs import JOBS, Target, run, with_overrides
-from busframes.plans.views import register_message_views
+from busframes.plans.views import export_message_tables, register_message_views
 from busframes.sources import SignalDictionary
 from busframes.streaming import decode_binary_stream, decode_text_stream
 
@@ -47,6 +47,11 @@ def test_jobs_end_to_end(spark, tmp_dir):
     wide = spark.sql("SELECT * FROM msg_MSG_103")
     assert wide.columns == ["ts", "id", "orderkey", "partkey", "mid", "flag", "qty"]
     assert wide.count() == frames.filter("id = 103").count()
+    exported = export_message_tables(
+        spark, out, d, lambda df, t: df.write.mode("overwrite").parquet(f"{tmp_dir}/tables/{t}"),
+        table_for=lambda b: b.lower())
+    assert sorted(exported) == ["MSG_101", "MSG_102", "MSG_103", "MSG_104", "MSG_105", "MSG_ALT"]
+    assert spark.read.parquet(f"{tmp_dir}/tables/msg_alt").columns == ["ts", "id", "orderkey"]
     check = spark.sql("SELECT count(*) AS n, sum(qty) AS q FROM msg_MSG_103").first()
     li = fx.lineitem(spark, SF).filter("l_linenumber = 3")
     assert check.n == li.count() and check.q == li.agg(F.sum(F.col("l_quantity").cast("bigint"))).first()[0]
