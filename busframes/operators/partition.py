@@ -41,7 +41,7 @@ def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet",
                       mode: str = "overwrite", options: dict | None = None,
-                      within: list[str] | None = None) -> None:
+                      within: list[str] | None = None, observation=None) -> None:
     """One pass, one directory per key value (``key=value``), readable with
     partition pruning. Rows are range-clustered on (keys, ``within``) first:
     each task writes few, large, ts-ordered files, and because range bounds
@@ -50,8 +50,12 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parqu
     if within is None:
         within = ["ts"] if "ts" in df.columns else []
     cols = [*by, *within]
-    writer = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-              .write.mode(mode).format(fmt).partitionBy(*by))
+    clustered = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    if observation is not None:
+        # after the exchange: the range partitioner's sampling pass would
+        # otherwise be counted too
+        clustered = clustered.observe(observation, F.count(F.lit(1)).alias("delivered"))
+    writer = clustered.write.mode(mode).format(fmt).partitionBy(*by)
     if options:
         writer = writer.options(**options)
     writer.save(path)

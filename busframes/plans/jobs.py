@@ -45,8 +45,8 @@ class JobSpec:
 # The job matrix (source, decode, sink, replay, filter, batch size).
 JOBS = {j.name: j for j in [
     JobSpec("BasicModelTD", "text", "none", "module_tables"),
-    JobSpec("BasicModelCK", "text", "none", "preview", message_id=0x7A, preview_rows=100),
-    JobSpec("ModelMySQL", "text", "map", "preview", message_id=0x7A),
+    JobSpec("BasicModelCK", "text", "none", "preview", message_id=402522483, preview_rows=100),
+    JobSpec("ModelMySQL", "text", "map", "preview", message_id=1157, preview_rows=100),
     JobSpec("ModelCK", "text", "map", "preview", preview_rows=100),
     JobSpec("ModelMySQLPartition", "text", "map", "message_tables", batch_rows=50_000),
     JobSpec("ModelCKPartition", "text", "map", "message_tables", batch_rows=50_000),
@@ -145,33 +145,48 @@ def shape(decoded: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> Da
     raise ValueError(f"unknown sink {spec.sink!r}")
 
 
-def deliver_shaped(shaped: DataFrame, spec: JobSpec, target: Target) -> None:
+def deliver_shaped(shaped: DataFrame, spec: JobSpec, target: Target) -> int | None:
+    """Write or send the shaped rows; returns the number delivered (observed
+    during the delivering pass itself), or None for the JDBC path."""
+    from pyspark.sql import Observation
+
     spark = shaped.sparkSession
+    seen = Observation(f"{spec.name}-delivered")
     if spec.sink == "module_tables":
         if target.jdbc_url:
             checkpoint_base(spark)
             write_jdbc_by_key(shaped, "module", target.jdbc_url,
                               lambda m: f"datalogger_1_can{m}", target.jdbc_options, spec.batch_rows)
-        else:
-            write_partitioned(shaped, target.path, ["module"])
+            return None
+        write_partitioned(shaped, target.path, ["module"], observation=seen)
     elif spec.sink == "message_tables":
-        write_partitioned(shaped, target.path, ["botschaft"])
+        write_partitioned(shaped, target.path, ["botschaft"], observation=seen)
     elif spec.sink == "csv":
-        write_partitioned(shaped, target.path, ["botschaft"], fmt="csv", options={"header": "true"})
+        write_partitioned(shaped, target.path, ["botschaft"], fmt="csv", options={"header": "true"},
+                          observation=seen)
     elif spec.sink in ("preview", "count"):
-        shaped.write.mode("overwrite").json(target.path)
+        shaped.observe(seen, F.count(F.lit(1)).alias("delivered")).write.mode("overwrite").json(target.path)
     else:
-        deliver(shaped, target.factory(), spec.batch_rows if spec.sink != "statements" else 1)
+        return deliver(shaped, target.factory(), spec.batch_rows if spec.sink != "statements" else 1)
+    return int(seen.get["delivered"])
+
+
+@dataclass
+class JobResult:
+    shaped: DataFrame
+    metrics: dict
 
 
 def run(spark: SparkSession, spec: JobSpec, trace_path: str, dictionary: SignalDictionary,
-        target: Target) -> DataFrame:
-    """Run one job end to end; returns the shaped DataFrame it delivered."""
+        target: Target) -> JobResult:
+    """Run one job end to end. Returns the shaped DataFrame it delivered and
+    the number of rows delivered, observed during the delivering pass itself
+    (``DataFrame.observe`` / the delivery's own count; no extra pass)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     frames = scan(spark, spec, trace_path)
     shaped = shape(decode(frames, spec, dictionary), spec, dictionary)
-    deliver_shaped(shaped, spec, target)
-    return shaped
+    delivered = deliver_shaped(shaped, spec, target)
+    return JobResult(shaped, {"delivered": delivered})
 
 
 def with_overrides(name: str, **changes) -> JobSpec:

@@ -35,12 +35,13 @@ def test_jobs_end_to_end(spark, tmp_dir):
     n_decoded = frames.filter(F.col("id").between(101, 105)).count() + frames.filter("id = 101").count()
 
     out = f"{tmp_dir}/by-module"
-    run(spark, JOBS["BasicModelTD"], text_dir, d, Target(path=out))
+    res = run(spark, JOBS["BasicModelTD"], text_dir, d, Target(path=out))
+    assert res.metrics == {"delivered": n}
     back = spark.read.parquet(out)
     assert back.count() == n and sorted(r.module for r in back.select("module").distinct().collect()) == [1, 2]
 
     out = f"{tmp_dir}/messages"
-    run(spark, JOBS["HexToCK_2"], bin_dir, d, Target(path=out))
+    assert run(spark, JOBS["HexToCK_2"], bin_dir, d, Target(path=out)).metrics["delivered"] == n_decoded
     assert spark.read.parquet(out).count() == n_decoded
     views = register_message_views(spark, out, d)
     assert views["MSG_103"] == "msg_MSG_103"
@@ -61,7 +62,7 @@ def test_jobs_end_to_end(spark, tmp_dir):
     assert spark.read.parquet(out).count() == n_decoded
 
     out = f"{tmp_dir}/statements"
-    shaped = run(spark, with_overrides("HexToTD_3", message_id=103), bin_dir, d, Target(path=out))
+    shaped = run(spark, with_overrides("HexToTD_3", message_id=103), bin_dir, d, Target(path=out)).shaped
     stmts = [json.loads(line) for p in glob.glob(f"{out}/*.jsonl") for line in open(p)]
     n103 = frames.filter("id = 103").count()
     assert sum(s["n_rows"] for s in stmts) == 11 * n103 == shaped.agg(F.sum("n_rows")).first()[0]
@@ -69,7 +70,7 @@ def test_jobs_end_to_end(spark, tmp_dir):
                for s in stmts)
 
     out = f"{tmp_dir}/points"
-    run(spark, JOBS["HexToInflux_2"], bin_dir, d, Target(path=out))
+    assert run(spark, JOBS["HexToInflux_2"], bin_dir, d, Target(path=out)).metrics["delivered"] == n_decoded
     points = [json.loads(line) for p in glob.glob(f"{out}/*.jsonl") for line in open(p)]
     assert len(points) == n_decoded
 
