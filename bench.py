@@ -22,6 +22,7 @@ HEADLINE = [
     "text_trace_scan",          # write + scan + tokenise text logs
     "binary_trace_scan",        # write + scan + frame binary recordings
     "replay_one_message",       # 11x replay, one message
+    "replay_decode_totals",     # 11x replay of every frame, decode, totals
     "insert_statements_batched",  # skew-safe batching + statement text
     "line_protocol_points",     # point shaping
     "key_value_cells",          # cells, range-sorted, parquet round trip

@@ -150,6 +150,14 @@ def q_control_word_fields(spark, sf_dir):
                      control_word_fields(cs).alias("c")).select("orderkey", "linenumber", "c.*")
 
 
+def q_replay_decode_totals(spark, sf_dir):
+    """P11 over every message: 11-day replay, decode, totals and time span."""
+    dec = decode_frames_array(replay(_frames(spark, sf_dir)), _dictionary(spark), with_names=True)
+    return (long_from_array(dec).groupBy("botschaft", "signal_name")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
+                 F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts")))
+
+
 REPLAY_MESSAGE_ID = 103
 
 
@@ -381,6 +389,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "binary_raw_fetch": q_binary_raw_fetch,
     "control_word_fields": q_control_word_fields,
     "replay_one_message": q_replay_one_message,
+    "replay_decode_totals": q_replay_decode_totals,
     "frame_time_strings": q_frame_time_strings,
     "module_raw_rows": q_module_raw_rows,
     "distinct_modules": q_distinct_modules,

@@ -107,6 +107,9 @@ UNION ALL SELECT 'too few tokens', CAST(1 AS BIGINT)""",
     "replay_one_message": _with(_F, _sig()) + """SELECT botschaft, signal_name, 11 * count(*) AS n,
   CAST(11 * sum(value) AS BIGINT) AS total, min(ts) + 199 * 86400000000 AS min_ts,
   max(ts) + 209 * 86400000000 AS max_ts FROM sig WHERE id = 103 GROUP BY botschaft, signal_name""",
+    "replay_decode_totals": _with(_F, _sig()) + """SELECT botschaft, signal_name, 11 * count(*) AS n,
+  CAST(11 * sum(value) AS BIGINT) AS total, min(ts) + 199 * 86400000000 AS min_ts,
+  max(ts) + 209 * 86400000000 AS max_ts FROM sig GROUP BY botschaft, signal_name""",
     "frame_time_strings": _with(_F) + f"""SELECT id, {_US} AS ts,
   strftime(make_timestamp({_US}), '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
   strftime(make_timestamp(({_US} // 1000) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS ts_ms_text,
