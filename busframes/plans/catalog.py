@@ -152,7 +152,8 @@ def q_control_word_fields(spark, sf_dir):
 
 def q_replay_decode_totals(spark, sf_dir):
     """P11 over every message: 11-day replay, decode, totals and time span."""
-    dec = decode_frames_array(replay(_frames(spark, sf_dir)), _dictionary(spark), with_names=True)
+    # replay after the decode: same rows, each frame decoded once, not 11 times
+    dec = replay(decode_frames_array(_frames(spark, sf_dir), _dictionary(spark), with_names=True))
     return (long_from_array(dec).groupBy("botschaft", "signal_name")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
                  F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts")))
@@ -163,8 +164,8 @@ REPLAY_MESSAGE_ID = 103
 
 def q_replay_one_message(spark, sf_dir):
     """P11 + F4: 11-day replay, one message kept (filter before the join)."""
-    frames = replay(_frames(spark, sf_dir)).filter(F.col("id") == F.lit(REPLAY_MESSAGE_ID))
-    dec = decode_frames_array(frames, _dictionary(spark), with_names=True)
+    frames = _frames(spark, sf_dir).filter(F.col("id") == F.lit(REPLAY_MESSAGE_ID))
+    dec = replay(decode_frames_array(frames, _dictionary(spark), with_names=True))
     return (long_from_array(dec).groupBy("botschaft", "signal_name")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
                  F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts")))

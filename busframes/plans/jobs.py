@@ -84,16 +84,15 @@ class Target:
 
 
 def scan(spark: SparkSession, spec: JobSpec, trace_path: str) -> DataFrame:
-    """Trace scan + replay + one-message filter. Raw frames for binary
-    traces, text frames (hex payload) for text traces."""
+    """Trace scan + one-message filter. Raw frames for binary traces, text
+    frames (hex payload) for text traces. The replay is applied after the
+    decode (see ``run``)."""
     if spec.source == "text":
         frames = read_text_trace(spark, trace_path).frames
     elif spec.source == "binary":
         frames = read_binary_trace(spark, trace_path).frames.drop("cs")
     else:
         raise ValueError(f"unknown source {spec.source!r}")
-    if spec.replay:
-        frames = replay(frames)
     if spec.message_id is not None:
         frames = frames.filter(F.col("id") == F.lit(spec.message_id))
     return frames
@@ -184,7 +183,12 @@ def run(spark: SparkSession, spec: JobSpec, trace_path: str, dictionary: SignalD
     (``DataFrame.observe`` / the delivery's own count; no extra pass)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     frames = scan(spark, spec, trace_path)
-    shaped = shape(decode(frames, spec, dictionary), spec, dictionary)
+    decoded = decode(frames, spec, dictionary)
+    if spec.replay:
+        # decoding does not depend on ts: replaying decoded rows gives the
+        # same rows as decoding replayed frames, with 1/11 of the decode work
+        decoded = replay(decoded)
+    shaped = shape(decoded, spec, dictionary)
     delivered = deliver_shaped(shaped, spec, target)
     return JobResult(shaped, {"delivered": delivered})
 
