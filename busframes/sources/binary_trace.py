@@ -116,8 +116,9 @@ def _frame_batches(batches: Iterator, content_col: str, source_col: str | None):
     for batch in batches:
         contents = batch.column(content_col)
         sources = batch.column(source_col) if source_col else None
+        views = _binary_views(contents)
         for i in range(batch.num_rows):
-            content = contents[i].as_py() or b""
+            content = views[i]
             source = sources[i].as_py() if sources is not None else None
             m, cols, reject, _ = _frame_one(content, source)
             if m:
@@ -142,6 +143,23 @@ def _frame_batches(batches: Iterator, content_col: str, source_col: str | None):
                 ], schema=schema)
 
 
+def _binary_views(arr) -> list:
+    """Zero-copy views of the values of an Arrow binary array (a recording
+    can be hundreds of MB; ``as_py`` would copy it)."""
+    import numpy as np
+    import pyarrow as pa
+
+    if pa.types.is_large_binary(arr.type):
+        width = np.int64
+    else:
+        width = np.int32
+    _, offsets_buf, data_buf = arr.buffers()
+    offsets = np.frombuffer(offsets_buf, dtype=width)[arr.offset: arr.offset + len(arr) + 1]
+    data = memoryview(data_buf) if data_buf is not None else memoryview(b"")
+    return [b"" if not arr[i].is_valid else data[int(offsets[i]):int(offsets[i + 1])]
+            for i in range(len(arr))]
+
+
 def frame_records(files: DataFrame, content_col: str = "content",
                   source_col: str | None = "path") -> DataFrame:
     """Frame a DataFrame of whole recordings (one binary row per file).
