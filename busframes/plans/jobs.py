@@ -72,6 +72,7 @@ class Target:
     recording client; ``jdbc_url`` + ``jdbc_options``: database tables;
     ``client_factory``: a store client made on each executor."""
     path: str | None = None
+    rejects_path: str | None = None
     jdbc_url: str | None = None
     jdbc_options: dict | None = None
     client_factory: Callable[[], object] | None = None
@@ -83,19 +84,25 @@ class Target:
         return lambda: RecordingClient(root)
 
 
-def scan(spark: SparkSession, spec: JobSpec, trace_path: str) -> DataFrame:
-    """Trace scan + one-message filter. Raw frames for binary traces, text
-    frames (hex payload) for text traces. The replay is applied after the
-    decode (see ``run``)."""
+def scan_with_rejects(spark: SparkSession, spec: JobSpec, trace_path: str):
+    """Trace scan + one-message filter, plus the rejected lines/records.
+    Raw frames for binary traces, text frames (hex payload) for text traces.
+    The replay is applied after the decode (see ``run``)."""
     if spec.source == "text":
-        frames = read_text_trace(spark, trace_path).frames
+        parsed = read_text_trace(spark, trace_path)
+        frames = parsed.frames
     elif spec.source == "binary":
-        frames = read_binary_trace(spark, trace_path).frames.drop("cs")
+        parsed = read_binary_trace(spark, trace_path)
+        frames = parsed.frames.drop("cs")
     else:
         raise ValueError(f"unknown source {spec.source!r}")
     if spec.message_id is not None:
         frames = frames.filter(F.col("id") == F.lit(spec.message_id))
-    return frames
+    return frames, parsed.rejects
+
+
+def scan(spark: SparkSession, spec: JobSpec, trace_path: str) -> DataFrame:
+    return scan_with_rejects(spark, spec, trace_path)[0]
 
 
 def decode(frames: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> DataFrame:
@@ -182,7 +189,7 @@ def run(spark: SparkSession, spec: JobSpec, trace_path: str, dictionary: SignalD
     the number of rows delivered, observed during the delivering pass itself
     (``DataFrame.observe`` / the delivery's own count; no extra pass)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    frames = scan(spark, spec, trace_path)
+    frames, rejects = scan_with_rejects(spark, spec, trace_path)
     decoded = decode(frames, spec, dictionary)
     if spec.replay:
         # decoding does not depend on ts: replaying decoded rows gives the
@@ -190,7 +197,12 @@ def run(spark: SparkSession, spec: JobSpec, trace_path: str, dictionary: SignalD
         decoded = replay(decoded)
     shaped = shape(decoded, spec, dictionary)
     delivered = deliver_shaped(shaped, spec, target)
-    return JobResult(shaped, {"delivered": delivered})
+    metrics = {"delivered": delivered}
+    if target.rejects_path:
+        # a second, cheap scan keeps only the lines/records that did not parse
+        rejects.write.mode("overwrite").parquet(target.rejects_path)
+        metrics["rejected"] = spark.read.parquet(target.rejects_path).count()
+    return JobResult(shaped, metrics)
 
 
 def with_overrides(name: str, **changes) -> JobSpec:

@@ -35,8 +35,9 @@ def test_jobs_end_to_end(spark, tmp_dir):
     n_decoded = frames.filter(F.col("id").between(101, 105)).count() + frames.filter("id = 101").count()
 
     out = f"{tmp_dir}/by-module"
-    res = run(spark, JOBS["BasicModelTD"], text_dir, d, Target(path=out))
-    assert res.metrics == {"delivered": n}
+    res = run(spark, JOBS["BasicModelTD"], text_dir, d, Target(path=out, rejects_path=f"{tmp_dir}/rejects"))
+    assert res.metrics == {"delivered": n, "rejected": 1}  # the fixture's event line
+    assert spark.read.parquet(f"{tmp_dir}/rejects").first().reason == "too few tokens"
     back = spark.read.parquet(out)
     assert back.count() == n and sorted(r.module for r in back.select("module").distinct().collect()) == [1, 2]
 
