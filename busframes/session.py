@@ -40,8 +40,12 @@ def checkpoint_base(spark: SparkSession) -> str:
     system. Only when it is unset (local tests) we create one of our own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    context_dir = spark.sparkContext.getCheckpointDir()
+    if base and not context_dir:
+        # named in the configuration but not yet applied to the context
+        spark.sparkContext.setCheckpointDir(base)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = context_dir
     if not base:
         base = tempfile.mkdtemp(prefix="busframes-ckpt-")
         spark.sparkContext.setCheckpointDir(base)

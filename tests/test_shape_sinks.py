@@ -127,3 +127,12 @@ def test_rank_within_key_sampled_ranges(spark):
     joined = r.join(ref, ["k", "ts", "i"])
     assert joined.count() == 300_000
     assert joined.filter(F.col("rank") != F.col("ref")).count() == 0
+
+
+def test_checkpoint_base_reads_session(spark):
+    from busframes.session import checkpoint_base, shared_dir
+
+    base = checkpoint_base(spark)
+    assert base and spark.sparkContext.getCheckpointDir()
+    p = shared_dir(spark, "x")
+    assert p.startswith(base + "/x-")
