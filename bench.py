@@ -44,7 +44,7 @@ def main() -> None:
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if not os.path.isdir(warm_dir):
         warm_dir = sf_dir
-    for name in ("decode_signal_totals", "binary_frame_blobs", "decode_map_totals"):
+    for name in ("decode_signal_totals", "binary_frame_blobs", "binary_trace_scan", "decode_map_totals"):
         QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:

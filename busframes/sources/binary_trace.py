@@ -28,57 +28,61 @@ FRAMED_SCHEMA = ("source string, position bigint, module smallint, ts bigint, id
 RAW_FRAME_COLUMNS = ("module", "ts", "id", "data")
 
 
-def _empty_columns():
-    return {k: [] for k in ("source", "position", "module", "ts", "id", "cs", "data", "reason")}
-
-
-def _frame_one(content: bytes, source: str):
-    """Frame one file. Returns numpy/py columns of good frames and rejects."""
+def _decode_records(content, starts, lengths) -> dict:
+    """Vectorised decode of complete records at ``starts`` (numpy columns)."""
     import numpy as np
 
-    n = len(content)
     buf = np.frombuffer(content, dtype=np.uint8)
-    starts, lengths, reject = _record_starts(content)
     m = len(starts)
-    cols = {}
-    if m:
-        starts = np.asarray(starts, dtype=np.int64)
-        lengths = np.asarray(lengths, dtype=np.int64)
-        be32 = lambda off: (buf[starts + off].astype(np.int64) << 24 | buf[starts + off + 1].astype(np.int64) << 16
-                            | buf[starts + off + 2].astype(np.int64) << 8 | buf[starts + off + 3].astype(np.int64))
-        def s32(x):
-            return np.where(x >= 2**31, x - 2**32, x).astype(np.int64)
-        high = s32(be32(0))
-        low = s32(be32(4))
-        port = buf[starts + 9].astype(np.int16)
-        port = np.where(port >= 128, port - 256, port)
-        low_us = np.where(low >= 0, low // 1000, -((-low) // 1000))
-        cols["ts"] = high * 1_000_000 + low_us
-        cols["module"] = (port + 1).astype(np.int16)
-        cols["id"] = s32(be32(HEADER_SIZE)).astype(np.int32)
-        cols["cs"] = s32(be32(HEADER_SIZE + 4)).astype(np.int32)
-        data_len = lengths - PAYLOAD_MIN
-        if m and np.all(data_len == data_len[0]):
-            w = int(data_len[0])
-            idx = (starts + HEADER_SIZE + PAYLOAD_MIN)[:, None] + np.arange(w)[None, :]
-            values = buf[idx].astype(np.int32).ravel()
-            offsets = np.arange(0, (m + 1) * w, w, dtype=np.int32) if w else np.zeros(m + 1, np.int32)
-        else:
-            pieces = [buf[s + HEADER_SIZE + PAYLOAD_MIN: s + HEADER_SIZE + L] for s, L in zip(starts, lengths)]
-            values = np.concatenate(pieces).astype(np.int32) if pieces else np.zeros(0, np.int32)
-            offsets = np.concatenate([[0], np.cumsum(data_len)]).astype(np.int32)
-        cols["position"] = starts
-        cols["data"] = (offsets, values)
-    return m, cols, reject, n
-
-
-def _record_starts(content: bytes):
-    """Offsets and payload lengths of complete records; plus a reject or None."""
+    starts = np.asarray(starts, dtype=np.int64)
+    lengths = np.asarray(lengths, dtype=np.int64)
+
+    def be32(off):
+        return (buf[starts + off].astype(np.int64) << 24 | buf[starts + off + 1].astype(np.int64) << 16
+                | buf[starts + off + 2].astype(np.int64) << 8 | buf[starts + off + 3].astype(np.int64))
+
+    def s32(x):
+        return np.where(x >= 2**31, x - 2**32, x).astype(np.int64)
+
+    high = s32(be32(0))
+    low = s32(be32(4))
+    port = buf[starts + 9].astype(np.int16)
+    port = np.where(port >= 128, port - 256, port)
+    low_us = np.where(low >= 0, low // 1000, -((-low) // 1000))
+    data_len = lengths - PAYLOAD_MIN
+    if np.all(data_len == data_len[0]):
+        w = int(data_len[0])
+        idx = (starts + HEADER_SIZE + PAYLOAD_MIN)[:, None] + np.arange(w)[None, :]
+        values = buf[idx].astype(np.int32).ravel()
+        offsets = np.arange(0, (m + 1) * w, w, dtype=np.int32) if w else np.zeros(m + 1, np.int32)
+    else:
+        pieces = [buf[s + HEADER_SIZE + PAYLOAD_MIN: s + HEADER_SIZE + L] for s, L in zip(starts, lengths)]
+        values = np.concatenate(pieces).astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(data_len)]).astype(np.int32)
+    return {"position": starts, "ts": high * 1_000_000 + low_us, "module": (port + 1).astype(np.int16),
+            "id": s32(be32(HEADER_SIZE)).astype(np.int32), "cs": s32(be32(HEADER_SIZE + 4)).astype(np.int32),
+            "data": (offsets, values)}
+
+
+def _frame_one(content, source: str):
+    """Frame one whole file: (frame count, columns, reject or None, size)."""
+    starts, lengths, reject, _ = _record_starts(content, final=True)
+    m = len(starts)
+    return m, (_decode_records(content, starts, lengths) if m else {}), reject, len(content)
+
+
+def _record_starts(content, final: bool = True):
+    """Offsets and payload lengths of the complete records of ``content``,
+    a reject (position, reason) or None, and the bytes consumed.
+
+    ``final=False`` frames a chunk of a longer stream: an incomplete record
+    at the end is left unconsumed for the next chunk instead of rejected.
+    """
     import numpy as np
 
     n = len(content)
     if n < HEADER_SIZE:
-        return [], [], None
+        return [], [], None, (n if final else 0)
     first_len = struct.unpack_from(">h", content, 10)[0]
     if first_len >= PAYLOAD_MIN:
         rec = HEADER_SIZE + first_len
@@ -87,60 +91,91 @@ def _record_starts(content: bytes):
         starts = np.arange(m, dtype=np.int64) * rec
         lens = (buf[starts + 10].astype(np.int32) << 8) | buf[starts + 11]
         tail = n - m * rec
-        if np.all(lens == first_len) and tail < HEADER_SIZE:
-            return starts, np.full(m, first_len, dtype=np.int64), None
+        if np.all(lens == first_len) and (tail < HEADER_SIZE or not final):
+            return starts, np.full(m, first_len, dtype=np.int64), None, (n if final else m * rec)
     # general case: walk the headers
     starts, lens = [], []
     pos = 0
     while n - pos >= HEADER_SIZE:
         length = struct.unpack_from(">h", content, pos + 10)[0]
         if length < PAYLOAD_MIN:
-            return starts, lens, (pos, f"payload length {length} < {PAYLOAD_MIN}")
+            return starts, lens, (pos, f"payload length {length} < {PAYLOAD_MIN}"), n
         if pos + HEADER_SIZE + length > n:
-            return starts, lens, (pos, "truncated record")
+            if final:
+                return starts, lens, (pos, "truncated record"), n
+            return starts, lens, None, pos
         starts.append(pos)
         lens.append(length)
         pos += HEADER_SIZE + length
-    return starts, lens, None
+    return starts, lens, None, (n if final else pos)
 
 
-def _frame_batches(batches: Iterator, content_col: str, source_col: str | None):
-    import numpy as np
+def _arrow_schema():
     import pyarrow as pa
 
-    schema = pa.schema([
+    return pa.schema([
         ("source", pa.string()), ("position", pa.int64()), ("module", pa.int16()),
         ("ts", pa.int64()), ("id", pa.int32()), ("cs", pa.int32()),
         ("data", pa.list_(pa.int32())), ("reason", pa.string()),
     ])
+
+
+def _to_batches(source, m: int, cols: dict, reject, base: int = 0):
+    """Arrow batches (FRAMED_SCHEMA) for framed records and a reject."""
+    import pyarrow as pa
+
+    schema = _arrow_schema()
+    if m:
+        offsets, values = cols["data"]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([source] * m, pa.string()),
+            pa.array(cols["position"] + base, pa.int64()),
+            pa.array(cols["module"], pa.int16()),
+            pa.array(cols["ts"], pa.int64()),
+            pa.array(cols["id"], pa.int32()),
+            pa.array(cols["cs"], pa.int32()),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32())),
+            pa.nulls(m, pa.string()),
+        ], schema=schema)
+    if reject is not None:
+        pos, reason = reject
+        yield pa.RecordBatch.from_arrays([
+            pa.array([source], pa.string()), pa.array([pos + base], pa.int64()),
+            pa.nulls(1, pa.int16()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()),
+            pa.nulls(1, pa.int32()), pa.nulls(1, pa.list_(pa.int32())),
+            pa.array([reason], pa.string()),
+        ], schema=schema)
+
+
+def _frame_batches(batches: Iterator, content_col: str, source_col: str | None):
     for batch in batches:
         contents = batch.column(content_col)
         sources = batch.column(source_col) if source_col else None
         views = _binary_views(contents)
         for i in range(batch.num_rows):
-            content = views[i]
             source = sources[i].as_py() if sources is not None else None
-            m, cols, reject, _ = _frame_one(content, source)
-            if m:
-                offsets, values = cols["data"]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([source] * m, pa.string()),
-                    pa.array(cols["position"], pa.int64()),
-                    pa.array(cols["module"], pa.int16()),
-                    pa.array(cols["ts"], pa.int64()),
-                    pa.array(cols["id"], pa.int32()),
-                    pa.array(cols["cs"], pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32())),
-                    pa.nulls(m, pa.string()),
-                ], schema=schema)
-            if reject is not None:
-                pos, reason = reject
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([source], pa.string()), pa.array([pos], pa.int64()),
-                    pa.nulls(1, pa.int16()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()),
-                    pa.nulls(1, pa.int32()), pa.nulls(1, pa.list_(pa.int32())),
-                    pa.array([reason], pa.string()),
-                ], schema=schema)
+            m, cols, reject, _ = _frame_one(views[i], source)
+            yield from _to_batches(source, m, cols, reject)
+
+
+def frame_stream(read_chunk, source: str, chunk_bytes: int):
+    """Frame one recording read sequentially in chunks of ``chunk_bytes``:
+    memory stays bounded by the chunk size, whatever the file size.
+    ``read_chunk(n)`` returns up to n bytes, ``b""`` at the end."""
+    carry = b""
+    base = 0
+    while True:
+        chunk = read_chunk(chunk_bytes)
+        final = not chunk
+        buf = carry + chunk if carry else chunk
+        starts, lengths, reject, consumed = _record_starts(buf, final=final)
+        m = len(starts)
+        if m or reject is not None:
+            yield from _to_batches(source, m, _decode_records(buf, starts, lengths) if m else {}, reject, base)
+        if final or reject is not None:
+            return
+        carry = buf[consumed:]
+        base += consumed
 
 
 def _binary_views(arr) -> list:
@@ -189,9 +224,20 @@ def read_raw_files(spark: SparkSession, path: str, glob: str | None = None) -> D
 
 
 def read_binary_trace(spark: SparkSession, path: str, glob: str | None = None,
-                      order_by_ts: bool = False) -> ParsedTrace:
-    """Scan binary recordings (file, directory or glob) into raw frames."""
-    out = split_framed(frame_records(read_raw_files(spark, path, glob)))
+                      order_by_ts: bool = False, streamed: bool = True) -> ParsedTrace:
+    """Scan binary recordings (file, directory or glob) into raw frames.
+
+    ``streamed`` (default): the ``busrecording`` source reads each file in
+    bounded chunks. ``streamed=False``: ``binaryFile`` rows framed by
+    ``mapInArrow`` (whole file in memory). Both give the same rows.
+    """
+    if streamed:
+        from busframes.sources.recording_source import read_recordings
+
+        framed = read_recordings(spark, path, glob)
+    else:
+        framed = frame_records(read_raw_files(spark, path, glob))
+    out = split_framed(framed)
     if order_by_ts:
         out = ParsedTrace(out.frames.orderBy("ts"), out.rejects)
     return out

@@ -52,3 +52,52 @@ def test_file_scan(spark, tmp_dir):
         f.write(b"not a trace")
     out = read_binary_trace(spark, tmp_dir, glob="*.bin")
     assert [r.id for r in out.frames.collect()] == [9]
+
+
+def test_streamed_source_equals_whole_file(spark, tmp_dir):
+    import random
+
+    from busframes.sources.recording_source import read_recordings
+
+    rnd = random.Random(5)
+    for k in range(3):
+        recs = [_record(k, i * 1000, k, 0x100 + i % 7, 0x00080000, [rnd.randint(0, 255)] * rnd.choice([8, 8, 2, 64]))
+                for i in range(3000)]
+        blob = b"".join(recs)
+        if k == 1:
+            blob += b"\x00\x01\x02"        # tail under a header: ignored
+        if k == 2:
+            blob += recs[0][:20]           # truncated record: one reject
+        with open(os.path.join(tmp_dir, f"r{k}.bin"), "wb") as f:
+            f.write(blob)
+    cols = ["position", "module", "ts", "id", "cs", "data", "reason"]
+    whole = sorted(tuple(r) for r in frame_records(
+        spark.read.format("binaryFile").load(tmp_dir).select("path", "content")).select(*cols).collect())
+    # chunks of 64 KiB force many chunk boundaries inside each file
+    streamed = sorted(tuple(r) for r in read_recordings(spark, tmp_dir, chunk_bytes=1).select(*cols).collect())
+    assert streamed == whole and len(whole) == 9001
+    out = read_binary_trace(spark, tmp_dir, glob="r1.bin")
+    assert out.frames.count() == 3000 and out.rejects.count() == 0
+
+
+def test_reader_options_and_chunking(spark):
+    from busframes.sources.recording_source import MIN_CHUNK, RecordingReader
+
+    r = RecordingReader({"path": "/x", "pathglobfilter": "*.bin", "chunkbytes": "1"})
+    assert (r.glob, r.chunk) == ("*.bin", MIN_CHUNK)
+
+
+def test_frame_stream_chunk_boundaries():
+    import io
+
+    from busframes.sources.binary_trace import frame_stream
+
+    recs = [_record(1, i, 0, i, 0, [i % 256] * (8 if i % 3 else 64)) for i in range(500)]
+    blob = b"".join(recs) + recs[0][:30]
+    for chunk in (97, 1000, 1 << 20):
+        batches = list(frame_stream(io.BytesIO(blob).read, "s", chunk))
+        frames = [r for b in batches for r in b.to_pylist() if r["reason"] is None]
+        rejects = [r for b in batches for r in b.to_pylist() if r["reason"] is not None]
+        assert [f["id"] for f in frames] == list(range(500))
+        assert rejects == [{"source": "s", "position": len(blob) - 30, "module": None, "ts": None, "id": None,
+                            "cs": None, "data": None, "reason": "truncated record"}]
