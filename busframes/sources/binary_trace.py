@@ -223,14 +223,29 @@ def read_raw_files(spark: SparkSession, path: str, glob: str | None = None) -> D
     return reader.load(path).select("path", "length", "content")
 
 
+SPLIT_THRESHOLD = 1 << 30   # a recording above this is framed by several tasks
+SPLIT_BYTES = 128 << 20
+
+
 def read_binary_trace(spark: SparkSession, path: str, glob: str | None = None,
-                      order_by_ts: bool = False, streamed: bool = True) -> ParsedTrace:
+                      order_by_ts: bool = False, streamed: bool = True,
+                      split_threshold: int | None = SPLIT_THRESHOLD,
+                      split_bytes: int = SPLIT_BYTES) -> ParsedTrace:
     """Scan binary recordings (file, directory or glob) into raw frames.
 
     ``streamed`` (default): the ``busrecording`` source reads each file in
-    bounded chunks. ``streamed=False``: ``binaryFile`` rows framed by
-    ``mapInArrow`` (whole file in memory). Both give the same rows.
+    bounded chunks, one task per file. If the largest recording exceeds
+    ``split_threshold``, files are instead framed in verified parallel
+    ranges of ``split_bytes`` (``split_framing``), so one huge recording does
+    not run in one task. ``streamed=False``: ``binaryFile`` rows framed by
+    ``mapInArrow`` (whole file in memory). All give the same rows.
     """
+    if streamed and split_threshold is not None:
+        from busframes.sources.split_framing import largest_file, read_split_recordings
+
+        if largest_file(path, glob) > split_threshold:
+            out = split_framed(read_split_recordings(spark, path, split_bytes, glob))
+            return ParsedTrace(out.frames.orderBy("ts"), out.rejects) if order_by_ts else out
     if streamed:
         from busframes.sources.recording_source import read_recordings
 
