@@ -124,6 +124,18 @@ def q_binary_trace_scan(spark, sf_dir):
     return _with_hex(read_binary_trace(spark, path).frames)
 
 
+SPLIT_TEST_BYTES = 16 << 10
+
+
+def q_binary_split_scan(spark, sf_dir):
+    """P5 as verified parallel ranges: each recording framed by several
+    tasks from speculative boundaries checked against the previous range."""
+    path = shared_dir(spark, "binary-split")
+    fx.write_blobs(fx.binary_blobs(_frames(spark, sf_dir)), path)
+    trace = read_binary_trace(spark, path, split_threshold=0, split_bytes=SPLIT_TEST_BYTES)
+    return _with_hex(trace.frames)
+
+
 def q_binary_frame_blobs(spark, sf_dir):
     """P5 on in-memory recordings (no files), totals per id."""
     blobs = fx.binary_blobs(_frames(spark, sf_dir)).withColumn("path", F.col("file_key").cast("string"))
@@ -386,6 +398,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_trace_scan": q_text_trace_scan,
     "text_trace_rejects": q_text_trace_rejects,
     "binary_trace_scan": q_binary_trace_scan,
+    "binary_split_scan": q_binary_split_scan,
     "binary_frame_blobs": q_binary_frame_blobs,
     "binary_raw_fetch": q_binary_raw_fetch,
     "control_word_fields": q_control_word_fields,

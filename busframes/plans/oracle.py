@@ -97,6 +97,7 @@ ORACLE_SQL: dict[str, str] = {
     "text_trace_rejects": """SELECT CAST(NULL AS VARCHAR) AS reason, count(*) AS n FROM lineitem
 UNION ALL SELECT 'too few tokens', CAST(1 AS BIGINT)""",
     "binary_trace_scan": _with(_F) + "SELECT module, ts, id, hex AS data_hex, 8 AS dlc FROM f",
+    "binary_split_scan": _with(_F) + "SELECT module, ts, id, hex AS data_hex, 8 AS dlc FROM f",
     "binary_frame_blobs": _with(_F) + """SELECT id, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts,
   CAST(sum((ok & 255) + ((ok >> 8) & 255) + (pk & 255) + ((pk >> 8) & 255) + (sk & 255) + ((sk >> 8) & 255)
            + (qty & 255) + ln) AS BIGINT) AS sum_bytes FROM f GROUP BY id""",
