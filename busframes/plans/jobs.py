@@ -14,11 +14,11 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from busframes.functions.bits import idiv
+from busframes.functions.bits import bytes_to_hex, idiv
 from busframes.functions.timefmt import micros_to_string
 from busframes.operators.decode import decode_frames_array, decode_frames_map
 from busframes.operators.partition import count_rows, preview, write_partitioned
-from busframes.operators.shape import long_from_map, replay, values_in_order
+from busframes.operators.shape import long_from_array, long_from_map, replay, values_in_order
 from busframes.session import checkpoint_base
 from busframes.sinks.delivery import RecordingClient, deliver, write_jdbc_by_key
 from busframes.sinks.shaping import insert_statements, line_protocol, wide_store_rows
@@ -128,8 +128,10 @@ def _as_array(decoded: DataFrame, dictionary: SignalDictionary) -> DataFrame:
 def shape(decoded: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> DataFrame:
     """The rows the sink receives."""
     if spec.sink == "module_tables":
-        ts = micros_to_string(idiv("ts", 1000)) if spec.source == "text" else micros_to_string("ts")
-        return decoded.select("module", ts.alias("ts"), "id", "len", "data")
+        if spec.source == "text":   # ts in ns since trace start, data as hex text
+            return decoded.select("module", micros_to_string(idiv("ts", 1000)).alias("ts"), "id", "len", "data")
+        return decoded.select("module", micros_to_string("ts").alias("ts"), "id",   # binary: µs, byte array
+                              F.size("data").cast("smallint").alias("len"), bytes_to_hex("data").alias("data"))
     if spec.sink == "preview":
         cols = [c for c in ("ts", "id", "module", "botschaft") if c in decoded.columns]
         return preview(decoded, spec.preview_rows, cols)
@@ -147,7 +149,7 @@ def shape(decoded: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> Da
     if spec.sink == "points":
         return line_protocol(arr, spec.device)
     if spec.sink == "csv":
-        return long_from_map(decoded) if "map" in decoded.columns else arr
+        return long_from_map(decoded) if "map" in decoded.columns else long_from_array(arr).drop("pos")
     raise ValueError(f"unknown sink {spec.sink!r}")
 
 

@@ -2,11 +2,17 @@
 
 Record layout (big-endian): seconds i32, nanoseconds i32, port type i8,
 port id i8, payload length i16, then the payload: frame id i32, control word
-i32 and ``length - 8`` data bytes. Records carry no sync mark, so a file is
-framed by one task; files are read whole by ``binaryFile`` and framed in
-``mapInArrow`` with numpy. When every record of a file has the same length
-(the usual case for classic CAN) the whole file is framed by strided numpy
-views; otherwise a header walk finds the record starts.
+i32 and ``length - 8`` data bytes. Records carry no sync mark.
+
+Three ways in, all producing the same rows:
+- ``read_binary_trace`` (default): the ``busrecording`` source streams each
+  file in bounded chunks (``frame_stream``), one task per file;
+- above ``SPLIT_THRESHOLD``: verified parallel ranges (``split_framing``);
+- ``frame_records``: framing of binary columns (``binaryFile`` rows or
+  in-memory recordings) in ``mapInArrow``.
+When every record in a buffer has the same length (the usual case for
+classic CAN) it is framed by strided numpy views; otherwise a header walk
+finds the record starts.
 """
 
 from __future__ import annotations
@@ -27,6 +33,9 @@ FRAMED_SCHEMA = ("source string, position bigint, module smallint, ts bigint, id
 
 RAW_FRAME_COLUMNS = ("module", "ts", "id", "data")
 
+SPLIT_THRESHOLD = 1 << 30   # a recording above this is framed by several tasks
+SPLIT_BYTES = 128 << 20
+
 
 def _decode_records(content, starts, lengths) -> dict:
     """Vectorised decode of complete records at ``starts`` (numpy columns)."""
@@ -223,10 +232,6 @@ def read_raw_files(spark: SparkSession, path: str, glob: str | None = None) -> D
     return reader.load(path).select("path", "length", "content")
 
 
-SPLIT_THRESHOLD = 1 << 30   # a recording above this is framed by several tasks
-SPLIT_BYTES = 128 << 20
-
-
 def read_binary_trace(spark: SparkSession, path: str, glob: str | None = None,
                       order_by_ts: bool = False, streamed: bool = True,
                       split_threshold: int | None = SPLIT_THRESHOLD,

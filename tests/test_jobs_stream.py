@@ -103,3 +103,17 @@ def test_binary_stream(spark, tmp_dir):
     back = spark.read.parquet(out)
     assert back.count() == n_values
     assert back.filter("botschaft = 'MSG_ALT'").count() == frames.filter("id = 101").count()
+
+
+def test_other_source_sink_combinations(spark, tmp_dir):
+    frames, text_dir, bin_dir, d = _inputs(spark, tmp_dir)
+    n = frames.count()
+    out = f"{tmp_dir}/bin-by-module"
+    res = run(spark, with_overrides("BasicModelTD", source="binary"), bin_dir, d, Target(path=out))
+    back = spark.read.parquet(out)
+    assert res.metrics["delivered"] == n and back.filter("len = 8").count() == n
+    out = f"{tmp_dir}/csv"
+    res = run(spark, with_overrides("HexToCK_2", sink="csv"), bin_dir, d, Target(path=out))
+    back = spark.read.option("header", "true").csv(out)
+    assert set(back.columns) == {"ts", "id", "signal_name", "value", "botschaft"}
+    assert back.count() == res.metrics["delivered"]
