@@ -63,10 +63,13 @@ _SHIPPED: set = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``busframes`` importable in Python workers (once per context).
 
-    Operators that run Python on executors (``mapInArrow`` framing, sinks)
-    call this; it zips the package into the shared folder and registers it
-    with ``addPyFile``, as ``--py-files`` would on a cluster.
+    Operators that run Python on executors (framing, data sources, sinks)
+    call this. The package is zipped in memory, written into the shared
+    checkpoint folder (through pyarrow's file-system layer, so HDFS or
+    object stores work too) and registered with ``addPyFile``, as
+    ``--py-files`` would on a cluster.
     """
+    import io
     import os
     import zipfile
 
@@ -75,13 +78,19 @@ def ship_package(spark: SparkSession) -> None:
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    zip_dir = tempfile.mkdtemp(prefix="busframes-pkg-")
-    zip_path = os.path.join(zip_dir, "busframes.zip")
-    with zipfile.ZipFile(zip_path, "w") as z:
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
         for root, _, files in os.walk(pkg_dir):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zip_path)
+    target = shared_dir(spark, "pyfiles")
+    from pyarrow import fs as pafs
+
+    filesystem, root_path = pafs.FileSystem.from_uri(target)
+    filesystem.create_dir(root_path, recursive=True)
+    with filesystem.open_output_stream(f"{root_path}/busframes.zip") as out:
+        out.write(data.getvalue())
+    sc.addPyFile(f"{target}/busframes.zip")
     _SHIPPED.add(key)
