@@ -136,3 +136,23 @@ def test_checkpoint_base_reads_session(spark):
     assert base and spark.sparkContext.getCheckpointDir()
     p = shared_dir(spark, "x")
     assert p.startswith(base + "/x-")
+
+
+def test_write_jdbc_by_key_splits_tables(spark, monkeypatch):
+    import busframes.sinks.delivery as delivery
+
+    written = {}
+
+    def fake_write_jdbc(df, url, table, options=None, batch_rows=10_000, mode="append"):
+        written[table] = (url, batch_rows, sorted(tuple(r) for r in df.collect()), df.columns)
+
+    monkeypatch.setattr(delivery, "write_jdbc", fake_write_jdbc)
+    df = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (1, 30, "c"), (None, 40, "d")],
+                               "module smallint, ts bigint, data string")
+    keys = delivery.write_jdbc_by_key(df, "module", "jdbc:none://x", lambda m: f"datalogger_1_can{m}",
+                                      batch_rows=500)
+    assert sorted(keys, key=str) == sorted([1, 2, None], key=str)
+    assert written["datalogger_1_can1"][2] == [(10, "a"), (30, "c")]
+    assert written["datalogger_1_can2"][2] == [(20, "b")]
+    assert written["datalogger_1_canNone"][2] == [(40, "d")]      # null-safe match
+    assert all(v[0] == "jdbc:none://x" and v[1] == 500 and v[3] == ["ts", "data"] for v in written.values())
