@@ -21,7 +21,7 @@ glob), ``chunkBytes`` (default 64 MiB; at least 64 KiB, the largest record),
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from busframes.sources.binary_trace import FRAMED_SCHEMA, HEADER_SIZE
 
@@ -47,9 +47,8 @@ class RecordingReader(DataSourceReader):
         self.max_partition = int(opts.get("maxpartitionbytes", 128 << 20))
         self.parallelism = max(int(opts.get("parallelism", 1)), 1)
 
-    def partitions(self):
-        """Files listed on the driver (names and sizes only), packed into
-        partitions of whole files."""
+    def list_files(self, must_exist: bool = True):
+        """Recordings under the path (driver side: names, sizes, mtimes)."""
         import fnmatch
 
         from pyarrow import fs as pafs
@@ -61,12 +60,18 @@ class RecordingReader(DataSourceReader):
             files = [e for e in entries if e.type == pafs.FileType.File]
         elif info.type == pafs.FileType.File:
             files = [info]
-        else:
+        elif must_exist:
             raise FileNotFoundError(self.path)
+        else:
+            files = []
         files = [e for e in files if not e.base_name.startswith(("_", "."))]
         if self.glob:
             files = [e for e in files if fnmatch.fnmatchcase(e.base_name, self.glob)]
-        files.sort(key=lambda e: e.path)
+        return files
+
+    def pack(self, files) -> list:
+        """Whole files packed into partitions of about the target size."""
+        files = sorted(files, key=lambda e: e.path)
         total = sum(e.size for e in files)
         target = min(self.max_partition, max(4 << 20, total // self.parallelism))
         groups, current, size = [], [], 0
@@ -80,6 +85,11 @@ class RecordingReader(DataSourceReader):
             groups.append(current)
         return [InputPartition(g) for g in groups]
 
+    def partitions(self):
+        """Files listed on the driver (names and sizes only), packed into
+        partitions of whole files."""
+        return self.pack(self.list_files())
+
     def read(self, partition: InputPartition):
         from busframes.sources.binary_trace import frame_stream
 
@@ -89,6 +99,40 @@ class RecordingReader(DataSourceReader):
                 yield from frame_stream(f.read, name, self.chunk)
 
 
+def _mark(e) -> tuple:
+    return (int(e.mtime_ns or 0), e.path)
+
+
+class RecordingStreamReader(DataSourceStreamReader):
+    """New recordings in a folder as a stream. The offset is the
+    (modification time, path) of the last file taken; each micro-batch
+    frames the files after the previous offset with the chunked reader."""
+
+    def __init__(self, options: dict):
+        self.files = RecordingReader(options)
+
+    def initialOffset(self) -> dict:
+        return {"mtime_ns": -1, "path": ""}
+
+    def latestOffset(self) -> dict:
+        marks = [_mark(e) for e in self.files.list_files(must_exist=False)]
+        if not marks:
+            return self.initialOffset()
+        mtime, path = max(marks)
+        return {"mtime_ns": mtime, "path": path}
+
+    def partitions(self, start: dict, end: dict):
+        lo = (start["mtime_ns"], start["path"])
+        hi = (end["mtime_ns"], end["path"])
+        return self.files.pack([e for e in self.files.list_files(must_exist=False) if lo < _mark(e) <= hi])
+
+    def read(self, partition: InputPartition):
+        return self.files.read(partition)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class RecordingDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -100,6 +144,9 @@ class RecordingDataSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return RecordingReader(dict(self.options))
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return RecordingStreamReader(dict(self.options))
+
 
 _REGISTERED: set = set()
 

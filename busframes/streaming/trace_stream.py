@@ -16,7 +16,7 @@ from busframes.operators.decode import decode_frames_long, decode_frames_map
 from busframes.operators.shape import long_from_map
 from busframes.session import shared_dir
 from busframes.sources.dictionary import SignalDictionary
-from busframes.sources.binary_trace import frame_records, split_framed
+from busframes.sources.binary_trace import split_framed
 from busframes.sources.text_trace import keep_frame_lines, parse_text_lines, split_parsed
 
 
@@ -37,21 +37,22 @@ def decode_text_stream(spark: SparkSession, input_dir: str, dictionary: SignalDi
     return writer.start()
 
 
-# the fixed schema of Spark's binaryFile source
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-
-
 def decode_binary_stream(spark: SparkSession, input_dir: str, dictionary: SignalDictionary,
                          output_path: str, checkpoint: str | None = None, glob: str | None = None,
                          max_files_per_trigger: int = 100, available_now: bool = True) -> StreamingQuery:
-    """Binary recordings as they land: whole-file framing per micro-batch,
-    long-form decode, message-partitioned parquet."""
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
+    """Binary recordings as they land: each micro-batch frames the new files
+    with the chunked ``busrecording`` reader (bounded memory per task),
+    decodes to the long form and appends message-partitioned parquet.
+    ``max_files_per_trigger`` is kept for signature compatibility with the
+    text stream; the recording stream takes every new file per trigger."""
+    from busframes.sources.recording_source import NAME, register
+
+    register(spark)
+    reader = spark.readStream.format(NAME)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(input_dir).select("path", "content")
-    frames = split_framed(frame_records(files)).frames.drop("cs")
+    framed = reader.load(input_dir)
+    frames = split_framed(framed).frames.drop("cs")
     long = decode_frames_long(frames, dictionary).drop("pos")
     writer = (long.writeStream.format("parquet").outputMode("append")
               .option("path", output_path)

@@ -103,6 +103,17 @@ def test_binary_stream(spark, tmp_dir):
     back = spark.read.parquet(out)
     assert back.count() == n_values
     assert back.filter("botschaft = 'MSG_ALT'").count() == frames.filter("id = 101").count()
+    # a recording landing later is picked up by the next run, and only it
+    import struct
+    import time
+
+    time.sleep(1.1)
+    rec = lambda i: struct.pack(">iibbhii", 1, i, 1, 0, 16, 103, 0x80000) + bytes([1, 2, 3, 4, 5, 6, 7, 8])
+    with open(f"{bin_dir}/part-999999.bin", "wb") as f:
+        f.write(b"".join(rec(i) for i in range(5)))
+    q2 = decode_binary_stream(spark, bin_dir, d, out, checkpoint=f"{tmp_dir}/bckpt", glob="*.bin")
+    q2.awaitTermination(300)
+    assert spark.read.parquet(out).count() == n_values + 5 * 5
 
 
 def test_other_source_sink_combinations(spark, tmp_dir):
