@@ -12,7 +12,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-QUERIES = ["decode_signal_totals", "decode_long_rows", "decode_map_totals", "replay_one_message",
+QUERIES = ["decode_signal_totals", "decode_long_rows", "decode_map_totals", "replay_one_message", "replay_decode_totals",
+           "binary_trace_scan", "insert_statements_batched",
            "extract_bits_columns", "message_names_per_id", "first_frames_preview", "line_protocol_points"]
 
 
@@ -46,7 +47,7 @@ def summarise(plan: str, tree: str) -> dict:
         "shuffles (main plan)": len(re.findall(r"\bExchange (?:hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)", main)),
         "broadcasts": len(re.findall(r"BroadcastExchange", main)),
         "whole-stage codegen stages": len(set(re.findall(r"\*\((\d+)\)", main))),
-        "python": sorted(set(re.findall(r"(MapInArrow|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)", plan))),
+        "python": sorted(set(re.findall(r"(MapInArrow|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|PythonDataSource\w*|BatchEvalPythonUDTF)", plan))),
         "top-k": "TakeOrderedAndProject" in plan,
     }
 
