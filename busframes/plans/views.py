@@ -48,6 +48,19 @@ def register_message_views(spark: SparkSession, path: str, dictionary: SignalDic
     return views
 
 
+def stored_messages(spark: SparkSession, path: str) -> set[str]:
+    """Messages present in a message-partitioned table, from its file
+    listing (``botschaft=<name>`` directories); no data is read."""
+    from urllib.parse import unquote
+
+    names = set()
+    for f in spark.read.parquet(path).inputFiles():
+        for part in f.split("/"):
+            if part.startswith("botschaft="):
+                names.add(unquote(part[len("botschaft="):]))
+    return names
+
+
 def export_message_tables(spark: SparkSession, path: str, dictionary: SignalDictionary,
                           write: "callable", table_for=lambda botschaft: botschaft) -> list[str]:
     """One target table per message (named columns): for each message of the
@@ -55,7 +68,7 @@ def export_message_tables(spark: SparkSession, path: str, dictionary: SignalDict
     ``lambda df, t: write_jdbc(df, url, t, options, batch_rows)``). Each
     write reads only that message's directory; messages with no stored
     rows are skipped by the partition listing."""
-    present = {r.botschaft for r in spark.read.parquet(path).select("botschaft").distinct().collect()}
+    present = stored_messages(spark, path)
     done = []
     for name, signals in message_signal_names(dictionary).items():
         if name not in present:
