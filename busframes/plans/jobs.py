@@ -25,6 +25,14 @@ from busframes.sinks.shaping import insert_statements, line_protocol, wide_store
 from busframes.sources import SignalDictionary, read_binary_trace, read_text_trace
 
 
+# The two dictionary tables the jobs read (the full signal
+# matrix, and a small test table used by the per-module raw job).
+DICTIONARY_TABLES = {
+    "full": "MLBevo_Gen2_MLBevo_ICAN_KMatrix",
+    "test": "can_test",
+}
+
+
 @dataclass(frozen=True)
 class JobSpec:
     name: str
@@ -39,12 +47,13 @@ class JobSpec:
     prefix: str = ""
     suffix: str = ""
     preview_rows: int = 5
+    dictionary: str = "full"       # key of DICTIONARY_TABLES
     options: dict = field(default_factory=dict, compare=False)
 
 
 # The job matrix (source, decode, sink, replay, filter, batch size).
 JOBS = {j.name: j for j in [
-    JobSpec("BasicModelTD", "text", "none", "module_tables"),
+    JobSpec("BasicModelTD", "text", "none", "module_tables", dictionary="test"),
     JobSpec("BasicModelCK", "text", "none", "preview", message_id=402522483, preview_rows=100),
     JobSpec("ModelMySQL", "text", "map", "preview", message_id=1157, preview_rows=100),
     JobSpec("ModelCK", "text", "map", "preview", preview_rows=100),
@@ -84,6 +93,15 @@ class Target:
         return lambda: RecordingClient(root)
 
 
+def load_dictionary(spark: SparkSession, spec: JobSpec, jdbc_options: dict) -> SignalDictionary:
+    """The job's dictionary table over JDBC (url, driver, user, password in
+    ``jdbc_options``), aggregated, persisted and measured once."""
+    from busframes.sources.dictionary import read_dictionary
+
+    table = DICTIONARY_TABLES[spec.dictionary]
+    return SignalDictionary.load(read_dictionary(spark, table, "jdbc", jdbc_options))
+
+
 def scan_with_rejects(spark: SparkSession, spec: JobSpec, trace_path: str):
     """Trace scan + one-message filter, plus the rejected lines/records.
     Raw frames for binary traces, text frames (hex payload) for text traces.

@@ -90,3 +90,15 @@ def test_control_word(spark):
     r = spark.createDataFrame([(cs,)], "cs int").select(control_word_fields("cs").alias("c")).select("c.*").first()
     assert (r.EDL, r.BRS, r.ESI, r.unused_1, r.CODE, r.unused_2, r.SRR, r.IDE, r.RTR, r.DLC, r.TIMESTAMP) == \
         (1, 0, 1, 0, 0xA, 0, 0, 1, 0, 8, 0x1234)
+
+
+def test_today_and_hour_stamp(spark):
+    import datetime
+
+    from busframes.functions import hour_stamp, hour_stamp_to_millis, today_string
+
+    r = spark.range(1).select(today_string().alias("d"), hour_stamp(F.lit(1601253345070147)).alias("h"),
+                              hour_stamp_to_millis(F.lit("2020092800")).alias("ms"),
+                              hour_stamp_to_millis(F.lit("not-a-stamp")).alias("bad")).first()
+    assert r.d == datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d")
+    assert (r.h, r.ms, r.bad) == ("2020092800", 1601251200000, None)

@@ -24,7 +24,11 @@ def _inputs(spark, tmp_dir):
 
 
 def test_matrix_has_18_jobs():
+    from busframes.plans.jobs import DICTIONARY_TABLES
+
     assert len(JOBS) == 18
+    assert {j.dictionary for j in JOBS.values()} == set(DICTIONARY_TABLES)
+    assert JOBS["BasicModelTD"].dictionary == "test" and JOBS["HexToTD_2"].dictionary == "full"
     assert {j.sink for j in JOBS.values()} == {"module_tables", "preview", "message_tables",
                                               "statements", "rows", "points"}
 
