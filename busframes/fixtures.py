@@ -25,8 +25,16 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
                               .select(*LINEITEM_COLUMNS))
 
 
-def raw_frames(li: DataFrame) -> DataFrame:
-    """lineitem -> raw frames (module smallint, ts bigint µs, id int, data array<int>)."""
+FRAMES_PER_FILE_KEYS = 1000  # order keys per recording file
+
+
+def raw_frames(li: DataFrame, with_file_key: bool = False) -> DataFrame:
+    """lineitem -> raw frames (module smallint, ts bigint µs, id int, data array<int>).
+
+    ``with_file_key`` adds ``file_key`` = l_orderkey div 1000: the recording
+    a frame is written to. Files then hold the frames of 1,000 orders (at
+    most ~7,000 frames) at every scale; their number grows with the table.
+    """
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     b = lambda c: c.bitwiseAND(F.lit(255)).cast("int")
     hi = lambda c: F.shiftright(c, 8).bitwiseAND(F.lit(255)).cast("int")
@@ -36,6 +44,7 @@ def raw_frames(li: DataFrame) -> DataFrame:
         (F.lit(100) + F.col("l_linenumber")).cast("int").alias("id"),
         F.array(b(ok), hi(ok), b(pk), hi(pk), b(sk), hi(sk),
                 b(F.col("l_quantity").cast("bigint")), F.col("l_linenumber").cast("int")).alias("data"),
+        *([F.call_function("div", ok, F.lit(FRAMES_PER_FILE_KEYS)).alias("file_key")] if with_file_key else []),
     )
 
 
@@ -99,22 +108,20 @@ def _hex(c, digits: int) -> F.Column:
 
 
 def record_hex(frames: DataFrame) -> DataFrame:
-    """Raw frames -> one binary record each, as hex text, with its file key.
-
-    Files hold the frames of 1,000 consecutive seconds, so their size stays
-    bounded however large the table grows.
-    """
+    """Raw frames (with ``file_key``, see ``raw_frames``) -> one binary
+    record each, as hex text."""
     sec = F.floor(F.col("ts") / 1000000)
     rec = F.concat(
         _hex(sec, 8), _hex((F.col("ts") % 1000000) * 1000, 8), F.lit("01"),
         _hex(F.col("module") - 1, 2), _hex(F.size("data") + 8, 4), _hex("id", 8),
         F.lit("00"), _hex(F.size("data"), 2), F.lit("0000"),
         F.array_join(F.transform("data", lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-    return frames.select((sec / 1000).cast("bigint").alias("file_key"), "ts", "id", rec.alias("rec"))
+    return frames.select("file_key", "ts", "id", rec.alias("rec"))
 
 
 def binary_blobs(frames: DataFrame) -> DataFrame:
-    """(file_key, content binary): records of a file in (ts, id) order."""
+    """(file_key, content binary): records of a file in (ts, id) order.
+    A group is one file (bounded by ``FRAMES_PER_FILE_KEYS`` orders)."""
     recs = record_hex(frames)
     return (recs.groupBy("file_key")
             .agg(F.array_sort(F.collect_list(F.struct("ts", "id", "rec"))).alias("r"))

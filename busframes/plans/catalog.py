@@ -45,6 +45,11 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.raw_frames(fx.lineitem(spark, sf_dir))
 
 
+def _blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary recordings of the frames, one per 1,000 orders."""
+    return fx.binary_blobs(fx.raw_frames(fx.lineitem(spark, sf_dir), with_file_key=True))
+
+
 _DICTIONARIES: dict = {}
 
 
@@ -120,7 +125,7 @@ def _with_hex(frames: DataFrame) -> DataFrame:
 def q_binary_trace_scan(spark, sf_dir):
     """S2 + P5 + P6 + P8-P10: write recordings, scan and frame them back."""
     path = shared_dir(spark, "binary-trace")
-    fx.write_blobs(fx.binary_blobs(_frames(spark, sf_dir)), path)
+    fx.write_blobs(_blobs(spark, sf_dir), path)
     return _with_hex(read_binary_trace(spark, path).frames)
 
 
@@ -131,14 +136,14 @@ def q_binary_split_scan(spark, sf_dir):
     """P5 as verified parallel ranges: each recording framed by several
     tasks from speculative boundaries checked against the previous range."""
     path = shared_dir(spark, "binary-split")
-    fx.write_blobs(fx.binary_blobs(_frames(spark, sf_dir)), path)
+    fx.write_blobs(_blobs(spark, sf_dir), path)
     trace = read_binary_trace(spark, path, split_threshold=0, split_bytes=SPLIT_TEST_BYTES)
     return _with_hex(trace.frames)
 
 
 def q_binary_frame_blobs(spark, sf_dir):
     """P5 on in-memory recordings (no files), totals per id."""
-    blobs = fx.binary_blobs(_frames(spark, sf_dir)).withColumn("path", F.col("file_key").cast("string"))
+    blobs = _blobs(spark, sf_dir).withColumn("path", F.col("file_key").cast("string"))
     frames = split_framed(frame_records(blobs)).frames
     return frames.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("ts").alias("sum_ts"),
                                     F.sum(F.aggregate("data", F.lit(0).cast("bigint"),
@@ -148,7 +153,7 @@ def q_binary_frame_blobs(spark, sf_dir):
 def q_binary_raw_fetch(spark, sf_dir):
     """The untouched recordings, by glob."""
     path = shared_dir(spark, "binary-raw")
-    fx.write_blobs(fx.binary_blobs(_frames(spark, sf_dir)), path)
+    fx.write_blobs(_blobs(spark, sf_dir), path)
     raw = read_raw_files(spark, path, glob="part-*.bin")
     return raw.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length")
 

@@ -101,8 +101,8 @@ UNION ALL SELECT 'too few tokens', CAST(1 AS BIGINT)""",
     "binary_frame_blobs": _with(_F) + """SELECT id, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts,
   CAST(sum((ok & 255) + ((ok >> 8) & 255) + (pk & 255) + ((pk >> 8) & 255) + (sk & 255) + ((sk >> 8) & 255)
            + (qty & 255) + ln) AS BIGINT) AS sum_bytes FROM f GROUP BY id""",
-    "binary_raw_fetch": """SELECT printf('part-%06d.bin', (l_orderkey % 100000) // 1000) AS file_name,
-  CAST(count(*) * 28 AS BIGINT) AS length FROM lineitem GROUP BY (l_orderkey % 100000) // 1000""",
+    "binary_raw_fetch": """SELECT printf('part-%06d.bin', l_orderkey // 1000) AS file_name,
+  CAST(count(*) * 28 AS BIGINT) AS length FROM lineitem GROUP BY l_orderkey // 1000""",
     "control_word_fields": "SELECT l_orderkey AS orderkey, l_linenumber AS linenumber, " + ", ".join(
         f"CAST(({_CS_U} >> {s}) & {m} AS INTEGER) AS {n}" for n, s, m in _CS_FIELDS) + " FROM lineitem",
     "replay_one_message": _with(_F, _sig()) + """SELECT botschaft, signal_name, 11 * count(*) AS n,

@@ -19,7 +19,7 @@ def _inputs(spark, tmp_dir):
     frames = fx.raw_frames(fx.lineitem(spark, SF))
     text_dir, bin_dir = f"{tmp_dir}/text", f"{tmp_dir}/bin"
     fx.text_trace_lines(spark, frames).write.text(text_dir)
-    fx.write_blobs(fx.binary_blobs(frames), bin_dir)
+    fx.write_blobs(fx.binary_blobs(fx.raw_frames(fx.lineitem(spark, SF), with_file_key=True)), bin_dir)
     return frames, text_dir, bin_dir, SignalDictionary.load(fx.dictionary_rows(spark))
 
 
