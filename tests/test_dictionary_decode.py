@@ -80,3 +80,29 @@ def test_filter_on_id_reaches_both_sides(spark):
     frames = spark.createDataFrame([(1, 5, 0x7A, [1, 2, 3])], "module smallint, ts bigint, id int, data array<int>")
     plan = decode_frames_array(frames.filter(F.col("id") == 0x7A), d)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("= 122)") >= 2  # frames side and dictionary side
+
+
+def test_salted_join_spreads_a_hot_id(spark, monkeypatch):
+    from busframes.operators.decode import join_dictionary
+
+    monkeypatch.setattr(dictionary_module, "MAX_BROADCAST_SIGNALS", 1)
+    d = SignalDictionary.load(_dict(spark))
+    rows = [(1, t, 0x7A if t % 5 < 3 else 0x7B, [t % 256, 1]) for t in range(20000)]   # 60% one id
+    frames = spark.createDataFrame(rows, "module smallint, ts bigint, id int, data array<int>")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.enabled": "false",        # only the salting acts
+            "spark.sql.autoBroadcastJoinThreshold": "-1",          # a dictionary too big to broadcast
+            "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        joined = join_dictionary(frames, d)
+        sizes = [r.n for r in joined.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    total = sum(sizes)
+    assert total == 12000 * 2 + 8000          # 0x7A fans out to two messages
+    assert max(sizes) < 0.15 * total           # no task holds the hot id alone
