@@ -65,9 +65,11 @@ def _decode_records(content, starts, lengths) -> dict:
         values = buf[idx].astype(np.int32).ravel()
         offsets = np.arange(0, (m + 1) * w, w, dtype=np.int32) if w else np.zeros(m + 1, np.int32)
     else:
-        pieces = [buf[s + HEADER_SIZE + PAYLOAD_MIN: s + HEADER_SIZE + L] for s, L in zip(starts, lengths)]
-        values = np.concatenate(pieces).astype(np.int32)
-        offsets = np.concatenate([[0], np.cumsum(data_len)]).astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(data_len)]).astype(np.int64)
+        first = starts + HEADER_SIZE + PAYLOAD_MIN          # first data byte of each record
+        idx = np.repeat(first - offsets[:-1], data_len) + np.arange(offsets[-1], dtype=np.int64)
+        values = buf[idx].astype(np.int32)
+        offsets = offsets.astype(np.int32)
     return {"position": starts, "ts": high * 1_000_000 + low_us, "module": (port + 1).astype(np.int16),
             "id": s32(be32(HEADER_SIZE)).astype(np.int32), "cs": s32(be32(HEADER_SIZE + 4)).astype(np.int32),
             "data": (offsets, values)}
@@ -102,20 +104,42 @@ def _record_starts(content, final: bool = True):
         tail = n - m * rec
         if np.all(lens == first_len) and (tail < HEADER_SIZE or not final):
             return starts, np.full(m, first_len, dtype=np.int64), None, (n if final else m * rec)
-    # general case: walk the headers
+    # general case: walk the headers; runs of equal-length records are
+    # checked K headers at a time with numpy and jumped over
+    buf = np.frombuffer(content, dtype=np.uint8)
     starts, lens = [], []
     pos = 0
+    k = 16
+    cooldown, backoff = 0, 16
     while n - pos >= HEADER_SIZE:
         length = struct.unpack_from(">h", content, pos + 10)[0]
         if length < PAYLOAD_MIN:
             return starts, lens, (pos, f"payload length {length} < {PAYLOAD_MIN}"), n
-        if pos + HEADER_SIZE + length > n:
+        stride = HEADER_SIZE + length
+        if pos + stride > n:
             if final:
                 return starts, lens, (pos, "truncated record"), n
             return starts, lens, None, pos
+        span = min(k, (n - pos) // stride)     # records of this length that fit
+        if cooldown:
+            cooldown -= 1
+        elif span >= 8:
+            idx = pos + np.arange(span, dtype=np.int64) * stride
+            run_lens = (buf[idx + 10].astype(np.int32) << 8) | buf[idx + 11]
+            same = run_lens == length
+            run = span if same.all() else int(np.argmin(same))
+            if run >= 8:
+                starts.extend(idx[:run].tolist())
+                lens.extend([length] * run)
+                pos += run * stride
+                k = min(k * 4, 1 << 16) if run == span else max(16, run * 2)
+                backoff = 16
+                continue
+            # short runs: step record by record, probing less often each time
+            k, cooldown, backoff = 16, backoff, min(backoff * 2, 4096)
         starts.append(pos)
         lens.append(length)
-        pos += HEADER_SIZE + length
+        pos += stride
     return starts, lens, None, (n if final else pos)
 
 
