@@ -141,6 +141,20 @@ def q_binary_split_scan(spark, sf_dir):
     return _with_hex(trace.frames)
 
 
+def q_binary_trace_rejects(spark, sf_dir):
+    """P5 rejects: every third recording ends in a cut record; each such
+    file yields its frames plus one reject at the cut."""
+    blobs = _blobs(spark, sf_dir)
+    damaged = blobs.withColumn("content", F.when(
+        F.col("file_key") % 3 == 0, F.concat("content", F.substring("content", 1, 15))
+    ).otherwise(F.col("content")))
+    path = shared_dir(spark, "binary-damaged")
+    fx.write_blobs(damaged, path)
+    trace = read_binary_trace(spark, path)
+    return trace.rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"),
+                                               F.sum("position").alias("sum_position"))
+
+
 def q_binary_frame_blobs(spark, sf_dir):
     """P5 on in-memory recordings (no files), totals per id."""
     blobs = _blobs(spark, sf_dir).withColumn("path", F.col("file_key").cast("string"))
@@ -404,6 +418,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_trace_rejects": q_text_trace_rejects,
     "binary_trace_scan": q_binary_trace_scan,
     "binary_split_scan": q_binary_split_scan,
+    "binary_trace_rejects": q_binary_trace_rejects,
     "binary_frame_blobs": q_binary_frame_blobs,
     "binary_raw_fetch": q_binary_raw_fetch,
     "control_word_fields": q_control_word_fields,

@@ -98,6 +98,10 @@ ORACLE_SQL: dict[str, str] = {
 UNION ALL SELECT 'too few tokens', CAST(1 AS BIGINT)""",
     "binary_trace_scan": _with(_F) + "SELECT module, ts, id, hex AS data_hex, 8 AS dlc FROM f",
     "binary_split_scan": _with(_F) + "SELECT module, ts, id, hex AS data_hex, 8 AS dlc FROM f",
+    "binary_trace_rejects": """WITH k AS (SELECT l_orderkey // 1000 AS file_key, count(*) * 28 AS size
+  FROM lineitem GROUP BY l_orderkey // 1000)
+SELECT 'truncated record' AS reason, count(*) AS n, CAST(sum(size) AS BIGINT) AS sum_position
+FROM k WHERE file_key % 3 = 0 HAVING count(*) > 0""",
     "binary_frame_blobs": _with(_F) + """SELECT id, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts,
   CAST(sum((ok & 255) + ((ok >> 8) & 255) + (pk & 255) + ((pk >> 8) & 255) + (sk & 255) + ((sk >> 8) & 255)
            + (qty & 255) + ln) AS BIGINT) AS sum_bytes FROM f GROUP BY id""",
