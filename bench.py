@@ -30,6 +30,22 @@ HEADLINE = [
 ]
 
 
+def _time_job(spark, sf_dir: str) -> float:
+    """End to end job: recordings -> chunked scan -> broadcast decode ->
+    message-partitioned parquet. Writing the input recordings is untimed."""
+    from busframes import fixtures as fx
+    from busframes.plans.catalog import _blobs, _dictionary
+    from busframes.plans.jobs import JOBS, Target, run
+    from busframes.session import shared_dir
+
+    src, out = shared_dir(spark, "bench-recordings"), shared_dir(spark, "bench-messages")
+    fx.write_blobs(_blobs(spark, sf_dir), src)
+    dictionary = _dictionary(spark)
+    t0 = time.time()
+    run(spark, JOBS["HexToCK_2"], src, dictionary, Target(path=out))
+    return round(time.time() - t0, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -51,6 +67,8 @@ def main() -> None:
         t0 = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+    if len(sys.argv) == 1:
+        times["job_HexToCK_2"] = _time_job(spark, sf_dir)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
