@@ -400,6 +400,19 @@ def q_dictionary_from_file(spark, sf_dir):
                                         F.sum(F.size("vals")).alias("n_values"))
 
 
+def q_job_replayed_statements(spark, sf_dir):
+    """E2, the binary replay job end to end (HexToTD_3 with the fixture's
+    message 103): recordings -> chunked scan -> one-message filter ->
+    decode -> 11-day replay -> skew-safe statements for Datalogger2,
+    delivered through the recording client; returns the delivered rows."""
+    from busframes.plans.jobs import Target, run, with_overrides
+
+    src, out = shared_dir(spark, "job-recordings"), shared_dir(spark, "job-statements")
+    fx.write_blobs(_blobs(spark, sf_dir), src)
+    spec = with_overrides("HexToTD_3", message_id=REPLAY_MESSAGE_ID)
+    return run(spark, spec, src, _dictionary(spark), Target(path=out)).shaped
+
+
 def _utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Queries format and parse times in UTC whatever session runs them."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,6 +437,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "control_word_fields": q_control_word_fields,
     "replay_one_message": q_replay_one_message,
     "replay_decode_totals": q_replay_decode_totals,
+    "job_replayed_statements": q_job_replayed_statements,
     "frame_time_strings": q_frame_time_strings,
     "module_raw_rows": q_module_raw_rows,
     "distinct_modules": q_distinct_modules,

@@ -85,6 +85,15 @@ _CS_FIELDS = [("EDL", 31, 1), ("BRS", 30, 1), ("ESI", 29, 1), ("unused_1", 28, 1
 
 _US = "(ts + 1601253345000000)"
 
+_JOB_REPLAY = "WITH " + _F + ",\n" + f"""r0 AS (SELECT *, unnest(range(199, 210)) AS d FROM f WHERE id = 103),
+r AS (SELECT 'MSG_' || id AS botschaft, ts + d * 86400000000 AS ts, id,
+             '(' || CAST(ts + d * 86400000000 AS VARCHAR) || ',' || {_VALS_TEXT} || ')' AS row_text FROM r0),
+k AS (SELECT *, row_number() OVER (PARTITION BY botschaft ORDER BY ts, id, row_text) - 1 AS rk FROM r)
+SELECT botschaft, CAST(rk // 5000 AS BIGINT) AS batch, count(*) AS n_rows,
+  'INSERT INTO Datalogger2_' || botschaft || ' USING ' || botschaft || ' TAGS (2,"Datalogger2") VALUES '
+    || string_agg(row_text, ' ' ORDER BY rk) AS statement
+FROM k GROUP BY botschaft, rk // 5000"""
+
 ORACLE_SQL: dict[str, str] = {
     "decode_signal_totals": _with(_F, _sig()) + _TOTALS,
     "decode_long_rows": _with(_F, _sig()) + "SELECT ts, id, botschaft, pos, signal_name, value FROM sig",
@@ -115,6 +124,7 @@ FROM k WHERE file_key % 3 = 0 HAVING count(*) > 0""",
     "replay_decode_totals": _with(_F, _sig()) + """SELECT botschaft, signal_name, 11 * count(*) AS n,
   CAST(11 * sum(value) AS BIGINT) AS total, min(ts) + 199 * 86400000000 AS min_ts,
   max(ts) + 209 * 86400000000 AS max_ts FROM sig GROUP BY botschaft, signal_name""",
+    "job_replayed_statements": _JOB_REPLAY,
     "frame_time_strings": _with(_F) + f"""SELECT id, {_US} AS ts,
   strftime(make_timestamp({_US}), '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
   strftime(make_timestamp(({_US} // 1000) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS ts_ms_text,
