@@ -413,6 +413,19 @@ def q_job_replayed_statements(spark, sf_dir):
     return run(spark, spec, src, _dictionary(spark), Target(path=out)).shaped
 
 
+def q_job_text_message_tables(spark, sf_dir):
+    """E2, the text job end to end (ModelCKPartition): text logs -> scan ->
+    map decode -> values in dictionary order -> message-partitioned table,
+    read back."""
+    from busframes.plans.jobs import JOBS, Target, run
+
+    src, out = shared_dir(spark, "job-text"), shared_dir(spark, "job-messages")
+    fx.text_trace_lines(spark, _frames(spark, sf_dir)).write.text(src)
+    run(spark, JOBS["ModelCKPartition"], src, _dictionary(spark), Target(path=out))
+    back = spark.read.parquet(out)
+    return back.select("botschaft", "ts", "id", F.array_join("vals", ",").alias("values_text"))
+
+
 def _utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Queries format and parse times in UTC whatever session runs them."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -438,6 +451,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_one_message": q_replay_one_message,
     "replay_decode_totals": q_replay_decode_totals,
     "job_replayed_statements": q_job_replayed_statements,
+    "job_text_message_tables": q_job_text_message_tables,
     "frame_time_strings": q_frame_time_strings,
     "module_raw_rows": q_module_raw_rows,
     "distinct_modules": q_distinct_modules,

@@ -125,6 +125,9 @@ FROM k WHERE file_key % 3 = 0 HAVING count(*) > 0""",
   CAST(11 * sum(value) AS BIGINT) AS total, min(ts) + 199 * 86400000000 AS min_ts,
   max(ts) + 209 * 86400000000 AS max_ts FROM sig GROUP BY botschaft, signal_name""",
     "job_replayed_statements": _JOB_REPLAY,
+    "job_text_message_tables": _with(_F) + f"""SELECT 'MSG_' || id AS botschaft, ts_ns AS ts, id,
+  {_VALS_TEXT} AS values_text FROM f WHERE {_MSG}
+UNION ALL SELECT 'MSG_ALT', ts_ns, id, CAST(ok & 65535 AS VARCHAR) FROM f WHERE id = 101""",
     "frame_time_strings": _with(_F) + f"""SELECT id, {_US} AS ts,
   strftime(make_timestamp({_US}), '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
   strftime(make_timestamp(({_US} // 1000) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS ts_ms_text,
