@@ -133,9 +133,13 @@ def decode_map(hex_text, info, word=None, size=None) -> Column:
 
 
 def hex_id_to_int(token) -> Column:
-    """Hex frame id, optional trailing ``x`` (29-bit ids) -> int; null if not hex."""
-    t = F.regexp_replace(_c(token), "x$", "")
-    return F.when(t.rlike("^[0-9A-Fa-f]{1,8}$"), F.conv(t, 16, 10).cast("bigint").cast("int"))
+    """Hex frame id, optional trailing ``x`` (29-bit ids) -> int; null if not
+    1-8 hex digits or beyond the int range (such a line becomes a reject).
+    Plain string functions, no regex."""
+    t = _c(token)
+    t = F.when(t.endswith("x"), F.call_function("substring", t, F.lit(1), F.length(t) - 1)).otherwise(t)
+    ok = F.length(t).between(1, 8) & (F.translate(t, "0123456789ABCDEFabcdef", "") == "")
+    return F.when(ok, F.conv(t, 16, 10).cast("bigint").try_cast("int"))
 
 
 def seconds_to_ns(token) -> Column:

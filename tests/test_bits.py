@@ -74,11 +74,13 @@ def test_scalar_conversions(spark):
     r = spark.range(1).select(
         hex_id_to_int(F.lit("18DAF110x")).alias("id29"), hex_id_to_int(F.lit("7A")).alias("id11"),
         hex_id_to_int(F.lit("Rx1")).alias("bad"),
+        hex_id_to_int(F.lit("FFFFFFFF")).alias("wide"), hex_id_to_int(F.lit("1x2x")).alias("xx"),
         seconds_to_ns(F.lit("0.003040")).alias("s1"), seconds_to_ns(F.lit("0.000065")).alias("s2"),
         merge_timestamp(F.lit(1601253345), F.lit(70147999)).alias("ts"),
         port_to_module(F.lit(-1)).alias("m0"), port_to_module(F.lit(0)).alias("m1"),
         signed_byte_to_unsigned(F.lit(-4)).alias("u")).first()
     assert r.id29 == 417001744 and r.id11 == 122 and r.bad is None
+    assert r.wide is None and r.xx is None      # beyond int / not one trailing x: rejected, not a crash
     assert (r.s1, r.s2) == (3040000, 64999)
     assert r.ts == 1601253345070147
     assert (r.m0, r.m1, r.u) == (0, 1, 252)
