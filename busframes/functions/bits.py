@@ -112,7 +112,7 @@ def decode_array(data, info, word=None, size=None) -> Column:
 def hex_bytes(hex_text) -> Column:
     """``'10 50 01'`` -> ``[16, 80, 1]`` (blank separated hex bytes)."""
     parts = F.split(F.trim(_c(hex_text)), " +")
-    return F.transform(parts, lambda x: F.conv(x, 16, 10).cast("int"))
+    return F.transform(parts, lambda x: F.conv(x, 16, 10).try_cast("int"))
 
 
 def bytes_to_hex(data) -> Column:
