@@ -66,7 +66,7 @@ def _distinct(term: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarra
 class FactorizationMachine:
     def __init__(self, terms_: np.ndarray, factors: int = 8, seed: int = 5):
         self.terms = np.sort(terms_)
-        self.bias, n = 0.0, len(terms_)
+        self.bias, n = np.zeros(1), len(terms_)
         self.weight = np.zeros(n)
         self.factor = np.random.default_rng(seed).normal(size=(n, factors)) * 0.05
         self.seen = np.zeros(1 << 16, bool)
@@ -80,9 +80,9 @@ class FactorizationMachine:
     def fit(self, rows: list[np.ndarray], y: np.ndarray, epochs: int = 12, batch: int = 256, rate: float = 0.02, l2: float = 1e-4, seed: int = 3) -> FactorizationMachine:
         """rows: positions of each text's terms."""
         share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
-        self.bias = float(np.log(share / (1 - share)))
+        self.bias[:] = np.log(share / (1 - share))
         r, step = np.random.default_rng(seed), 0
-        params = [self.weight, self.factor]
+        params = [self.weight, self.factor, self.bias]
         m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         for epoch in range(epochs):
             order = r.permutation(len(y))
@@ -93,13 +93,12 @@ class FactorizationMachine:
                     x[i, rows[k]] = 1
                 e = (1 / (1 + np.exp(-np.clip(self.margin(x), -30, 30))) - y[at]) / len(at)
                 gw = x.T @ e
-                grads = [gw + l2 * self.weight, x.T @ (e[:, None] * (x @ self.factor)) - self.factor * gw[:, None] + l2 * self.factor]
+                grads = [gw + l2 * self.weight, x.T @ (e[:, None] * (x @ self.factor)) - self.factor * gw[:, None] + l2 * self.factor, e.sum(keepdims=True)]
                 lr = rate * (1 - 0.9 * epoch / epochs)
                 for p, g, mi, vi in zip(params, grads, m, v):
                     mi += 0.1 * (g - mi)
                     vi += 0.01 * (g * g - vi)
                     p -= lr * (mi / (1 - 0.9 ** step)) / (np.sqrt(vi / (1 - 0.99 ** step)) + 1e-8)
-                self.bias -= 0.1 * lr * float(e.sum())
         return self
 
     def present(self, column) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +137,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, min_docs: in
     if not 0 < toxic < size:
         empty = FactorizationMachine(np.zeros(0, np.int64))
         share = np.clip(toxic / size if size else 0.0, 1e-6, 1 - 1e-6)
-        empty.bias = float(np.log(share / (1 - share)))
+        empty.bias[:] = np.log(share / (1 - share))
         return empty
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
