@@ -54,7 +54,7 @@ def _bounds(percent: int) -> np.ndarray:
     """Least sizes of the size classes above SMALL."""
     out = [SMALL + 1]
     while out[-1] < 1 << 40:
-        out.append(max(out[-1] + 1, -(-out[-1] * 100 // percent)))
+        out.append(max(out[-1] + 1, -(-out[-1] * 100 // percent), out[-1] * 51 // 50))
     return np.array(out)
 
 
