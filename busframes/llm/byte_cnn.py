@@ -141,7 +141,7 @@ def sample_windows(docs: DataFrame, label: str, per_label: int, per_doc: int, ma
         share = F.when(F.col(label) == name, min(1_000_000, 2_000_000 * per_label // n)).otherwise(share)
     h = F.xxhash64("doc_id")
     few = docs.filter(F.pmod(h, F.lit(1_000_000)) < share)
-    few = few.withColumn("_n", F.row_number().over(Window.partitionBy(label).orderBy(h, "doc_id", "text"))).filter(F.col("_n") <= per_label)
+    few = few.withColumn("__n", F.row_number().over(Window.partitionBy(label).orderBy(h, "doc_id", "text"))).filter(F.col("__n") <= per_label)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -186,15 +186,15 @@ def identify(docs: DataFrame, model: ByteCNN) -> DataFrame:
                 mean = np.add.reduceat(logits * weight[:, None], first, 0) / np.add.reduceat(weight, first)[:, None]
                 p = np.exp(mean - mean.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
-                letter = b.column("_letter").to_numpy(zero_copy_only=False)
+                letter = b.column("__letter").to_numpy(zero_copy_only=False)
                 known = letter & (names[p.argmax(1)] != UNKNOWN)
-                cols = [b.column(n) for n in b.schema.names if n != "_letter"]
-                names_out = [n for n in b.schema.names if n != "_letter"]
+                cols = [b.column(n) for n in b.schema.names if n != "__letter"]
+                names_out = [n for n in b.schema.names if n != "__letter"]
                 yield pa.RecordBatch.from_arrays(
                     [*cols, pa.array(np.where(known, names[p.argmax(1)], UNKNOWN), pa.string()), pa.array(np.where(known, p.max(1), 0.0), pa.float64())],
                     [*names_out, "lang_pred", "score"])
 
-    rows = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    rows = docs.withColumn("__letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
 
@@ -203,11 +203,11 @@ def keep_identified(spark, docs: DataFrame, sf_dir: str, least: float = 0.4) ->
     """Pipeline stage: documents without a letter, or whose best language
     scores below ``least``, go."""
     model = learn(docs.select("doc_id", "text", "lang").filter(remainder("doc_id", 5) != 0))
-    names = {"lang_pred": "_lang_pred", "score": "_score"}
+    names = {"lang_pred": "__lang_pred", "score": "__score"}
     clash = [c for c in docs.columns if c in names]
-    named = docs.withColumnsRenamed({c: f"_own_{c}" for c in clash})
-    kept = identify(named, model).withColumnsRenamed(names).filter((F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= least))
-    return kept.drop("_lang_pred", "_score").withColumnsRenamed({f"_own_{c}": c for c in clash})
+    named = docs.withColumnsRenamed({c: f"__own_{c}" for c in clash})
+    kept = identify(named, model).withColumnsRenamed(names).filter((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= least))
+    return kept.drop("__lang_pred", "__score").withColumnsRenamed({f"__own_{c}": c for c in clash})
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -362,8 +362,8 @@ def _merged(spans) -> list[tuple[int, int]]:
 
 def _joined(docs: DataFrame, length: int) -> DataFrame:
     """docs with the spans to remove."""
-    spans = repeat_spans(docs, length).groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("_spans"))
-    return docs.withColumn("_rid", F.xxhash64("doc_id", "text")).join(spans, F.col("_rid") == F.col("rid"), "left").drop("rid", "_rid")
+    spans = repeat_spans(docs, length).groupBy(F.col("rid").alias("__rid")).agg(F.collect_list(F.struct("s", "e")).alias("__spans"))
+    return docs.withColumn("__rid", F.xxhash64("doc_id", "text")).join(spans, "__rid", "left").drop("__rid")
 
 
 def removed(docs: DataFrame, length: int = 200) -> DataFrame:
@@ -372,7 +372,7 @@ def removed(docs: DataFrame, length: int = 200) -> DataFrame:
         for whole in batches:
             for b in B.slices(whole):
                 out: list[list] = [[] for _ in range(4)]
-                for text, spans in zip(b.column("text"), b.column("_spans").to_pylist()):
+                for text, spans in zip(b.column("text"), b.column("__spans").to_pylist()):
                     data = memoryview(text.as_buffer() or b"") if text.is_valid else memoryview(b"")
                     spans = _merged([(x["s"], x["e"]) for x in spans or []])
                     kept, at = hashlib.sha256(), 0
@@ -407,7 +407,7 @@ def drop_repeats(spark, docs: DataFrame, sf_dir: str, length: int = 200) -> Data
     def run(batches):
         for b in batches:
             texts = []
-            for text, spans in zip(b.column("text"), b.column("_spans").to_pylist()):
+            for text, spans in zip(b.column("text"), b.column("__spans").to_pylist()):
                 if not text.is_valid or not spans:
                     texts.append(text.as_py())
                     continue
@@ -416,7 +416,7 @@ def drop_repeats(spark, docs: DataFrame, sf_dir: str, length: int = 200) -> Data
                     kept.append(data[at:s])
                     at = e
                 texts.append(b"".join(kept).decode())
-            names = [f.name for f in b.schema if f.name != "_spans"]
+            names = [f.name for f in b.schema if f.name != "__spans"]
             yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field("text").type) if n == "text" else b.column(n) for n in names], names)
 
     out = _joined(docs, length).mapInArrow(run, docs.schema)
