@@ -67,6 +67,51 @@ def dictionary_rows(spark: SparkSession) -> DataFrame:
         rows, "identifier int, botschaft string, signal_name string, startBit int, len int")
 
 
+def two_layout_rows(spark: SparkSession) -> DataFrame:
+    """``dictionary_rows`` and MSG_ALT once more, under id 106, with other
+    signals than under id 101."""
+    more = [(106, "MSG_ALT", "qty", 48, 8), (106, "MSG_ALT", "partkey", 16, 16)]
+    return dictionary_rows(spark).unionByName(spark.createDataFrame(
+        more, "identifier int, botschaft string, signal_name string, startBit int, len int"))
+
+
+def fd_dictionary_rows(spark: SparkSession) -> DataFrame:
+    """Signals behind and across the eighth byte, for every fixture id."""
+    rows = [(i, "FD", n, s, l) for i in range(101, 108) for n, s, l in (("late", 80, 16), ("cross", 56, 16))]
+    return spark.createDataFrame(rows, "identifier int, botschaft string, signal_name string, startBit int, len int")
+
+
+def _line(li_ts, module, hex_id, count, payload) -> F.Column:
+    return F.concat(F.lit("   "), li_ts, F.lit(" "), module, F.lit("  "), hex_id, F.lit("       Rx   d "), count, F.lit(" "), payload)
+
+
+def fd_lines(li: DataFrame) -> DataFrame:
+    """One log line per row of lineitem with a payload of 12 to 64 bytes: its
+    8 fixture bytes over and over; lower case for odd order keys."""
+    fr = raw_frames(li, with_file_key=False).withColumn("n", F.element_at(F.array(*map(F.lit, FD_SIZES)), F.col("id") - 100))
+    text = F.concat_ws(" ", F.repeat(F.concat(_hex8("data"), F.lit(" ")), 8))
+    text = F.substring(text, F.lit(1), 3 * F.col("n") - 1)
+    text = F.when(F.get("data", 0) % 2 == 1, F.lower(text)).otherwise(text)
+    return fr.select(_line(_seconds6("ts"), F.lit("1"), F.lower(F.hex("id")), F.col("n").cast("string"), text).alias("value"))
+
+
+#: payload bytes of FD lines by line number
+FD_SIZES = (12, 16, 20, 24, 32, 48, 64)
+
+
+def damaged_lines(li: DataFrame) -> DataFrame:
+    """One log line per row of lineitem, damaged by its line number: 1 a byte
+    missing, 2 a byte too many, 3 no hex byte, 4 a bad id, 5 a mixed-case
+    frame with text behind its payload, 6 bad seconds, 7 no ``d``."""
+    fr = raw_frames(li)
+    at = lambda n: F.col("id") == 100 + n
+    full = _hex8("data")
+    payload = (F.when(at(1), F.substring(full, 1, 20)).when(at(2), F.concat(full, F.lit(" 0a"))).when(at(3), F.concat(F.substring(full, 1, 21), F.lit("g1")))
+               .when(at(5), F.concat(F.lower(F.substring(full, 1, 9)), F.substring(full, 10, 14), F.lit("  Length = 240000 BitCount = 124"))).otherwise(full))
+    line = _line(F.when(at(6), "1.2.3").otherwise(_seconds6("ts")), F.lit("1"), F.when(at(4), "XYZ").otherwise(F.hex("id")), F.lit("8"), payload)
+    return fr.select(F.when(at(7), F.regexp_replace(line, " d 8 ", " 8 ")).otherwise(line).alias("value"))
+
+
 def text_lines(frames: DataFrame) -> DataFrame:
     """Raw frames -> text log lines (value string). Module 2 ids carry the
     29-bit ``x`` suffix. Relative seconds keep the leading blanks."""

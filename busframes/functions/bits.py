@@ -120,16 +120,16 @@ def bytes_to_hex(data) -> Column:
     return F.array_join(F.transform(_c(data), lambda b: F.lpad(F.upper(F.hex(b)), 2, "0")), " ")
 
 
-def decode_map(hex_text, info, word=None, size=None) -> Column:
-    """Map form: signal name -> value, from a hex payload text.
+def decode_map(data, info, word=None, size=None) -> Column:
+    """Map form: signal name -> value, from ``data`` (array of bytes).
 
     With ``word``/``size`` (``hex_payload_word`` / ``hex_payload_size``)
-    classic frames never build a byte array. Signal names in ``info`` must
+    classic frames need no byte array (``data`` may be null). Signal names in ``info`` must
     be unique; the dictionary side applies the last-wins rule once per
     message (see ``SignalDictionary.with_unique_names``).
     """
     return F.map_from_arrays(_c(info)["signal_name"],
-                             decode_array(hex_bytes(hex_text), info, word, size))
+                             decode_array(data, info, word, size))
 
 
 def hex_id_to_int(token) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.functions.bits import (
-    decode_array, decode_map, extract_bits, hex_payload_size, hex_payload_word, payload_word,
+    decode_array, decode_map, extract_bits, hex_bytes, hex_payload_size, hex_payload_word, payload_word,
 )
 from busframes.sources.dictionary import SignalDictionary
 
@@ -56,14 +56,19 @@ def decode_frames_array(frames: DataFrame, dictionary: SignalDictionary,
 
 
 def decode_frames_map(frames: DataFrame, dictionary: SignalDictionary,
-                      keep: tuple = ()) -> DataFrame:
+                      keep: tuple = (), with_names: bool = False) -> DataFrame:
     """Text frames (data hex string) -> (ts, id, botschaft, map<string,bigint>).
-    A signal name listed twice in a message keeps the later layout."""
+    A signal name listed twice in a message keeps the later layout.
+    ``with_names`` carries the layout's names (``names``, in dictionary
+    order), which belong to the frame's id and message together. Payloads
+    over 8 bytes become a byte array once per frame, below the join."""
     with_word = (frames.withColumn("_word", hex_payload_word("data"))
-                 .withColumn("_n", hex_payload_size("data")))
+                 .withColumn("_n", hex_payload_size("data"))
+                 .withColumn("_bytes", F.when(F.col("_n") > 8, hex_bytes("data"))))
     joined = join_dictionary(with_word, dictionary, dictionary.with_unique_names())
-    return joined.select(*keep, "ts", "id", "botschaft",
-                         decode_map("data", "info", "_word", "_n").alias("map"))
+    names = [F.col("info")["signal_name"].alias("names")] if with_names else []
+    return joined.select(*keep, "ts", "id", "botschaft", *names,
+                         decode_map("_bytes", "info", "_word", "_n").alias("map"))
 
 
 def decode_frames_long(frames: DataFrame, dictionary: SignalDictionary,

@@ -21,27 +21,6 @@ def replay(frames: DataFrame, first_day: int = 199, last_day: int = 209,
             .drop("_day"))
 
 
-def with_device(df: DataFrame, device: str = "Datalogger1", col: str = "device") -> DataFrame:
-    """Constant device tag."""
-    return df.withColumn(col, F.lit(device))
-
-
-def table_name(botschaft="botschaft", prefix: str = "", suffix: str = "") -> F.Column:
-    """Target table per message: ``prefix + name + suffix``."""
-    b = F.col(botschaft) if isinstance(botschaft, str) else botschaft
-    return F.concat(F.lit(prefix), b, F.lit(suffix))
-
-
-def module_table(module="module", prefix: str = "datalogger_1_can") -> F.Column:
-    m = F.col(module) if isinstance(module, str) else module
-    return F.concat(F.lit(prefix), m.cast("string"))
-
-
-def raw_rows(frames: DataFrame, ts_string: str = "timestamp") -> DataFrame:
-    """Undecoded rows for the per-module tables: (ts, id, len, data)."""
-    return frames.select(F.col(ts_string).alias("ts"), "id", "len", "data")
-
-
 def long_from_array(decoded: DataFrame, keep: tuple = ("ts", "id", "botschaft")) -> DataFrame:
     """Positional values + carried names -> one row per signal (pos, signal_name, value)."""
     return decoded.select(*keep, F.posexplode(F.arrays_zip(
@@ -53,11 +32,6 @@ def long_from_map(decoded: DataFrame, keep: tuple = ("ts", "id", "botschaft")) -
     return decoded.select(*keep, F.explode("map").alias("signal_name", "value"))
 
 
-def named_map(decoded: DataFrame) -> F.Column:
-    """Positional values + names -> map name -> value."""
-    return F.map_from_arrays(F.col("names"), F.col("vals"))
-
-
 def values_in_order(map_col="map", names="names") -> F.Column:
     """Map values re-ordered to the dictionary's signal order."""
     m = F.col(map_col) if isinstance(map_col, str) else map_col

@@ -19,16 +19,17 @@ from busframes.functions import (
     micros_to_millis_timestamp, micros_to_string, payload_word,
 )
 from busframes.functions.bits import idiv
-from busframes.functions.timefmt import MILLIS_FORMAT
+from busframes.functions.timefmt import MILLIS_FORMAT, today_string
 from busframes.operators.decode import (
     decode_frames_array, decode_frames_long, decode_frames_map,
 )
-from busframes.operators.partition import count_rows, preview, write_partitioned
+from busframes.operators.partition import cluster_by_id, count_rows, preview, range_by_id_ts, write_partitioned
 from busframes.operators.shape import (
     long_from_array, long_from_map, map_to_cells, replay, strings_map,
     values_in_order, wide_from_map, wide_to_cells,
 )
 from busframes.session import shared_dir
+from busframes.sinks.delivery import RecordingClient, deliver
 from busframes.sinks.shaping import (
     hour_stamped_points, insert_statements, line_protocol, wide_store_rows, write_sorted_cells,
 )
@@ -61,6 +62,15 @@ def _dictionary(spark: SparkSession) -> SignalDictionary:
     return _DICTIONARIES[key]
 
 
+def _two_layouts(spark: SparkSession) -> SignalDictionary:
+    """The fixture dictionary with one message name under two identifiers
+    that lay it out differently."""
+    key = (spark.sparkContext.applicationId, id(spark), "two")
+    if key not in _DICTIONARIES:
+        _DICTIONARIES[key] = SignalDictionary.load(fx.two_layout_rows(spark))
+    return _DICTIONARIES[key]
+
+
 def _text_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text-form frames (hex data string) parsed from in-memory log lines."""
     lines = fx.text_trace_lines(spark, _frames(spark, sf_dir))
@@ -271,7 +281,7 @@ def q_message_names_per_id(spark, sf_dir):
     d = _dictionary(spark)
     names = d.message_by_identifier()
     fr = _frames(spark, sf_dir)
-    joined = fr.join(F.broadcast(names), fr["id"] == names["identifier"])
+    joined = fr.join(names, fr["id"] == names["identifier"])
     return joined.groupBy("id", "botschaft").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -293,13 +303,9 @@ def q_wide_message_rows(spark, sf_dir):
 
 
 def q_ordered_map_values(spark, sf_dir):
-    """P20: map values re-ordered to the dictionary's signal order."""
-    d = _dictionary(spark)
-    dec = decode_frames_map(_text_frames(spark, sf_dir), d)
-    lists = d.signals_by_message()
-    joined = dec.join(F.broadcast(lists), "botschaft")
-    return joined.select("ts", "id", "botschaft",
-                         F.array_join(values_in_order("map", "signal_names"), ",").alias("values_text"))
+    """P20: map values in the order of the layout of (id, message)."""
+    dec = decode_frames_map(_text_frames(spark, sf_dir), _two_layouts(spark), with_names=True)
+    return dec.select("ts", "id", "botschaft", F.array_join(values_in_order("map", "names"), ",").alias("values_text"))
 
 
 def q_insert_statements_batched(spark, sf_dir):
@@ -311,11 +317,8 @@ def q_insert_statements_batched(spark, sf_dir):
 def q_insert_statements_grouped(spark, sf_dir):
     """K5 + P20: map form in dictionary order, 20,000 rows per statement,
     tables suffixed ``_1_2``."""
-    d = _dictionary(spark)
-    dec = decode_frames_map(_text_frames(spark, sf_dir), d)
-    lists = d.signals_by_message()
-    vals = dec.join(F.broadcast(lists), "botschaft").select(
-        "ts", "id", "botschaft", values_in_order("map", "signal_names").alias("vals"))
+    dec = decode_frames_map(_text_frames(spark, sf_dir), _two_layouts(spark), with_names=True)
+    vals = dec.select("ts", "id", "botschaft", values_in_order("map", "names").alias("vals"))
     return insert_statements(vals, batch_rows=20000, prefix="", suffix="_1_2")
 
 
@@ -404,13 +407,14 @@ def q_job_replayed_statements(spark, sf_dir):
     """E2, the binary replay job end to end (HexToTD_3 with the fixture's
     message 103): recordings -> chunked scan -> one-message filter ->
     decode -> 11-day replay -> skew-safe statements for Datalogger2,
-    delivered through the recording client; returns the delivered rows."""
+    delivered through the recording client; returns what the client stored."""
     from busframes.plans.jobs import Target, run, with_overrides
 
     src, out = shared_dir(spark, "job-recordings"), shared_dir(spark, "job-statements")
     fx.write_blobs(_blobs(spark, sf_dir), src)
     spec = with_overrides("HexToTD_3", message_id=REPLAY_MESSAGE_ID)
-    return run(spark, spec, src, _dictionary(spark), Target(path=out)).shaped
+    run(spark, spec, src, _dictionary(spark), Target(path=out))
+    return spark.read.schema("botschaft string, batch bigint, n_rows bigint, statement string").json(out)
 
 
 def q_job_text_message_tables(spark, sf_dir):
@@ -421,11 +425,158 @@ def q_job_text_message_tables(spark, sf_dir):
 
     src, out = shared_dir(spark, "job-text"), shared_dir(spark, "job-messages")
     fx.text_trace_lines(spark, _frames(spark, sf_dir)).write.text(src)
-    run(spark, JOBS["ModelCKPartition"], src, _dictionary(spark), Target(path=out))
+    run(spark, JOBS["ModelCKPartition"], src, _two_layouts(spark), Target(path=out))
     back = spark.read.parquet(out)
     return back.select("botschaft", "ts", "id", F.array_join("vals", ",").alias("values_text"))
 
 
+def _stored(spark, out: str, kind: str) -> DataFrame:
+    return spark.read.schema(kind).json(out)
+
+
+def q_job_binary_message_tables(spark, sf_dir):
+    """E2 + K3 + P15 (HexToCK_2): recordings -> decode -> one named-column
+    table per message through a table writer, ts bound as whole ms; the
+    tables read back as (table, ts_ms, id, values)."""
+    from busframes.plans.jobs import JOBS, Target, run
+
+    src, out, tables = (shared_dir(spark, n) for n in ("job-recordings", "job-rows", "job-tables"))
+    fx.write_blobs(_blobs(spark, sf_dir), src)
+
+    def write(df, table, rows):
+        signals = [c for c in df.columns if c not in ("ts", "id")]
+        (df.select(F.lit(table).alias("target"), F.unix_millis("ts").alias("ts_ms"), "id",
+                   F.concat_ws(",", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in signals]).alias("values_text"))
+         .write.mode("append").option("maxRecordsPerFile", str(rows)).parquet(tables))
+
+    run(spark, JOBS["HexToCK_2"], src, _two_layouts(spark), Target(path=out, table_writer=write))
+    return spark.read.parquet(tables)
+
+
+def q_job_wide_store_rows(spark, sf_dir):
+    """E2 + K6 (HexToCassandra_1): recordings -> rows, as the client stored them."""
+    from busframes.plans.jobs import JOBS, Target, run
+
+    src, out = shared_dir(spark, "job-recordings"), shared_dir(spark, "job-store-rows")
+    fx.write_blobs(_blobs(spark, sf_dir), src)
+    run(spark, JOBS["HexToCassandra_1"], src, _dictionary(spark), Target(path=out))
+    rows = _stored(spark, out, "table_name string, deviceid string, ts string, names array<string>, vals array<string>")
+    return rows.select("table_name", "deviceid", F.substring("ts", 1, 19).alias("ts_text"),
+                       F.array_join("names", ",").alias("names"), F.array_join("vals", ",").alias("values_text"))
+
+
+def q_job_points(spark, sf_dir):
+    """E2 + K7 (HexToInflux_2): recordings -> points, as the client stored them."""
+    from busframes.plans.jobs import JOBS, Target, run
+
+    src, out = shared_dir(spark, "job-recordings"), shared_dir(spark, "job-points")
+    fx.write_blobs(_blobs(spark, sf_dir), src)
+    run(spark, JOBS["HexToInflux_2"], src, _dictionary(spark), Target(path=out))
+    return _stored(spark, out, "measurement string, time bigint, line string")
+
+
+def q_job_module_tables(spark, sf_dir):
+    """E2 + K1 (BasicModelTD): text logs -> one raw table per module."""
+    from busframes.plans.jobs import JOBS, Target, run
+
+    src, tables = shared_dir(spark, "job-text"), shared_dir(spark, "job-modules")
+    fx.text_trace_lines(spark, _frames(spark, sf_dir)).write.text(src)
+    run(spark, JOBS["BasicModelTD"], src, _dictionary(spark), Target(
+        table_writer=lambda df, table, rows: df.withColumn("target", F.lit(table)).write.mode("append").parquet(tables)))
+    return spark.read.parquet(tables).select("target", "ts", "id", "len", "data")
+
+
+def q_job_preview(spark, sf_dir):
+    """E2 + K11 (ModelCK): the first decoded rows of a text log."""
+    from busframes.plans.jobs import JOBS, Target, run
+
+    src, out = shared_dir(spark, "job-text"), shared_dir(spark, "job-preview")
+    fx.text_trace_lines(spark, _frames(spark, sf_dir)).write.text(src)
+    run(spark, JOBS["ModelCK"], src, _dictionary(spark), Target(path=out))
+    return _stored(spark, out, "ts bigint, id int, botschaft string")
+
+
+def q_job_grouped_statements(spark, sf_dir):
+    """E2 + K5 (HexToTD): recordings -> statements, as the client stored them."""
+    from busframes.plans.jobs import JOBS, Target, run
+
+    src, out = shared_dir(spark, "job-recordings"), shared_dir(spark, "job-statements")
+    fx.write_blobs(_blobs(spark, sf_dir), src)
+    run(spark, JOBS["HexToTD"], src, _dictionary(spark), Target(path=out))
+    return _stored(spark, out, "botschaft string, batch bigint, n_rows bigint, statement string")
+
+
+def q_message_views(spark, sf_dir):
+    """Q1 through ``register_message_views``: a wide view per layout over the
+    stored rows, two of them for the name under two identifiers."""
+    from busframes.plans.views import register_message_views
+
+    path = shared_dir(spark, "view-rows")
+    d = _two_layouts(spark)
+    write_partitioned(decode_frames_array(_frames(spark, sf_dir), d), path, ["botschaft"])
+    out = None
+    for (identifier, name), view in sorted(register_message_views(spark, path, d).items()):
+        wide = spark.table(view)
+        signals = [c for c in wide.columns if c not in ("ts", "id")]
+        one = wide.select(F.lit(view).alias("view_name"), F.lit(name).alias("botschaft"), F.lit(identifier).alias("identifier"),
+                          F.explode(F.map_from_arrays(F.array(*[F.lit(s) for s in signals]), F.array(*signals))).alias("signal_name", "value"))
+        one = one.groupBy("view_name", "botschaft", "identifier", "signal_name").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_text_fd_frames(spark, sf_dir):
+    """P1, P2 for payloads of 12 to 64 bytes, in both hex cases, and a decode
+    beyond the first 8 bytes."""
+    frames = split_parsed(parse_text_lines(fx.fd_lines(fx.lineitem(spark, sf_dir)))).frames
+    d = SignalDictionary.load(fx.fd_dictionary_rows(spark), persist=False)
+    dec = decode_frames_map(frames, d, keep=("len", "data"))
+    return dec.select("ts", "id", "len", "data", F.col("map")["late"].alias("late"), F.col("map")["cross"].alias("cross"))
+
+
+def q_text_malformed_rejects(spark, sf_dir):
+    """P2 rejects: frames and reasons of lines damaged in seven ways."""
+    parsed = parse_text_lines(fx.damaged_lines(fx.lineitem(spark, sf_dir)))
+    return parsed.groupBy(F.coalesce("reject", F.lit("frame")).alias("reason"), "id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_line_protocol_escapes(spark, sf_dir):
+    """K7: measurement and field names with blanks, commas and equal signs;
+    frames without any value give no point."""
+    li = fx.lineitem(spark, sf_dir)
+    odd = F.col("l_linenumber") % 2 == 1
+    rows = li.select(
+        ((F.col("l_orderkey") % 100000) * 1000000 + F.col("l_linenumber")).cast("bigint").alias("ts"),
+        F.lit("A B,c=d").alias("botschaft"), F.array(F.lit("f x"), F.lit("g,y")).alias("names"),
+        F.array(F.when(odd, F.col("l_partkey").cast("bigint")), F.when(F.col("l_linenumber") % 3 == 0, F.lit(7).cast("bigint"))).alias("vals"))
+    return line_protocol(rows, "dev 1")
+
+
+def q_global_order(spark, sf_dir):
+    """Frames clustered by id, and ranged by (id, ts) into whole
+    runs: rows per id and how many run out of order (none)."""
+    from pyspark.sql import Window
+
+    fr = _frames(spark, sf_dir).select("id", "ts")
+    ranged = range_by_id_ts(cluster_by_id(fr), 6).withColumn("row", F.monotonically_increasing_id())
+    path = shared_dir(spark, "ordered")
+    ranged.write.parquet(path)
+    before = Window.partitionBy("id").orderBy("row")
+    back = spark.read.parquet(path).withColumn("late", (F.col("ts") < F.lag("ts").over(before)).cast("int"))
+    return back.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"))
+
+
+def q_delivered_batches(spark, sf_dir):
+    """U3 + X8: rows through a client made on each executor, read back from
+    what it stored, stamped with the day of the run (compared with it here)."""
+    out = shared_dir(spark, "delivered")
+    rows = _frames(spark, sf_dir).select("id", "ts", today_string().alias("day"))
+    sent = deliver(rows, lambda: RecordingClient(out), 500)
+    back = _stored(spark, out, "id int, ts bigint, day string")
+    return back.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("ts").alias("sum_ts"),
+                                  F.min((F.col("day") == today_string()).cast("int")).alias("today")).withColumn("sent", F.lit(sent).cast("bigint"))
+
+
 def _utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Queries format and parse times in UTC whatever session runs them."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,6 +603,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_decode_totals": q_replay_decode_totals,
     "job_replayed_statements": q_job_replayed_statements,
     "job_text_message_tables": q_job_text_message_tables,
+    "job_binary_message_tables": q_job_binary_message_tables,
+    "job_wide_store_rows": q_job_wide_store_rows,
+    "job_points": q_job_points,
+    "job_module_tables": q_job_module_tables,
+    "job_preview": q_job_preview,
+    "job_grouped_statements": q_job_grouped_statements,
+    "message_views": q_message_views,
+    "text_fd_frames": q_text_fd_frames,
+    "text_malformed_rejects": q_text_malformed_rejects,
+    "line_protocol_escapes": q_line_protocol_escapes,
+    "global_order": q_global_order,
+    "delivered_batches": q_delivered_batches,
     "frame_time_strings": q_frame_time_strings,
     "module_raw_rows": q_module_raw_rows,
     "distinct_modules": q_distinct_modules,

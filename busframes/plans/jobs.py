@@ -1,4 +1,4 @@
-"""Job specifications: the reference's 18 job variants as data, one runner.
+"""Job specifications: 18 job variants as data, one runner.
 
 A job is source x replay x decode x filter x sink. ``run`` executes one:
 dictionary -> trace scan -> (replay) -> (one-message filter, pushed before
@@ -15,24 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busframes.functions.bits import bytes_to_hex, idiv
-from busframes.functions.timefmt import micros_to_string
+from busframes.functions.timefmt import micros_to_millis_timestamp, micros_to_string
 from busframes.operators.decode import decode_frames_array, decode_frames_map
 from busframes.operators.partition import count_rows, preview, write_partitioned
 from busframes.operators.shape import long_from_array, long_from_map, replay, values_in_order
-from busframes.session import checkpoint_base
-from busframes.sinks.delivery import RecordingClient, deliver, write_jdbc_by_key
+from busframes.plans.views import export_message_tables
+from busframes.session import checkpoint_base, shared_dir
+from busframes.sinks.delivery import RecordingClient, deliver, write_by_key, write_jdbc
 from busframes.sinks.shaping import insert_statements, line_protocol, wide_store_rows
 from busframes.sources import SignalDictionary, read_binary_trace, read_text_trace
 
 
-# The two dictionary tables the jobs read (the full signal
-# matrix, and a small test table used by the per-module raw job).
-DICTIONARY_TABLES = {
-    "full": "MLBevo_Gen2_MLBevo_ICAN_KMatrix",
-    "test": "can_test",
-}
-
-
 @dataclass(frozen=True)
 class JobSpec:
     name: str
@@ -47,23 +40,24 @@ class JobSpec:
     prefix: str = ""
     suffix: str = ""
     preview_rows: int = 5
-    dictionary: str = "full"       # key of DICTIONARY_TABLES
+    dictionary: str = "full"       # which of the caller's dictionary tables (full or test)
+    ts_millis: bool = False        # message tables bind ts as a timestamp of whole ms
     options: dict = field(default_factory=dict, compare=False)
 
 
 # The job matrix (source, decode, sink, replay, filter, batch size).
 JOBS = {j.name: j for j in [
     JobSpec("BasicModelTD", "text", "none", "module_tables", dictionary="test"),
-    JobSpec("BasicModelCK", "text", "none", "preview", message_id=402522483, preview_rows=100),
+    JobSpec("BasicModelCK", "text", "none", "preview", message_id=402522483, preview_rows=100, dictionary="test"),
     JobSpec("ModelMySQL", "text", "map", "preview", message_id=1157, preview_rows=100),
     JobSpec("ModelCK", "text", "map", "preview", preview_rows=100),
     JobSpec("ModelMySQLPartition", "text", "map", "message_tables", batch_rows=50_000),
     JobSpec("ModelCKPartition", "text", "map", "message_tables", batch_rows=50_000),
     JobSpec("HexToCK", "binary", "array", "message_tables", batch_rows=50_000),
-    JobSpec("HexToCK_2", "binary", "array", "message_tables", batch_rows=30_000),
-    JobSpec("HexToCK_3", "binary", "array", "message_tables", replay=True, message_id=168, batch_rows=30_000),
-    JobSpec("HexToMYSQL_2", "binary", "array", "message_tables", batch_rows=10_000),
-    JobSpec("HexToMYSQL_3", "binary", "array", "message_tables", replay=True, message_id=168, batch_rows=10_000),
+    JobSpec("HexToCK_2", "binary", "array", "message_tables", batch_rows=30_000, ts_millis=True),
+    JobSpec("HexToCK_3", "binary", "array", "message_tables", replay=True, message_id=168, batch_rows=30_000, ts_millis=True),
+    JobSpec("HexToMYSQL_2", "binary", "array", "message_tables", batch_rows=10_000, ts_millis=True),
+    JobSpec("HexToMYSQL_3", "binary", "array", "message_tables", replay=True, message_id=168, batch_rows=10_000, ts_millis=True),
     JobSpec("HexToTD", "binary", "array", "statements", batch_rows=20_000, suffix="_1_2"),
     JobSpec("HexToTD_2", "binary", "array", "statements", batch_rows=5_000, prefix="Datalogger1_"),
     JobSpec("HexToTD_3", "binary", "array", "statements", replay=True, message_id=168, batch_rows=5_000,
@@ -79,13 +73,20 @@ JOBS = {j.name: j for j in [
 class Target:
     """Where a job's output goes. ``path``: a folder for file outputs and the
     recording client; ``jdbc_url`` + ``jdbc_options``: database tables;
-    ``client_factory``: a store client made on each executor."""
+    ``table_writer``: called as (rows, table, batch_rows) in place of the
+    database writer; ``client_factory``: a store client made on each executor."""
     path: str | None = None
     rejects_path: str | None = None
     jdbc_url: str | None = None
     jdbc_options: dict | None = None
+    table_writer: Callable[[DataFrame, str, int], None] | None = None
     client_factory: Callable[[], object] | None = None
 
+    def tables(self) -> Callable[[DataFrame, str, int], None] | None:
+        if self.table_writer is None and self.jdbc_url:
+            return lambda df, table, rows: write_jdbc(df, self.jdbc_url, table, self.jdbc_options, rows)
+        return self.table_writer
+
     def factory(self) -> Callable[[], object]:
         if self.client_factory is not None:
             return self.client_factory
@@ -93,13 +94,13 @@ class Target:
         return lambda: RecordingClient(root)
 
 
-def load_dictionary(spark: SparkSession, spec: JobSpec, jdbc_options: dict) -> SignalDictionary:
+def load_dictionary(spark: SparkSession, spec: JobSpec, tables: dict[str, str], jdbc_options: dict) -> SignalDictionary:
     """The job's dictionary table over JDBC (url, driver, user, password in
-    ``jdbc_options``), aggregated, persisted and measured once."""
+    ``jdbc_options``), aggregated, persisted and measured once. ``tables``
+    names the caller's tables: ``full`` (the signal matrix) and ``test``."""
     from busframes.sources.dictionary import read_dictionary
 
-    table = DICTIONARY_TABLES[spec.dictionary]
-    return SignalDictionary.load(read_dictionary(spark, table, "jdbc", jdbc_options))
+    return SignalDictionary.load(read_dictionary(spark, tables[spec.dictionary], "jdbc", jdbc_options))
 
 
 def scan_with_rejects(spark: SparkSession, spec: JobSpec, trace_path: str):
@@ -127,23 +128,20 @@ def decode(frames: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> Da
     if spec.decode == "none":
         return frames
     if spec.decode == "map":
-        return decode_frames_map(frames, dictionary)
+        return decode_frames_map(frames, dictionary, with_names=True)
     if spec.decode == "array":
         return decode_frames_array(frames, dictionary, with_names=True)
     raise ValueError(f"unknown decode {spec.decode!r}")
 
 
-def _as_array(decoded: DataFrame, dictionary: SignalDictionary) -> DataFrame:
-    """Map form -> positional values + names in dictionary order."""
+def _as_array(decoded: DataFrame) -> DataFrame:
+    """Map form -> positional values in dictionary order."""
     if "vals" in decoded.columns:
         return decoded
-    lists = dictionary.signals_by_message()
-    return (decoded.join(F.broadcast(lists), "botschaft")
-            .select("ts", "id", "botschaft", F.col("signal_names").alias("names"),
-                    values_in_order("map", "signal_names").alias("vals")))
+    return decoded.select("ts", "id", "botschaft", "names", values_in_order("map", "names").alias("vals"))
 
 
-def shape(decoded: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> DataFrame:
+def shape(decoded: DataFrame, spec: JobSpec) -> DataFrame:
     """The rows the sink receives."""
     if spec.sink == "module_tables":
         if spec.source == "text":   # ts in ns since trace start, data as hex text
@@ -155,7 +153,7 @@ def shape(decoded: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> Da
         return preview(decoded, spec.preview_rows, cols)
     if spec.sink == "count":
         return count_rows(decoded)
-    arr = _as_array(decoded, dictionary)
+    arr = _as_array(decoded)
     if spec.sink == "message_tables":
         # names are per message: kept in the dictionary, not on every row
         return arr.select("botschaft", "ts", "id", "vals")
@@ -171,7 +169,7 @@ def shape(decoded: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> Da
     raise ValueError(f"unknown sink {spec.sink!r}")
 
 
-def deliver_shaped(shaped: DataFrame, spec: JobSpec, target: Target) -> int | None:
+def deliver_shaped(shaped: DataFrame, spec: JobSpec, target: Target, dictionary: SignalDictionary) -> int | None:
     """Write or send the shaped rows; returns the number delivered (observed
     during the delivering pass itself), or None for the JDBC path."""
     from pyspark.sql import Observation
@@ -179,14 +177,17 @@ def deliver_shaped(shaped: DataFrame, spec: JobSpec, target: Target) -> int | No
     spark = shaped.sparkSession
     seen = Observation(f"{spec.name}-delivered")
     if spec.sink == "module_tables":
-        if target.jdbc_url:
+        if target.tables():
             checkpoint_base(spark)
-            write_jdbc_by_key(shaped, "module", target.jdbc_url,
-                              lambda m: f"datalogger_1_can{m}", target.jdbc_options, spec.batch_rows)
+            write_by_key(shaped, "module", lambda df, m: target.tables()(df, f"datalogger_1_can{m}", spec.batch_rows))
             return None
         write_partitioned(shaped, target.path, ["module"], observation=seen)
     elif spec.sink == "message_tables":
-        write_partitioned(shaped, target.path, ["botschaft"], observation=seen)
+        path = target.path or shared_dir(spark, "message-rows")
+        write_partitioned(shaped, path, ["botschaft"], observation=seen)
+        if target.tables():
+            bind = (lambda df: df.withColumn("ts", micros_to_millis_timestamp("ts"))) if spec.ts_millis else (lambda df: df)
+            export_message_tables(spark, path, dictionary, lambda df, t: target.tables()(df, t, spec.batch_rows), shape=bind)
     elif spec.sink == "csv":
         write_partitioned(shaped, target.path, ["botschaft"], fmt="csv", options={"header": "true"},
                           observation=seen)
@@ -215,8 +216,8 @@ def run(spark: SparkSession, spec: JobSpec, trace_path: str, dictionary: SignalD
         # decoding does not depend on ts: replaying decoded rows gives the
         # same rows as decoding replayed frames, with 1/11 of the decode work
         decoded = replay(decoded)
-    shaped = shape(decoded, spec, dictionary)
-    delivered = deliver_shaped(shaped, spec, target)
+    shaped = shape(decoded, spec)
+    delivered = deliver_shaped(shaped, spec, target, dictionary)
     metrics = {"delivered": delivered}
     if target.rejects_path:
         # a second, cheap scan keeps only the lines/records that did not parse

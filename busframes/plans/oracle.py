@@ -52,18 +52,22 @@ _VALS_TEXT = ("CAST(ok & 65535 AS VARCHAR) || ',' || CAST(pk & 65535 AS VARCHAR)
               f"CAST({_MID} AS VARCHAR) || ',' || CAST({_FLAG} AS VARCHAR) || ',' || CAST(qty & 255 AS VARCHAR)")
 
 
-def _rows_text(ts: str) -> str:
+def _rows_text(ts: str, two: bool = False) -> str:
+    more = f"""
+  UNION ALL
+  SELECT 'MSG_ALT', {ts}, id, '(' || CAST({ts} AS VARCHAR) || ',' || CAST(pk & 65535 AS VARCHAR) || ',' || CAST(qty & 255 AS VARCHAR) || ')'
+  FROM f WHERE id = 106""" if two else ""
     return f"""r AS (
   SELECT 'MSG_' || id AS botschaft, {ts} AS ts, id,
          '(' || CAST({ts} AS VARCHAR) || ',' || {_VALS_TEXT} || ')' AS row_text FROM f WHERE {_MSG}
   UNION ALL
   SELECT 'MSG_ALT', {ts}, id, '(' || CAST({ts} AS VARCHAR) || ',' || CAST(ok & 65535 AS VARCHAR) || ')'
-  FROM f WHERE id = 101),
+  FROM f WHERE id = 101{more}),
 k AS (SELECT *, row_number() OVER (PARTITION BY botschaft ORDER BY ts, id, row_text) - 1 AS rk FROM r)"""
 
 
-def _statements(ts: str, batch: int, head: str) -> str:
-    return _with(_F, _rows_text(ts)) + f"""SELECT botschaft, CAST(rk // {batch} AS BIGINT) AS batch,
+def _statements(ts: str, batch: int, head: str, two: bool = False) -> str:
+    return _with(_F, _rows_text(ts, two)) + f"""SELECT botschaft, CAST(rk // {batch} AS BIGINT) AS batch,
   count(*) AS n_rows, {head} || ' VALUES ' || string_agg(row_text, ' ' ORDER BY rk) AS statement
 FROM k GROUP BY botschaft, rk // {batch}"""
 
@@ -127,7 +131,8 @@ FROM k WHERE file_key % 3 = 0 HAVING count(*) > 0""",
     "job_replayed_statements": _JOB_REPLAY,
     "job_text_message_tables": _with(_F) + f"""SELECT 'MSG_' || id AS botschaft, ts_ns AS ts, id,
   {_VALS_TEXT} AS values_text FROM f WHERE {_MSG}
-UNION ALL SELECT 'MSG_ALT', ts_ns, id, CAST(ok & 65535 AS VARCHAR) FROM f WHERE id = 101""",
+UNION ALL SELECT 'MSG_ALT', ts_ns, id, CAST(ok & 65535 AS VARCHAR) FROM f WHERE id = 101
+UNION ALL SELECT 'MSG_ALT', ts_ns, id, CAST(pk & 65535 AS VARCHAR) || ',' || CAST(qty & 255 AS VARCHAR) FROM f WHERE id = 106""",
     "frame_time_strings": _with(_F) + f"""SELECT id, {_US} AS ts,
   strftime(make_timestamp({_US}), '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
   strftime(make_timestamp(({_US} // 1000) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS ts_ms_text,
@@ -155,11 +160,12 @@ UNION ALL SELECT 'MSG_ALT', count(*), 'orderkey' FROM f WHERE id = 101""",
 UNION ALL SELECT ts_ns, id, 'MSG_ALT', NULL, NULL, CAST(ok & 65535 AS BIGINT), NULL, NULL FROM f WHERE id = 101""",
     "ordered_map_values": _with(_F) + f"""SELECT ts_ns AS ts, id, 'MSG_' || id AS botschaft,
   {_VALS_TEXT} AS values_text FROM f WHERE {_MSG}
-UNION ALL SELECT ts_ns, id, 'MSG_ALT', CAST(ok & 65535 AS VARCHAR) FROM f WHERE id = 101""",
+UNION ALL SELECT ts_ns, id, 'MSG_ALT', CAST(ok & 65535 AS VARCHAR) FROM f WHERE id = 101
+UNION ALL SELECT ts_ns, id, 'MSG_ALT', CAST(pk & 65535 AS VARCHAR) || ',' || CAST(qty & 255 AS VARCHAR) FROM f WHERE id = 106""",
     "insert_statements_batched": _statements(
         "ts", 5000, "'INSERT INTO Datalogger1_' || botschaft || ' USING ' || botschaft || ' TAGS (2,\"Datalogger1\")'"),
     "insert_statements_grouped": _statements(
-        "ts_ns", 20000, "'INSERT INTO ' || botschaft || '_1_2 USING ' || botschaft || ' TAGS (2,\"Datalogger1\")'"),
+        "ts_ns", 20000, "'INSERT INTO ' || botschaft || '_1_2 USING ' || botschaft || ' TAGS (2,\"Datalogger1\")'", two=True),
     "line_protocol_points": _with(_F) + f"""SELECT 'MSG_' || id AS measurement, ts AS time,
   'MSG_' || id || ',device=Datalogger1 ' || {_FIELDS_SORTED} || ' ' || CAST(ts AS VARCHAR) AS line
 FROM f WHERE {_MSG}
@@ -186,4 +192,44 @@ UNION ALL SELECT botschaft, signal_name, 'max_value', CAST(max_value AS VARCHAR)
     "dictionary_from_file": _with(_F) + f"""SELECT 'MSG_' || id AS botschaft, count(*) AS n,
   CAST(5 * count(*) AS BIGINT) AS n_values FROM f WHERE {_MSG} GROUP BY id
 UNION ALL SELECT 'MSG_ALT', count(*), CAST(count(*) AS BIGINT) FROM f WHERE id = 101""",
+    "job_binary_message_tables": _with(_F) + f"""SELECT 'MSG_' || id AS target, ts // 1000 AS ts_ms, id,
+  'orderkey=' || (ok & 65535) || ',partkey=' || (pk & 65535) || ',mid=' || ({_MID}) || ',flag=' || ({_FLAG}) || ',qty=' || (qty & 255) AS values_text
+FROM f WHERE {_MSG}
+UNION ALL SELECT 'MSG_ALT_101', ts // 1000, id, 'orderkey=' || (ok & 65535) FROM f WHERE id = 101
+UNION ALL SELECT 'MSG_ALT_106', ts // 1000, id, 'partkey=' || (pk & 65535) || ',qty=' || (qty & 255) FROM f WHERE id = 106""",
+    "job_wide_store_rows": _with(_F) + f"""SELECT 'MSG_' || id AS table_name, 'Datalogger1' AS deviceid,
+  strftime(make_timestamp((ts // 1000) * 1000), '%Y-%m-%d %H:%M:%S') AS ts_text, 'orderkey,partkey,mid,flag,qty' AS names, {_VALS_TEXT} AS values_text
+FROM f WHERE {_MSG}
+UNION ALL SELECT 'MSG_ALT', 'Datalogger1', strftime(make_timestamp((ts // 1000) * 1000), '%Y-%m-%d %H:%M:%S'), 'orderkey', CAST(ok & 65535 AS VARCHAR)
+FROM f WHERE id = 101""",
+    "job_module_tables": _with(_F) + """SELECT 'datalogger_1_can' || module AS target,
+  strftime(make_timestamp(ts_ns // 1000), '%Y-%m-%d %H:%M:%S.%f') AS ts, id, CAST(8 AS SMALLINT) AS len, hex AS data FROM f""",
+    "job_preview": _with(_F) + f"""SELECT * FROM (SELECT ts_ns AS ts, id, 'MSG_' || id AS botschaft FROM f WHERE {_MSG}
+UNION ALL SELECT ts_ns, id, 'MSG_ALT' FROM f WHERE id = 101) ORDER BY ts, id, botschaft LIMIT 100""",
+    "message_views": _with(_F) + f"""SELECT 'msg_' || CASE WHEN botschaft = 'MSG_ALT' THEN 'MSG_ALT_' || identifier ELSE botschaft END AS view_name,
+  botschaft, identifier, signal_name, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM (
+  SELECT 'MSG_' || id AS botschaft, id AS identifier, 'orderkey' AS signal_name, ok & 65535 AS value FROM f WHERE {_MSG}
+  UNION ALL SELECT 'MSG_' || id, id, 'partkey', pk & 65535 FROM f WHERE {_MSG}
+  UNION ALL SELECT 'MSG_' || id, id, 'mid', {_MID} FROM f WHERE {_MSG}
+  UNION ALL SELECT 'MSG_' || id, id, 'flag', {_FLAG} FROM f WHERE {_MSG}
+  UNION ALL SELECT 'MSG_' || id, id, 'qty', qty & 255 FROM f WHERE {_MSG}
+  UNION ALL SELECT 'MSG_ALT', id, 'orderkey', ok & 65535 FROM f WHERE id = 101
+  UNION ALL SELECT 'MSG_ALT', id, 'partkey', pk & 65535 FROM f WHERE id = 106
+  UNION ALL SELECT 'MSG_ALT', id, 'qty', qty & 255 FROM f WHERE id = 106) GROUP BY ALL""",
+    "text_fd_frames": _with(_F) + """SELECT ts_ns AS ts, id, CAST(n AS SMALLINT) AS len, substr(repeat(hex || ' ', 8), 1, 3 * n - 1) AS data,
+  CAST(pk & 65535 AS BIGINT) AS late, CAST(ln | ((ok & 255) << 8) AS BIGINT) AS cross
+FROM (SELECT *, list_extract([12, 16, 20, 24, 32, 48, 64], CAST(ln AS INTEGER)) AS n FROM f)""",
+    "text_malformed_rejects": """SELECT CASE l_linenumber WHEN 4 THEN 'bad id' WHEN 5 THEN 'frame' WHEN 6 THEN 'bad seconds'
+  WHEN 7 THEN 'too few tokens' ELSE 'payload differs from byte count' END AS reason,
+  CAST(CASE WHEN l_linenumber = 4 THEN NULL ELSE 100 + l_linenumber END AS INTEGER) AS id, count(*) AS n FROM lineitem GROUP BY l_linenumber""",
+    "line_protocol_escapes": r"""SELECT 'A B,c=d' AS measurement, ts AS time, 'A\ B\,c\=d,device=dev\ 1 ' || concat_ws(',',
+    CASE WHEN ln % 2 = 1 THEN 'f\ x=' || pk || 'i' END, CASE WHEN ln % 3 = 0 THEN 'g\,y=7i' END) || ' ' || ts AS line
+  FROM (SELECT CAST((l_orderkey % 100000) * 1000000 + l_linenumber AS BIGINT) AS ts, l_linenumber AS ln, l_partkey AS pk FROM lineitem)
+  WHERE ln % 2 = 1 OR ln % 3 = 0""",
+    "global_order": _with(_F) + "SELECT id, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM f GROUP BY id",
+    "delivered_batches": _with(_F) + """SELECT id, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts, 1 AS today,
+  (SELECT count(*) FROM f) AS sent FROM f GROUP BY id""",
 }
+ORACLE_SQL["job_points"] = ORACLE_SQL["line_protocol_points"]
+ORACLE_SQL["job_grouped_statements"] = _statements(
+    "ts", 20000, "'INSERT INTO ' || botschaft || '_1_2 USING ' || botschaft || ' TAGS (2,\"Datalogger1\")'")

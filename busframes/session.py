@@ -18,12 +18,14 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app: str = "busframes", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the defaults above."""
+    """Create (or reuse) a session with the defaults above. Without
+    ``shuffle_partitions`` Spark's own setting holds."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -37,7 +39,8 @@ def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at a shared file
-    system. Only when it is unset (local tests) we create one of our own.
+    system; leaving it unset there is an error. Only a session with a local
+    master (tests) gets a folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     context_dir = spark.sparkContext.getCheckpointDir()
@@ -47,6 +50,8 @@ def checkpoint_base(spark: SparkSession) -> str:
     if not base:
         base = context_dir
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="busframes-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

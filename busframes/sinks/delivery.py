@@ -25,9 +25,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, options: dict | None = None,
      .options(**(options or {})).save())
 
 
-def write_jdbc_by_key(df: DataFrame, key: str, url: str, table_for: Callable[[object], str],
-                      options: dict | None = None, batch_rows: int = 10_000) -> list:
-    """One JDBC table per key value (e.g. one per bus module).
+def write_by_key(df: DataFrame, key: str, write: Callable[[DataFrame, object], None]) -> list:
+    """``write(rows of the key, key value)`` per key value (e.g. one table
+    per bus module).
 
     The key values are read with ``distinct`` (bounded: a handful of modules
     or a dictionary's messages). The input is checkpointed into the shared
@@ -37,11 +37,16 @@ def write_jdbc_by_key(df: DataFrame, key: str, url: str, table_for: Callable[[ob
     stable = df.checkpoint(eager=True)
     keys = [r[0] for r in stable.select(key).distinct().collect()]
     for k in keys:
-        part = stable.filter(F.col(key).eqNullSafe(F.lit(k))).drop(key)
-        write_jdbc(part, url, table_for(k), options, batch_rows)
+        write(stable.filter(F.col(key).eqNullSafe(F.lit(k))).drop(key), k)
     return keys
 
 
+def write_jdbc_by_key(df: DataFrame, key: str, url: str, table_for: Callable[[object], str],
+                      options: dict | None = None, batch_rows: int = 10_000) -> list:
+    """One JDBC table per key value."""
+    return write_by_key(df, key, lambda rows, k: write_jdbc(rows, url, table_for(k), options, batch_rows))
+
+
 def deliver(df: DataFrame, client_factory: Callable[[], object], batch_rows: int) -> int:
     """Send each partition's rows in batches of ``batch_rows`` through a
     client made on the executor: ``client.send(list_of_dicts)``,

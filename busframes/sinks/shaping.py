@@ -48,17 +48,12 @@ def insert_statements(decoded: DataFrame, batch_rows: int = 5000, prefix: str =
 
 
 def _escape_key(c: F.Column) -> F.Column:
-    return F.regexp_replace(c, r"([,= ])", r"\\\\$1")
+    return F.regexp_replace(c, r"([,= ])", r"\\$1")
 
 
-def point_struct(decoded: DataFrame, device: str = "Datalogger1") -> DataFrame:
-    """Array form with names -> time-series points:
-    measurement, tags map, time (µs), fields map (name -> value)."""
-    return decoded.select(
-        F.col("botschaft").alias("measurement"),
-        F.create_map(F.lit("device"), F.lit(device)).alias("tags"),
-        F.col("ts").alias("time"),
-        F.map_from_arrays("names", "vals").alias("fields"))
+def _has_field() -> F.Column:
+    """A point needs a field; frames too short for every signal have none."""
+    return F.exists("vals", lambda v: v.isNotNull())
 
 
 def _point_head(device: str) -> F.Column:
@@ -74,8 +69,8 @@ def _point_head(device: str) -> F.Column:
 
 def line_protocol(decoded: DataFrame, device: str = "Datalogger1") -> DataFrame:
     """Array form with names -> one line-protocol record per frame, time in
-    µs. Output: measurement, time, line."""
-    return decoded.select(
+    µs. Frames without any value give no point. Output: measurement, time, line."""
+    return decoded.filter(_has_field()).select(
         F.col("botschaft").alias("measurement"), F.col("ts").alias("time"),
         F.concat(_point_head(device), F.lit(" "), F.col("ts").cast("string")).alias("line"))
 
@@ -87,7 +82,7 @@ def hour_stamped_points(decoded: DataFrame, stamp=None, device: str = "Datalogge
     from busframes.functions.timefmt import hour_stamp_to_millis
 
     time_ms = hour_stamp_to_millis(stamp) if stamp is not None else F.lit(None).cast("bigint")
-    pts = decoded.withColumn("_t", time_ms)
+    pts = decoded.filter(_has_field()).withColumn("_t", time_ms)
     head = _point_head(device)
     return pts.select(F.col("botschaft").alias("measurement"), F.col("_t").alias("time_ms"),
                       F.when(F.col("_t").isNull(), head)
@@ -114,17 +109,15 @@ def write_sorted_cells(cells: DataFrame, path: str, fmt: str = "parquet") -> Non
     """Bulk-load layout for key-value cells: files that are contiguous,
     sorted (row key, qualifier) ranges.
 
-    The range partitioner samples its input before shuffling it, so the
-    cells are persisted (memory, then disk) for the duration of the write:
-    the upstream decode runs once, not once for the sample and once for the
-    shuffle. The cache is released when the write returns.
+    The range partitioner samples its input before shuffling it, so the cells
+    are first written, unsorted, to the shared checkpoint folder: the upstream
+    decode runs once, the sample reads the two key columns back, and no
+    executor caches the output.
     """
-    from pyspark import StorageLevel
-
     from busframes.operators.shape import sorted_cells
+    from busframes.session import shared_dir
 
-    cached = cells.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sorted_cells(cached).write.mode("overwrite").format(fmt).save(path)
-    finally:
-        cached.unpersist()
+    spark = cells.sparkSession
+    staged = shared_dir(spark, "unsorted-cells")
+    cells.write.parquet(staged)
+    sorted_cells(spark.read.parquet(staged)).write.mode("overwrite").format(fmt).save(path)

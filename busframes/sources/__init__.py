@@ -7,5 +7,5 @@ from busframes.sources.dictionary import (  # noqa: F401
     DICTIONARY_COLUMNS, SignalDictionary, aggregate_dictionary, read_dictionary,
 )
 from busframes.sources.text_trace import (  # noqa: F401
-    TOKEN_PATTERN, keep_frame_lines, parse_text_lines, read_text_trace, tokenize,
+    keep_frame_lines, parse_text_lines, read_text_trace, tokenize,
 )

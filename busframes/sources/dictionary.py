@@ -98,11 +98,12 @@ class SignalDictionary:
         return (self.messages.groupBy("identifier")
                 .agg(F.min("botschaft").alias("botschaft")))
 
-    def signals_by_message(self) -> DataFrame:
-        """One ordered signal-name list per message name."""
-        return (self.messages.groupBy("botschaft")
-                .agg(F.min_by(F.col("info")["signal_name"], F.col("identifier"))
-                     .alias("signal_names")))
+    def layouts(self) -> list[tuple[int, str, list[str]]]:
+        """(identifier, message, ordered signal names) of every message; a
+        name can stand under several identifiers with different layouts. One
+        row per message of the dictionary comes to the driver."""
+        rows = self.messages.select("identifier", "botschaft", F.col("info")["signal_name"].alias("names")).collect()
+        return sorted((r.identifier, r.botschaft, list(r.names)) for r in rows)
 
     def unpersist(self) -> None:
         self.messages.unpersist()

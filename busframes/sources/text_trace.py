@@ -1,9 +1,12 @@
 """Text trace scan: log lines -> frames (module, ts ns, id, dir, len, data).
 
-The scan is ``spark.read.text`` (splittable), a prefix filter and one regex
-tokeniser evaluated by the JVM regex engine, all inside one codegen stage.
-Lines that pass the prefix filter but do not parse end up in ``rejects``
-instead of failing the job.
+The scan is ``spark.read.text`` (splittable), a prefix filter and a split on
+blanks: seconds, module, hex id, direction, ``d``, byte count, then that many
+payload bytes (8 for classic frames, up to 64 for FD frames), in either hex
+case; ``data`` is upper case. What follows the payload (bit counts and the
+like) is ignored. Lines that pass the prefix filter but do not parse end up in
+``rejects`` with a reason; a byte count that differs from the payload is one,
+so a payload is never cut silently.
 """
 
 from __future__ import annotations
@@ -15,10 +18,6 @@ from pyspark.sql import functions as F
 
 from busframes.functions.bits import hex_id_to_int, seconds_to_ns
 
-# Fixed value: the tokeniser of the text log format. Its matches, in order,
-# are: seconds, module, hex id, direction, "d", byte count, data bytes.
-TOKEN_PATTERN = r"(([0-9]{1,}[.][0-9]*)+)|(\w+)|([RrTt][xX])|[Dd]|((\s[A-F0-9]{2}){2,}+)"
-
 FRAME_COLUMNS = ("module", "ts", "id", "dir", "len", "data")
 
 
@@ -34,38 +33,46 @@ def keep_frame_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def tokenize(col) -> F.Column:
+    """Blank-separated tokens of a line."""
     col = F.col(col) if isinstance(col, str) else col
-    return F.regexp_extract_all(col, F.lit(TOKEN_PATTERN), 0)
+    return F.array_remove(F.split(F.translate(col, "\t\r", "  "), " "), "")
+
+
+HEX_BYTES = "^[0-9A-Fa-f]{2}( [0-9A-Fa-f]{2})*$"
 
 
 def parse_text_lines(lines: DataFrame, col: str = "value",
                      source_col: str | None = None) -> DataFrame:
-    """Tokenise and type each line; ``reject`` is null for good frames.
+    """Split and type each line; ``reject`` is null for good frames.
 
-    The tokeniser runs inside a one-row ``inline`` (a Generate): predicates
-    on the parsed columns cannot be pushed below a Generate, so a later
-    ``reject`` filter does not re-run the regex once per referenced token.
+    The split runs inside a one-row ``inline`` (a Generate): predicates on
+    the parsed columns cannot be pushed below a Generate, so a later
+    ``reject`` filter does not split the line again per referenced token.
     """
     source = F.col(source_col) if source_col else F.lit(None).cast("string")
-    parsed = lines.select(F.inline(F.array(F.struct(
-        source.alias("source"), F.col(col).alias("line"), tokenize(col).alias("tokens"))))
-    ).select(
-        "source", "line",
+    split = lines.select(F.inline(F.array(F.struct(
+        source.alias("source"), F.col(col).alias("line"), tokenize(col).alias("tokens")))))
+    n = F.get("tokens", 5).try_cast("smallint")
+    parsed = split.select(
+        "source", "line", "tokens",
         F.size("tokens").alias("n_tokens"),
         F.get("tokens", 1).try_cast("smallint").alias("module"),
         seconds_to_ns(F.get("tokens", 0)).alias("ts"),
         hex_id_to_int(F.get("tokens", 2)).alias("id"),
         F.get("tokens", 3).alias("dir"),
-        F.get("tokens", 5).try_cast("smallint").alias("len"),
-        F.trim(F.get("tokens", 6)).alias("data"),
-    )
-    reason = (F.when(F.col("n_tokens") < 7, F.lit("too few tokens"))
+        F.when(n >= 0, n).alias("len"),
+    ).select("*", F.upper(F.array_join(F.slice("tokens", F.lit(7), F.coalesce("len", F.lit(0))), " ")).alias("data"),
+             F.get("tokens", F.lit(6) + F.col("len")).alias("_next"))
+    payload = F.col("data").rlike(HEX_BYTES) & (F.length("data") == 3 * F.col("len") - 1)
+    longer = F.coalesce(F.col("_next").rlike("^[0-9A-Fa-f]{2}$"), F.lit(False))
+    reason = (F.when((F.col("n_tokens") < 7) | ~F.lower(F.get("tokens", 4)).eqNullSafe(F.lit("d")), F.lit("too few tokens"))
               .when(F.col("ts").isNull(), F.lit("bad seconds"))
               .when(F.col("module").isNull(), F.lit("bad module"))
               .when(F.col("id").isNull(), F.lit("bad id"))
+              .when(~F.lower("dir").isin("rx", "tx"), F.lit("bad direction"))
               .when(F.col("len").isNull(), F.lit("bad byte count"))
-              .when(F.col("data") == "", F.lit("no data")))
-    return parsed.withColumn("reject", reason)
+              .when(~payload | longer, F.lit("payload differs from byte count")))
+    return parsed.withColumn("reject", reason).drop("tokens", "_next")
 
 
 def split_parsed(parsed: DataFrame) -> ParsedTrace:
