@@ -143,11 +143,11 @@ SPLIT_TEST_BYTES = 16 << 10
 
 
 def q_binary_split_scan(spark, sf_dir):
-    """P5 as verified parallel ranges: each recording framed by several
-    tasks from speculative boundaries checked against the previous range."""
+    """P5 as parallel ranges: each recording framed by several tasks, each
+    from the entry that the ranges before it lead to."""
     path = shared_dir(spark, "binary-split")
     fx.write_blobs(_blobs(spark, sf_dir), path)
-    trace = read_binary_trace(spark, path, split_threshold=0, split_bytes=SPLIT_TEST_BYTES)
+    trace = read_binary_trace(spark, path, range_bytes=SPLIT_TEST_BYTES)
     return _with_hex(trace.frames)
 
 

@@ -111,7 +111,8 @@ def scan_with_rejects(spark: SparkSession, spec: JobSpec, trace_path: str):
         parsed = read_text_trace(spark, trace_path)
         frames = parsed.frames
     elif spec.source == "binary":
-        parsed = read_binary_trace(spark, trace_path)
+        ids = None if spec.message_id is None else (spec.message_id,)
+        parsed = read_binary_trace(spark, trace_path, ids=ids)  # other frames are never built
         frames = parsed.frames.drop("cs")
     else:
         raise ValueError(f"unknown source {spec.source!r}")

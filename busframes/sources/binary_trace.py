@@ -4,10 +4,10 @@ Record layout (big-endian): seconds i32, nanoseconds i32, port type i8,
 port id i8, payload length i16, then the payload: frame id i32, control word
 i32 and ``length - 8`` data bytes. Records carry no sync mark.
 
-Three ways in, all producing the same rows:
-- ``read_binary_trace`` (default): the ``busrecording`` source streams each
-  file in bounded chunks (``frame_stream``), one task per file;
-- above ``SPLIT_THRESHOLD``: verified parallel ranges (``split_framing``);
+Ways in, all producing the same rows:
+- ``read_binary_trace``: files up to ``range_bytes`` are framed in bounded
+  chunks (``frame_stream``), small ones packed into shared tasks; larger files
+  by one task per range (``split_framing``);
 - ``frame_records``: framing of binary columns (``binaryFile`` rows or
   in-memory recordings) in ``mapInArrow``.
 When every record in a buffer has the same length (the usual case for
@@ -33,8 +33,8 @@ FRAMED_SCHEMA = ("source string, position bigint, module smallint, ts bigint, id
 
 RAW_FRAME_COLUMNS = ("module", "ts", "id", "data")
 
-SPLIT_THRESHOLD = 1 << 30   # a recording above this is framed by several tasks
-SPLIT_BYTES = 128 << 20
+RANGE_BYTES = 128 << 20   # larger recordings are framed by one task per range
+BATCH_FRAMES = 20_000     # frames per Arrow batch
 
 
 def _decode_records(content, starts, lengths) -> dict:
@@ -191,7 +191,26 @@ def _frame_batches(batches: Iterator, content_col: str, source_col: str | None):
             yield from _to_batches(source, m, cols, reject)
 
 
-def frame_stream(read_chunk, source: str, chunk_bytes: int):
+def _framed(source, content, starts, lengths, reject, base: int = 0, ids=None):
+    """Arrow batches of bounded size for records of ``content``; with ``ids``
+    the other records are dropped before anything is built for them."""
+    import numpy as np
+
+    starts, lengths = np.asarray(starts, np.int64), np.asarray(lengths, np.int64)
+    if ids is not None and len(starts):
+        buf = np.frombuffer(content, np.uint8)
+        at = starts + HEADER_SIZE
+        found = sum(buf[at + k].astype(np.int64) << (24 - 8 * k) for k in range(4))
+        on = np.isin(np.where(found >= 2**31, found - 2**32, found), np.asarray(ids))
+        starts, lengths = starts[on], lengths[on]
+    for a in range(0, len(starts), BATCH_FRAMES):
+        s, n = starts[a:a + BATCH_FRAMES], lengths[a:a + BATCH_FRAMES]
+        yield from _to_batches(source, len(s), _decode_records(content, s, n), None, base)
+    if reject is not None:
+        yield from _to_batches(source, 0, {}, reject, base)
+
+
+def frame_stream(read_chunk, source: str, chunk_bytes: int, ids=None):
     """Frame one recording read sequentially in chunks of ``chunk_bytes``:
     memory stays bounded by the chunk size, whatever the file size.
     ``read_chunk(n)`` returns up to n bytes, ``b""`` at the end."""
@@ -202,9 +221,7 @@ def frame_stream(read_chunk, source: str, chunk_bytes: int):
         final = not chunk
         buf = carry + chunk if carry else chunk
         starts, lengths, reject, consumed = _record_starts(buf, final=final)
-        m = len(starts)
-        if m or reject is not None:
-            yield from _to_batches(source, m, _decode_records(buf, starts, lengths) if m else {}, reject, base)
+        yield from _framed(source, buf, starts, lengths, reject, base, ids)
         if final or reject is not None:
             return
         carry = buf[consumed:]
@@ -257,30 +274,20 @@ def read_raw_files(spark: SparkSession, path: str, glob: str | None = None) -> D
 
 
 def read_binary_trace(spark: SparkSession, path: str, glob: str | None = None,
-                      order_by_ts: bool = False, streamed: bool = True,
-                      split_threshold: int | None = SPLIT_THRESHOLD,
-                      split_bytes: int = SPLIT_BYTES) -> ParsedTrace:
-    """Scan binary recordings (file, directory or glob) into raw frames.
-
-    ``streamed`` (default): the ``busrecording`` source reads each file in
-    bounded chunks, one task per file. If the largest recording exceeds
-    ``split_threshold``, files are instead framed in verified parallel
-    ranges of ``split_bytes`` (``split_framing``), so one huge recording does
-    not run in one task. ``streamed=False``: ``binaryFile`` rows framed by
-    ``mapInArrow`` (whole file in memory). All give the same rows.
-    """
-    if streamed and split_threshold is not None:
-        from busframes.sources.split_framing import largest_file, read_split_recordings
-
-        if largest_file(path, glob) > split_threshold:
-            out = split_framed(read_split_recordings(spark, path, split_bytes, glob))
-            return ParsedTrace(out.frames.orderBy("ts"), out.rejects) if order_by_ts else out
-    if streamed:
-        from busframes.sources.recording_source import read_recordings
-
-        framed = read_recordings(spark, path, glob)
-    else:
-        framed = frame_records(read_raw_files(spark, path, glob))
+                      order_by_ts: bool = False, range_bytes: int = RANGE_BYTES,
+                      ids: tuple[int, ...] | None = None) -> ParsedTrace:
+    """Scan binary recordings (file, directory or glob; any Hadoop URI) into
+    raw frames. Files are treated one by one: those up to ``range_bytes`` are
+    framed whole, packed into shared tasks; larger ones range by range. The
+    rows don't depend on it. ``ids`` keeps frames with these ids only."""
+    from busframes.sources.recording_source import frame_files, list_recordings
+    from busframes.sources.split_framing import read_ranges
+
+    files = list_recordings(spark, path, glob)
+    framed = frame_files(files.filter(F.col("length") <= range_bytes), ids=ids)
+    large = files.filter(F.col("length") > range_bytes)
+    if large.limit(1).count():
+        framed = framed.unionByName(read_ranges(large, range_bytes, ids))
     out = split_framed(framed)
     if order_by_ts:
         out = ParsedTrace(out.frames.orderBy("ts"), out.rejects)

@@ -1,185 +1,76 @@
-"""``busrecording``: a Spark data source for binary recordings that reads
-each file as a stream.
-
-``binaryFile`` materialises a whole recording as one row (memory grows with
-the file, 2 GB at most per value). This source plans one input partition
-per file (records carry no sync mark, so a file is still read by one task)
-and the task reads it sequentially in chunks, framing complete records with
-the same vectorised code and carrying an incomplete tail to the next chunk.
-Memory per task is bounded by ``chunkBytes`` whatever the file size, and
-frames leave the task as Arrow batches.
-
-Small files are packed into one partition like Spark's file sources do
-(up to min(maxPartitionBytes, max(4 MiB, total / parallelism)) per
-partition); a large file gets its own.
-
-Options: ``path`` (file, directory or URI), ``pathGlobFilter`` (file-name
-glob), ``chunkBytes`` (default 64 MiB; at least 64 KiB, the largest record),
-``maxPartitionBytes`` (default 128 MiB), ``parallelism`` (cores to fill).
+"""Recordings as files: listed by Spark, read in the tasks.
+
+Spark's ``binaryFile`` source lists files, directories and globs of any Hadoop
+URI (relative and default-file-system paths too) and packs small files into
+shared partitions; only path and length are asked for, so no content is read
+into rows. Tasks open the files through pyarrow's file-system layer and frame
+them in bounded chunks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from typing import Iterator
 
-from busframes.sources.binary_trace import FRAMED_SCHEMA, HEADER_SIZE
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-NAME = "busrecording"
-DEFAULT_CHUNK = 64 << 20
+DEFAULT_CHUNK = 8 << 20
 MIN_CHUNK = 64 << 10  # > 12-byte header + the largest 16-bit payload
+#: every file that was ever there is remembered, whatever its time stamp
+REMEMBER = "36500d"
 
 
-def _filesystem(path: str):
+def open_file(uri: str):
+    """A random-access file for a path as Spark lists it."""
     from pyarrow import fs as pafs
 
-    return pafs.FileSystem.from_uri(path)
-
-
-class RecordingReader(DataSourceReader):
-    def __init__(self, options: dict):
-        opts = {str(k).lower(): v for k, v in options.items()}  # option names are case-insensitive
-        self.path = opts.get("path")
-        if not self.path:
-            raise ValueError(f"{NAME}: option 'path' is required")
-        self.glob = opts.get("pathglobfilter")
-        self.chunk = max(int(opts.get("chunkbytes", DEFAULT_CHUNK)), MIN_CHUNK, HEADER_SIZE)
-        self.max_partition = int(opts.get("maxpartitionbytes", 128 << 20))
-        self.parallelism = max(int(opts.get("parallelism", 1)), 1)
-
-    def list_files(self, must_exist: bool = True):
-        """Recordings under the path (driver side: names, sizes, mtimes)."""
-        import fnmatch
-
-        from pyarrow import fs as pafs
-
-        filesystem, root = _filesystem(self.path)
-        info = filesystem.get_file_info(root)
-        if info.type == pafs.FileType.Directory:
-            entries = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
-            files = [e for e in entries if e.type == pafs.FileType.File]
-        elif info.type == pafs.FileType.File:
-            files = [info]
-        elif must_exist:
-            raise FileNotFoundError(self.path)
-        else:
-            files = []
-        files = [e for e in files if not e.base_name.startswith(("_", "."))]
-        if self.glob:
-            files = [e for e in files if fnmatch.fnmatchcase(e.base_name, self.glob)]
-        return files
-
-    def pack(self, files) -> list:
-        """Whole files packed into partitions of about the target size."""
-        files = sorted(files, key=lambda e: e.path)
-        total = sum(e.size for e in files)
-        target = min(self.max_partition, max(4 << 20, total // self.parallelism))
-        groups, current, size = [], [], 0
-        for e in files:
-            if current and size + e.size > target:
-                groups.append(current)
-                current, size = [], 0
-            current.append(e.path)
-            size += e.size
-        if current:
-            groups.append(current)
-        return [InputPartition(g) for g in groups]
-
-    def partitions(self):
-        """Files listed on the driver (names and sizes only), packed into
-        partitions of whole files."""
-        return self.pack(self.list_files())
-
-    def read(self, partition: InputPartition):
-        from busframes.sources.binary_trace import frame_stream
-
-        filesystem, _ = _filesystem(self.path)
-        for name in partition.value:
-            with filesystem.open_input_stream(name) as f:
-                yield from frame_stream(f.read, name, self.chunk)
-
-
-def _mark(e) -> tuple:
-    return (int(e.mtime_ns or 0), e.path)
-
-
-class RecordingStreamReader(DataSourceStreamReader):
-    """New recordings in a folder as a stream. The offset is the
-    (modification time, path) of the last file taken; each micro-batch
-    frames the files after the previous offset with the chunked reader."""
-
-    def __init__(self, options: dict):
-        self.files = RecordingReader(options)
-
-    def initialOffset(self) -> dict:
-        return {"mtime_ns": -1, "path": ""}
-
-    def latestOffset(self) -> dict:
-        marks = [_mark(e) for e in self.files.list_files(must_exist=False)]
-        if not marks:
-            return self.initialOffset()
-        mtime, path = max(marks)
-        return {"mtime_ns": mtime, "path": path}
-
-    def partitions(self, start: dict, end: dict):
-        lo = (start["mtime_ns"], start["path"])
-        hi = (end["mtime_ns"], end["path"])
-        return self.files.pack([e for e in self.files.list_files(must_exist=False) if lo < _mark(e) <= hi])
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if uri.startswith("s3a://"):
+        uri = "s3://" + uri[len("s3a://"):]
+    if uri.startswith("file://"):
+        from urllib.parse import unquote
 
-    def read(self, partition: InputPartition):
-        return self.files.read(partition)
+        filesystem, path = pafs.LocalFileSystem(), unquote(uri[len("file://"):])
+    else:
+        filesystem, path = pafs.FileSystem.from_uri(uri)
+    return filesystem.open_input_file(path)
 
-    def commit(self, end: dict) -> None:
-        pass
 
-
-class RecordingDataSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return NAME
-
-    def schema(self) -> str:
-        return FRAMED_SCHEMA
-
-    def reader(self, schema) -> DataSourceReader:
-        return RecordingReader(dict(self.options))
-
-    def streamReader(self, schema) -> DataSourceStreamReader:
-        return RecordingStreamReader(dict(self.options))
+def list_recordings(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path, length) of every recording under ``path``."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select("path", "length")
 
 
-_REGISTERED: set = set()
+def new_recordings(spark: SparkSession, path: str, glob: str | None, max_files: int) -> DataFrame:
+    """The same as a stream of files as they land, at most ``max_files`` per
+    batch. Spark's file source keeps what it has taken in the checkpoint."""
+    reader = (spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+              .schema("path string, modificationTime timestamp, length bigint, content binary")
+              .option("maxFilesPerTrigger", str(max_files)).option("maxFileAge", REMEMBER))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select("path", "length")
 
 
-def register(spark: SparkSession) -> None:
-    """Register the source with the session (once) and ship the package."""
+def frame_files(files: DataFrame, chunk_bytes: int = DEFAULT_CHUNK, ids: tuple[int, ...] | None = None) -> DataFrame:
+    """Framed rows of whole recordings, each read by one task in chunks.
+    ``ids`` keeps only frames with these ids; others are never built."""
     from busframes.session import ship_package
+    from busframes.sources.binary_trace import FRAMED_SCHEMA
 
-    ship_package(spark)
-    key = (spark.sparkContext.applicationId, id(spark))
-    if key not in _REGISTERED:
-        spark.dataSource.register(RecordingDataSource)
-        _REGISTERED.add(key)
-
-
-def _bytes(text: str) -> int:
-    """Spark size strings ('128m', '64k', '134217728b', '134217728') -> bytes."""
-    import re
+    ship_package(files.sparkSession)
+    chunk = max(chunk_bytes, MIN_CHUNK)
 
-    m = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([kmgt]?)b?\s*", str(text).lower())
-    if not m:
-        raise ValueError(f"not a size: {text!r}")
-    return int(float(m.group(1)) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[m.group(2)])
+    def run(batches) -> Iterator:
+        from busframes.sources.binary_trace import frame_stream
 
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with open_file(path) as f:
+                    yield from frame_stream(f.read, path, chunk, ids)
 
-def read_recordings(spark: SparkSession, path: str, glob: str | None = None,
-                    chunk_bytes: int = DEFAULT_CHUNK) -> DataFrame:
-    """Framed rows (FRAMED_SCHEMA) of every recording under ``path``."""
-    register(spark)
-    max_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
-    reader = (spark.read.format(NAME).option("chunkBytes", str(chunk_bytes))
-              .option("maxPartitionBytes", str(_bytes(max_bytes)))
-              .option("parallelism", str(spark.sparkContext.defaultParallelism)))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path)
+    return files.select(F.col("path")).mapInArrow(run, FRAMED_SCHEMA)

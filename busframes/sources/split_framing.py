@@ -1,227 +1,161 @@
-"""Exact parallel framing of a single large recording.
-
-Records carry no sync mark, so a recording is normally framed by one task;
-one recording holding a large share of the data would then bound the job to
-one core. Here a file is cut into byte ranges framed in parallel:
-
-1. each range (except a file's first) guesses its first record boundary: the
-   first offset from which ``SYNC_RECORDS`` consecutive headers parse; it
-   frames the records that start inside the range from there and reports
-   where the record chain leaves the range (its exit offset);
-2. the driver checks, per file, that every range started where the previous
-   range's chain left (a list with one small row per range);
-3. ranges whose guess was wrong are framed again from the verified offset,
-   repeated until the chain is consistent (rare: data bytes would have to
-   mimic ``SYNC_RECORDS`` valid headers in a row).
-
-The result equals a sequential walk of each file. Speculative frames are
-checkpointed (``spark.checkpoint.dir``) so the verification and the final
-union read one materialised copy.
+"""Exact parallel framing of large recordings.
+
+Records carry no sync mark, so where a byte range's first record begins is
+only known from the range before it. Two passes over the ranges of a file:
+
+1. each range works out, for every offset at which a record can enter it (a
+   record is at most MAX_RECORD bytes, so the entries lie in the first
+   MAX_RECORD bytes), where the chain of records that begins there leaves it.
+   All entries walk on together through twice that span; chains that meet are
+   one from there on, and the few that are left are followed to the end;
+2. a file's maps are composed in range order, from entry 0 (streamed: one map
+   in memory), which gives every range its one true entry;
+3. each range is framed once from that entry.
+
+There is no guess and nothing is framed again; the rows equal a sequential
+walk. Ranges are rows of a table, never a list on the driver.
 """
 
 from __future__ import annotations
 
-import struct
+from typing import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from busframes.sources.binary_trace import (
-    FRAMED_SCHEMA, HEADER_SIZE, PAYLOAD_MIN, _decode_records, _record_starts, _to_batches,
-)
+from busframes.sources.binary_trace import FRAMED_SCHEMA, HEADER_SIZE, PAYLOAD_MIN, _framed, _record_starts
 
 MAX_RECORD = HEADER_SIZE + 32767        # a 16-bit payload length
 OVERLAP = MAX_RECORD + HEADER_SIZE      # bytes read past a range's end
-SYNC_RECORDS = 16
-RANGE_MARK = "__range__"
-SPLIT_SCHEMA = FRAMED_SCHEMA + ", range_id int"
-
-
-def _chain_ok(buf, pos: int, n: int, eof: bool) -> bool:
-    """``SYNC_RECORDS`` headers parse from ``pos`` (or the chain ends exactly
-    at the end of the file)."""
-    for _ in range(SYNC_RECORDS):
-        if n - pos < HEADER_SIZE:
-            return eof and pos == n
-        length = struct.unpack_from(">h", buf, pos + 10)[0]
-        if length < PAYLOAD_MIN or pos + HEADER_SIZE + length > n:
-            return False
-        pos += HEADER_SIZE + length
-    return True
-
-
-def _frame_range(buf, base: int, start: int, end: int, size: int, forced: int | None):
-    """Frame the records that start in [start, end) of one file.
-
-    ``buf`` holds file bytes [base, base + len(buf)), reaching ``OVERLAP``
-    past ``end`` (or the file's end). Returns (entry, exit, starts, lengths,
-    reject), all file offsets. ``exit`` is where the chain continues after
-    this range (the next range's entry), ``size`` once the file's chain is
-    complete, None when the chain dies here; ``entry`` None when no
-    boundary could be guessed (the verification supplies it)."""
-    n = len(buf)
-    eof = base + n >= size
-    if forced is not None:
-        s = forced
-    elif start == 0:
-        s = 0
-    else:
-        s = next((c for c in range(start, min(start + MAX_RECORD, end))
-                  if _chain_ok(buf, c - base, n, eof)), None)
-    if s is None:
-        return None, None, [], [], None
-    if s >= end:
-        return s, s, [], [], None
-    rel, lens, reject, _ = _record_starts(memoryview(buf)[s - base:], final=eof)
-    starts = [int(x) + s for x in rel]
-    lens = [int(x) for x in lens]
-    if reject is not None:
-        reject = (reject[0] + s, reject[1])
-    keep = sum(1 for x in starts if x < end)
-    if keep < len(starts):
-        return s, starts[keep], starts[:keep], lens[:keep], None
-    if reject is not None:
-        if reject[0] >= end:
-            return s, reject[0], starts, lens, None   # the next range meets the bad header
-        return s, None, starts, lens, reject          # the chain dies in this range
-    if eof:
-        return s, size, starts, lens, None
-    return s, (starts[-1] + HEADER_SIZE + lens[-1]) if starts else s, starts, lens, None
 
 
-def _range_batches(rows, fs_uri: str):
-    import pyarrow as pa
-    from pyarrow import fs as pafs
+def _follow(buf, base: int, pos: int, end: int, size: int):
+    """(record starts below end, exit) of the chain that begins at pos; exit
+    is -1 where the chain ends or breaks below ``end``."""
+    import numpy as np
 
-    filesystem, _ = pafs.FileSystem.from_uri(fs_uri)
-    schema = pa.schema(list(pa.schema(_to_schema_fields())) + [("range_id", pa.int32())])
-    for batch in rows:
-        for r in batch.to_pylist():
-            with filesystem.open_input_file(r["path"]) as f:
-                length = min(r["end"] + OVERLAP, r["size"]) - r["start"]
-                got = f.read_at(length, r["start"])
-                buf = got.to_pybytes() if hasattr(got, "to_pybytes") else bytes(got)
-            s, exit_, starts, lengths, reject = _frame_range(
-                buf, r["start"], r["start"], r["end"], r["size"], r["forced"])
-            cols = _decode_records(memoryview(buf)[0:], [x - r["start"] for x in starts], lengths) if starts else {}
-            if starts:
-                cols["position"] = cols["position"] + r["start"]
-            for b in _to_batches(r["path"], len(starts), cols, reject):
-                yield pa.RecordBatch.from_arrays(
-                    b.columns + [pa.array([r["range_id"]] * b.num_rows, pa.int32())], schema=schema)
-            summary = pa.RecordBatch.from_pylist([{
-                "source": r["path"], "position": -1 if s is None else s, "module": None,
-                "ts": -1 if exit_ is None else exit_, "id": None, "cs": None, "data": None,
-                "reason": RANGE_MARK, "range_id": r["range_id"]}], schema=schema)
-            yield summary
-
-
-def _to_schema_fields():
-    from busframes.sources.binary_trace import _arrow_schema
-
-    return _arrow_schema()
-
-
-def resolve(by_key: dict, counts: dict, results: list[dict]):
-    """Walk each file's ranges in order. A range is accepted from the first
-    run whose entry equals the verified entry (the previous range's exit),
-    marked empty (-1) when the chain skips it or has ended, or queued for a
-    re-run forced to start at the verified entry; later ranges of that file
-    wait for it. Returns (accepted: key -> run or -1, redo: ranges)."""
-    accepted, redo = {}, []
-    for p in sorted(counts):
-        expected = 0
-        for i in range(counts[p]):
-            key, r = (p, i), by_key[(p, i)]
-            if expected is None or expected >= r["end"]:
-                accepted[key] = -1
-                continue
-            run = next((k for k, res in enumerate(results)
-                        if key in res and res[key][0] == expected), None)
-            if run is None:
-                redo.append(dict(r, forced=expected))
+    eof = base + len(buf) >= size
+    starts, _, reject, consumed = _record_starts(memoryview(buf)[pos - base:], final=eof)
+    starts = np.asarray(starts, np.int64) + pos
+    cut = int(np.searchsorted(starts, end))
+    if cut < len(starts):
+        return starts[:cut], int(starts[cut])
+    if reject is not None:
+        at = reject[0] + pos
+        return starts, at if at >= end else -1
+    if eof:  # a rest shorter than a header ends the file
+        return starts, -1
+    return starts, consumed + pos
+
+
+def entry_exits(buf, start: int, end: int, size: int):
+    """(entries, exits) of one range; ``buf`` holds the file from ``start``
+    to OVERLAP bytes past ``end`` (or the file's end). Entries whose chain
+    does not leave the range are left out."""
+    import numpy as np
+
+    data = np.frombuffer(buf, np.uint8)
+    entries = np.arange(start, min(start + MAX_RECORD, size)) if start else np.zeros(1, np.int64)
+    node, owner = entries.copy(), np.arange(len(entries))
+    # walk on only what lies before the frontier, so that chains can meet
+    frontier, step = min(start + 2 * MAX_RECORD, end), 0
+    while len(on := np.flatnonzero((node >= 0) & (node < frontier))):
+        pos = node[on]
+        whole = pos + HEADER_SIZE <= size
+        at = np.where(whole, pos - start, 0)
+        length = (data[np.minimum(at + 10, len(data) - 1)].astype(np.int64) << 8) | data[np.minimum(at + 11, len(data) - 1)]
+        ahead = pos + HEADER_SIZE + length
+        node[on] = np.where(whole & (length >= PAYLOAD_MIN) & (length < 32768) & (ahead <= size), ahead, -1)
+        step += 1
+        if step % 8 == 0:
+            node, back = np.unique(node, return_inverse=True)
+            owner = back[owner]
+    node, back = np.unique(node, return_inverse=True)
+    owner = back[owner]
+    out, walked = node.copy(), []
+    for k in np.flatnonzero((node >= 0) & (node < end)):
+        for starts, left in walked:
+            i = int(np.searchsorted(starts, node[k]))
+            if i < len(starts) and starts[i] == node[k]:
+                out[k] = left
                 break
-            accepted[key] = run
-            expected = results[run][key][1]
-    return accepted, redo
+        else:
+            walked.append(_follow(buf, start, int(node[k]), end, size))
+            out[k] = walked[-1][1]
+    exits = out[owner]
+    return entries[exits >= 0], exits[exits >= 0]
 
 
-def _list(path: str, glob: str | None):
-    import fnmatch
+def _ranges(files: DataFrame, range_bytes: int) -> DataFrame:
+    n = F.greatest(F.ceil(F.col("length") / range_bytes), F.lit(1)).cast("int")
+    rows = files.select("path", F.col("length").alias("size"), F.explode(F.sequence(F.lit(0), n - 1)).alias("range_id"))
+    return rows.select("path", "size", "range_id", (F.col("range_id").cast("long") * range_bytes).alias("start"),
+                       F.least((F.col("range_id").cast("long") + 1) * range_bytes, "size").alias("end"))
 
-    from pyarrow import fs as pafs
 
-    filesystem, root = pafs.FileSystem.from_uri(path)
-    info = filesystem.get_file_info(root)
-    files = ([e for e in filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
-              if e.type == pafs.FileType.File] if info.type == pafs.FileType.Directory else [info])
-    return [e for e in files if not e.base_name.startswith(("_", "."))
-            and (not glob or fnmatch.fnmatchcase(e.base_name, glob))]
+def _read(path: str, start: int, end: int, size: int) -> bytes:
+    from busframes.sources.recording_source import open_file
 
+    with open_file(path) as f:
+        return bytes(f.read_at(min(end + OVERLAP, size) - start, start))
 
-def largest_file(path: str, glob: str | None = None) -> int:
-    """Size of the largest recording under ``path`` (driver-side listing)."""
-    return max((e.size for e in _list(path, glob)), default=0)
 
+def _maps(batches) -> Iterator:
+    import numpy as np
+    import pyarrow as pa
 
-def plan_ranges(path: str, split_bytes: int, glob: str | None = None) -> list[dict]:
-    """Files under ``path`` cut into ranges of ``split_bytes`` (driver-side
-    listing of names and sizes)."""
-    files = _list(path, glob)
-    out = []
-    for e in sorted(files, key=lambda x: x.path):
-        for i, start in enumerate(range(0, max(e.size, 1), split_bytes)):
-            out.append({"path": e.path, "range_id": i, "start": start,
-                        "end": min(start + split_bytes, e.size), "size": e.size, "forced": None})
-    return out
+    for batch in batches:
+        for r in batch.to_pylist():
+            entries, exits = entry_exits(_read(r["path"], r["start"], r["end"], r["size"]), r["start"], r["end"], r["size"])
+            yield pa.RecordBatch.from_pydict({
+                "path": [r["path"]], "size": [r["size"]], "range_id": pa.array([r["range_id"]], pa.int32()), "start": [r["start"]], "end": [r["end"]],
+                "entries": pa.array([entries.astype(np.int64).tobytes()], pa.binary()), "exits": pa.array([exits.astype(np.int64).tobytes()], pa.binary())})
 
 
-def _run(spark: SparkSession, ranges: list[dict], fs_uri: str) -> DataFrame:
-    from busframes.session import ship_package
+def _entries(batches) -> Iterator:
+    """The true entry of each range, from maps sorted by (path, range)."""
+    import numpy as np
+    import pyarrow as pa
 
-    ship_package(spark)
-    df = spark.createDataFrame(
-        ranges, "path string, range_id int, start bigint, end bigint, size bigint, forced bigint")
-    df = df.repartition(max(len(ranges), 1))
-    return df.mapInArrow(lambda it: _range_batches(it, fs_uri), SPLIT_SCHEMA)
+    path, at = None, -1
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["path"] != path:
+                path, at = r["path"], 0
+            if at >= 0 and at < r["end"]:
+                yield pa.RecordBatch.from_pydict({"path": [path], "size": [r["size"]], "start": [r["start"]], "end": [r["end"]], "entry": [at]})
+                entries = np.frombuffer(r["entries"], np.int64)
+                i = int(np.searchsorted(entries, at))
+                at = int(np.frombuffer(r["exits"], np.int64)[i]) if i < len(entries) and entries[i] == at else -1
 
 
-def read_split_recordings(spark: SparkSession, path: str, split_bytes: int = 128 << 20,
-                          glob: str | None = None) -> DataFrame:
-    """Framed rows (FRAMED_SCHEMA) of every recording under ``path``, each
-    file framed by ``ceil(size / split_bytes)`` parallel tasks."""
-    from busframes.session import checkpoint_base
+def read_ranges(files: DataFrame, range_bytes: int, ids: tuple[int, ...] | None = None) -> DataFrame:
+    """Framed rows (FRAMED_SCHEMA) of recordings (path, length), each framed
+    by one task per range."""
+    from busframes.session import checkpoint_base, ship_package
 
+    spark = files.sparkSession
     checkpoint_base(spark)
-    ranges = plan_ranges(path, split_bytes, glob)
-    if not ranges:
-        return spark.createDataFrame([], FRAMED_SCHEMA)
-    by_key = {(r["path"], r["range_id"]): r for r in ranges}
-    counts: dict = {}
-    for p, _ in by_key:
-        counts[p] = counts.get(p, 0) + 1
-
-    def summaries(df: DataFrame) -> dict:
-        rows = df.filter(F.col("reason") == RANGE_MARK).select("source", "range_id", "position", "ts").collect()
-        return {(r.source, r.range_id): (None if r.position < 0 else r.position, None if r.ts < 0 else r.ts)
-                for r in rows}
-
-    parts = [_run(spark, ranges, path).checkpoint(eager=True)]
-    results = [summaries(parts[0])]
-    accepted, redo = resolve(by_key, counts, results)
-    while redo:
-        parts.append(_run(spark, redo, path).checkpoint(eager=True))
-        results.append(summaries(parts[-1]))
-        accepted, redo = resolve(by_key, counts, results)
-    accepted = {k: v for k, v in accepted.items() if v >= 0}
-    keep = spark.createDataFrame([(p, i, v) for (p, i), v in accepted.items()],
-                                 "k_path string, k_range int, k_run int")
-    out = None
-    for run_id, part in enumerate(parts):
-        chosen = keep.filter(F.col("k_run") == run_id)
-        rows = (part.filter(F.col("reason").isNull() | (F.col("reason") != RANGE_MARK))
-                .join(F.broadcast(chosen), (F.col("source") == F.col("k_path"))
-                      & (F.col("range_id") == F.col("k_range")), "left_semi")
-                .drop("range_id"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    ship_package(spark)
+
+    def frame(batches) -> Iterator:
+        import numpy as np
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                start, end, size, pos = r["start"], r["end"], r["size"], r["entry"]
+                buf = _read(r["path"], start, end, size)
+                rest = memoryview(buf)[pos - start:]
+                starts, lens, reject, _ = _record_starts(rest, final=start + len(buf) >= size)
+                n = int(np.searchsorted(np.asarray(starts, np.int64), end - pos))
+                if reject is not None and reject[0] + pos >= end:
+                    reject = None
+                yield from _framed(r["path"], rest, starts[:n], lens[:n], reject, pos, ids)
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = "path string, size bigint, range_id int, start bigint, end bigint, entries binary, exits binary"
+    # a range is a task's worth of work: spread them before reading
+    maps = _ranges(files, range_bytes).repartition(parts, "path", "range_id").mapInArrow(_maps, kind)
+    entry = (maps.repartition(parts, "path").sortWithinPartitions("path", "range_id")
+             .mapInArrow(_entries, "path string, size bigint, start bigint, end bigint, entry bigint").checkpoint())
+    return entry.repartition(parts, "path", "start").mapInArrow(frame, FRAMED_SCHEMA)

@@ -57,7 +57,7 @@ def test_file_scan(spark, tmp_dir):
 def test_streamed_source_equals_whole_file(spark, tmp_dir):
     import random
 
-    from busframes.sources.recording_source import read_recordings
+    from busframes.sources.recording_source import frame_files, list_recordings
 
     rnd = random.Random(5)
     for k in range(3):
@@ -74,19 +74,12 @@ def test_streamed_source_equals_whole_file(spark, tmp_dir):
     whole = sorted(tuple(r) for r in frame_records(
         spark.read.format("binaryFile").load(tmp_dir).select("path", "content")).select(*cols).collect())
     # chunks of 64 KiB force many chunk boundaries inside each file
-    streamed = sorted(tuple(r) for r in read_recordings(spark, tmp_dir, chunk_bytes=1).select(*cols).collect())
+    streamed = sorted(tuple(r) for r in frame_files(list_recordings(spark, tmp_dir), chunk_bytes=1).select(*cols).collect())
     assert streamed == whole and len(whole) == 9001
     out = read_binary_trace(spark, tmp_dir, glob="r1.bin")
     assert out.frames.count() == 3000 and out.rejects.count() == 0
 
 
-def test_reader_options_and_chunking(spark):
-    from busframes.sources.recording_source import MIN_CHUNK, RecordingReader
-
-    r = RecordingReader({"path": "/x", "pathglobfilter": "*.bin", "chunkbytes": "1"})
-    assert (r.glob, r.chunk) == ("*.bin", MIN_CHUNK)
-
-
 def test_frame_stream_chunk_boundaries():
     import io
 

@@ -60,10 +60,27 @@ def test_salted_join_equals_broadcast(spark, monkeypatch):
 def test_message_lookups(spark):
     d = SignalDictionary.load(_dict(spark))
     assert {r.identifier: r.botschaft for r in d.message_by_identifier().collect()} == {0x7A: "MSG_A", 0x7B: "MSG_C"}
-    lists = {r.botschaft: list(r.signal_names) for r in d.signals_by_message().collect()}
-    assert lists["MSG_A"] == ["a", "a", "b"] and lists["MSG_C"] == ["y"]
+    lists = {(i, b): names for i, b, names in d.layouts()}
+    assert lists[0x7A, "MSG_A"] == ["a", "a", "b"] and lists[0x7B, "MSG_C"] == ["y"]
 
 
+def test_one_message_name_under_two_ids(spark):
+    from busframes.operators.shape import values_in_order
+
+    rows = [(1, "M", "a", 0, 8), (1, "M", "b", 8, 8), (2, "M", "c", 0, 8), (2, "M", "d", 8, 8), (2, "M", "e", 16, 8)]
+    d = SignalDictionary.load(spark.createDataFrame(rows, "identifier int, botschaft string, signal_name string, startBit int, len int"))
+    frames = spark.createDataFrame([(0, 1, "01 02 03"), (1, 2, "01 02 03")], "ts bigint, id int, data string")
+    dec = decode_frames_map(frames, d, with_names=True).select("id", "names", values_in_order("map", "names").alias("vals"))
+    assert {r.id: (list(r.names), list(r.vals)) for r in dec.collect()} == {1: (["a", "b"], [1, 2]), 2: (["c", "d", "e"], [1, 2, 3])}
+
+
+def test_view_names_never_collide():
+    from busframes.plans.views import view_names
+
+    layouts = [(1, "A-B", []), (2, "A_B", []), (3, "a b", []), (4, "C", []), (5, "C", []), (9, "A_B_1", []), (6, "D", [])]
+    names = view_names(layouts)
+    assert len({v.lower() for v in names.values()}) == len(layouts) and names[6, "D"] == "msg_D" and names[4, "C"] == "msg_C_4"
+
 def test_read_dictionary_csv_casts(spark, tmp_dir):
     path = f"{tmp_dir}/dbc"
     _dict(spark).select(F.col("identifier").cast("string").alias("identifier"), "botschaft", "signal_name",

@@ -101,17 +101,18 @@ def test_partition_helpers(spark, tmp_dir):
     parts = range_by_id_ts(df, 4).rdd.glom().collect()
     assert sum(len(p) for p in parts) == 400
     # A hot key is written by several tasks, read back whole
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny input
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "16k")  # small input
     try:
-        write_partitioned(df.repartition(4), f"{tmp_dir}/w", ["msg"])
+        many = spark.range(40_000).selectExpr("id % 3 as id", "id as ts", "if(id % 4 > 0, 'hot', 'cold') as msg")
+        write_partitioned(many.repartition(4), f"{tmp_dir}/w", ["msg"])
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset(size)
     back = spark.read.parquet(f"{tmp_dir}/w")
-    assert back.count() == 400 and back.filter("msg = 'hot'").count() == 300
+    assert back.count() == 40_000 and back.filter("msg = 'hot'").count() == 30_000
     hot_files = [f for f in os.listdir(f"{tmp_dir}/w/msg=hot") if f.endswith(".parquet")]
     assert len(hot_files) >= 2
-    # R4 / C1
-    assert df.repartition(2).coalesce(1).rdd.getNumPartitions() == 1
+    # C1
     cached = persist(df)
     assert cached.count() == 400 and cached.is_cached
     cached.unpersist()
@@ -129,6 +130,18 @@ def test_rank_within_key_sampled_ranges(spark):
     assert joined.filter(F.col("rank") != F.col("ref")).count() == 0
 
 
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from busframes.session import checkpoint_base
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_base(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
+
+
 def test_checkpoint_base_reads_session(spark):
     from busframes.session import checkpoint_base, shared_dir
 
