@@ -1,7 +1,7 @@
 """Frames x dictionary -> decoded signals.
 
 The dictionary side is small and measured (``SignalDictionary``): it is
-broadcast when its signal count is under the bound, so the frames are never
+broadcast when its size in bytes is under the bound, so the frames are never
 shuffled for the join. Above the bound the join is a shuffle join whose
 frame side is salted, so a single hot id cannot land in one task.
 Decoding is a native expression (no Python UDF).
@@ -17,7 +17,7 @@ from busframes.functions.bits import (
 )
 from busframes.sources.dictionary import SignalDictionary
 
-JOIN_SALTS = 32
+JOIN_SALTS = 32  # at least; a quarter of the shuffle partitions if that is more
 
 
 def join_dictionary(frames: DataFrame, dictionary: SignalDictionary,
@@ -28,9 +28,10 @@ def join_dictionary(frames: DataFrame, dictionary: SignalDictionary,
     msgs = msgs.select("identifier", "botschaft", "info")
     if dictionary.broadcastable:
         return frames.join(F.broadcast(msgs), frames["id"] == msgs["identifier"], "inner")
+    salts = max(JOIN_SALTS, int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     salted_frames = frames.withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in frames.columns]), F.lit(JOIN_SALTS)))
-    salted_msgs = msgs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
+        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in frames.columns]), F.lit(salts)))
+    salted_msgs = msgs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (salted_frames.join(salted_msgs, (salted_frames["id"] == salted_msgs["identifier"])
                                & (salted_frames["_salt"] == salted_msgs["_salt"]), "inner")
             .drop("_salt"))

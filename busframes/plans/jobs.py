@@ -24,6 +24,8 @@ from busframes.session import checkpoint_base, shared_dir
 from busframes.sinks.delivery import RecordingClient, deliver, write_by_key, write_jdbc
 from busframes.sinks.shaping import insert_statements, line_protocol, wide_store_rows
 from busframes.sources import SignalDictionary, read_binary_trace, read_text_trace
+from busframes.sources.binary_trace import split_framed
+from busframes.sources.text_trace import ParsedTrace, split_parsed
 
 
 @dataclass(frozen=True)
@@ -103,16 +105,31 @@ def load_dictionary(spark: SparkSession, spec: JobSpec, tables: dict[str, str],
     return SignalDictionary.load(read_dictionary(spark, tables[spec.dictionary], "jdbc", jdbc_options))
 
 
-def scan_with_rejects(spark: SparkSession, spec: JobSpec, trace_path: str):
-    """Trace scan + one-message filter, plus the rejected lines/records.
+def _staged(spark: SparkSession, rows: DataFrame, split: Callable) -> ParsedTrace:
+    """Parsed rows written once, so that frames and rejects read columns, not
+    the trace again. Lines of good frames are not kept."""
+    path = shared_dir(spark, "parsed-trace")
+    if "line" in rows.columns:
+        rows = rows.withColumn("line", F.when(F.col("reject").isNotNull(), F.col("line")))
+    rows.write.parquet(path)
+    return split(spark.read.parquet(path))
+
+
+def scan_with_rejects(spark: SparkSession, spec: JobSpec, trace_path: str, stage: bool = False):
+    """Trace scan + one-message filter, plus the rejected lines/records;
+    ``stage`` when both are wanted.
     Raw frames for binary traces, text frames (hex payload) for text traces.
     The replay is applied after the decode (see ``run``)."""
     if spec.source == "text":
         parsed = read_text_trace(spark, trace_path)
+        if stage:
+            parsed = _staged(spark, parsed.rows, split_parsed)
         frames = parsed.frames
     elif spec.source == "binary":
         ids = None if spec.message_id is None else (spec.message_id,)
         parsed = read_binary_trace(spark, trace_path, ids=ids)  # other frames are never built
+        if stage:
+            parsed = _staged(spark, parsed.rows, split_framed)
         frames = parsed.frames.drop("cs")
     else:
         raise ValueError(f"unknown source {spec.source!r}")
@@ -211,7 +228,7 @@ def run(spark: SparkSession, spec: JobSpec, trace_path: str, dictionary: SignalD
     the number of rows delivered, observed during the delivering pass itself
     (``DataFrame.observe`` / the delivery's own count; no extra pass)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    frames, rejects = scan_with_rejects(spark, spec, trace_path)
+    frames, rejects = scan_with_rejects(spark, spec, trace_path, stage=bool(target.rejects_path))
     decoded = decode(frames, spec, dictionary)
     if spec.replay:
         # decoding does not depend on ts: replaying decoded rows gives the
@@ -221,7 +238,6 @@ def run(spark: SparkSession, spec: JobSpec, trace_path: str, dictionary: SignalD
     delivered = deliver_shaped(shaped, spec, target, dictionary)
     metrics = {"delivered": delivered}
     if target.rejects_path:
-        # a second, cheap scan keeps only the lines/records that did not parse
         rejects.write.mode("overwrite").parquet(target.rejects_path)
         metrics["rejected"] = spark.read.parquet(target.rejects_path).count()
     return JobResult(shaped, metrics)

@@ -262,7 +262,7 @@ def frame_records(files: DataFrame, content_col: str = "content",
 def split_framed(framed: DataFrame) -> ParsedTrace:
     frames = framed.filter(F.col("reason").isNull()).select(*RAW_FRAME_COLUMNS, "cs")
     rejects = framed.filter(F.col("reason").isNotNull()).select("source", "position", "reason")
-    return ParsedTrace(frames, rejects)
+    return ParsedTrace(frames, rejects, framed)
 
 
 def read_raw_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -290,5 +290,5 @@ def read_binary_trace(spark: SparkSession, path: str, glob: str | None = None,
         framed = framed.unionByName(read_ranges(large, range_bytes, ids))
     out = split_framed(framed)
     if order_by_ts:
-        out = ParsedTrace(out.frames.orderBy("ts"), out.rejects)
+        out = ParsedTrace(out.frames.orderBy("ts"), out.rejects, out.rows)
     return out

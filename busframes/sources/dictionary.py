@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 DICTIONARY_COLUMNS = ("identifier", "botschaft", "signal_name", "startBit", "len")
 
-# A broadcast copy of the dictionary is bounded by this many signal rows
-# (~50 bytes each). Larger dictionaries take the salted shuffle join.
-MAX_BROADCAST_SIGNALS = 500_000
+# A broadcast copy of the dictionary has at most this many bytes, by its
+# measured names and layouts. Larger dictionaries take the salted shuffle join.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def read_dictionary(spark: SparkSession, source: str, fmt: str = "jdbc",
@@ -69,26 +69,31 @@ def unique_names(info) -> F.Column:
 class SignalDictionary:
     """Aggregated dictionary plus its size, measured once (persist + count).
 
-    ``messages``: identifier, botschaft, info. ``n_signals`` bounds the size
-    of a broadcast copy, which decides the join strategy.
+    ``messages``: identifier, botschaft, info. ``n_bytes``, the size of a
+    broadcast copy, decides the join strategy.
     """
 
     messages: DataFrame
     n_messages: int
     n_signals: int
+    n_bytes: int
 
     @classmethod
     def load(cls, rows: DataFrame, persist: bool = True) -> "SignalDictionary":
         messages = aggregate_dictionary(rows)
         if persist:
             messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
+        # a row: fixed fields, its name, and per signal two numbers, a name and their slots
+        names = F.aggregate("info", F.lit(0).cast("bigint"), lambda a, s: a + F.octet_length(s["signal_name"]))
+        row_bytes = F.lit(64) + F.octet_length("botschaft") + F.size("info") * F.lit(56) + names
         stats = messages.agg(F.count(F.lit(1)).alias("m"),
-                             F.coalesce(F.sum(F.size("info")), F.lit(0)).alias("s")).first()
-        return cls(messages, int(stats["m"]), int(stats["s"]))
+                             F.coalesce(F.sum(F.size("info")), F.lit(0)).alias("s"),
+                             F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
+        return cls(messages, int(stats["m"]), int(stats["s"]), int(stats["b"]))
 
     @property
     def broadcastable(self) -> bool:
-        return self.n_signals <= MAX_BROADCAST_SIGNALS
+        return self.n_bytes <= MAX_BROADCAST_BYTES
 
     def with_unique_names(self) -> DataFrame:
         return self.messages.withColumn("info", unique_names("info"))

@@ -23,8 +23,10 @@ FRAME_COLUMNS = ("module", "ts", "id", "dir", "len", "data")
 
 @dataclass
 class ParsedTrace:
+    """Frames and rejects of one scan; ``rows`` holds both."""
     frames: DataFrame
     rejects: DataFrame
+    rows: DataFrame | None = None
 
 
 def keep_frame_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -80,7 +82,7 @@ def split_parsed(parsed: DataFrame) -> ParsedTrace:
     rejects = parsed.filter(F.col("reject").isNotNull()).select(
         "source", F.lit(None).cast("bigint").alias("position"),
         F.col("reject").alias("reason"), "line")
-    return ParsedTrace(frames, rejects)
+    return ParsedTrace(frames, rejects, parsed)
 
 
 def read_text_trace(spark: SparkSession, path: str, order_by_ts: bool = False) -> ParsedTrace:
@@ -88,5 +90,5 @@ def read_text_trace(spark: SparkSession, path: str, order_by_ts: bool = False) -
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source"))
     out = split_parsed(parse_text_lines(keep_frame_lines(lines), source_col="source"))
     if order_by_ts:
-        out = ParsedTrace(out.frames.orderBy("ts"), out.rejects)
+        out = ParsedTrace(out.frames.orderBy("ts"), out.rejects, out.rows)
     return out

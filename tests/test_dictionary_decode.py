@@ -50,7 +50,7 @@ def test_salted_join_equals_broadcast(spark, monkeypatch):
                                    "module smallint, ts bigint, id int, data array<int>")
     d = SignalDictionary.load(_dict(spark))
     expect = sorted(tuple(r) for r in decode_frames_long(frames, d).collect())
-    monkeypatch.setattr(dictionary_module, "MAX_BROADCAST_SIGNALS", 1)
+    monkeypatch.setattr(dictionary_module, "MAX_BROADCAST_BYTES", 1)
     d2 = SignalDictionary.load(_dict(spark))
     assert not d2.broadcastable
     plan_df = decode_frames_long(frames, d2)
@@ -102,7 +102,7 @@ def test_filter_on_id_reaches_both_sides(spark):
 def test_salted_join_spreads_a_hot_id(spark, monkeypatch):
     from busframes.operators.decode import join_dictionary
 
-    monkeypatch.setattr(dictionary_module, "MAX_BROADCAST_SIGNALS", 1)
+    monkeypatch.setattr(dictionary_module, "MAX_BROADCAST_BYTES", 1)
     d = SignalDictionary.load(_dict(spark))
     rows = [(1, t, 0x7A if t % 5 < 3 else 0x7B, [t % 256, 1]) for t in range(20000)]   # 60% one id
     frames = spark.createDataFrame(rows, "module smallint, ts bigint, id int, data array<int>")
