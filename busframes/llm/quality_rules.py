@@ -26,7 +26,7 @@ WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
 #: (signal, least spread between the quartiles in thousandths, fenced below too)
-SIGNALS = (("word_len", 1000, True), ("symbols", 50, False), ("dup_lines", 100, False), ("repeats", 50, False))
+SIGNALS = (("word_len", 1000, True), ("symbols", 50, False), ("dup_lines", 200, False), ("repeats", 100, False))
 
 
 def _let(value: Column, body) -> Column:
