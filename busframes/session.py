@@ -54,7 +54,19 @@ def checkpoint_base(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="busframes-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+    return _qualified(spark, base).rstrip("/")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path without scheme belongs to Spark's default file system; tasks
+    that open files themselves need to see that in the path."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(conf).makeQualified(p).toString()
+    return "file://" + full[len("file:"):] if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
