@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
-from busframes.session import ship_package
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -161,7 +160,7 @@ def sample_windows(docs: DataFrame, label: str, per_label: int, per_doc: int, ma
 
 def learn(docs: DataFrame, label: str = "lang", per_label: int = 500, per_doc: int = 3, max_labels: int = 256) -> ByteCNN:
     """Fit on the rows with text and label."""
-    ship_package(docs.sparkSession)
+    B.prepare(docs.sparkSession)
     rows = docs.filter(F.col(label).isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.col(label).cast("string").alias(label))
     labels, x, y = sample_windows(rows, label, per_label, per_doc, max_labels)
     model = ByteCNN(labels)
@@ -170,7 +169,7 @@ def learn(docs: DataFrame, label: str = "lang", per_label: int = 500, per_doc: i
 
 def identify(docs: DataFrame, model: ByteCNN) -> DataFrame:
     """docs with lang_pred and score."""
-    ship_package(docs.sparkSession)
+    B.prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

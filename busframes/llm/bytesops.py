@@ -7,6 +7,7 @@ distinct keys the chance that any two clash is below V*V / 2**65.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,31 @@ LONG_WORD = 64
 PAD = 16
 
 
+BATCH_BYTES = 4 << 20
+
+
+def prepare(spark) -> None:
+    """Ship the package, and let Arrow batches hold a few MB (texts are long;
+    the limit by rows alone would make batches of any size)."""
+    from busframes.session import ship_package
+
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    text = spark.conf.get(name, "64m")
+    if not text.isdigit() or int(text) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on between tasks,
+    and what it holds counts as its executor's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (on a copy)."""
     h = h ^ (h >> U(32))
@@ -66,6 +92,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) ->
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + most, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    release()
 
 
 def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -31,14 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
-from busframes.session import ship_package
 
 U = np.uint64
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 SPECIAL = b"<|endoftext|>"
 LEAST_CUT = 32
 _CACHE: dict = {}
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 1_000_000
 
 
 def _classes() -> np.ndarray:
@@ -226,7 +225,7 @@ def pack(docs: DataFrame, vocabulary_path: str | None = None, capacity: int = 20
 
         vocabulary_path = public_tokenizers.path("byte_bpe_50k.json")
     spark = docs.sparkSession
-    ship_package(spark)
+    B.prepare(spark)
     with open(vocabulary_path, encoding="utf-8") as f:
         sent = spark.sparkContext.broadcast(f.read())
 
@@ -236,7 +235,7 @@ def pack(docs: DataFrame, vocabulary_path: str | None = None, capacity: int = 20
             _CACHE[key] = Encoder(sent.value)
         packer = Packer(capacity, TaskContext.get().partitionId())
         for whole in batches:
-            for b in B.slices(whole, most=2 << 20):
+            for b in B.slices(whole, most=1 << 20):
                 ids, offs = _CACHE[key].encode(b.column("text"))
                 ids = np.insert(ids, offs[1:], end_id).astype("<u4")
                 offs = offs + np.arange(len(offs))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
-from busframes.session import checkpoint_base, ship_package
+from busframes.session import checkpoint_base
 
 U = np.uint64
 MULT = U(0xD6E8FEB86659FD93)
@@ -151,7 +151,7 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, slab_
     """The columns of docs and ``tiled``: an array of (item_id, coverage,
     tiles, longest) for every item that shares a seed with the document."""
     spark, kind = docs.sparkSession, "array<struct<item_id: long, coverage: double, tiles: long, longest: long>>"
-    ship_package(spark)
+    B.prepare(spark)
     out = docs.withColumn("tiled", F.array().cast(kind))
     for ids, texts in _slabs(benchmark, slab_words):
         sent = spark.sparkContext.broadcast((ids, texts))

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
-from busframes.session import checkpoint_base, ship_package
+from busframes.session import checkpoint_base
 
 U = np.uint64
 GRAM = 40
@@ -333,7 +333,7 @@ def repeat_spans(docs: DataFrame, length: int = 200, group_bytes: int = 16 << 20
     """(rid, s, e): byte spans, overlapping and repeated, whose union is what
     ``length``-byte strings that start twice or more cover."""
     checkpoint_base(docs.sparkSession)
-    ship_package(docs.sparkSession)
+    B.prepare(docs.sparkSession)
     met = _spread(_anchored(docs, length)).checkpoint()
     open_ = met.filter(F.col("kind") != COVER)
     hot = open_.groupBy("key").agg(F.sum(F.col("e") - F.col("s")).alias("w")).filter(F.col("w") > group_bytes).select("key").checkpoint()

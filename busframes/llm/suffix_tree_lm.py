@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
-from busframes.session import checkpoint_base, shared_dir, ship_package
+from busframes.session import checkpoint_base, shared_dir
 
 U = np.uint64
 END = U(0xE0D0E0D0E0D0E0D1)
@@ -191,7 +191,7 @@ def learn(train: DataFrame, depth: int = 2, least_context: float = 2e-5, least_s
     """(tree, word table (h, c)) of the texts of ``train``."""
     spark = train.sparkSession
     checkpoint_base(spark)
-    ship_package(spark)
+    B.prepare(spark)
     texts = train.select("text")
     path = shared_dir(spark, "word-counts")
     (texts.mapInArrow(lambda it: _summed(it, lambda h, offs: h.view(np.int64)), "h long, c long")

@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
-from busframes.session import ship_package
 
 U = np.uint64
 TERM_BITS = 32
@@ -125,7 +124,7 @@ class FactorizationMachine:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, min_docs: int = 4, min_z: float = 3.0, max_terms: int = 4096) -> FactorizationMachine:
     """docs (doc_id, text), labels (doc_id, toxic)."""
     spark = docs.sparkSession
-    ship_package(spark)
+    B.prepare(spark)
     rows = labels.filter("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     n = rows.count()

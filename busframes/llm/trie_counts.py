@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
-from busframes.session import ship_package
 
 U = np.uint64
 KEPT = 2_000_000
@@ -141,7 +140,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str | None = None, keep: tupl
 
         vocabulary_path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     spark = docs.sparkSession
-    ship_package(spark)
+    B.prepare(spark)
     sent = spark.sparkContext.broadcast(Vocabulary(ranked_pieces(vocabulary_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
