@@ -7,7 +7,8 @@ of k-word shingles. The join is exact; classes are the connected components.
 2. Candidates: sets that similar differ in at most K elements (K follows from
    the sizes). The hash space is cut into p > K ranges, so at least p - K of a
    pair's ranges hold the same elements. A document emits one key per range,
-   without its emptiest ranges as far as p - K - 1 may be left out; sets of at
+   without its lightest ranges (fewest elements that aren't common to many
+   documents) as far as p - K - 1 may be left out; sets of at
    most SMALL elements emit their subsets with the few deletions allowed.
    Sizes are dealt into geometric classes; a document emits keys for its own
    class and, if a larger partner can be there, for the next.
@@ -43,10 +44,12 @@ from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
 from busframes.llm.graph import connected_components
-from busframes.session import checkpoint_base, shared_dir, ship_package
+from busframes.session import checkpoint_base, shared_dir
 
 U = np.uint64
 SMALL = 14
+SALTS = 32
+BROADCAST_IDS = 2_000_000  # 16 MB
 GROUP = 16
 
 
@@ -62,12 +65,34 @@ def _plan(largest: int, percent: int) -> tuple[int, int]:
     """(ranges, how many may be left out) for pairs whose larger set has at
     most ``largest`` elements."""
     differ = 2 * largest * (100 - percent) // (100 + percent)
-    spare = max(1, (differ + 1) // 2)
+    spare = differ + 1
     return differ + 1 + spare, spare
 
 
-def set_keys(s: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
-    """Keys of one sorted set; sets at least that similar share one."""
+class Frequent:
+    """Shingles that many documents hold."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+        self.seen = np.zeros(1 << 22, bool)
+        self.seen[(self.hashes >> U(42)).astype(np.int64)] = True
+
+    def holds(self, s: np.ndarray) -> np.ndarray:
+        out = self.seen[(s >> U(42)).astype(np.int64)]
+        at = np.flatnonzero(out)
+        if len(at):
+            found = np.minimum(np.searchsorted(self.hashes, s[at]), len(self.hashes) - 1)
+            out[at] = self.hashes[found] == s[at]
+        return out
+
+
+NONE = Frequent(np.zeros(0, U))
+
+
+def set_keys(s: np.ndarray, percent: int, bounds: np.ndarray, frequent: Frequent = NONE) -> np.ndarray:
+    """Keys of one sorted set; sets at least that similar share one. Ranges
+    weigh by their elements that aren't frequent, then by all: equal ranges
+    weigh alike whatever ``frequent`` holds, so it changes cost, not links."""
     n, out = len(s), []
     if not n:
         return np.zeros(0, U)
@@ -79,15 +104,17 @@ def set_keys(s: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
             out.append(B.mix((total - gone) ^ U(n - d << 40)))
     if n > SMALL:
         upto = np.concatenate([np.zeros(1, U), np.cumsum(mixed, dtype=U)])
+        rare = np.concatenate([[0], np.cumsum(~frequent.holds(s))])
         own = int(np.searchsorted(bounds, n, "right")) - 1
         for c in (own, own + 1) if n * 100 >= percent * bounds[own + 1] else (own,):
             p, spare = _plan(int(bounds[c + 1]) - 1, percent)
             cuts = np.searchsorted(((s >> U(32)) * U(p)) >> U(32), np.arange(p + 1).astype(U))
-            filled = np.diff(cuts)
-            least = np.sort(filled)[spare]  # ranges with fewer elements than this are at most ``spare``
-            part = np.flatnonzero(filled >= least)
+            weight = (rare[cuts[1:]] - rare[cuts[:-1]]) * 64 + np.minimum(np.diff(cuts), 63)
             sums = upto[cuts[1:]] - upto[cuts[:-1]]
-            out.append(B.mix(sums[part] ^ B.mix((part + (c + 1 << 32)).astype(U))))
+            keys = B.mix(sums ^ B.mix((np.arange(p) + (c + 1 << 32)).astype(U)))
+            # without the ``spare`` lightest; ties by key, which equal ranges share, so that the
+            # greatest of a pair's equal ranges stays in both
+            out.append(keys[np.lexsort((keys, weight))[spare:]])
     return np.unique(np.concatenate(out))
 
 
@@ -101,26 +128,69 @@ def shingle_sets(column, k: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, set_hash, keys) of every document."""
+def frequent_shingles(docs: DataFrame, k: int, sample: int = 4000, least: int = 4, most: int = 1_000_000) -> Frequent:
+    """Shingles in at least ``least`` of about ``sample`` documents (chosen by
+    a hash of doc_id); the ``most`` common at most. Only a hint for the keys:
+    the links are the same without it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = _bounds(percent)
         for whole in batches:
             for b in B.slices(whole):
                 sets = shingle_sets(b.column("text"), k)
-                keys = [set_keys(s, percent, bounds).view(np.int64) for s in sets]
-                offs = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["h"])
+
+    B.prepare(docs.sparkSession)
+    share = min(1_000_000, 1 + 1_000_000 * sample // max(docs.count(), 1))
+    few = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < share).select("text")
+    got = (few.mapInArrow(run, "h long").groupBy("h").count().filter(F.col("count") >= least)
+           .orderBy(F.desc("count"), "h").limit(most).select("h").toArrow())
+    return Frequent(got.column("h").to_numpy().view(U))
+
+
+def signatures(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n, set_hash) of every document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in B.slices(whole, most=1 << 20):
+                sets = shingle_sets(b.column("text"), k)
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64), pa.int64())),
-                ], ["doc_id", "n", "set_hash", "keys"])
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())], ["doc_id", "n", "set_hash"])
+
+    B.prepare(docs.sparkSession)
+    return _texts(docs).mapInArrow(run, "doc_id long, n long, set_hash binary")
 
-    ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, set_hash binary, keys array<long>")
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-def _local_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _few(ids: DataFrame) -> DataFrame:
+    """A table of ids, broadcast if its size is known to be small, so that
+    texts and keys need no shuffle to be matched with it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def key_edges(docs: DataFrame, k: int, percent: int, frequent: Frequent = NONE) -> DataFrame:
+    """Unverified edges (a, b) between documents that share a key. Keys are
+    not stored: they are made, reduced in the task and shuffled once."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(frequent)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        bounds = _bounds(percent)
+        for whole in batches:
+            for b in B.slices(whole, most=1 << 20):
+                keys = [set_keys(s, percent, bounds, sent.value).view(np.int64) for s in shingle_sets(b.column("text"), k)]
+                ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+                yield np.repeat(ids, [len(x) for x in keys]), np.concatenate(keys)
+
+    B.prepare(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (_texts(docs).mapInArrow(lambda it: _local_edges(keyed(it)), "key long, doc long, peer long").repartition(parts, "key")
+            .sortWithinPartitions("key", "doc").mapInArrow(_run_edges, "a long, b long"))
+
+
+def _local_edges(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """One row (key, doc, null) per key and task, and rows (doc, doc, peer)
     for the documents that met their peer here."""
     def flush(held):
@@ -129,19 +199,17 @@ def _local_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, key = doc[order], key[order]
         cuts = B.runs(key)
         first = np.repeat(doc[cuts[:-1]], np.diff(cuts))
-        pairs = np.unique(np.stack([doc, first], 1)[doc != first], axis=0)
+        met = np.unique(np.stack([doc, first], 1)[doc != first], axis=0)
         for a in range(0, len(cuts) - 1, 100_000):
             at = cuts[:-1][a:a + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(doc[at]), pa.nulls(len(at), pa.int64())], ["key", "doc", "peer"])
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "doc", "peer"])
+        yield pa.RecordBatch.from_arrays([pa.array(met[:, 0]), pa.array(met[:, 0]), pa.array(met[:, 1])], ["key", "doc", "peer"])
 
     held, size = [], 0
-    for b in batches:
-        lists = b.column("keys")
-        keys = lists.flatten().to_numpy(zero_copy_only=False)
-        held.append((np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())), keys))
+    for docs, keys in pairs:
+        held.append((docs, keys))
         size += len(keys)
-        if size >= 2_000_000:
+        if size >= 1_000_000:
             yield from flush(held)
             held, size = [], 0
     if held:
@@ -248,8 +316,8 @@ def _verified(members: DataFrame, docs: DataFrame, k: int, percent: int) -> Data
             links = block_links(block.column("doc_id").to_pylist(), block.column("label").to_pylist(), shingle_sets(block.column("text"), k), percent)
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = _texts(docs).join(_few(members.select("doc_id").distinct()), "doc_id", "left_semi")
     return (members.join(texts, "doc_id").select("block", "doc_id", "label", "text").repartition(parts, "block")
             .sortWithinPartitions("block", "doc_id").mapInArrow(run, "a long, b long"))
 
@@ -295,17 +363,19 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, block_shingl
     spark = docs.sparkSession
     checkpoint_base(spark)
     path = shared_dir(spark, "shingle-signatures")
-    signatures(docs, k, percent).write.parquet(path)
+    signatures(docs, k).write.parquet(path)
     sign = spark.read.parquet(path)
     plain = sign.select("doc_id", "n", "set_hash").filter("n > 0 and doc_id is not null")
-    least = plain.groupBy("set_hash", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    copies = (plain.join(least.filter("copies > 1"), ["set_hash", "n"]).filter("doc_id <> rep")
-              .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).checkpoint())
-    keyed = (sign.filter("n > 0 and doc_id is not null").select("doc_id", "keys")
-             .join(copies.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_anti"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = (keyed.mapInArrow(_local_edges, "key long, doc long, peer long").repartition(parts, "key")
-             .sortWithinPartitions("key", "doc").mapInArrow(_run_edges, "a long, b long"))
+    # copies meet in salted groups first: a set with a third of all rows is spread over SALTS tasks
+    salted = plain.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    some = salted.groupBy("set_hash", "n", "salt").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).checkpoint()
+    first = some.groupBy("set_hash", "n").agg(F.min("rep").alias("least"), F.sum("copies").alias("all")).filter(F.col("all") > 1)
+    near = salted.join(some.filter("copies > 1"), ["set_hash", "n", "salt"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    far = some.join(first, ["set_hash", "n"]).filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    copies = near.unionByName(far).checkpoint()
+    gone = copies.select(F.col("a").alias("doc_id")).distinct()
+    sole = _texts(docs).filter("doc_id is not null").join(_few(gone), "doc_id", "left_anti")
+    edges = key_edges(sole, k, percent, frequent_shingles(docs, k))
     clusters = connected_components(edges).select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"))
     members = clusters.join(plain.groupBy("doc_id").agg(F.sum("n").alias("n")), "doc_id").checkpoint()
     weight = members.groupBy("cluster").agg(F.sum("n").alias("w"))
@@ -322,8 +392,9 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, block_shingl
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document (the least doc_id) of each class of
     near-duplicates by five-word shingles at 0.8 stays."""
-    kept = jaccard_classes(docs).filter("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    gone = (jaccard_classes(docs).filter("component_id is not null and doc_id <> component_id")
+            .select(F.col("doc_id").alias("__gone")).distinct().checkpoint())
+    return docs.join(_few(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

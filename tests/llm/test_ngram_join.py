@@ -50,7 +50,7 @@ def corpus(seed, n=150):
 
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80), (1, 60), (3, 100)])
 def test_keys_never_miss_a_similar_pair(k, percent):
-    texts = [t or "" for t in corpus(k * 7 + percent, 300)]
+    texts = [t or "" for t in corpus(k * 7 + percent, 160)]
     sets = J.shingle_sets(pa.array(texts), k)
     bounds = J._bounds(percent)
     keys = [set(J.set_keys(s, percent, bounds).tolist()) for s in sets]
