@@ -37,7 +37,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 SPECIAL = b"<|endoftext|>"
 LEAST_CUT = 32
 _CACHE: dict = {}
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 1_500_000
 
 
 def _classes() -> np.ndarray:
@@ -112,7 +112,9 @@ class Encoder:
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = []  # a few at a time: the library's results are large
+        for i in range(0, len(texts), 4096):
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
         size = np.array([len(x) for x in ids], np.int64)
         flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
         while self.used + len(flat) > len(self.pool):
@@ -120,10 +122,8 @@ class Encoder:
         self.pool[self.used:self.used + len(flat)] = flat
         start = self.used + np.cumsum(size) - size
         self.used += len(flat)
-        self.keys = np.concatenate([self.keys, keys])
-        order = np.argsort(self.keys, kind="stable")
-        self.keys = self.keys[order]
-        self.start, self.size = np.concatenate([self.start, start])[order], np.concatenate([self.size, size])[order]
+        at = np.searchsorted(self.keys, keys)  # both sorted
+        self.keys, self.start, self.size = np.insert(self.keys, at, keys), np.insert(self.start, at, start), np.insert(self.size, at, size)
 
     def encode(self, column) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets by text)."""
@@ -235,7 +235,7 @@ def pack(docs: DataFrame, vocabulary_path: str | None = None, capacity: int = 20
             _CACHE[key] = Encoder(sent.value)
         packer = Packer(capacity, TaskContext.get().partitionId())
         for whole in batches:
-            for b in B.slices(whole, most=1 << 20):
+            for b in B.slices(whole, most=2 << 20):
                 ids, offs = _CACHE[key].encode(b.column("text"))
                 ids = np.insert(ids, offs[1:], end_id).astype("<u4")
                 offs = offs + np.arange(len(offs))
