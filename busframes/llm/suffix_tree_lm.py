@@ -1,20 +1,25 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-States are contexts of 0 to ``depth`` words. A context is a candidate if it is
-at least ``least_context`` of all training tokens, a next word counts if its
-pair with the context is at least ``least_symbol`` of them; so a level has at
-most 1 / least_context states and 1 / least_symbol entries, whatever the size
-of the corpus (the root's distribution holds every word and grows with it, and
-all counts are taken over all training texts). A candidate stays if its next
-words diverge from those of its suffix: count * KL >= ``gain`` nats, what is
-not counted being one symbol; so do the suffixes of what stays. Distributions
-are smoothed by absolute discounting, the discounted mass going to the suffix
-state and in the end to the additive root. A word is scored by the longest
-suffix of its history that is a state.
-
-Words are counted by 64-bit hash, in tasks before the shuffle. Only words of
-at least least_symbol travel with the model. A text's other words go, counted
-once per text, through a shuffled join with the word table.
+States are contexts of 0 to ``depth`` words. A context is a candidate if it
+occurs ``least_context`` times in the training texts, a next word counts if
+its pair with the context occurs ``least_symbol`` times (below 1: shares of
+all training tokens); so the tree grows with the corpus. A candidate stays if
+its next words diverge from those of its suffix: count * KL >= ``gain`` nats,
+what is not counted being one symbol; so do the suffixes of what stays.
+Distributions are smoothed by absolute discounting, the discounted mass going
+to the suffix state and in the end to the additive root. A word is scored by
+the longest suffix of its history that is a state.
+
+An n-gram's id is a 64-bit hash of the ids of its first and its last n - 1
+words, a word's that of the word. N-grams are counted in tasks before the
+shuffle; states and entries are Spark tables, joined level by level, hot keys
+salted. A log probability is a sum over the n-grams that end at the word or
+before it (``own`` of an entry: what it adds to its state's back-off and the
+shorter contexts; ``back`` of a context), so the model is one table by id. Of
+it only n-grams of at least TRAVEL of all tokens are broadcast, with at most
+2 ** BITS bits that say which ids can be in the table (fuller bits let more
+pass, results stay); a text's other n-grams that may be in
+it go, counted once per text, through a shuffled join.
 
 Defined cases: null text is empty (its only token is the end); texts repeated
 are scored alike; without training texts every count is 0; an empty table
@@ -28,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
@@ -37,7 +42,10 @@ from busframes.session import checkpoint_base, shared_dir
 U = np.uint64
 END = U(0xE0D0E0D0E0D0E0D1)
 DISCOUNT = 0.5
-SHIFT = 21
+BITS = 27
+SALTS = 32
+HOT = 1e-5  # share of all tokens from which a key of a join is salted
+TRAVEL = 2e-6  # share from which an n-gram is broadcast: 1 / TRAVEL of each length at most
 
 
 def tokens(column) -> tuple[np.ndarray, np.ndarray]:
@@ -46,6 +54,22 @@ def tokens(column) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(h, offs[1:], END), offs + np.arange(len(offs))
 
 
+def _before(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([values[:1], values[:-1]])
+
+
+def grams(h: np.ndarray, offs: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For 1 to ``most`` words: ids of the n-grams that end at each token, and
+    whether the text holds that many words up to there."""
+    first = np.zeros(len(h) + 1, bool)
+    first[offs] = True
+    out = [(h, np.ones(len(h), bool))]
+    for _ in range(1, most):
+        ids, held = out[-1]
+        out.append((B.mix(B.mix(_before(ids) ^ END) + ids), _before(held) & ~first[:-1]))
+    return out
+
+
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Positions in sorted keys, -1 where missing."""
     if not len(keys):
@@ -54,112 +78,69 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
+def _bits(ids: DataFrame) -> np.ndarray:
+    """What may be in the table: bits by the leading bits of the ids, 16 for
+    each or 2 ** BITS in all, in words of 64."""
+    width = min(BITS, max(12, (16 * ids.count()).bit_length()))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("id", 64 - width).bitwiseAND(F.lit(63)).cast("int"))
+    got = ids.groupBy(F.shiftrightunsigned("id", 70 - width).alias("w")).agg(F.bit_or(bit).alias("b")).toArrow()
+    out = np.zeros(1 << (width - 6), U)
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy().view(U)
+    return out
+
+
+def _may(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    at = ids >> U(65 - len(bits).bit_length() - 6)
+    return (bits[(at >> U(6)).astype(np.int64)] >> (at & U(63))) & U(1) == 1
+
+
 class SuffixTree:
-    """words: sorted hashes of the words that travel. Level d (from 1):
-    contexts[d] sorted keys (prefix state << SHIFT | last word), entries[d]
-    sorted keys (state << SHIFT | next word) with their log10 probabilities,
-    back[d]: log10 mass left to the suffix, kept[d]: the context is a state."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, distinct: int, depth: int):
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-        self.total, self.distinct, self.depth = total, distinct, depth
-        self.lookup = np.zeros(1 << 16, bool)
-        self.root = self.base(self.counts)
-        self.contexts, self.entries, self.logs, self.back, self.kept = {}, {}, {}, {}, {}
+    """What travels of the model: sorted ids with base (log10 probability of a
+    word at the root, else nan), own and back; bits of the whole model, which
+    is the table ``model``. kept[d]: number of states of d words."""
+
+    def __init__(self, model: DataFrame, total: int, distinct: int, depth: int, kept: dict):
+        self.model, self.total, self.distinct, self.depth, self.kept = model, total, distinct, depth, kept
+        self.often = max(1, int(np.ceil(TRAVEL * total)))
+        got = model.filter(F.col("c") >= self.often).drop("c").toArrow()
+        order = np.argsort(ids := got.column("id").to_numpy().view(U))
+        self.ids = ids[order]
+        self.values, self.own, self.back = (got.column(c).to_numpy()[order].astype(float) for c in ("base", "own", "back"))
+        self.bits = _bits(model.select("id"))
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "model"}
 
     def base(self, count):
         return np.log10((np.asarray(count, float) + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
     def number(self, h: np.ndarray) -> np.ndarray:
-        return _find(self.words, h)
-
-    def states(self, word: np.ndarray, offs: np.ndarray, level: int) -> list[np.ndarray]:
-        """For levels 1 to ``level``: the context of that many words before
-        each token, or -1."""
-        n = len(word)
-        first = np.zeros(n + 1, bool)
-        first[offs] = True
-        before = np.where(first[:n], -1, np.concatenate([[-1], word[:-1]]))
-        out, prefix = [], np.zeros(n, np.int64)
-        for d in range(1, level + 1):
-            key = np.where((prefix >= 0) & (before >= 0), prefix << SHIFT | np.maximum(before, 0), -1)
-            at = np.full(n, -1)
-            on = np.flatnonzero(key >= 0)
-            at[on] = _find(self.contexts[d], key[on])
-            out.append(at)
-            prefix = np.where(first[:n], -1, np.concatenate([[-1], at[:-1]]))
-        return out
-
-    def suffix(self, level: int) -> np.ndarray:
-        """State of level - 1 that is the suffix of each context (0: root)."""
-        key = self.contexts[level]
-        if level == 1:
-            return np.zeros(len(key), np.int64)
-        prefix, last = key >> SHIFT, key & ((1 << SHIFT) - 1)
-        shorter = self.suffix(level - 1)[prefix] if level > 2 else np.zeros(len(key), np.int64)
-        return _find(self.contexts[level - 1], shorter << SHIFT | last)
-
-    def add_level(self, level: int, keys: np.ndarray, counts: np.ndarray, context_counts: np.ndarray) -> None:
-        """Entries of a level (state << SHIFT | word) with their counts."""
-        order = np.argsort(keys)
-        self.entries[level], self.logs[level] = keys[order], counts[order].astype(float)
-        self._context_counts = getattr(self, "_context_counts", {}) | {level: context_counts.astype(float)}
-
-    def build(self, gain: float) -> None:
-        """Divergence tests, then probabilities; counts are replaced."""
-        count = {d: self.logs[d] for d in self.entries}
-        part, keep = {}, {}
-        for d in self.entries:
-            state, word = self.entries[d] >> SHIFT, self.entries[d] & ((1 << SHIFT) - 1)
-            total, suffix = self._context_counts[d], self.suffix(d)
-            p = count[d] / total[state]
-            if d == 1:
-                q = 10 ** self.root[word]
-            else:
-                at = _find(self.entries[d - 1], suffix[state] << SHIFT | word)
-                q = np.where(at >= 0, count[d - 1][at] / self._context_counts[d - 1][suffix[state]], 1e-9)
-            n = len(total)
-            rest_p = np.clip(1 - np.bincount(state, p, n), 1e-12, 1)
-            rest_q = np.clip(1 - np.bincount(state, q, n), 1e-12, 1)
-            kl = np.bincount(state, p * np.log(p / q), n) + rest_p * np.log(rest_p / rest_q)
-            part[d], keep[d] = (state, word, suffix), total * kl >= gain
-        for d in sorted(self.entries, reverse=True):
-            if d > 1:
-                keep[d - 1][part[d][2][keep[d]]] = True
-        for d in sorted(self.entries):
-            state, word, suffix = part[d]
-            on = keep[d][state]
-            self.entries[d], state, word = self.entries[d][on], state[on], word[on]
-            own = (count[d][on] - DISCOUNT) / self._context_counts[d][state]
-            left = np.clip(1 - np.bincount(state, own, len(keep[d])), 1e-12, 1)
-            if d == 1:
-                lower = 10 ** self.root[word]
-            else:
-                at = _find(self.entries[d - 1], suffix[state] << SHIFT | word)
-                lower = 10 ** self.logs[d - 1][at]
-            self.logs[d] = np.log10(own + left[state] * lower)
-            self.back[d], self.kept[d] = np.log10(left), keep[d]
-
-    def score(self, word: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        """log10 probability of each token; for words that don't travel only
-        what their states leave to the root."""
-        out = np.where(word >= 0, 0.0, 0.0)
-        states = self.states(word, offs, len(self.entries))
-        open_ = np.ones(len(word), bool)
-        for d in range(len(states), 0, -1):
-            s = states[d - 1]
-            on = np.flatnonzero(open_ & (s >= 0))
-            on = on[self.kept[d][s[on]]]
-            known = on[word[on] >= 0]
-            at = _find(self.entries[d], s[known] << SHIFT | word[known])
-            out[on] += self.back[d][s[on]]
-            hit = known[at >= 0]
-            out[hit] += self.logs[d][at[at >= 0]] - self.back[d][s[hit]]
-            open_[hit] = False
-        on = np.flatnonzero(open_ & (word >= 0))
-        out[on] += self.root[word[on]]
-        return out
+        return h
+
+    def parts(self, h: np.ndarray, offs: np.ndarray):
+        """(root, score) of each token as far as the n-grams travel, root nan
+        for other words; (tokens, ids) of the n-grams to be looked up."""
+        root, score, rest = np.full(len(h), np.nan), np.zeros(len(h)), []
+        last = np.zeros(len(h) + 1, bool)
+        last[offs[1:] - 1] = True
+        for n, (ids, held) in enumerate(grams(h, offs, self.depth + 1)):
+            on = np.flatnonzero(held & _may(self.bits, ids))
+            at = _find(self.ids, ids[on])
+            other = on[at < 0]
+            rest.append((other, ids[other]))
+            on, at = on[at >= 0], at[at >= 0]
+            if n == 0:
+                root[on] = self.values[at]
+                score[on] += self.values[at]
+            score[on] += self.own[at]
+            go = ~last[on]
+            score[on[go] + 1] += self.back[at[go]]
+        return root, score, rest
+
+    def score(self, h: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """log10 probability of each token, as far as its n-grams travel; for
+        unknown words only what their states leave to the root."""
+        return self.parts(h, offs)[1]
 
 
 def _summed(batches, keys_of, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
@@ -181,50 +162,116 @@ def _summed(batches, keys_of, most: int = 3_000_000) -> Iterator[pa.RecordBatch]
         yield from flush(held)
 
 
-def _bounded(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of at least ``least``; there are at most total / least of them."""
-    got = counts.filter(F.col("c") >= least).toArrow()
-    return got.column("h").to_numpy(), got.column("c").to_numpy()
+def _counted(texts: DataFrame, n: int, sent, least: int) -> DataFrame:
+    """(id, a, b, c): n-grams of at least ``least`` whose first n - 1 words (a)
+    may be a context and whose last n - 1 words (b) may be counted, by the two
+    bits that were sent."""
 
-
-def learn(train: DataFrame, depth: int = 2, least_context: float = 2e-5, least_symbol: float = 1e-6, gain: float = 30.0):
+    def flush(held):
+        ids, a, b = (np.concatenate(x) for x in zip(*held))
+        _, at, count = np.unique(ids, return_index=True, return_counts=True)
+        for i in range(0, len(at), 200_000):
+            s = at[i:i + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(a[s].view(np.int64)), pa.array(b[s].view(np.int64)), pa.array(count[i:i + 200_000])], ["a", "b", "c"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for whole in batches:
+            for batch in B.slices(whole, most=2 << 20):
+                (short, _), (ids, ok) = grams(*tokens(batch.column("text")), n)[-2:]
+                before = _before(short)
+                on = np.flatnonzero(ok)
+                on = on[_may(sent.value[0], before[on]) & _may(sent.value[1], short[on])]
+                held.append((ids[on], before[on], short[on]))
+                size += len(on)
+                if size >= 2_000_000:
+                    yield from flush(held)
+                    held, size = [], 0
+        if held:
+            yield from flush(held)
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in batches:
+            a, b = (r.column(c).to_numpy().view(U) for c in ("a", "b"))
+            yield pa.RecordBatch.from_arrays([pa.array(B.mix(B.mix(a ^ END) + b).view(np.int64)), *r.columns], ["id", "a", "b", "c"])
+
+    return (texts.mapInArrow(count, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+            .filter(F.col("c") >= least).mapInArrow(named, "id long, a long, b long, c long"))
+
+
+def _looked_up(rows: DataFrame, column: str, table: DataFrame, hot: int) -> DataFrame:
+    """Rows (a, b, ...) with the values of table (id, n, ...) for their
+    ``column``; ids of n >= hot are spread over SALTS tasks."""
+    often = table.filter(F.col("n") >= hot).select(F.col("id").alias(column), F.lit(True).alias("_often"))
+    rows = rows.join(F.broadcast(often), column, "left").withColumn(
+        "_salt", F.when(F.col("_often"), F.pmod(F.xxhash64("a", "b"), F.lit(SALTS).cast("long"))).otherwise(F.lit(0).cast("long"))).drop("_often")
+    salts = F.when(F.col("n") >= hot, F.expr(f"sequence(0L, {SALTS - 1}L)")).otherwise(F.expr("array(0L)"))
+    table = table.withColumn("_salt", F.explode(salts)).drop("n").withColumnRenamed("id", column)
+    return rows.join(table, [column, "_salt"]).drop("_salt")
+
+
+def _rest(p: Column) -> Column:
+    return F.least(F.greatest(1 - F.sum(p), F.lit(1e-12)), F.lit(1.0))
+
+
+def learn(train: DataFrame, depth: int = 2, least_context: float = 8, least_symbol: float = 2, gain: float = 30.0):
     """(tree, word table (h, c)) of the texts of ``train``."""
     spark = train.sparkSession
     checkpoint_base(spark)
     B.prepare(spark)
     texts = train.select("text")
-    path = shared_dir(spark, "word-counts")
-    (texts.mapInArrow(lambda it: _summed(it, lambda h, offs: h.view(np.int64)), "h long, c long")
-     .groupBy("h").agg(F.sum("c").alias("c")).write.parquet(path))
-    table = spark.read.parquet(path)
+
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(path := shared_dir(spark, name))
+        return spark.read.parquet(path)
+
+    table = stored(texts.mapInArrow(lambda it: _summed(it, lambda h, offs: h.view(np.int64)), "h long, c long")
+                   .groupBy("h").agg(F.sum("c").alias("c")), "word-counts")
     total, distinct = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    words, counts = _bounded(table, max(2, int(np.ceil(least_symbol * total))))
-    tree = SuffixTree(words.view(U), counts, total, distinct, depth)
-    few = max(4, int(np.ceil(least_context * total)))
-    # a context is followed by a word, so the end of a text is none
-    keys = np.flatnonzero((tree.counts >= few) & (tree.words != END))
-    context_counts = tree.counts[keys]
+    few, least = (max(m, int(np.ceil(x * total if x < 1 else x))) for x, m in ((least_context, 4), (least_symbol, 2)))
+    hot = max(1, int(np.ceil(HOT * total)))
+    # counts and divergence tests, level by level; no text goes on after its end, so no context holds one
+    words = table.select(F.col("h").alias("id"), "c", ((F.col("c") + 0.5) / float(total + 0.5 * (distinct + 1))).alias("p"))
+    shorter, entries, states = words, [], []
+    p = F.col("c") / F.col("total")
+    for level in range(1, depth + 1):
+        contexts = shorter.filter(F.col("c") >= few)
+        sent = spark.sparkContext.broadcast((_bits(contexts), _bits(shorter.filter(F.col("c") >= least))))
+        found = _counted(texts, level + 1, sent, least)
+        found = _looked_up(found, "a", contexts.select("id", F.col("c").alias("n"), F.col("c").alias("total")), hot)
+        found = _looked_up(found, "b", shorter.select("id", F.col("c").alias("n"), F.col("p").alias("q")), hot)
+        entries.append(stored(found, "entries"))
+        sent.unpersist()
+        kl = F.sum(p * F.log(p / F.col("q"))) + _rest(p) * F.log(_rest(p) / _rest(F.col("q")))
+        states.append(entries[-1].groupBy(F.col("a").alias("id")).agg(
+            F.max("total").alias("n"), (F.max("total") * kl >= gain).alias("good"), _rest((F.col("c") - DISCOUNT) / F.col("total")).alias("left")))
+        shorter = entries[-1].select("id", "c", p.alias("p"))
+    kept, needed = {}, None
+    for level in range(depth, 0, -1):
+        good = states[level - 1]
+        if needed is not None:
+            good = good.join(needed, "id", "left").withColumn("good", F.col("good") | F.coalesce("needed", F.lit(False)))
+        kept[level] = stored(good.filter("good").select("id", "n", "left"), "states")
+        if level > 1:
+            needed = (kept[level].join(entries[level - 2].select("id", "b"), "id").select(F.col("b").alias("id")).distinct()
+                      .withColumn("needed", F.lit(True)))
+    # probabilities from the root on
+    zero, none = F.lit(0.0), F.lit(None).cast("double")
+    lower = words.select("id", F.col("c").alias("n"), F.col("p").alias("low"))
+    values = [words.select("id", "c", F.log10("p").alias("base"), zero.alias("own"), zero.alias("back"))]
     for level in range(1, depth + 1):
-        if not len(keys):
-            break
-        tree.contexts[level] = keys
-        sent = spark.sparkContext.broadcast(tree)
-
-        def pairs(h, offs, level=level, sent=sent):
-            word = sent.value.number(h)
-            state = sent.value.states(word, offs, level)[-1]
-            on = (state >= 0) & (word >= 0)
-            return state[on] << SHIFT | word[on]
-
-        found = (texts.mapInArrow(lambda it, pairs=pairs: _summed(it, pairs), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
-        entry, count = _bounded(found, max(2, int(np.ceil(least_symbol * total))))
-        tree.add_level(level, entry, count, context_counts)
-        order = np.argsort(entry)
-        entry, count = entry[order], count[order]
-        on = (count >= few) & (tree.words[entry & ((1 << SHIFT) - 1)] != END)
-        keys, context_counts = entry[on], count[on]
-    tree.build(gain)
-    return tree, table
+        rows = _looked_up(entries[level - 1].select("id", "a", "b", "c", "total"), "a", kept[level], hot)
+        rows = _looked_up(rows, "b", lower, hot).select("id", F.col("c").alias("n"), ((F.col("c") - DISCOUNT) / F.col("total")).alias("mine"),
+                                                        (F.col("left") * F.col("low")).alias("given"))
+        rows = stored(rows.select("id", "n", (F.col("mine") + F.col("given")).alias("low"), F.log10(1 + F.col("mine") / F.col("given")).alias("own")), "probabilities")
+        values.append(rows.select("id", F.col("n").alias("c"), none.alias("base"), "own", zero.alias("back")))
+        values.append(kept[level].select("id", F.col("n").alias("c"), none.alias("base"), zero.alias("own"), F.log10("left").alias("back")))
+        lower = rows.select("id", "n", "low")
+    model = values[0]
+    for v in values[1:]:
+        model = model.unionByName(v)
+    model = stored(model.groupBy("id").agg(F.max("c").alias("c"), F.max("base").alias("base"), F.sum("own").alias("own"), F.sum("back").alias("back")), "model")
+    return SuffixTree(model, total, distinct, depth, {d: np.int64(k.count()) for d, k in kept.items()}), table
 
 
 def scores(docs: DataFrame, tree: SuffixTree, table: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -238,40 +285,38 @@ def scores(docs: DataFrame, tree: SuffixTree, table: DataFrame, keep: tuple[str,
         for whole in batches:
             for b in B.slices(whole, most=2 << 20):
                 h, offs = tokens(b.column("text"))
-                word = model.number(h)
                 text = np.repeat(np.arange(b.num_rows), np.diff(offs))
                 add = lambda v, t=text, n=b.num_rows: np.bincount(t, v, n)
-                known = word >= 0
-                base = np.where(known, model.root[np.maximum(word, 0)] if len(model.root) else 0.0, 0.0)
+                root, score, rest = model.parts(h, offs)
+                known = ~np.isnan(root)
                 ids, n = pa.array(rid + np.arange(b.num_rows)), b.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), *(b.column(c) for c in keep), pa.array(np.diff(offs)),
-                     pa.array(add(known).astype(np.int64)), pa.array(add(base)), pa.array(add(model.score(word, offs)))], names)
-                rare = np.flatnonzero(~known)
-                order = rare[np.lexsort((h[rare], text[rare]))]
-                first = np.flatnonzero(np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])])) if len(order) else order
-                count = np.diff(np.concatenate([first, [len(order)]]))
-                m = len(first)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid + text[order[first]]), pa.array(h[order[first]].view(np.int64)), pa.array(count.astype(np.int64)),
-                     *(pa.nulls(m, b.column(c).type) for c in keep), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names)
+                    [ids, pa.array(B.mix((rid + np.arange(n)).view(U)).view(np.int64)), pa.nulls(n, pa.int64()), *(b.column(c) for c in keep), pa.array(np.diff(offs)),
+                     pa.array(add(known).astype(np.int64)), pa.array(add(np.where(known, root, 0.0))), pa.array(add(score))], names)
+                for at, gram in rest:
+                    order = np.lexsort((gram, text[at]))
+                    gram, owner = gram[order], text[at][order]
+                    first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])])) if len(gram) else order
+                    count = np.diff(np.concatenate([first, [len(gram)]]))
+                    m = len(first)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rid + owner[first]), pa.array(gram[first].view(np.int64)), pa.array(count.astype(np.int64)),
+                         *(pa.nulls(m, b.column(c).type) for c in keep), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names)
                 rid += n
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = "rid long, h long, k long, " + "".join(f"`{c}` {kinds[c]}, " for c in keep) + "n_tokens long, n_known long, base_score double, score double"
-    path = shared_dir(spark, "text-scores")
-    docs.select(*keep, "text").mapInArrow(run, schema).write.parquet(path)
-    rows = spark.read.parquet(path)
-    norm = float(tree.total + 0.5 * (tree.distinct + 1))
-    rare = (rows.filter("h is not null").select("rid", "h", "k").join(table, "h", "left")
-            .select("rid", F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0).alias("k"),
-                    (F.col("k") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / norm)).alias("s"))
-            .groupBy("rid").agg(F.sum("k").alias("_k"), F.sum("s").alias("_s")))
-    own = rows.filter("h is null").drop("h", "k").join(rare, "rid", "left")
-    return own.select(*keep, "n_tokens", (F.col("n_known") + F.coalesce("_k", F.lit(0))).cast("long").alias("n_known"),
-                      F.lit(int(tree.total)).cast("long").alias("train_tokens"),
-                      (F.col("base_score") + F.coalesce("_s", F.lit(0.0))).alias("base_score"),
-                      (F.col("score") + F.coalesce("_s", F.lit(0.0))).alias("score"))
+    # a text's own row (k null) takes the same shuffles as its n-grams, under a key of its own
+    rows = docs.select(*keep, "text").mapInArrow(run, schema)
+    rest = tree.model.filter(F.col("c") < tree.often).select(F.col("id").alias("h"), "base", (F.coalesce("base", F.lit(0.0)) + F.col("own") + F.col("back")).alias("v"))
+    own = rows.join(rest, "h", "left").filter("k is null or v is not null").groupBy("rid").agg(
+        *(F.first(c, True).alias(c) for c in (*keep, "n_tokens")),
+        (F.max("n_known") + F.coalesce(F.sum(F.when(F.col("base").isNotNull(), F.col("k"))), F.lit(0))).cast("long").alias("n_known"),
+        (F.max("base_score") + F.coalesce(F.sum(F.col("k") * F.col("base")), F.lit(0.0))).alias("base_score"),
+        (F.max("score") + F.coalesce(F.sum(F.col("k") * F.col("v")), F.lit(0.0))).alias("score"))
+    unknown = (F.col("n_tokens") - F.col("n_known")) * float(tree.base(0))
+    return own.select(*keep, "n_tokens", "n_known", F.lit(int(tree.total)).cast("long").alias("train_tokens"),
+                      (F.col("base_score") + unknown).alias("base_score"), (F.col("score") + unknown).alias("score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -143,6 +143,58 @@ def test_lm_awkward_documents(spark, tmp_dir):
     assert (r.n_tokens, r.n_known, r.train_tokens) == (4, 0, 0) and math.isclose(r.base_score, 0, abs_tol=1e-9)
 
 
+def tree_scores(texts, depth=2, context=8, symbol=2, gain=30.0):
+    """log10 scores of the texts by a suffix tree of them all, in plain Python."""
+    seqs = [[*plain(t), None] for t in texts]
+    count = [Counter(tuple(w[i:i + n]) for w in seqs for i in range(len(w) - n + 1)) for n in range(1, depth + 2)]
+    total, norm = sum(count[0].values()), sum(count[0].values()) + .5 * (len(count[0]) + 1)
+    nexts, kept, back = {}, set(), {}
+    for n in range(1, depth + 1):
+        for g, c in count[n].items():
+            if c >= symbol and count[n - 1][g[:-1]] >= context:
+                nexts.setdefault(g[:-1], {})[g[-1]] = c
+    for ctx in sorted(nexts, key=len, reverse=True):
+        m = count[len(ctx) - 1][ctx]
+        p = {x: c / m for x, c in nexts[ctx].items()}
+        q = {x: nexts[ctx[1:]][x] / count[len(ctx) - 2][ctx[1:]] if len(ctx) > 1 else (count[0][(x,)] + .5) / norm for x in p}
+        rp, rq = (min(max(1 - sum(v.values()), 1e-12), 1) for v in (p, q))
+        if m * (sum(p[x] * math.log(p[x] / q[x]) for x in p) + rp * math.log(rp / rq)) >= gain:
+            kept |= {ctx[i:] for i in range(len(ctx))}
+        back[ctx] = min(max(1 - sum((c - .5) / m for c in nexts[ctx].values()), 1e-12), 1)
+
+    def prob(ctx, x):
+        if not ctx:
+            return (count[0][(x,)] + .5) / norm
+        if ctx not in kept:
+            return prob(ctx[1:], x)
+        own = (nexts[ctx][x] - .5) / count[len(ctx) - 1][ctx] if x in nexts[ctx] else 0
+        return own + back[ctx] * prob(ctx[1:], x)
+
+    memo = {}
+    def log(ctx, x):
+        if (ctx, x) not in memo:
+            memo[ctx, x] = math.log10(prob(ctx, x))
+        return memo[ctx, x]
+
+    return [sum(log(tuple(w[max(0, i - depth):i]), x) for i, x in enumerate(w)) for w in seqs], kept
+
+
+def test_lm_tree_grows_with_the_corpus(spark, monkeypatch):
+    """A word seen 8 times is a state among 500,000 tokens too, whether its
+    entries travel or are joined."""
+    r = np.random.default_rng(3)
+    texts = ["filler " * 20000] * 25 + ["rare pair here"] * 8 + ["x a p y a r"] * 60 + [" ".join(f"w{i}" for i in r.zipf(1.6, 40) % 60) for _ in range(150)] + [None, ""]
+    want, kept = tree_scores(texts)
+    assert (b"rare",) in kept and any(len(k) == 2 for k in kept)
+    docs = documents(spark, texts)
+    for share in (L.TRAVEL, 0.01, 1.0):
+        monkeypatch.setattr(L, "TRAVEL", share)
+        tree, table = L.learn(docs)
+        assert {d: int(n) for d, n in tree.kept.items()} == Counter(map(len, kept))
+        got = {x.doc_id: x for x in L.scores(docs, tree, table).collect()}
+        assert all(math.isclose(got[i].score, v, rel_tol=1e-9) for i, v in enumerate(want)) and got[25].score > got[25].base_score + 3
+
+
 # --------------------------------------------------------- token counts
 
 PIECES = trie_counts.ranked_pieces(P.path("byte_bpe_50k.tiktoken"))
