@@ -389,12 +389,50 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, block_shingl
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
 
 
+def _one_row_each(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(docs with ``__key``, (key, doc_id) of the rows with a key of their own).
+
+    Rows of one doc_id and text become one row. The key is the doc_id; rows
+    whose doc_id has several texts, and rows without doc_id that have a word,
+    get a hash of doc_id and text above 2 ** 62. Only these rows and those that
+    repeat are shuffled with their texts, reduced in the task first."""
+    spark = docs.sparkSession
+    checkpoint_base(spark)
+    own = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).bitwiseOR(F.lit(1 << 62))
+    digest = docs.select("doc_id", F.xxhash64("text").alias("t")).groupBy("doc_id").agg(
+        F.count("*").alias("n"), (F.min("t") != F.max("t")).alias("__many"))
+    again = digest.filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("__id"), "__many").checkpoint()
+    marked = docs.join(_few(again), F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = marked.withColumn("__key", F.when(F.coalesce("__many", F.col("doc_id").isNull() & worded), own).otherwise(F.col("doc_id").cast("long")))
+    odd = F.col("__many").isNotNull() | (F.col("doc_id").isNull() & worded)
+    path = shared_dir(spark, "repeated-rows")
+    marked.filter(odd).drop("__many").dropDuplicates(["__key"]).write.parquet(path)
+    once = spark.read.schema(marked.drop("__many").schema).parquet(path)
+    keys = once.filter(F.col("doc_id").isNull() | (F.col("__key") != F.col("doc_id"))).select("__key", "doc_id")
+    return marked.filter(~odd).drop("__many").unionByName(once), keys if keys.limit(1).count() else None
+
+
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document (the least doc_id) of each class of
-    near-duplicates by five-word shingles at 0.8 stays."""
-    gone = (jaccard_classes(docs).filter("component_id is not null and doc_id <> component_id")
-            .select(F.col("doc_id").alias("__gone")).distinct().checkpoint())
-    return docs.join(_few(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
+    """Pipeline stage: one row (the least doc_id) of each class of
+    near-duplicates by five-word shingles at 0.8 stays. Rows that repeat a
+    doc_id with another text, or have none, are rows of their own here; rows
+    without any word link with nothing, but one of each doc_id and text stays."""
+    rows, keys = _one_row_each(docs)
+    classes = jaccard_classes(rows.select(F.col("__key").alias("doc_id"), "text")).filter("doc_id is not null").select("doc_id", "component_id")
+    if keys is None:
+        gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+    else:
+        classes = classes.checkpoint()
+        # a class's least key is not its least doc_id where that row has a key of its own
+        least = (classes.join(keys.select(F.col("__key").alias("doc_id"), F.col("doc_id").alias("id")), "doc_id").groupBy("component_id")
+                 .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")).alias("m")))
+        swap = (least.join(keys.select(F.col("__key").alias("component_id"), F.lit(True).alias("own")), "component_id", "left")
+                .filter("component_id <> m.doc_id and (own or m.id < component_id)").select("component_id", F.col("m.doc_id").alias("best")))
+        gone = (classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+                .join(swap.select(F.col("best").alias("__gone")), "__gone", "left_anti").unionByName(swap.select(F.col("component_id").alias("__gone"))))
+    gone = gone.distinct().checkpoint()
+    return rows.join(_few(gone), F.col("__key") == F.col("__gone"), "left_anti").select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

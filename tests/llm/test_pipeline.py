@@ -1,11 +1,11 @@
 """The pipeline against a composition of brute-force stages."""
 
 import corpus_pipeline
-from helpers import documents, saved
+from helpers import DOCS, documents, saved
 from test_ngram_join import brute as classes
 from test_packing import check
 
-from busframes.llm import byte_cnn
+from busframes.llm import byte_cnn, ngram_join, suffix_repeats
 from busframes.llm.suffix_repeats import whole_chars
 
 ITEM = "the secret question of the benchmark asks how many small green apples lie under the old oak tree today"
@@ -78,6 +78,22 @@ def test_run_equals_brute_force(spark, tmp_dir):
     assert {r.doc_id for r in rows} == set(left)
 
 
+def test_repeated_rows_leave_one_document(spark, tmp_dir):
+    """Rows repeated whole, rows without doc_id and a doc_id with two texts:
+    one row of each group stays and its text reaches the packing."""
+    a, b, c, d, e = (words(200 + i, 120) for i in range(5))
+    rows = [(1, a), (1, a), (1, a), (None, b), (None, b), (None, b + " ending"), (2, c), (7, d), (7, e), (9, d), (None, d), (3, e), (None, c),
+            (11, None), (11, None), (None, ""), (None, None), (12, a.upper()), (12, words(210, 50))]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], DOCS).repartition(3)
+    saved(spark, tmp_dir, documents=docs)
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(spark, docs, tmp_dir).collect()), key=repr)
+    of_b = [x for x in kept if x[0] is None and x[1]]
+    assert len(of_b) == 1 and of_b[0][1] in (b, b + " ending")
+    assert [x for x in kept if x not in of_b] == sorted([(1, a), (2, c), (3, e), (7, d), (11, None), (None, ""), (None, None), (12, words(210, 50))], key=repr)
+    left = suffix_repeats.drop_repeats(spark, ngram_join.keep_one(spark, docs, tmp_dir), tmp_dir)
+    assert {r.text for r in left.collect()} >= {a, c, d, e, of_b[0][1]}
+
+
 def test_stages_keep_the_columns(spark, tmp_dir):
     docs = documents(spark, texts()).withColumnRenamed("source", "rid")
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
