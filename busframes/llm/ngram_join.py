@@ -358,6 +358,25 @@ def _large(members: DataFrame, docs: DataFrame, k: int, percent: int, most: int)
     return last if links is None else links.unionByName(last)
 
 
+def _by_text(docs: DataFrame, several: DataFrame, k: int, percent: int, block_shingles: int) -> DataFrame:
+    """(_id, component): classes where the doc_ids ``several`` have different
+    texts. Each of these texts is joined under a key of its own, then the texts
+    of a doc_id are linked."""
+    rows = _texts(docs).filter("doc_id is not null").join(_few(several.withColumn("_s", F.lit(True))), "doc_id", "left")
+    own = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).bitwiseOR(F.lit(1 << 62))
+    rows = rows.withColumn("key", F.when(F.col("_s"), own).otherwise(F.col("doc_id")))
+    keys = rows.filter("_s").select("key", "doc_id").distinct().checkpoint()
+    found = jaccard_classes(rows.select(F.col("key").alias("doc_id"), "text"), k, percent, block_shingles)
+    edges = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    comp = connected_components(edges.unionByName(keys.select(F.col("key").alias("a"), F.col("doc_id").alias("b"))))
+    real = comp.join(_few(keys.select(F.col("key").alias("id"))), "id", "left_anti").checkpoint()
+    least = real.groupBy("component").agg(F.min("id").alias("least"))
+    # the least node is a doc_id unless all doc_ids of a class lie above the keys
+    least = least.filter("least <> component")
+    return (real.join(_few(least), "component", "left")
+            .select(F.col("id").alias("_id"), F.coalesce("least", "component").alias("component")))
+
+
 def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, block_shingles: int = 2_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
@@ -366,6 +385,11 @@ def jaccard_classes(docs: DataFrame, k: int = 5, percent: int = 80, block_shingl
     signatures(docs, k).write.parquet(path)
     sign = spark.read.parquet(path)
     plain = sign.select("doc_id", "n", "set_hash").filter("n > 0 and doc_id is not null")
+    several = plain.groupBy("doc_id").agg((F.min("set_hash") != F.max("set_hash")).alias("s")).filter("s").select("doc_id").checkpoint()
+    if several.limit(1).count():
+        comp = _by_text(docs, several, k, percent, block_shingles)
+        return (sign.join(comp, F.col("doc_id") == F.col("_id"), "left")
+                .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
     # copies meet in salted groups first: a set with a third of all rows is spread over SALTS tasks
     salted = plain.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
     some = salted.groupBy("set_hash", "n", "salt").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).checkpoint()

@@ -106,3 +106,14 @@ def test_stage_keeps_one_of_each_class(spark):
     base = " ".join(f"k{i}" for i in range(80))
     docs = documents(spark, [base, base + " end", base, "alone among the documents here", None, None, ""])
     assert sorted(r.doc_id for r in J.keep_one(spark, docs, "").collect()) == [0, 3, 4, 5, 6]
+
+
+def test_each_text_of_a_doc_id_is_searched(spark):
+    """A doc_id with a copy of a lower document and a near copy of another
+    joins both classes."""
+    r = random.Random(8)
+    x, y, z = (" ".join(f"v{r.randrange(10 ** 6)}" for _ in range(80)) for _ in range(3))
+    docs = spark.createDataFrame([(1, x), (5, x), (5, y), (9, y + " end"), (7, z), (4, z), (4, ""), (8, y.split()[0])], "doc_id long, text string")
+    rows = J.jaccard_classes(docs, 5, 80).collect()
+    assert len(rows) == 8
+    assert {w.doc_id: w.component_id for w in rows} == {1: 1, 5: 1, 9: 1, 7: 4, 4: 4, 8: 8}
