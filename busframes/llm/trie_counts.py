@@ -173,7 +173,8 @@ def token_counts(docs: DataFrame, vocabulary_path: str | None = None, keep: tupl
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c) for c in keep), pa.array(np.diff(pre_offs) + white),
                      pa.array(np.bincount(text, tokens[found], n).astype(np.int64) + white),
-                     pa.array(np.bincount(text, best[found], n) + np.bincount(of, worth[buf[lone]], n))],
+                     # bincount of nothing counts in whole numbers, weights or not
+                     pa.array((np.bincount(text, best[found], n) + np.bincount(of, worth[buf[lone]], n)).astype(float))],
                     [*keep, "n_pre_tokens", "n_tokens", "log_prob"])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}

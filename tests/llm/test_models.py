@@ -225,6 +225,18 @@ def test_counts_against_plain_viterbi(spark):
         assert math.isclose(r.log_prob, sum(want[p][1] for p in parts), rel_tol=1e-9, abs_tol=1e-9)
 
 
+def test_counts_of_tasks_with_one_edge_text_each(spark):
+    for text in (None, "", " \n", "one"):
+        row = trie_counts.token_counts(documents(spark, [text]).coalesce(1)).first()
+        assert (row.n_tokens > 0) == bool(text) and isinstance(row.log_prob, float)
+
+
+def test_counts_of_repeated_rows_and_other_columns(spark):
+    docs = documents(spark, ["some words here", ""]).withColumnRenamed("source", "n_tokens").withColumnRenamed("lang", "log_prob")
+    rows = trie_counts.token_counts(docs.unionByName(docs)).collect()
+    assert sorted((r.doc_id, r.n_pre_tokens) for r in rows) == [(0, 3), (0, 3), (1, 0), (1, 0)]
+
+
 def test_trie_shares_prefixes_and_long_words():
     words = [b" " + w for w in (b"token", b"tokens", b"tokenizer", b"to", b"unrelated", b"q" * 500)]
     buf = np.frombuffer(b"".join(words) + bytes(16), np.uint8)
