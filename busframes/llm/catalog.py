@@ -2,7 +2,7 @@
 their DuckDB oracles."""
 
 from busframes.llm import (
-    byte_cnn, ngram_join, packing, periodic_runs, quality_rules, string_tiling, suffix_repeats, suffix_tree_lm, tool_calls, toxic_fm, trie_counts,
+    byte_cnn, collocations, ngram_join, packing, periodic_runs, quality_rules, string_tiling, suffix_repeats, suffix_tree_lm, tool_calls, toxic_fm, trie_counts,
 )
 
 QUERIES = {
@@ -17,9 +17,11 @@ QUERIES = {
     "op9_ngram_join": ngram_join.query,
     "op10_adaptive_quality_rules": quality_rules.query,
     "op12_periodic_runs": periodic_runs.query,
+    "op13_phrase_automata": collocations.query,
 }
 ORACLE_SQL = {
     "op1_tool_call_linking": tool_calls.ORACLE_SQL,
     "op9_ngram_join": ngram_join.ORACLE_SQL,
     "op10_adaptive_quality_rules": quality_rules.ORACLE_SQL,
+    "op13_phrase_automata": collocations.ORACLE_SQL,
 }
