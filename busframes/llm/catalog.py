@@ -2,7 +2,7 @@
 their DuckDB oracles."""
 
 from busframes.llm import (
-    byte_cnn, collocations, ngram_join, packing, periodic_runs, quality_rules, string_tiling, suffix_repeats, suffix_tree_lm, tool_calls, toxic_fm, trie_counts,
+    byte_cnn, collocations, fingerprints, ngram_join, packing, periodic_runs, quality_rules, string_tiling, suffix_repeats, suffix_tree_lm, tool_calls, toxic_fm, trie_counts,
 )
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_suffix_repeats": suffix_repeats.query,
     "op9_ngram_join": ngram_join.query,
     "op10_adaptive_quality_rules": quality_rules.query,
+    "op11_bottom_k_fingerprints": fingerprints.query,
     "op12_periodic_runs": periodic_runs.query,
     "op13_phrase_automata": collocations.query,
 }
