@@ -64,6 +64,24 @@ def hex_payload_word(hex_text) -> Column:
     return wrapped.otherwise(unsigned).cast("bigint")
 
 
+def hex_digits(hex_text) -> Column:
+    """The digits of a hex payload text (two a byte), without its blanks."""
+    return F.replace(_c(hex_text), F.lit(" "), F.lit(""))
+
+
+_LOW_NIBBLES = 0x0F0F0F0F0F0F0F0F
+
+
+def hex_digits_word(digits) -> Column:
+    """``hex_payload_word`` of a payload's digits (see ``hex_digits``): the
+    reversed digits as one signed number, then each byte's two digits swapped
+    back. No array of tokens, no decimals."""
+    low = F.lit(_LOW_NIBBLES).cast("bigint")
+    turned = F.conv(F.reverse(F.substring(_c(digits), 1, 16)), 16, -10).cast("bigint")
+    word = _shl(turned.bitwiseAND(low), F.lit(4)).bitwiseOR(_ushr(turned, F.lit(4)).bitwiseAND(low))
+    return F.coalesce(word, F.lit(0).cast("bigint"))
+
+
 def hex_payload_size(hex_text) -> Column:
     """Number of bytes in a hex payload text."""
     return F.size(F.split(F.trim(_c(hex_text)), " +"))

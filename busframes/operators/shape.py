@@ -39,6 +39,13 @@ def values_in_order(map_col="map", names="names") -> F.Column:
     return F.transform(n, lambda x: m[x])
 
 
+def wide_from_names(decoded: DataFrame, signal_names: list[str], keep: tuple = ("ts",)) -> DataFrame:
+    """Positional values + carried names -> one column per signal name (null
+    where the message has none): a lookup of the name's position, no map."""
+    at = {n: F.array_position("names", n).cast("int") for n in signal_names}
+    return decoded.select(*keep, *[F.when(at[n] > 0, F.get("vals", at[n] - 1)).alias(n) for n in signal_names])
+
+
 def wide_from_map(decoded: DataFrame, signal_names: list[str],
                   keep: tuple = ("ts",)) -> DataFrame:
     """Map form -> one column per signal name (null where absent)."""
@@ -70,6 +77,12 @@ def map_to_cells(decoded: DataFrame, row_key: str, family: str, map_col: str = "
         "row_key", F.lit(family).alias("family"), "qualifier", F.col("v").cast("string").alias("value"))
 
 
+def long_to_cells(long: DataFrame, row_key: str, family: str) -> DataFrame:
+    """Long rows -> key-value cells, value as text."""
+    return long.select(F.col(row_key).cast("string").alias("row_key"), F.lit(family).alias("family"),
+                       F.col("signal_name").alias("qualifier"), F.col("value").cast("string").alias("value"))
+
+
 def sorted_cells(cells: DataFrame) -> DataFrame:
     """Cells range-partitioned and sorted by (row_key, qualifier): each output
     partition is one contiguous, ordered key range (bulk-load order)."""

@@ -21,12 +21,12 @@ from busframes.functions import (
 from busframes.functions.bits import idiv
 from busframes.functions.timefmt import MILLIS_FORMAT, today_string
 from busframes.operators.decode import (
-    decode_frames_array, decode_frames_long, decode_frames_map,
+    decode_frames_array, decode_frames_long, decode_frames_map, decode_text_array, decode_text_long,
 )
 from busframes.operators.partition import cluster_by_id, count_rows, preview, range_by_id_ts, write_partitioned
 from busframes.operators.shape import (
-    long_from_array, long_from_map, map_to_cells, replay, strings_map,
-    values_in_order, wide_from_map, wide_to_cells,
+    long_from_array, long_to_cells, replay, strings_map,
+    wide_from_names, wide_to_cells,
 )
 from busframes.session import shared_dir
 from busframes.sinks.delivery import RecordingClient, deliver
@@ -96,9 +96,16 @@ def q_decode_long_rows(spark, sf_dir):
 
 
 def q_decode_map_totals(spark, sf_dir):
-    """Map-form decode of hex payload text, sum per (message, signal)."""
+    """Decode of hex payload text by name, sum per (message, signal);
+    rows need no map, so none is built."""
+    return _long_totals(decode_text_long(_text_frames(spark, sf_dir), _dictionary(spark)))
+
+
+def q_map_rows(spark, sf_dir):
+    """D1 where the map is the output: entries of each frame's map."""
     dec = decode_frames_map(_text_frames(spark, sf_dir), _dictionary(spark))
-    return _long_totals(long_from_map(dec))
+    return dec.select("ts", "id", "botschaft", F.size("map").alias("n_signals"), F.array_join(F.array_sort(F.transform(
+        F.map_entries("map"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ",").alias("entries"))
 
 
 def q_extract_bits_columns(spark, sf_dir):
@@ -295,17 +302,17 @@ def q_signal_lists(spark, sf_dir):
 
 
 def q_wide_message_rows(spark, sf_dir):
-    """P18 (+ K2/K3 shaping): map form -> one column per signal name."""
+    """P18 (+ K2/K3 shaping): one column per signal name of the dictionary."""
     d = _dictionary(spark)
-    dec = decode_frames_map(_text_frames(spark, sf_dir), d)
-    names = sorted({n for n, _, _ in fx.FIXTURE_SIGNALS} | {n for n, _, _ in fx.ALT_MESSAGE[2]})
-    return wide_from_map(dec, names, keep=("ts", "id", "botschaft"))
+    dec = decode_text_array(_text_frames(spark, sf_dir), d, with_names=True)
+    names = sorted({n for _, _, signals in d.layouts() for n in signals})
+    return wide_from_names(dec, names, keep=("ts", "id", "botschaft"))
 
 
 def q_ordered_map_values(spark, sf_dir):
-    """P20: map values in the order of the layout of (id, message)."""
-    dec = decode_frames_map(_text_frames(spark, sf_dir), _two_layouts(spark), with_names=True)
-    return dec.select("ts", "id", "botschaft", F.array_join(values_in_order("map", "names"), ",").alias("values_text"))
+    """P20: values in the order of the layout of (id, message)."""
+    dec = decode_text_array(_text_frames(spark, sf_dir), _two_layouts(spark))
+    return dec.select("ts", "id", "botschaft", F.array_join("vals", ",").alias("values_text"))
 
 
 def q_insert_statements_batched(spark, sf_dir):
@@ -315,11 +322,10 @@ def q_insert_statements_batched(spark, sf_dir):
 
 
 def q_insert_statements_grouped(spark, sf_dir):
-    """K5 + P20: map form in dictionary order, 20,000 rows per statement,
+    """K5 + P20: values in dictionary order, 20,000 rows per statement,
     tables suffixed ``_1_2``."""
-    dec = decode_frames_map(_text_frames(spark, sf_dir), _two_layouts(spark), with_names=True)
-    vals = dec.select("ts", "id", "botschaft", values_in_order("map", "names").alias("vals"))
-    return insert_statements(vals, batch_rows=20000, prefix="", suffix="_1_2")
+    dec = decode_text_array(_text_frames(spark, sf_dir), _two_layouts(spark))
+    return insert_statements(dec, batch_rows=20000, prefix="", suffix="_1_2")
 
 
 def q_line_protocol_points(spark, sf_dir):
@@ -349,10 +355,10 @@ def _row_key(botschaft="botschaft", ts="ts") -> F.Column:
 
 
 def q_key_value_cells(spark, sf_dir):
-    """P22 + K9: map rows -> cells sorted by (row key, qualifier), written
-    as parquet and read back."""
-    dec = decode_frames_map(_text_frames(spark, sf_dir), _dictionary(spark))
-    cells = map_to_cells(dec.withColumn("rk", _row_key()), "rk", "signals")
+    """P22 + K9: decoded signals -> cells sorted by (row key, qualifier),
+    written as parquet and read back."""
+    dec = decode_text_long(_text_frames(spark, sf_dir), _dictionary(spark))
+    cells = long_to_cells(dec.withColumn("rk", _row_key()), "rk", "signals")
     path = shared_dir(spark, "cells")
     write_sorted_cells(cells, path)
     return spark.read.parquet(path)
@@ -362,9 +368,9 @@ def q_wide_cells(spark, sf_dir):
     """Wide rows -> cells, every column but the row key; null cells
     are not written."""
     d = _dictionary(spark)
-    dec = decode_frames_map(_text_frames(spark, sf_dir), d)
-    names = sorted({n for n, _, _ in fx.FIXTURE_SIGNALS})
-    wide = wide_from_map(dec.withColumn("rk", _row_key()), names, keep=("rk",))
+    dec = decode_text_array(_text_frames(spark, sf_dir), d, with_names=True)
+    names = sorted({n for _, _, signals in d.layouts() for n in signals})
+    wide = wide_from_names(dec.withColumn("rk", _row_key()), names, keep=("rk",))
     return wide_to_cells(wide, "rk", "signals").filter(F.col("value").isNotNull())
 
 
@@ -530,8 +536,8 @@ def q_text_fd_frames(spark, sf_dir):
     beyond the first 8 bytes."""
     frames = split_parsed(parse_text_lines(fx.fd_lines(fx.lineitem(spark, sf_dir)))).frames
     d = SignalDictionary.load(fx.fd_dictionary_rows(spark), persist=False)
-    dec = decode_frames_map(frames, d, keep=("len", "data"))
-    return dec.select("ts", "id", "len", "data", F.col("map")["late"].alias("late"), F.col("map")["cross"].alias("cross"))
+    dec = decode_text_array(frames, d, keep=("len", "data"), with_names=True)
+    return wide_from_names(dec, ["late", "cross"], keep=("ts", "id", "len", "data"))
 
 
 def q_text_malformed_rejects(spark, sf_dir):
@@ -590,6 +596,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_signal_totals": q_decode_signal_totals,
     "decode_long_rows": q_decode_long_rows,
     "decode_map_totals": q_decode_map_totals,
+    "decode_map_rows": q_map_rows,
     "extract_bits_columns": q_extract_bits_columns,
     "text_trace_scan": q_text_trace_scan,
     "text_trace_rejects": q_text_trace_rejects,

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from busframes.functions.bits import bytes_to_hex, idiv
 from busframes.functions.timefmt import micros_to_millis_timestamp, micros_to_string
-from busframes.operators.decode import decode_frames_array, decode_frames_map
+from busframes.operators.decode import decode_frames_array, decode_text_array
 from busframes.operators.partition import count_rows, preview, write_partitioned
-from busframes.operators.shape import long_from_array, long_from_map, replay, values_in_order
+from busframes.operators.shape import long_from_array, replay
 from busframes.plans.views import export_message_tables
 from busframes.session import checkpoint_base, shared_dir
 from busframes.sinks.delivery import RecordingClient, deliver, write_by_key, write_jdbc
@@ -32,7 +32,7 @@ from busframes.sources.text_trace import ParsedTrace, split_parsed
 class JobSpec:
     name: str
     source: str                    # "text" | "binary"
-    decode: str                    # "none" | "map" | "array"
+    decode: str                    # "none" | "map" (by name: a repeated name keeps its last layout) | "array"
     sink: str                      # see SINKS
     replay: bool = False           # 11-day replay of binary frames
     message_id: int | None = None  # keep one message (filter on id before the join)
@@ -146,19 +146,12 @@ def decode(frames: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> Da
     if spec.decode == "none":
         return frames
     if spec.decode == "map":
-        return decode_frames_map(frames, dictionary, with_names=True)
+        return decode_text_array(frames, dictionary, with_names=True)
     if spec.decode == "array":
         return decode_frames_array(frames, dictionary, with_names=True)
     raise ValueError(f"unknown decode {spec.decode!r}")
 
 
-def _as_array(decoded: DataFrame) -> DataFrame:
-    """Map form -> positional values in dictionary order."""
-    if "vals" in decoded.columns:
-        return decoded
-    return decoded.select("ts", "id", "botschaft", "names", values_in_order("map", "names").alias("vals"))
-
-
 def shape(decoded: DataFrame, spec: JobSpec) -> DataFrame:
     """The rows the sink receives."""
     if spec.sink == "module_tables":
@@ -171,19 +164,18 @@ def shape(decoded: DataFrame, spec: JobSpec) -> DataFrame:
         return preview(decoded, spec.preview_rows, cols)
     if spec.sink == "count":
         return count_rows(decoded)
-    arr = _as_array(decoded)
     if spec.sink == "message_tables":
         # names are per message: kept in the dictionary, not on every row
-        return arr.select("botschaft", "ts", "id", "vals")
+        return decoded.select("botschaft", "ts", "id", "vals")
     if spec.sink == "statements":
-        return insert_statements(arr, spec.batch_rows, prefix=spec.prefix, suffix=spec.suffix,
+        return insert_statements(decoded, spec.batch_rows, prefix=spec.prefix, suffix=spec.suffix,
                                  device=spec.device, tag_number=spec.tag_number)
     if spec.sink == "rows":
-        return wide_store_rows(arr, spec.device)
+        return wide_store_rows(decoded, spec.device)
     if spec.sink == "points":
-        return line_protocol(arr, spec.device)
+        return line_protocol(decoded, spec.device)
     if spec.sink == "csv":
-        return long_from_map(decoded) if "map" in decoded.columns else long_from_array(arr).drop("pos")
+        return long_from_array(decoded).drop("pos")
     raise ValueError(f"unknown sink {spec.sink!r}")
 
 

@@ -69,14 +69,16 @@ def unique_names(info) -> F.Column:
 class SignalDictionary:
     """Aggregated dictionary plus its size, measured once (persist + count).
 
-    ``messages``: identifier, botschaft, info. ``n_bytes``, the size of a
-    broadcast copy, decides the join strategy.
+    ``messages``: identifier, botschaft, info. ``n_bytes`` and
+    ``n_signal_bytes``, the sizes of a broadcast copy of the messages and of
+    one row per signal, decide the join strategy.
     """
 
     messages: DataFrame
     n_messages: int
     n_signals: int
     n_bytes: int
+    n_signal_bytes: int
 
     @classmethod
     def load(cls, rows: DataFrame, persist: bool = True) -> "SignalDictionary":
@@ -88,16 +90,29 @@ class SignalDictionary:
         row_bytes = F.lit(64) + F.octet_length("botschaft") + F.size("info") * F.lit(56) + names
         stats = messages.agg(F.count(F.lit(1)).alias("m"),
                              F.coalesce(F.sum(F.size("info")), F.lit(0)).alias("s"),
-                             F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
-        return cls(messages, int(stats["m"]), int(stats["s"]), int(stats["b"]))
+                             F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b"),
+                             F.coalesce(F.sum(names + F.size("info") * (F.lit(96) + F.octet_length("botschaft"))), F.lit(0)).alias("r")).first()
+        return cls(messages, int(stats["m"]), int(stats["s"]), int(stats["b"]), int(stats["r"]))
 
     @property
     def broadcastable(self) -> bool:
         return self.n_bytes <= MAX_BROADCAST_BYTES
 
+    @property
+    def signals_broadcastable(self) -> bool:
+        return self.n_signal_bytes <= MAX_BROADCAST_BYTES
+
     def with_unique_names(self) -> DataFrame:
         return self.messages.withColumn("info", unique_names("info"))
 
+    def signal_rows(self, unique: bool = False) -> DataFrame:
+        """The layouts taken apart: identifier, botschaft, pos, signal_name,
+        start and len, one row per signal. ``unique``: of signals with one
+        name in a message the later one only."""
+        messages = self.with_unique_names() if unique else self.messages
+        return (messages.select("identifier", "botschaft", F.posexplode("info").alias("pos", "sig"))
+                .select("identifier", "botschaft", "pos", "sig.signal_name", F.col("sig.startBit").alias("start"), "sig.len"))
+
     def message_by_identifier(self) -> DataFrame:
         """One message name per identifier (the smallest, deterministic)."""
         return (self.messages.groupBy("identifier")

@@ -37,7 +37,8 @@ def keep_frame_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 def tokenize(col) -> F.Column:
     """Blank-separated tokens of a line."""
     col = F.col(col) if isinstance(col, str) else col
-    return F.array_remove(F.split(F.translate(col, "\t\r", "  "), " "), "")
+    plain = F.when(col.contains("\t") | col.contains("\r"), F.translate(col, "\t\r", "  ")).otherwise(col)
+    return F.array_remove(F.split(plain, " "), "")
 
 
 HEX_BYTES = "^[0-9A-Fa-f]{2}( [0-9A-Fa-f]{2})*$"
@@ -47,9 +48,9 @@ def parse_text_lines(lines: DataFrame, col: str = "value",
                      source_col: str | None = None) -> DataFrame:
     """Split and type each line; ``reject`` is null for good frames.
 
-    The split runs inside a one-row ``inline`` (a Generate): predicates on
-    the parsed columns cannot be pushed below a Generate, so a later
-    ``reject`` filter does not split the line again per referenced token.
+    The split runs inside a one-row ``inline`` (a Generate), and so do the
+    checks: predicates on a Generate's columns cannot be pushed below it, so a
+    later ``reject`` filter neither splits the line again nor repeats a check.
     """
     source = F.col(source_col) if source_col else F.lit(None).cast("string")
     split = lines.select(F.inline(F.array(F.struct(
@@ -74,7 +75,8 @@ def parse_text_lines(lines: DataFrame, col: str = "value",
               .when(~F.lower("dir").isin("rx", "tx"), F.lit("bad direction"))
               .when(F.col("len").isNull(), F.lit("bad byte count"))
               .when(~payload | longer, F.lit("payload differs from byte count")))
-    return parsed.withColumn("reject", reason).drop("tokens", "_next")
+    kept = [c for c in parsed.columns if c not in ("tokens", "_next")]
+    return parsed.select(F.inline(F.array(F.struct(*kept, reason.alias("reject")))))
 
 
 def split_parsed(parsed: DataFrame) -> ParsedTrace:

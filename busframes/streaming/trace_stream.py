@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from busframes.operators.decode import decode_frames_long, decode_frames_map
-from busframes.operators.shape import long_from_map
+from busframes.operators.decode import decode_frames_long, decode_text_long
 from busframes.sources.binary_trace import split_framed
 from busframes.sources.dictionary import SignalDictionary
 from busframes.sources.recording_source import REMEMBER, frame_files, new_recordings
@@ -59,7 +58,7 @@ def decode_text_stream(spark: SparkSession, input_dir: str, dictionary: SignalDi
              .option("maxFileAge", REMEMBER).load(input_dir)
              .select("value", F.col("_metadata.file_path").alias("source")))
     parsed = parse_text_lines(keep_frame_lines(lines), source_col="source")
-    return _start(parsed, split_parsed, lambda f: long_from_map(decode_frames_map(f, dictionary)),
+    return _start(parsed, split_parsed, lambda f: decode_text_long(f, dictionary).drop("pos"),
                   output_path, rejects_path, checkpoint, available_now)
 
 

@@ -104,3 +104,16 @@ def test_today_and_hour_stamp(spark):
                               hour_stamp_to_millis(F.lit("not-a-stamp")).alias("bad")).first()
     assert r.d == datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d")
     assert (r.h, r.ms, r.bad) == ("2020092800", 1601251200000, None)
+
+
+def test_hex_digits_word_is_the_payload_word(spark):
+    import random
+
+    from busframes.functions.bits import hex_digits, hex_digits_word
+
+    rng = random.Random(4)
+    rows = [(" ".join(f"{rng.randrange(256):02X}" for _ in range(n)),) for n in [1, 2, 7, 8, 8, 8, 9, 64] * 20] + [("FF " * 7 + "FF",), ("00 " * 7 + "80",), ("",)]
+    df = spark.createDataFrame(rows, "h string")
+    for r in df.select("h", hex_digits_word(hex_digits("h")).alias("w")).collect():
+        data = bytes.fromhex(r.h)[:8]
+        assert r.w == int.from_bytes(data.ljust(8, b"\0"), "little", signed=True)

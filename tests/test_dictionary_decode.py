@@ -123,3 +123,30 @@ def test_salted_join_spreads_a_hot_id(spark, monkeypatch):
     total = sum(sizes)
     assert total == 12000 * 2 + 8000          # 0x7A fans out to two messages
     assert max(sizes) < 0.15 * total           # no task holds the hot id alone
+
+
+def test_text_forms_agree(spark):
+    """Long, array, wide and map forms of one table, with a repeated name, a
+    signal beyond the payload and an FD payload; broadcast or salted."""
+    from dataclasses import replace
+
+    from busframes.operators.decode import decode_text_array, decode_text_long
+    from busframes.operators.shape import wide_from_names
+    from busframes.sources import dictionary as D
+
+    rows = [(1, "A", "x", 0, 8), (1, "A", "y", 8, 16), (1, "A", "x", 40, 4), (1, "B", "far", 100, 12), (2, "C", "z", 0, 64)]
+    d = SignalDictionary.load(spark.createDataFrame(rows, "identifier int, botschaft string, signal_name string, startBit int, len int"), persist=False)
+    frames = spark.createDataFrame([(1, 10, "01 02 03 04 05 F6 07 08"), (1, 20, " ".join(f"{i:02X}" for i in range(16))), (2, 30, "FF FF FF FF FF FF FF FF"),
+                                    (2, 40, "01"), (9, 50, "01")], "id int, ts long, data string")
+    want = None
+    for limit in (D.MAX_BROADCAST_BYTES, 0):
+        sized = replace(d, n_bytes=d.n_bytes if limit else limit + D.MAX_BROADCAST_BYTES + 1, n_signal_bytes=d.n_signal_bytes if limit else D.MAX_BROADCAST_BYTES + 1)
+        long = {(r.ts, r.botschaft, r.signal_name): r.value for r in decode_text_long(frames, sized).collect()}
+        array = {(r.ts, r.botschaft, n): v for r in decode_text_array(frames, sized, with_names=True).collect() for n, v in zip(r.names, r.vals)}
+        maps = {(r.ts, r.botschaft, n): v for r in decode_frames_map(frames, sized).collect() for n, v in r.map.items()}
+        assert long == array == maps and (want is None or long == want)
+        want = long
+    assert want[10, "A", "x"] == 6 and want[10, "A", "y"] == 0x0302 and want[10, "B", "far"] is None and want[20, "B", "far"] == (0x0D0C >> 4) & 0xFFF
+    assert want[30, "C", "z"] == -1 and want[40, "C", "z"] is None
+    wide = {(r.ts, r.botschaft): (r.x, r.far) for r in wide_from_names(decode_text_array(frames, d, with_names=True), ["x", "far"], keep=("ts", "botschaft")).collect()}
+    assert wide[10, "A"] == (6, None) and wide[20, "B"][0] is None

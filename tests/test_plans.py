@@ -60,3 +60,23 @@ def test_partitioned_write_runs_its_input_once(spark, tmp_dir):
     df = spark.range(0, 20_000, 1, 4).selectExpr("id % 3 as k", "id as ts").mapInArrow(count, "k long, ts long")
     write_partitioned(df, f"{tmp_dir}/once", ["k"])
     assert seen.value == 20_000 and spark.read.parquet(f"{tmp_dir}/once").count() == 20_000
+
+
+def test_totals_and_cells_build_no_map(spark):
+    """Rows by name come from the join with one row per signal: no map, no
+    lambda, the payload word below the join."""
+    from busframes.operators.decode import decode_text_long
+
+    d = SignalDictionary.load(fx.dictionary_rows(spark), persist=False)
+    lines = fx.text_trace_lines(spark, fx.raw_frames(fx.lineitem(spark, SF)))
+    long = decode_text_long(split_parsed(parse_text_lines(lines)).frames, d)
+    plan = _plan(long.groupBy("signal_name").agg(F.sum("value")))
+    assert "map_from_arrays" not in plan and plan.count("BroadcastHashJoin") == 1
+    decode = plan[:plan.index("BroadcastHashJoin")]
+    assert "lambda" not in decode and "conv(" not in decode
+
+
+def test_checks_of_a_line_run_once(spark):
+    lines = spark.createDataFrame([("   0.000100 1  65       Rx   d 2 0A 0B",)], "value string")
+    plan = _plan(split_parsed(parse_text_lines(keep_frame_lines(lines))).frames)
+    assert plan.count("^[0-9A-Fa-f]{2}( [0-9A-Fa-f]{2})*$") == 1
