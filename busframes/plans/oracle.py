@@ -102,9 +102,9 @@ ORACLE_SQL: dict[str, str] = {
     "decode_signal_totals": _with(_F, _sig()) + _TOTALS,
     "decode_long_rows": _with(_F, _sig()) + "SELECT ts, id, botschaft, pos, signal_name, value FROM sig",
     "decode_map_totals": _with(_F, _sig("ts_ns")) + _TOTALS,
-    "decode_map_rows": _with(_F, _sig("ts_ns")) + """SELECT ts, id, botschaft, CAST(count(*) AS INTEGER) AS n_signals,
-  string_agg(signal_name || '=' || CAST(value AS VARCHAR), ',' ORDER BY signal_name) AS entries
-FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ts, id, botschaft, pos) AS INTEGER) AS again FROM sig) GROUP BY ts, id, botschaft, again""",
+    "decode_map_rows": _with(_F) + f"""SELECT ts_ns AS ts, id, 'MSG_' || id AS botschaft, 5 AS n_signals,
+  replace({_FIELDS_SORTED}, 'i,', ',')[:-2] AS entries FROM f WHERE {_MSG}
+UNION ALL SELECT ts_ns, id, 'MSG_ALT', 1, 'orderkey=' || CAST(ok & 65535 AS VARCHAR) FROM f WHERE id = 101""",
     "extract_bits_columns": _with(_F) + f"""SELECT ts, id,
   CAST({_FLAG} AS BIGINT) AS b_31_1, CAST(({_LE} >> 4) & 4095 AS BIGINT) AS b_4_12,
   CAST({_MID} AS BIGINT) AS b_20_20, CAST({_LE} AS BIGINT) AS b_0_64, CAST(NULL AS BIGINT) AS b_60_8 FROM f""",
