@@ -181,6 +181,58 @@ def q_binary_frame_blobs(spark, sf_dir):
                                                       lambda a, x: a + x)).alias("sum_bytes"))
 
 
+def q_recordings_pushed_scan(spark, sf_dir):
+    """S2 + F2 + F4 as a data source: conditions on id, module and ts are
+    taken by the recordings scan; other records are never built."""
+    from busframes.sources.recordings_format import read_recordings
+
+    path = shared_dir(spark, "recordings")
+    fx.write_blobs(_blobs(spark, sf_dir), path)
+    rows = read_recordings(spark, path).filter(
+        F.col("id").isin(102, 105) & (F.col("module") == 2) & (F.col("ts") >= INDEX_FROM) & F.col("reason").isNull())
+    return _with_hex(rows)
+
+
+INDEX_FROM, INDEX_TO = 2_000_000_000, 30_000_000_000
+
+
+def _indexed(spark, sf_dir) -> str:
+    """Recordings with a stored time index; its path."""
+    from busframes.sources.time_index import build_time_index
+
+    path, index = shared_dir(spark, "recordings"), shared_dir(spark, "time-index")
+    fx.write_blobs(_blobs(spark, sf_dir), path)
+    build_time_index(spark, path).write.parquet(index)
+    return index
+
+
+def q_time_index_lookup(spark, sf_dir):
+    """F5 + S6: frames of some ids and a time span, from the chunks that the
+    time index finds."""
+    from busframes.sources.frame_filter import FrameFilter
+    from busframes.sources.time_index import read_indexed
+
+    index = spark.read.parquet(_indexed(spark, sf_dir))
+    return _with_hex(read_indexed(index, FrameFilter(ids=(101, 106), ts_from=INDEX_FROM, ts_to=INDEX_TO)).frames)
+
+
+def q_time_index_totals(spark, sf_dir):
+    """The index alone answers how many frames each time span of a
+    recording holds; added up over all recordings."""
+    return spark.read.parquet(_indexed(spark, sf_dir)).agg(
+        F.sum("n").alias("n"), F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"))
+
+
+def q_decode_trace_function(spark, sf_dir):
+    """Q1 + Q2: a SQL table function over indexed recordings."""
+    from busframes.plans.table_function import register_decode_trace
+
+    name = register_decode_trace(spark, _indexed(spark, sf_dir), _dictionary(spark))
+    return spark.sql(f"""
+        SELECT botschaft, signal_name, module, count(*) AS n, sum(value) AS total
+        FROM {name}('%.bin', 101, {INDEX_FROM}, NULL) GROUP BY botschaft, signal_name, module""")
+
+
 def q_binary_raw_fetch(spark, sf_dir):
     """The untouched recordings, by glob."""
     path = shared_dir(spark, "binary-raw")
@@ -605,6 +657,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "binary_trace_rejects": q_binary_trace_rejects,
     "binary_frame_blobs": q_binary_frame_blobs,
     "binary_raw_fetch": q_binary_raw_fetch,
+    "recordings_pushed_scan": q_recordings_pushed_scan,
+    "time_index_lookup": q_time_index_lookup,
+    "time_index_totals": q_time_index_totals,
+    "decode_trace_function": q_decode_trace_function,
     "control_word_fields": q_control_word_fields,
     "replay_one_message": q_replay_one_message,
     "replay_decode_totals": q_replay_decode_totals,

@@ -121,6 +121,14 @@ FROM k WHERE file_key % 3 = 0 HAVING count(*) > 0""",
     "binary_frame_blobs": _with(_F) + """SELECT id, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts,
   CAST(sum((ok & 255) + ((ok >> 8) & 255) + (pk & 255) + ((pk >> 8) & 255) + (sk & 255) + ((sk >> 8) & 255)
            + (qty & 255) + ln) AS BIGINT) AS sum_bytes FROM f GROUP BY id""",
+    "recordings_pushed_scan": _with(_F) + """SELECT module, ts, id, hex AS data_hex, 8 AS dlc FROM f
+WHERE id IN (102, 105) AND module = 2 AND ts >= 2000000000""",
+    "time_index_lookup": _with(_F) + """SELECT module, ts, id, hex AS data_hex, 8 AS dlc FROM f
+WHERE id IN (101, 106) AND ts BETWEEN 2000000000 AND 30000000000""",
+    "time_index_totals": _with(_F) + "SELECT count(*) AS n, min(ts) AS min_ts, max(ts) AS max_ts FROM f",
+    "decode_trace_function": _with(_F, _sig().replace("SELECT ts AS ts,", "SELECT module, ts AS ts,").replace("SELECT ts, id,", "SELECT module, ts, id,")) + """
+SELECT botschaft, signal_name, module, count(*) AS n, CAST(sum(value) AS BIGINT) AS total
+FROM sig WHERE id = 101 AND ts >= 2000000000 GROUP BY ALL""",
     "binary_raw_fetch": """SELECT printf('part-%06d.bin', l_orderkey // 1000) AS file_name,
   CAST(count(*) * 28 AS BIGINT) AS length FROM lineitem GROUP BY l_orderkey // 1000""",
     "control_word_fields": "SELECT l_orderkey AS orderkey, l_linenumber AS linenumber, " + ", ".join(

@@ -191,17 +191,15 @@ def _frame_batches(batches: Iterator, content_col: str, source_col: str | None):
             yield from _to_batches(source, m, cols, reject)
 
 
-def _framed(source, content, starts, lengths, reject, base: int = 0, ids=None):
-    """Arrow batches of bounded size for records of ``content``; with ``ids``
-    the other records are dropped before anything is built for them."""
+def _framed(source, content, starts, lengths, reject, base: int = 0, where=None):
+    """Arrow batches of bounded size for records of ``content``; with
+    ``where`` (a FrameFilter) other records are dropped by their headers,
+    before anything is built for them."""
     import numpy as np
 
     starts, lengths = np.asarray(starts, np.int64), np.asarray(lengths, np.int64)
-    if ids is not None and len(starts):
-        buf = np.frombuffer(content, np.uint8)
-        at = starts + HEADER_SIZE
-        found = sum(buf[at + k].astype(np.int64) << (24 - 8 * k) for k in range(4))
-        on = np.isin(np.where(found >= 2**31, found - 2**32, found), np.asarray(ids))
+    if where is not None and not where.all and len(starts):
+        on = where.mask(np.frombuffer(content, np.uint8), starts)
         starts, lengths = starts[on], lengths[on]
     for a in range(0, len(starts), BATCH_FRAMES):
         s, n = starts[a:a + BATCH_FRAMES], lengths[a:a + BATCH_FRAMES]
@@ -210,7 +208,7 @@ def _framed(source, content, starts, lengths, reject, base: int = 0, ids=None):
         yield from _to_batches(source, 0, {}, reject, base)
 
 
-def frame_stream(read_chunk, source: str, chunk_bytes: int, ids=None):
+def frame_stream(read_chunk, source: str, chunk_bytes: int, where=None):
     """Frame one recording read sequentially in chunks of ``chunk_bytes``:
     memory stays bounded by the chunk size, whatever the file size.
     ``read_chunk(n)`` returns up to n bytes, ``b""`` at the end."""
@@ -221,7 +219,7 @@ def frame_stream(read_chunk, source: str, chunk_bytes: int, ids=None):
         final = not chunk
         buf = carry + chunk if carry else chunk
         starts, lengths, reject, consumed = _record_starts(buf, final=final)
-        yield from _framed(source, buf, starts, lengths, reject, base, ids)
+        yield from _framed(source, buf, starts, lengths, reject, base, where)
         if final or reject is not None:
             return
         carry = buf[consumed:]
@@ -275,19 +273,23 @@ def read_raw_files(spark: SparkSession, path: str, glob: str | None = None) -> D
 
 def read_binary_trace(spark: SparkSession, path: str, glob: str | None = None,
                       order_by_ts: bool = False, range_bytes: int = RANGE_BYTES,
-                      ids: tuple[int, ...] | None = None) -> ParsedTrace:
+                      ids: tuple[int, ...] | None = None, where=None) -> ParsedTrace:
     """Scan binary recordings (file, directory or glob; any Hadoop URI) into
     raw frames. Files are treated one by one: those up to ``range_bytes`` are
     framed whole, packed into shared tasks; larger ones range by range. The
-    rows don't depend on it. ``ids`` keeps frames with these ids only."""
+    rows don't depend on it. ``ids`` keeps frames with these ids only,
+    ``where`` (a FrameFilter) frames of given ids, modules and times."""
+    from busframes.sources.frame_filter import FrameFilter
     from busframes.sources.recording_source import frame_files, list_recordings
     from busframes.sources.split_framing import read_ranges
 
+    where = where or FrameFilter()
+    where = where if ids is None else where.and_ids(ids)
     files = list_recordings(spark, path, glob)
-    framed = frame_files(files.filter(F.col("length") <= range_bytes), ids=ids)
+    framed = frame_files(files.filter(F.col("length") <= range_bytes), where=where)
     large = files.filter(F.col("length") > range_bytes)
     if large.limit(1).count():
-        framed = framed.unionByName(read_ranges(large, range_bytes, ids))
+        framed = framed.unionByName(read_ranges(large, range_bytes, where))
     out = split_framed(framed)
     if order_by_ts:
         out = ParsedTrace(out.frames.orderBy("ts"), out.rejects, out.rows)

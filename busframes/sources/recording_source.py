@@ -56,9 +56,9 @@ def new_recordings(spark: SparkSession, path: str, glob: str | None, max_files:
     return reader.load(path).select("path", "length")
 
 
-def frame_files(files: DataFrame, chunk_bytes: int = DEFAULT_CHUNK, ids: tuple[int, ...] | None = None) -> DataFrame:
+def frame_files(files: DataFrame, chunk_bytes: int = DEFAULT_CHUNK, where=None) -> DataFrame:
     """Framed rows of whole recordings, each read by one task in chunks.
-    ``ids`` keeps only frames with these ids; others are never built."""
+    ``where`` (a FrameFilter): other frames are never built."""
     from busframes.session import ship_package
     from busframes.sources.binary_trace import FRAMED_SCHEMA
 
@@ -71,6 +71,6 @@ def frame_files(files: DataFrame, chunk_bytes: int = DEFAULT_CHUNK, ids: tuple[i
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with open_file(path) as f:
-                    yield from frame_stream(f.read, path, chunk, ids)
+                    yield from frame_stream(f.read, path, chunk, where)
 
     return files.select(F.col("path")).mapInArrow(run, FRAMED_SCHEMA)

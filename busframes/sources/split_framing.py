@@ -129,15 +129,25 @@ def _entries(batches) -> Iterator:
                 at = int(np.frombuffer(r["exits"], np.int64)[i]) if i < len(entries) and entries[i] == at else -1
 
 
-def read_ranges(files: DataFrame, range_bytes: int, ids: tuple[int, ...] | None = None) -> DataFrame:
-    """Framed rows (FRAMED_SCHEMA) of recordings (path, length), each framed
-    by one task per range."""
+def range_entries(files: DataFrame, range_bytes: int) -> DataFrame:
+    """(path, size, start, end, entry): where each range's first record lies,
+    checkpointed. Ranges that no record begins in are left out."""
     from busframes.session import checkpoint_base, ship_package
 
     spark = files.sparkSession
     checkpoint_base(spark)
     ship_package(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = "path string, size bigint, range_id int, start bigint, end bigint, entries binary, exits binary"
+    # a range is a task's worth of work: spread them before reading
+    maps = _ranges(files, range_bytes).repartition(parts, "path", "range_id").mapInArrow(_maps, kind)
+    return (maps.repartition(parts, "path").sortWithinPartitions("path", "range_id")
+            .mapInArrow(_entries, "path string, size bigint, start bigint, end bigint, entry bigint").checkpoint())
+
 
+def read_ranges(files: DataFrame, range_bytes: int, where=None) -> DataFrame:
+    """Framed rows (FRAMED_SCHEMA) of recordings (path, length), each framed
+    by one task per range."""
     def frame(batches) -> Iterator:
         import numpy as np
 
@@ -150,12 +160,8 @@ def read_ranges(files: DataFrame, range_bytes: int, ids: tuple[int, ...] | None
                 n = int(np.searchsorted(np.asarray(starts, np.int64), end - pos))
                 if reject is not None and reject[0] + pos >= end:
                     reject = None
-                yield from _framed(r["path"], rest, starts[:n], lens[:n], reject, pos, ids)
+                yield from _framed(r["path"], rest, starts[:n], lens[:n], reject, pos, where)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind = "path string, size bigint, range_id int, start bigint, end bigint, entries binary, exits binary"
-    # a range is a task's worth of work: spread them before reading
-    maps = _ranges(files, range_bytes).repartition(parts, "path", "range_id").mapInArrow(_maps, kind)
-    entry = (maps.repartition(parts, "path").sortWithinPartitions("path", "range_id")
-             .mapInArrow(_entries, "path string, size bigint, start bigint, end bigint, entry bigint").checkpoint())
+    entry = range_entries(files, range_bytes)
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return entry.repartition(parts, "path", "start").mapInArrow(frame, FRAMED_SCHEMA)
