@@ -1,17 +1,18 @@
 """Skew-safe row numbering within a key, for fixed-size write batches.
 
 ``row_number() over (partition by key order by ...)`` puts a whole key in one
-task; one hot message can hold a third of the rows. Instead: range-partition
-by (key, order) -- the range partitioner splits a hot key over many tasks --
-number rows inside each partition, and correct them with one small table of
-per-(partition, key) offsets. That table has at most partitions + keys rows
-(each partition holds a contiguous key range), so broadcasting it is bounded.
-
-The numbered rows are checkpointed (reliably, into ``spark.checkpoint.dir``)
-before the offsets are computed: the range partitioner samples with a seed
-tied to the plan instance, so two evaluations of the same plan may cut the
-ranges differently. Reading one materialised copy makes the offsets and the
-rows agree, and a lost executor cannot change them afterwards.
+task; one hot message can hold a third of the rows. Instead every key is cut
+into ranges of its leading order column, as many as its rows need, from a
+quantile sketch per key (``ranges``); a window numbers the rows of each
+(key, range), and a small table of rows before each range of its key corrects
+the numbers.
+
+The cuts are fixed before any row is numbered, so the same row falls into the
+same range in every evaluation: nothing of the input is stored. It is read
+three times, twice for its key and leading order column alone (the sketch, the
+counts; where every key fits one range, the sketch only), so columns that are
+dear to make (a decode) are made once. Stage a trace that is dear to parse.
+Rows with one key and one value of the leading order column stay together.
 """
 
 from __future__ import annotations
@@ -19,41 +20,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row
+from busframes.operators.ranges import MAX_CUTS, cuts_below, cuts_of
+
+KEY_CUTS = 8191          # of one key
+RANGE_ROWS = 1 << 18     # rows of a range, unless that makes more than MAX_CUTS ranges
+
+
+def _same(a: DataFrame, b: DataFrame, key: list[str], prefix: str):
+    cond = F.lit(True)
+    for k in key:
+        cond &= a[k].eqNullSafe(b[f"{prefix}{k}"])
+    return cond
 
 
 def rank_within_key(df: DataFrame, key: list[str], order: list[str],
                     partitions: int | None = None, col: str = "rank") -> DataFrame:
     """Add ``col`` = 0-based rank of the row inside its key by ``order``.
 
-    ``key + order`` must be a total order up to identical rows.
-    """
+    ``key + order`` must be a total order up to identical rows, ``order[0]`` a
+    whole number. ``partitions``: ranges of the whole table (default: by its
+    rows)."""
     from busframes.session import checkpoint_base
 
     checkpoint_base(df.sparkSession)
-    cols = [*key, *order]
-    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    local = (ranged.sortWithinPartitions(*cols)
-             .withColumn("_mid", F.monotonically_increasing_id())
-             .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-             .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-             .drop("_mid")
-             .checkpoint(eager=True))
-    # one row per (partition, key): rows there and the first local index
-    runs = local.groupBy("_pid", *key).agg(F.count(F.lit(1)).alias("_n"),
-                                           F.min("_local").alias("_first"))
-    # rows before each partition: running total over partitions in order
-    before = Window.orderBy("_pid", *key).rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    # global index of a key's first row; per (partition, key): rank = _local + delta
-    key_first = Window.partitionBy(*key)
-    delta = runs.select(
-        "_pid", *key,
-        (F.col("_before") - F.col("_first")
-         - F.min(F.col("_before")).over(key_first)).alias("_delta"))
-    return (local.join(F.broadcast(delta), ["_pid", *key])
-            .withColumn(col, F.col("_local") + F.col("_delta"))
-            .drop("_pid", "_local", "_delta"))
+    lead = F.col(order[0]).cast("bigint")
+    number = F.row_number().over(Window.partitionBy(*key, "_range").orderBy(*order)) - 1
+    stats = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), cuts_of(lead, KEY_CUTS + 1).alias("_all")).checkpoint()
+    total = stats.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    ranges = min(MAX_CUTS, partitions or max(1, total // RANGE_ROWS))
+    n = F.least(F.lit(KEY_CUTS + 1), F.ceil(F.col("_rows") / max(1, total // ranges))).cast("int")
+    most = int(stats.agg(F.max(n)).first()[0] or 1)
+    if most == 1:
+        return df.withColumn("_range", F.lit(0)).withColumn(col, number.cast("bigint")).drop("_range")
+    # at most MAX_CUTS cuts and a row per key: a broadcast of bounded size beside the dictionary's messages
+    cuts = F.when((n > 1) & F.col("_all").isNotNull(), F.transform(
+        F.sequence(F.lit(1), n - 1), lambda i: F.get("_all", F.floor(i.cast("bigint") * (KEY_CUTS + 1) / n).cast("int") - 1))).otherwise(F.array().cast("array<bigint>"))
+    plan = stats.select(*[F.col(k).alias(f"_p_{k}") for k in key], cuts.alias("_cuts"))
+    cut = df.join(F.broadcast(plan), _same(df, plan, key, "_p_"))
+    ranged = cut.withColumn("_range", cuts_below(lead, F.col("_cuts"), most)).drop("_cuts", *[f"_p_{k}" for k in key])
+    sizes = ranged.groupBy(*key, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(k).alias(f"_o_{k}") for k in key], F.col("_range").alias("_o_range"),
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).checkpoint()
+    local = ranged.withColumn("_local", number)
+    # null-safe, or the condition that the range isn't null would work it out twice
+    return (local.join(F.broadcast(offsets), _same(local, offsets, key, "_o_") & local["_range"].eqNullSafe(offsets["_o_range"]))
+            .withColumn(col, F.col("_before") + F.col("_local"))
+            .drop("_range", "_local", "_before", "_o_range", *[f"_o_{k}" for k in key]))
 
 
 def batch_within_key(df: DataFrame, key: list[str], order: list[str], batch_rows: int,

@@ -635,6 +635,19 @@ def q_delivered_batches(spark, sf_dir):
                                   F.min((F.col("day") == today_string()).cast("int")).alias("today")).withColumn("sent", F.lit(sent).cast("bigint"))
 
 
+def q_committed_delivery(spark, sf_dir):
+    """U3 + K6 with commits: rows through a store that publishes a job as a
+    whole, the job run twice under one name; read back from the store."""
+    from busframes.sinks.committed import RecordingStore, deliver_committed
+
+    out = shared_dir(spark, "committed")
+    rows = _frames(spark, sf_dir).select("id", "ts", "module")
+    for _ in range(2):
+        sent = deliver_committed(rows, lambda: RecordingStore(out), 500, "frames")
+    back = _stored(spark, out, "id int, ts bigint, module smallint")
+    return back.groupBy("id", "module").agg(F.count(F.lit(1)).alias("n"), F.sum("ts").alias("sum_ts")).withColumn("sent", F.lit(sent).cast("bigint"))
+
+
 def _utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Queries format and parse times in UTC whatever session runs them."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -678,6 +691,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_protocol_escapes": q_line_protocol_escapes,
     "global_order": q_global_order,
     "delivered_batches": q_delivered_batches,
+    "committed_delivery": q_committed_delivery,
     "frame_time_strings": q_frame_time_strings,
     "module_raw_rows": q_module_raw_rows,
     "distinct_modules": q_distinct_modules,

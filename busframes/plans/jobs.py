@@ -21,7 +21,8 @@ from busframes.operators.partition import count_rows, preview, write_partitioned
 from busframes.operators.shape import long_from_array, replay
 from busframes.plans.views import export_message_tables
 from busframes.session import checkpoint_base, shared_dir
-from busframes.sinks.delivery import RecordingClient, deliver, write_by_key, write_jdbc
+from busframes.sinks.committed import RecordingStore, deliver_committed
+from busframes.sinks.delivery import deliver, write_by_key, write_jdbc
 from busframes.sinks.shaping import insert_statements, line_protocol, wide_store_rows
 from busframes.sources import SignalDictionary, read_binary_trace, read_text_trace
 from busframes.sources.binary_trace import split_framed
@@ -76,13 +77,17 @@ class Target:
     """Where a job's output goes. ``path``: a folder for file outputs and the
     recording client; ``jdbc_url`` + ``jdbc_options``: database tables;
     ``table_writer``: called as (rows, table, batch_rows) in place of the
-    database writer; ``client_factory``: a store client made on each executor."""
+    database writer; ``client_factory``: a store client made on each executor,
+    which gets each row once if it can stage and publish (``sinks.committed``),
+    at least once if it only sends; ``delivery``: a name for this delivery, so
+    that a run repeated after it was published sends nothing."""
     path: str | None = None
     rejects_path: str | None = None
     jdbc_url: str | None = None
     jdbc_options: dict | None = None
     table_writer: Callable[[DataFrame, str, int], None] | None = None
     client_factory: Callable[[], object] | None = None
+    delivery: str | None = None
 
     def tables(self) -> Callable[[DataFrame, str, int], None] | None:
         if self.table_writer is None and self.jdbc_url:
@@ -93,7 +98,13 @@ class Target:
         if self.client_factory is not None:
             return self.client_factory
         root = self.path
-        return lambda: RecordingClient(root)
+        return lambda: RecordingStore(root)
+
+    def send(self, df: DataFrame, batch_rows: int) -> int:
+        factory = self.factory()
+        if hasattr(factory(), "publish"):
+            return deliver_committed(df, factory, batch_rows, self.delivery)
+        return deliver(df, factory, batch_rows)
 
 
 def load_dictionary(spark: SparkSession, spec: JobSpec, tables: dict[str, str], jdbc_options: dict) -> SignalDictionary:
@@ -204,7 +215,7 @@ def deliver_shaped(shaped: DataFrame, spec: JobSpec, target: Target, dictionary:
     elif spec.sink in ("preview", "count"):
         shaped.observe(seen, F.count(F.lit(1)).alias("delivered")).write.mode("overwrite").json(target.path)
     else:
-        return deliver(shaped, target.factory(), spec.batch_rows if spec.sink != "statements" else 1)
+        return target.send(shaped, spec.batch_rows if spec.sink != "statements" else 1)
     return int(seen.get["delivered"])
 
 

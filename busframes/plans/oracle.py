@@ -238,6 +238,8 @@ FROM (SELECT *, list_extract([12, 16, 20, 24, 32, 48, 64], CAST(ln AS INTEGER))
   FROM (SELECT CAST((l_orderkey % 100000) * 1000000 + l_linenumber AS BIGINT) AS ts, l_linenumber AS ln, l_partkey AS pk FROM lineitem)
   WHERE ln % 2 = 1 OR ln % 3 = 0""",
     "global_order": _with(_F) + "SELECT id, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM f GROUP BY id",
+    "committed_delivery": _with(_F) + """SELECT id, module, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts,
+  (SELECT count(*) FROM f) AS sent FROM f GROUP BY id, module""",
     "delivered_batches": _with(_F) + """SELECT id, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts, 1 AS today,
   (SELECT count(*) FROM f) AS sent FROM f GROUP BY id""",
 }

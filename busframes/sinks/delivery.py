@@ -3,8 +3,8 @@
 Spark's own writers where one exists (JDBC, parquet, CSV). For stores without
 a Spark writer, ``deliver`` runs ``foreachPartition`` with a client factory
 called on the executor, sending fixed-size batches; each partition opens one
-client. Delivery is at-least-once: a retried task re-sends its partition, so
-targets should be idempotent on (table, ts) or deduplicate.
+client. That delivery is at-least-once: a retried task re-sends its partition.
+Clients that can stage and publish get each row once (``committed``).
 """
 
 from __future__ import annotations
@@ -29,15 +29,21 @@ def write_by_key(df: DataFrame, key: str, write: Callable[[DataFrame, object], N
     """``write(rows of the key, key value)`` per key value (e.g. one table
     per bus module).
 
-    The key values are read with ``distinct`` (bounded: a handful of modules
-    or a dictionary's messages). The input is checkpointed into the shared
-    folder first, so each per-key write reads materialised rows rather than
-    re-running the scan.
+    The rows are written once, one directory per key value in the shared
+    folder, and each call reads its own directory: the input runs once and no
+    row is read twice. The key values (a handful of modules or a dictionary's
+    messages) are what the directories name.
     """
-    stable = df.checkpoint(eager=True)
-    keys = [r[0] for r in stable.select(key).distinct().collect()]
+    from busframes.operators.partition import write_partitioned
+    from busframes.session import shared_dir
+
+    spark = df.sparkSession
+    path = shared_dir(spark, "by-key")
+    write_partitioned(df, path, [key], within=[])
+    stored = spark.read.schema(df.schema).parquet(path)
+    keys = [r[0] for r in stored.select(key).distinct().collect()]
     for k in keys:
-        write(stable.filter(F.col(key).eqNullSafe(F.lit(k))).drop(key), k)
+        write(stored.filter(F.col(key).eqNullSafe(F.lit(k))).select(*[c for c in df.columns if c != key]), k)
     return keys
 
 

@@ -130,6 +130,17 @@ def test_rank_within_key_sampled_ranges(spark):
     assert joined.filter(F.col("rank") != F.col("ref")).count() == 0
 
 
+def test_rank_within_key_ties_nulls_and_no_single_partition(spark):
+    df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate([(None, 5), ("a", None), ("a", 5), ("a", 5), ("b", -3)] * 300)], "k string, ts long, i long")
+    for parts in (None, 40):
+        r = rank_within_key(df.repartition(3), ["k"], ["ts", "i"], partitions=parts)
+        ref = Window.partitionBy("k").orderBy("ts", "i")
+        assert r.columns == ["k", "ts", "i", "rank"] and r.dtypes[-1][1] == "bigint"
+        assert r.withColumn("ref", F.row_number().over(ref) - 1).filter("rank <> ref").count() == 0 and r.count() == 1500
+        assert "SinglePartition" not in r._jdf.queryExecution().executedPlan().toString()
+    assert rank_within_key(df.limit(0), ["k"], ["ts", "i"]).count() == 0
+
+
 def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
     from types import SimpleNamespace
 
