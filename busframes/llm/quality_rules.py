@@ -9,10 +9,15 @@ into the coarser levels (language, then everything). Fences of each group
 come from its own sketch, or from the next coarser one when the group holds
 fewer than ``min_group`` documents, and are joined back as the filter.
 
+A fence lies ``reach`` spreads beyond a quartile, where the spread is the
+group's own or a least one, small enough that in a clean group the fences for
+repeated words and lines lie far below the fixed base rule.
+
 Defined cases: null text counts as empty (no words, base rule fails); null
 language or source is a group of its own; a document whose text repeats
 another is judged alike; an empty table gives no rows; extra columns of the
-input are ignored.
+input are ignored; a text's arrays of words and windows are held in one row,
+whatever its length.
 """
 
 from __future__ import annotations
@@ -25,8 +30,10 @@ from busframes.session import checkpoint_base
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
-#: (signal, least spread between the quartiles in thousandths, fenced below too)
-SIGNALS = (("word_len", 1000, True), ("symbols", 50, False), ("dup_lines", 200, False), ("repeats", 100, False))
+#: (signal, least spread between the quartiles in thousandths, fenced below too, allowance)
+#: The allowance, in lines or words of one document, doesn't count: a repeated
+#: boilerplate line is a large share of a short clean text.
+SIGNALS = (("word_len", 1000, True, 0), ("symbols", 50, False, 0), ("dup_lines", 60, False, 2), ("repeats", 40, False, 40))
 
 
 def _let(value: Column, body) -> Column:
@@ -84,11 +91,12 @@ def base_failed(min_words: int = 20, max_repeat_percent: int = 30) -> Column:
 
 
 def _scaled() -> dict[str, Column]:
-    """Signals in thousandths, whole numbers."""
+    """Signals in thousandths, whole numbers, beyond their allowance."""
+    free = {k: n for k, _, _, n in SIGNALS}
     words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
     per = {"word_len": (F.col("word_chars"), words), "symbols": (F.col("n_symbols"), words),
            "dup_lines": (F.col("n_dup_lines"), lines), "repeats": (F.col("n_repeat_words"), words)}
-    return {k: F.floor((1000 * a) / b).cast("long") for k, (a, b) in per.items()}
+    return {k: F.floor((1000 * F.greatest(a - free[k], F.lit(0))) / b).cast("long") for k, (a, b) in per.items()}
 
 
 def bucket(value: Column) -> Column:
@@ -131,7 +139,7 @@ def fences(sketches: DataFrame, min_group: int = 50, reach: int = 3) -> DataFram
     used = both.select("lang", "source", "signal", F.when(F.col("fine.n") >= min_group, F.col("fine"))
                        .when(F.col("mid.n") >= min_group, F.col("mid")).otherwise(F.col("top")).alias("q"))
     aggs = []
-    for name, least, below in SIGNALS:
+    for name, least, below, _ in SIGNALS:
         mine = F.max(F.when(F.col("signal") == name, F.col("q")))
         spread = F.greatest(mine["q3"] - mine["q1"], F.lit(least))
         aggs.append((mine["q3"] + reach * spread).alias(f"{name}_hi"))
@@ -151,17 +159,18 @@ def quality_rules(docs: DataFrame, min_group: int = 50, reach: int = 3, min_word
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     judged = signals.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     scaled, ok = _scaled(), F.lit(True)
-    for name, _, _ in SIGNALS:
+    for name, *_ in SIGNALS:
         ok &= scaled[name].between(F.col(f"{name}_lo"), F.col(f"{name}_hi"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & F.coalesce(ok, F.lit(False))).alias("kept"))
 
 
 def _oracle(min_group: int = 50, reach: int = 3) -> str:
-    scaled = {"word_len": "word_chars * 1000 // greatest(n_words, 1)", "symbols": "n_symbols * 1000 // greatest(n_words, 1)",
-              "dup_lines": "n_dup_lines * 1000 // greatest(n_lines, 1)", "repeats": "n_repeat_words * 1000 // greatest(n_words, 1)"}
-    floor = {k: v for k, v, _ in SIGNALS}
-    below = {k: v for k, _, v in SIGNALS}
+    counts = {"word_len": ("word_chars", "n_words"), "symbols": ("n_symbols", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"),
+              "repeats": ("n_repeat_words", "n_words")}
+    scaled = {k: f"greatest({counts[k][0]} - {free}, 0) * 1000 // greatest({counts[k][1]}, 1)" for k, _, _, free in SIGNALS}
+    floor = {k: v for k, v, _, _ in SIGNALS}
+    below = {k: v for k, _, v, _ in SIGNALS}
     union = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS signal, {v} AS v FROM judged WHERE NOT base_failed" for k, v in scaled.items())
     def quart(keys: str, name: str) -> str:
         by = ", ".join(x for x in (keys, "signal") if x)
