@@ -21,7 +21,9 @@ is cut; repeated rows are packed each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 SPECIAL = b"<|endoftext|>"
 LEAST_CUT = 32
 _CACHE: dict = {}
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 400_000  # of one process; words beyond are encoded again
 
 
 def _classes() -> np.ndarray:
@@ -98,25 +100,51 @@ def pre_tokens(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return chars[begin[:m]]
 
 
+def piece_bytes(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """A byte-level vocabulary's pieces as bytes. Its alphabet writes
+    printable bytes as they are, the others as the code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    alphabet = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+    return {bytes(alphabet[c] for c in piece): i for piece, i in vocabulary.items() if all(c in alphabet for c in piece)}
+
+
 class Encoder:
-    """Ids of texts, each distinct word encoded once per process."""
+    """Ids of texts, each distinct word encoded once per process as long as
+    KEPT_WORDS last. Where ids rise with the vocabulary's merges, a word's
+    merges by rank are its merges by id, and it is encoded from its bytes;
+    else the tokenizer encodes it."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        model = json.loads(vocabulary)["model"]
+        merged = [model["vocab"].get(("".join(m) if isinstance(m, list) else m.replace(" ", "", 1)), -1) for m in model.get("merges", [])]
+        self.one = None
+        if merged and merged[0] >= 0 and all(a < b for a, b in zip(merged, merged[1:])):
+            import tiktoken
+
+            special = {t["content"] for t in json.loads(vocabulary).get("added_tokens", [])}
+            ranks = piece_bytes({k: v for k, v in model["vocab"].items() if k not in special})
+            self.one = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.start, self.size = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        ids = []  # a few at a time: the library's results are large
-        for i in range(0, len(texts), 4096):
-            ids += [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per word)."""
+        if self.one:
+            ids = [self.one(w) for w in words]
+        else:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum())), count
+
+    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
+        parts = [self._words(words[i:i + 4096]) for i in range(0, len(words), 4096)]  # a few at a time: lists are large
+        flat, size = (np.concatenate(x) for x in zip(*parts))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
         self.pool[self.used:self.used + len(flat)] = flat
@@ -137,7 +165,8 @@ class Encoder:
         new = np.flatnonzero(~self._has(key))
         if len(new):
             raw = buf.tobytes()
-            self._learn(key[new], [raw[begin[i]:begin[i] + size[i]].decode() for i in at[new]])
+            first = begin[at[new]]
+            self._learn(key[new], [raw[a:b] for a, b in zip(first.tolist(), (first + size[at[new]]).tolist())])
         found = np.searchsorted(self.keys, key)
         count = self.size[found][back]
         ids = self.pool[B.expand(self.start[found][back], count)]
@@ -227,12 +256,13 @@ def pack(docs: DataFrame, vocabulary_path: str | None = None, capacity: int = 20
     spark = docs.sparkSession
     B.prepare(spark)
     with open(vocabulary_path, encoding="utf-8") as f:
-        sent = spark.sparkContext.broadcast(f.read())
+        sent = spark.sparkContext.broadcast((f.read(), _classes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = ("encoder", vocabulary_path)
         if key not in _CACHE:
-            _CACHE[key] = Encoder(sent.value)
+            vocabulary, _CACHE["classes"] = sent.value
+            _CACHE[key] = Encoder(vocabulary)
         packer = Packer(capacity, TaskContext.get().partitionId())
         for whole in batches:
             for b in B.slices(whole, most=2 << 20):

@@ -33,6 +33,30 @@ def test_hard_words(text):
     assert got.tolist() == ids(text)
 
 
+def test_words_from_bytes_equal_the_tokenizer():
+    """All words of the fixture, and random bytes of every kind of letter."""
+    import random
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(7)
+    texts = pq.read_table(f"{SF}/documents.parquet")["text"].to_pylist()
+    texts += ["".join(rng.choice("aeinrst'-_éßжй漢字한🙂 1") for _ in range(rng.randrange(1, 90))) for _ in range(3000)]
+    plain = packing.Encoder(open(P.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    assert plain.one is not None
+    plain.one = None
+    for i in range(0, len(texts), 500):
+        a, b = ENC.encode(pa.array(texts[i:i + 500], pa.string())), plain.encode(pa.array(texts[i:i + 500], pa.string()))
+        assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+
+
+def test_words_beyond_the_kept_ones(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_WORDS", 20)
+    for k in range(5):
+        text = " ".join(f"word{i} of{k}" for i in range(30))
+        assert ENC.encode(pa.array([text]))[0].tolist() == ids(text)
+
+
 def check(rows, texts, capacity=2048):
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
