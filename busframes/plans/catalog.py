@@ -31,7 +31,7 @@ from busframes.operators.shape import (
 from busframes.session import shared_dir
 from busframes.sinks.delivery import RecordingClient, deliver
 from busframes.sinks.shaping import (
-    hour_stamped_points, insert_statements, line_protocol, wide_store_rows, write_sorted_cells,
+    hour_stamped_points, insert_statements, line_protocol, wide_store_rows, write_region_cells, write_sorted_cells,
 )
 from busframes.sources import SignalDictionary, read_binary_trace, read_dictionary, read_text_trace
 from busframes.sources.binary_trace import frame_records, read_raw_files, split_framed
@@ -612,16 +612,60 @@ def q_line_protocol_escapes(spark, sf_dir):
 
 def q_global_order(spark, sf_dir):
     """Frames clustered by id, and ranged by (id, ts) into whole
-    runs: rows per id and how many run out of order (none)."""
+    runs: rows per id and how many are out of order (none). Neighbours are
+    compared inside each written file, and the files' first and last rows
+    across their borders."""
     from pyspark.sql import Window
 
-    fr = _frames(spark, sf_dir).select("id", "ts")
-    ranged = range_by_id_ts(cluster_by_id(fr), 6).withColumn("row", F.monotonically_increasing_id())
     path = shared_dir(spark, "ordered")
-    ranged.write.parquet(path)
-    before = Window.partitionBy("id").orderBy("row")
-    back = spark.read.parquet(path).withColumn("late", (F.col("ts") < F.lag("ts").over(before)).cast("int"))
-    return back.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"))
+    range_by_id_ts(cluster_by_id(_frames(spark, sf_dir).select("id", "ts")), 6).write.parquet(path)
+    key = F.struct("id", "ts")
+    rows = spark.read.parquet(path).select("id", "ts", key.alias("k"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    inside = rows.withColumn("late", (F.col("k") < F.lag("k").over(Window.partitionBy("file").orderBy("row"))).cast("int"))
+    counts = inside.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("late"), F.lit(0)).alias("inside"))
+    ends = rows.groupBy("file").agg(F.min_by("k", "row").alias("first"), F.max_by("k", "row").alias("last"))  # a row a file
+    across = ends.withColumn("late", F.col("first") < F.lag("last").over(Window.orderBy("file")))
+    crossed = across.filter("late").groupBy(F.col("first.id").alias("id")).agg(F.count(F.lit(1)).alias("crossed"))
+    return counts.join(crossed, "id", "left").select("id", "n", (F.col("inside") + F.coalesce("crossed", F.lit(0))).alias("out_of_order"))
+
+
+#: the first row keys of the target's regions but the first
+REGION_BORDERS = ["MSG_102:", "MSG_103:5", "MSG_105:"]
+
+
+def q_region_cells(spark, sf_dir):
+    """K9 by region: cells dealt by given borders, a folder of files each."""
+    dec = decode_text_long(_text_frames(spark, sf_dir), _dictionary(spark))
+    path = shared_dir(spark, "region-cells")
+    write_region_cells(long_to_cells(dec.withColumn("rk", _row_key()), "rk", "signals"), REGION_BORDERS, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"),
+                                      F.sum(F.col("value").cast("bigint")).alias("total"))
+
+
+def q_bucketed_totals(spark, sf_dir):
+    """R1 + R3: frames stored in buckets of (id, slice); totals and a join by
+    id without an exchange of the frames."""
+    from busframes.operators.buckets import join_by_id, totals_by_id, write_bucketed
+
+    path = shared_dir(spark, "buckets")
+    stored = write_bucketed(_frames(spark, sf_dir).select("id", "ts", "module"), f"frames_{path[-12:]}", path, 8, slices=4)
+    names = _dictionary(spark).message_by_identifier().withColumnRenamed("identifier", "id")
+    totals = totals_by_id(stored, ("n", F.count(F.lit(1)), "sum"), ("first_ts", F.min("ts"), "min"), ("last_ts", F.max("ts"), "max"))
+    named = join_by_id(stored, names, 4).groupBy("id", "slice", "botschaft").agg(F.sum("module").alias("m")).groupBy("id", "botschaft").agg(F.sum("m").alias("sum_module"))
+    return totals.join(named, "id", "left")
+
+
+def q_dictionary_order(spark, sf_dir):
+    """O3: the dictionary by identifier and name, with each message's place
+    in that order, its signals and its frames."""
+    from pyspark.sql import Window
+
+    d = _dictionary(spark)
+    place = F.row_number().over(Window.orderBy("identifier", "botschaft"))  # one row per message
+    listed = d.ordered().select(place.alias("place"), "identifier", "botschaft", F.array_join(F.col("info")["signal_name"], ",").alias("signals"))
+    counts = _frames(spark, sf_dir).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(counts, F.col("identifier") == F.col("id"), "left").select("place", "identifier", "botschaft", "signals", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def q_delivered_batches(spark, sf_dir):
@@ -690,6 +734,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_malformed_rejects": q_text_malformed_rejects,
     "line_protocol_escapes": q_line_protocol_escapes,
     "global_order": q_global_order,
+    "region_cells": q_region_cells,
+    "bucketed_totals": q_bucketed_totals,
+    "dictionary_order": q_dictionary_order,
     "delivered_batches": q_delivered_batches,
     "committed_delivery": q_committed_delivery,
     "frame_time_strings": q_frame_time_strings,

@@ -238,6 +238,16 @@ FROM (SELECT *, list_extract([12, 16, 20, 24, 32, 48, 64], CAST(ln AS INTEGER))
   FROM (SELECT CAST((l_orderkey % 100000) * 1000000 + l_linenumber AS BIGINT) AS ts, l_linenumber AS ln, l_partkey AS pk FROM lineitem)
   WHERE ln % 2 = 1 OR ln % 3 = 0""",
     "global_order": _with(_F) + "SELECT id, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM f GROUP BY id",
+    "region_cells": _with(_F, _sig("ts_ns")) + """SELECT CAST(CASE WHEN k >= 'MSG_105:' THEN 3 WHEN k >= 'MSG_103:5' THEN 2 WHEN k >= 'MSG_102:' THEN 1 ELSE 0 END AS INTEGER) AS region,
+  count(*) AS n, min(k) AS first_key, max(k) AS last_key, CAST(sum(value) AS BIGINT) AS total
+FROM (SELECT botschaft || ':' || CAST(ts AS VARCHAR) AS k, value FROM sig) GROUP BY 1""",
+    "bucketed_totals": _with(_F) + """SELECT id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts,
+  CASE WHEN id = 101 THEN 'MSG_101' WHEN id BETWEEN 102 AND 105 THEN 'MSG_' || id END AS botschaft,
+  CASE WHEN id BETWEEN 101 AND 105 THEN CAST(sum(module) AS BIGINT) END AS sum_module FROM f GROUP BY id""",
+    "dictionary_order": _with(_F) + """SELECT CAST(place AS INTEGER) AS place, CAST(d.id AS INTEGER) AS identifier, botschaft, signals, (SELECT count(*) FROM f WHERE f.id = d.id) AS n
+FROM (VALUES (1, 101, 'MSG_101', 'orderkey,partkey,mid,flag,qty'), (2, 101, 'MSG_ALT', 'orderkey'), (3, 102, 'MSG_102', 'orderkey,partkey,mid,flag,qty'),
+  (4, 103, 'MSG_103', 'orderkey,partkey,mid,flag,qty'), (5, 104, 'MSG_104', 'orderkey,partkey,mid,flag,qty'),
+  (6, 105, 'MSG_105', 'orderkey,partkey,mid,flag,qty')) AS d(place, id, botschaft, signals)""",
     "committed_delivery": _with(_F) + """SELECT id, module, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts,
   (SELECT count(*) FROM f) AS sent FROM f GROUP BY id, module""",
     "delivered_batches": _with(_F) + """SELECT id, count(*) AS n, CAST(sum(ts) AS BIGINT) AS sum_ts, 1 AS today,

@@ -105,6 +105,27 @@ def wide_store_rows(decoded: DataFrame, device: str = "Datalogger1") -> DataFram
         F.transform("vals", unsigned_decimal).alias("vals"))
 
 
+def region_of(row_key: str | F.Column, borders: list[str]) -> F.Column:
+    """Region of a row key: how many of the sorted ``borders`` (each the first
+    key of a region) are at most the key, in byte order."""
+    from busframes.operators.ranges import cuts_below
+
+    key = F.col(row_key) if isinstance(row_key, str) else row_key
+    if not borders:
+        return F.lit(0)
+    return cuts_below(key, F.array(*[F.lit(b) for b in sorted(borders)]), len(borders))
+
+
+def write_region_cells(cells: DataFrame, borders: list[str], path: str, fmt: str = "parquet") -> None:
+    """Cells dealt by given region borders (those of the target table): one
+    folder ``region=<number>`` each, its files sorted by (row key, qualifier).
+    No file holds cells of two regions; a large region is written by several
+    tasks. The input runs once."""
+    from busframes.operators.partition import write_partitioned
+
+    write_partitioned(cells.withColumn("region", region_of("row_key", borders)), path, ["region"], fmt=fmt, within=["row_key", "qualifier"])
+
+
 def write_sorted_cells(cells: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Bulk-load layout for key-value cells: files that are contiguous,
     sorted (row key, qualifier) ranges.

@@ -113,6 +113,11 @@ class SignalDictionary:
         return (messages.select("identifier", "botschaft", F.posexplode("info").alias("pos", "sig"))
                 .select("identifier", "botschaft", "pos", "sig.signal_name", F.col("sig.startBit").alias("start"), "sig.len"))
 
+    def ordered(self) -> DataFrame:
+        """The messages by identifier, then name (byte order), their signals
+        by start bit."""
+        return self.messages.orderBy("identifier", "botschaft")
+
     def message_by_identifier(self) -> DataFrame:
         """One message name per identifier (the smallest, deterministic)."""
         return (self.messages.groupBy("identifier")

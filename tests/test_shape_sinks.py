@@ -180,3 +180,49 @@ def test_write_jdbc_by_key_splits_tables(spark, monkeypatch):
     assert written["datalogger_1_can2"][2] == [(20, "b")]
     assert written["datalogger_1_canNone"][2] == [(40, "d")]      # null-safe match
     assert all(v[0] == "jdbc:none://x" and v[1] == 500 and v[3] == ["ts", "data"] for v in written.values())
+
+
+def test_region_files_hold_one_region(spark, tmp_dir):
+    import pyarrow.parquet as pq
+
+    from busframes.sinks.shaping import write_region_cells
+
+    rows = [(f"k{i % 997:03d}", "f", f"q{i % 5}", str(i)) for i in range(6000)]
+    cells = spark.createDataFrame(rows, "row_key string, family string, qualifier string, value string").repartition(5)
+    borders = ["k100", "k5", "k0995"]  # in any order
+    write_region_cells(cells, borders, f"{tmp_dir}/cells")
+    seen = 0
+    for region in range(4):
+        for f in glob.glob(f"{tmp_dir}/cells/region={region}/*.parquet"):
+            got = [(r["row_key"], r["qualifier"]) for r in pq.ParquetFile(f).read().to_pylist()]
+            assert got == sorted(got) and all(sum(b <= k for b in borders) == region for k, _ in got)
+            seen += len(got)
+    assert seen == 6000
+
+
+def test_buckets_need_no_exchange(spark, tmp_dir):
+    from busframes.operators.buckets import drop_bucketed, join_by_id, totals_by_id, write_bucketed
+
+    frames = spark.range(0, 9000, 1, 4).selectExpr("cast(if(id % 3 = 0, 7, id % 11) as int) as id", "id as ts", "id % 2 as x")
+    side = spark.createDataFrame([(7, "a"), (7, "b"), (3, "c")], "id int, name string")
+    want_totals = sorted(tuple(r) for r in frames.groupBy("id").agg(F.count("*"), F.max("ts")).collect())
+    want_join = sorted(tuple(r) for r in frames.join(side, "id").groupBy("id", "name").count().collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for slices in (1, 4):
+            table = f"bucket_test_{slices}"
+            stored = write_bucketed(frames, table, f"{tmp_dir}/b{slices}", 6, slices)
+            totals = totals_by_id(stored, ("n", F.count("*"), "sum"), ("last", F.max("ts"), "max"))
+            assert sorted(tuple(r) for r in totals.collect()) == want_totals
+            joined = join_by_id(stored, side, slices)
+            assert sorted(tuple(r) for r in joined.groupBy("id", "name").count().collect()) == want_join
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1  # of the small side
+            groups = stored.groupBy("id", "slice").count()._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in groups and "Bucketed: true" in groups
+            if slices > 1:  # the hot id lies in several buckets
+                files = stored.filter("id = 7").select(F.input_file_name().alias("f")).distinct().count()
+                assert files >= 2
+            drop_bucketed(spark, table)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
