@@ -7,10 +7,14 @@ factor vectors, so that pairs such as an insult with a group mention count
 beyond their parts.
 
 Training uses a sample of at most ``sample`` labelled rows (documented bound;
-chosen by a hash of doc_id). Terms in at least ``min_docs`` of them whose
-share of toxic texts departs from the whole by ``min_z`` standard deviations
-are kept, the ``max_terms`` farthest at most; their weights and factors are
-fitted in numpy. Scoring reads every whole text in Arrow batches.
+chosen by a hash of doc_id). Two kinds of terms in at least ``min_docs`` of
+them are kept: those whose share of toxic texts departs from the whole by
+``min_z`` standard deviations, the ``max_terms`` farthest at most; and those
+of pairs whose toxic share departs by ``pair_z`` from what the two add up to,
+looked for among the ``pair_terms`` terms that divide the sample most evenly.
+So a pair is found even if each of its terms is neutral alone. Weights and
+factors are fitted in numpy, the strongest pairs' factors from where their
+counts put them. Scoring reads every whole text in Arrow batches.
 
 Defined cases: null and empty texts have no term and get the machine's bias;
 of several labels of a document the highest counts; texts repeated score
@@ -28,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
+from busframes.session import checkpoint_base
 
 U = np.uint64
 TERM_BITS = 32
@@ -76,6 +81,14 @@ class FactorizationMachine:
         s = x @ self.factor
         return self.bias + x @ self.weight + 0.5 * ((s * s).sum(1) - x @ (self.factor ** 2).sum(1))
 
+    def seed(self, pairs: list[tuple[int, int, float]]) -> None:
+        """Begin with the interactions (position, position, log odds) of the
+        strongest pairs, one to a factor."""
+        for f, (i, j, odds) in enumerate(pairs[:self.factor.shape[1]]):
+            a = min(2.0, abs(odds) ** 0.5)
+            self.factor[i, f], self.factor[j, f] = a, a * np.sign(odds)
+            self.weight[[i, j]] -= 0.5 * a * a * np.sign(odds)
+
     def fit(self, rows: list[np.ndarray], y: np.ndarray, epochs: int = 12, batch: int = 256, rate: float = 0.02, l2: float = 1e-4, seed: int = 3) -> FactorizationMachine:
         """rows: positions of each text's terms."""
         share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
@@ -121,9 +134,38 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, min_docs: int = 4, min_z: float = 3.0, max_terms: int = 4096) -> FactorizationMachine:
+def interacting(rows: list[np.ndarray], y: np.ndarray, wide: np.ndarray, min_docs: int, min_z: float) -> list[tuple[int, int, float]]:
+    """Pairs of the positions ``wide`` whose toxic share departs from what the
+    two add up to, by falling |z|: (position, position, log odds beyond the
+    sum). Each of the four cases of a pair needs ``min_docs`` texts."""
+    n, place = len(y), np.full(max(int(wide.max(initial=-1)), *(int(r.max(initial=-1)) for r in rows), -1) + 1, -1)
+    place[wide] = np.arange(len(wide))
+    x = np.zeros((n, len(wide)), np.float32)
+    for i, r in enumerate(rows):
+        at = place[r]
+        x[i, at[at >= 0]] = 1
+    both, toxic = x.T @ x, x.T @ (x * y[:, None].astype(np.float32))
+    one, one_toxic = np.diag(both), np.diag(toxic)
+    counts = [both, one[:, None] - both, one[None] - both, n - one[:, None] - one[None] + both]
+    hits = [toxic, one_toxic[:, None] - toxic, one_toxic[None] - toxic, y.sum() - one_toxic[:, None] - one_toxic[None] + toxic]
+    sign = (1, -1, -1, 1)
+    share = y.mean()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        beyond = sum(s * h / c for s, h, c in zip(sign, hits, counts))
+        z = beyond / np.sqrt(share * (1 - share) * sum(1 / c for c in counts))
+    z[np.min(counts, axis=0) < min_docs] = 0
+    i, j = np.nonzero(np.triu(np.abs(np.nan_to_num(z)) >= min_z, 1))
+    order = np.lexsort((j, i, -np.abs(z[i, j])))
+    rates = [(h + 0.5) / (c + 1) for h, c in zip(hits, counts)]
+    odds = sum(s * np.log(r / (1 - r)) for s, r in zip(sign, rates))
+    return [(int(wide[a]), int(wide[b]), float(odds[a, b])) for a, b in zip(i[order], j[order])]
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, min_docs: int = 4, min_z: float = 3.0, max_terms: int = 4096,
+          pair_terms: int = 1024, pair_z: float = 5.5) -> FactorizationMachine:
     """docs (doc_id, text), labels (doc_id, toxic)."""
     spark = docs.sparkSession
+    checkpoint_base(spark)
     B.prepare(spark)
     rows = labels.filter("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
@@ -149,10 +191,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, min_docs: in
 
     share = toxic / size
     z = F.abs(F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    best = (texts.mapInArrow(count, "term long, n long, t long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-            .filter(F.col("n") >= min_docs).withColumn("z", z).filter(F.col("z") >= min_z)
-            .orderBy(F.desc("z"), "term").limit(max_terms).select("term").toArrow())
-    machine = FactorizationMachine(best.column("term").to_numpy())
+    known = (texts.mapInArrow(count, "term long, n long, t long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+             .filter(F.col("n") >= min_docs).checkpoint())
+    single = known.withColumn("z", z).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "term").limit(max_terms).toArrow().column("term").to_numpy()
+    even = known.orderBy(F.desc(F.col("n") * (size - F.col("n"))), "term").limit(pair_terms).toArrow().column("term").to_numpy()
+    machine = FactorizationMachine(np.union1d(single, even))
     sent = spark.sparkContext.broadcast(machine)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +206,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, min_docs: in
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.ListArray.from_arrays(pa.array(cut), pa.array(at, pa.int64()))], ["doc_id", "toxic", "at"])
 
     got = texts.mapInArrow(rows_of, "doc_id long, toxic int, at array<long>").toArrow().sort_by("doc_id")
-    return machine.fit([np.array(x, np.int64) for x in got.column("at").to_pylist()], got.column("toxic").to_numpy().astype(float))
+    at, y = [np.array(x, np.int64) for x in got.column("at").to_pylist()], got.column("toxic").to_numpy().astype(float)
+    pairs = interacting(at, y, np.searchsorted(machine.terms, np.sort(even)), min_docs, pair_z)
+    kept = np.union1d(np.searchsorted(machine.terms, single), np.array([x for p in pairs[:max_terms] for x in p[:2]], np.int64)).astype(np.int64)
+    place = np.full(len(machine.terms), -1)
+    place[kept] = np.arange(len(kept))
+    fitted = FactorizationMachine(machine.terms[kept])
+    fitted.seed([(place[i], place[j], odds) for i, j, odds in pairs[:max_terms]])
+    steps = -(-len(y) // 256)
+    return fitted.fit([place[r][place[r] >= 0] for r in at], y, epochs=max(12, -(-600 // steps)))
 
 
 def scored(docs: DataFrame, machine: FactorizationMachine, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -184,4 +235,4 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     machine = learn(docs, labels.filter(fold() != 2))
-    return scored(docs, machine).select("doc_id", (fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored(docs, machine).select("doc_id", F.coalesce(fold() == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -77,6 +77,28 @@ def test_machine_learns_a_pair_that_no_weight_can():
     assert p.tolist() == [True, False, False, True]
 
 
+def test_a_pair_of_neutral_terms_is_found_and_learnt(spark):
+    """Toxic where just one or none of two words stands, each neutral alone,
+    among 200 other words; through ``learn``."""
+    import random
+
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"other{rng.randrange(200)}" for _ in range(25)] + ["greeting"] * a + ["neighbour"] * b
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), "en", "s", 1))
+        labels.append((i, 1, int(a == b)))
+    docs = spark.createDataFrame(rows, DOCS)
+    truth = {d: t for d, _, t in labels}
+    machine = toxic_fm.learn(docs, spark.createDataFrame(labels[:2000], "doc_id long, quality int, toxic int"))
+    got = toxic_fm.scored(docs.filter("doc_id >= 2000").withColumnRenamed("lang", "score"), machine).collect()
+    assert sum((r.score >= 0.5) == truth[r.doc_id] for r in got) >= 0.95 * len(got)
+    none = toxic_fm.learn(docs, spark.createDataFrame([(d, 1, rng.randrange(2)) for d in range(2000)], "doc_id long, quality int, toxic int"))
+    assert len(none.terms) < 40  # labels at random: hardly a term is kept
+
+
 def test_machine_score_equals_its_margin():
     m = toxic_fm.FactorizationMachine(np.unique(toxic_fm.terms(pa.array(["alpha beta gamma"]))[0]))
     m.weight[:] = np.arange(len(m.terms)) / 7
