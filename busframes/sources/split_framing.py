@@ -8,8 +8,10 @@ only known from the range before it. Two passes over the ranges of a file:
    MAX_RECORD bytes), where the chain of records that begins there leaves it.
    All entries walk on together through twice that span; chains that meet are
    one from there on, and the few that are left are followed to the end;
-2. a file's maps are composed in range order, from entry 0 (streamed: one map
-   in memory), which gives every range its one true entry;
+2. maps compose: BLOCK neighbours become one map of a block, blocks of blocks
+   again, until a file has few; from entry 0 at the top, entries go back down,
+   block by block, which gives every range its one true entry. No task reads
+   more than BLOCK maps of a file at a time, whatever its size;
 3. each range is framed once from that entry.
 
 There is no guess and nothing is framed again; the rows equal a sequential
@@ -27,6 +29,7 @@ from busframes.sources.binary_trace import FRAMED_SCHEMA, HEADER_SIZE, PAYLOAD_M
 
 MAX_RECORD = HEADER_SIZE + 32767        # a 16-bit payload length
 OVERLAP = MAX_RECORD + HEADER_SIZE      # bytes read past a range's end
+BLOCK = 32                              # maps that one task composes
 
 
 def _follow(buf, base: int, pos: int, end: int, size: int):
@@ -112,21 +115,66 @@ def _maps(batches) -> Iterator:
                 "entries": pa.array([entries.astype(np.int64).tobytes()], pa.binary()), "exits": pa.array([exits.astype(np.int64).tobytes()], pa.binary())})
 
 
-def _entries(batches) -> Iterator:
-    """The true entry of each range, from maps sorted by (path, range)."""
+def compose(first, second):
+    """The map that follows ``first`` by ``second``: (entries, exits) each,
+    entries sorted. An entry whose chain ends in between is left out. (An exit
+    beyond the second's range is among its entries and maps to itself.)"""
     import numpy as np
+
+    (entries, middle), (known, exits) = first, second
+    at = np.minimum(np.searchsorted(known, middle), max(len(known) - 1, 0))
+    on = known[at] == middle if len(known) else np.zeros(len(middle), bool)
+    return entries[on], exits[at[on]]
+
+
+def _read_map(r):
+    import numpy as np
+
+    return np.frombuffer(r["entries"], np.int64), np.frombuffer(r["exits"], np.int64)
+
+
+def _composed(batches) -> Iterator:
+    """One map per block, from maps sorted by (path, block, range_id)."""
     import pyarrow as pa
 
-    path, at = None, -1
+    def out(r, m):
+        return pa.RecordBatch.from_pydict({
+            "path": [r["path"]], "range_id": pa.array([r["block"]], pa.int32()),
+            "entries": pa.array([m[0].tobytes()], pa.binary()), "exits": pa.array([m[1].tobytes()], pa.binary())})
+
+    last = held = None
     for batch in batches:
         for r in batch.to_pylist():
-            if r["path"] != path:
-                path, at = r["path"], 0
-            if at >= 0 and at < r["end"]:
-                yield pa.RecordBatch.from_pydict({"path": [path], "size": [r["size"]], "start": [r["start"]], "end": [r["end"]], "entry": [at]})
-                entries = np.frombuffer(r["entries"], np.int64)
-                i = int(np.searchsorted(entries, at))
-                at = int(np.frombuffer(r["exits"], np.int64)[i]) if i < len(entries) and entries[i] == at else -1
+            if last is not None and (r["path"], r["block"]) == (last["path"], last["block"]):
+                held = compose(held, _read_map(r))
+            else:
+                if last is not None:
+                    yield out(last, held)
+                held = _read_map(r)
+            last = r
+    if last is not None:
+        yield out(last, held)
+
+
+def _walked(batches) -> Iterator:
+    """Each map's true entry, from maps sorted by (path, block, range_id) that
+    carry their block's entry (``at``)."""
+    import numpy as np
+    import pyarrow as pa
+
+    now, at = None, -1
+    for batch in batches:
+        rows = []
+        for r in batch.to_pylist():
+            if (r["path"], r["block"]) != now:
+                now, at = (r["path"], r["block"]), r["at"]
+            if at < 0:
+                continue
+            rows.append((r["path"], r["range_id"], at))
+            entries, exits = _read_map(r)
+            i = int(np.searchsorted(entries, at))
+            at = int(exits[i]) if i < len(entries) and entries[i] == at else -1
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], ["path", "range_id", "entry"])
 
 
 def range_entries(files: DataFrame, range_bytes: int) -> DataFrame:
@@ -139,10 +187,34 @@ def range_entries(files: DataFrame, range_bytes: int) -> DataFrame:
     ship_package(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = "path string, size bigint, range_id int, start bigint, end bigint, entries binary, exits binary"
+
+    def blocks(maps: DataFrame) -> DataFrame:
+        block = F.floor(F.col("range_id") / BLOCK).cast("int")
+        return maps.select("path", "range_id", block.alias("block"), "entries", "exits")
+
+    def by_block(maps: DataFrame) -> DataFrame:
+        return maps.repartition(parts, "path", "block").sortWithinPartitions("path", "block", "range_id")
+
     # a range is a task's worth of work: spread them before reading
-    maps = _ranges(files, range_bytes).repartition(parts, "path", "range_id").mapInArrow(_maps, kind)
-    return (maps.repartition(parts, "path").sortWithinPartitions("path", "range_id")
-            .mapInArrow(_entries, "path string, size bigint, start bigint, end bigint, entry bigint").checkpoint())
+    ranges = _ranges(files, range_bytes).repartition(parts, "path", "range_id").mapInArrow(_maps, kind).checkpoint()
+    most = ranges.agg(F.max("range_id")).first()[0] or 0
+    levels = [ranges]
+    while most >= BLOCK:
+        levels.append(by_block(blocks(levels[-1])).mapInArrow(_composed, "path string, range_id int, entries binary, exits binary").checkpoint())
+        most //= BLOCK
+    walked = None
+    for maps in reversed(levels):
+        each = blocks(maps)
+        if walked is None:
+            each = each.withColumn("at", F.lit(0).cast("bigint"))  # one block a file, from its beginning
+        else:
+            above = walked.select(F.col("path").alias("_path"), F.col("range_id").alias("_block"), F.col("entry").alias("at"))
+            each = each.join(above, (F.col("path") == F.col("_path")) & (F.col("block") == F.col("_block"))).drop("_path", "_block")
+        walked = by_block(each).mapInArrow(_walked, "path string, range_id int, entry bigint").checkpoint()
+    found = walked.withColumnsRenamed({"path": "_path", "range_id": "_id"})
+    plain = ranges.select("path", "size", "range_id", "start", "end")
+    return (plain.join(found, (F.col("path") == F.col("_path")) & (F.col("range_id") == F.col("_id")))
+            .filter(F.col("entry") < F.col("end")).select("path", "size", "start", "end", "entry").checkpoint())
 
 
 def read_ranges(files: DataFrame, range_bytes: int, where=None) -> DataFrame:

@@ -180,3 +180,46 @@ def test_globs_and_relative_paths(spark, tmp_dir, monkeypatch):
     assert read_binary_trace(spark, f"{tmp_dir}/*.bin").frames.count() == 2
     assert read_binary_trace(spark, f"file://{tmp_dir}/a.bin").frames.count() == 1
     assert read_binary_trace(spark, os.path.relpath(tmp_dir), glob="*.bin").frames.count() == 2
+
+
+def test_maps_compose_like_a_walk():
+    """Composition is associative and follows the chains; passing over a
+    range and chains that end are kept apart."""
+    import numpy as np
+
+    from busframes.sources.split_framing import compose
+
+    a = (np.array([0, 1, 2, 3]), np.array([10, 12, 10, 25]))
+    b = (np.array([10, 11, 12, 25]), np.array([20, 21, 22, 25]))  # 25 lies beyond b's range
+    c = (np.array([20, 25]), np.array([30, 31]))
+    left, right = compose(compose(a, b), c), compose(a, compose(b, c))
+    assert [x.tolist() for x in left] == [x.tolist() for x in right] == [[0, 2, 3], [30, 30, 31]]
+    assert [len(x) for x in compose(a, (np.zeros(0, np.int64),) * 2)] == [0, 0]
+
+
+def test_many_ranges_go_through_blocks(spark, tmp_dir, monkeypatch):
+    """More ranges than a block holds, in two levels of blocks: the rows of a
+    sequential walk, and no group of more than a block's maps."""
+    import random
+    import struct
+
+    from busframes.sources import split_framing as S
+    from busframes.sources.binary_trace import read_binary_trace
+
+    rng = random.Random(11)
+    for k, n in enumerate((3000, 400, 1)):
+        body = b""
+        for i in range(n):
+            data = bytes(rng.randrange(256) for _ in range(rng.choice([0, 8, 64, 300])))
+            body += struct.pack(">iibbhii", i, 5, 1, 0, 8 + len(data), 100 + k, 0) + data
+        with open(f"{tmp_dir}/r{k}.bin", "wb") as f:
+            f.write(body)
+    monkeypatch.setattr(S, "BLOCK", 4)
+    rows = lambda df: sorted((r.module, r.ts, r.id, tuple(r.data)) for r in df.collect())
+    want = rows(read_binary_trace(spark, tmp_dir).frames)
+    got = read_binary_trace(spark, tmp_dir, range_bytes=6000)
+    assert rows(got.frames) == want and len(want) == 3401
+    from busframes.sources.recording_source import list_recordings
+
+    entries = S.range_entries(list_recordings(spark, tmp_dir), 6000)
+    assert entries.groupBy("path").count().agg({"count": "max"}).first()[0] > 16
