@@ -15,7 +15,8 @@ only at the words around its seeds.
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; null and
 empty texts have no match; items with fewer than ``min_match`` words match
 nothing; of items covered alike the least item_id is reported; repeated rows
-are judged alike; empty tables give no rows, an empty benchmark no match.
+are judged alike; texts of any length are read whole, other columns stay;
+empty tables give no rows, an empty benchmark no match.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from busframes.session import checkpoint_base
 
 U = np.uint64
 MULT = U(0xD6E8FEB86659FD93)
+HITS = 1 << 20
 
 
 def karp_rabin(words: np.ndarray, size: int) -> np.ndarray:
@@ -54,21 +56,34 @@ def _free(marked: np.ndarray, size: int) -> np.ndarray:
 
 def _matches(a: np.ndarray, b: np.ndarray, used_a: np.ndarray, used_b: np.ndarray, size: int) -> list[tuple[int, int, int]]:
     """(length, start in a, start in b) of all maximal unmarked matches of at
-    least ``size`` words: runs of equal hashes along a diagonal."""
+    least ``size`` words: runs of equal hashes along a diagonal. Equal hashes
+    are gone through HITS at a time and only a match's ends are kept, so
+    repetitive texts need no more memory than they have matches."""
     at_a, at_b = _free(used_a, size), _free(used_b, size)
     if not len(at_a) or not len(at_b):
         return []
+    free_a, free_b = np.zeros(len(a) + 1, bool), np.zeros(len(b) + 1, bool)
+    free_a[at_a] = free_b[at_b] = True
     ha, hb = karp_rabin(a, size)[at_a], karp_rabin(b, size)[at_b]
     order = np.argsort(ha, kind="stable")
     ha, at_a = ha[order], at_a[order]
     lo, hi = np.searchsorted(ha, hb, "left"), np.searchsorted(ha, hb, "right")
-    i, j = at_a[B.expand(lo, hi - lo)], np.repeat(at_b, hi - lo)
-    if not len(i):
-        return []
-    order = np.lexsort((i, j - i))
-    i, j = i[order], j[order]
-    cuts = np.concatenate([[0], np.flatnonzero((np.diff(j - i) != 0) | (np.diff(i) != 1)) + 1, [len(i)]])
-    return [(int(e - s) + size - 1, int(i[s]), int(j[s])) for s, e in zip(cuts[:-1], cuts[1:])]
+    some = np.flatnonzero(hi > lo)
+    lo, count, at_b = lo[some], (hi - lo)[some], at_b[some]
+    upto, ends = np.cumsum(count), ([], [])
+    x = 0
+    while x < len(at_b):
+        z = max(x + 1, int(np.searchsorted(upto, upto[x] - count[x] + HITS, "right")))
+        i, j = at_a[B.expand(lo[x:z], count[x:z])], np.repeat(at_b[x:z], count[x:z])
+        x = z
+        # a match goes on where the words beside it are equal and unmarked
+        before = (i > 0) & (j > 0) & free_a[i - 1] & free_b[j - 1] & (a[i - 1] == b[j - 1])
+        after = free_a[i + 1] & free_b[j + 1]
+        after[after] = a[i[after] + size] == b[j[after] + size]
+        for to, on in zip(ends, (~before, ~after)):
+            to.append(np.stack([j[on] - i[on], i[on]]))
+    (diagonal, first), (_, last) = (m[:, np.lexsort((m[1], m[0]))] for m in (np.concatenate(e, 1) if e else np.zeros((2, 0), np.int64) for e in ends))
+    return list(zip((last - first + size).tolist(), first.tolist(), (first + diagonal).tolist()))
 
 
 def greedy_tiles(a: np.ndarray, b: np.ndarray, min_match: int, first_size: int = 20) -> list[tuple[int, int, int]]:
@@ -111,7 +126,10 @@ class Items:
         seed = np.concatenate(seeds) if seeds else np.zeros(0, U)
         item = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
         order = np.lexsort((item, seed))
-        self.seed, self.item = seed[order], item[order]
+        seed, item = seed[order], item[order]
+        new = np.ones(len(seed), bool)  # a seed that an item repeats finds it once
+        new[1:] = (seed[1:] != seed[:-1]) | (item[1:] != item[:-1])
+        self.seed, self.item = seed[new], item[new]
         self.known = np.zeros(1 << 22, bool)
         self.known[(self.seed >> U(42)).astype(np.int64)] = True
 

@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from helpers import EDGES, documents
 
+from busframes.llm import bytesops as B
 from busframes.llm import string_tiling as G
 
 
@@ -72,3 +74,49 @@ def test_leaks_of_the_fixture_are_found(spark):
     want = {r.doc_id for r in docs.collect() if any(i in f" {' '.join(r.text.lower().split())} " for i in items)}
     got = {r.doc_id for r in G.contamination(docs, bench).filter("contaminated").collect()}
     assert want and got == want
+
+
+def test_repetitive_texts_in_bounded_memory():
+    """A long text of one word against an item of the same word; and of a
+    short cycle, against the exhaustive search of a part."""
+    import tracemalloc
+
+    items = G.Items([1, 2], ["same " * 200, " ".join(f"w{i % 3}" for i in range(90))], 5)
+    one = B.hashed_words(pa.array(["same " * 200_000]))[0]
+    tracemalloc.start()
+    got = items.tiled(one)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(g[0], g[1]) for g in got] == [(1, 1.0)] and peak < 400 << 20
+    a, b = [0, 1, 2] * 8 + [7, 8], [0, 1, 2] * 5 + [9] + [1, 2, 0] * 4
+    tiles = G.greedy_tiles(np.array(a, np.uint64), np.array(b, np.uint64), 5)
+    assert sorted(t[0] for t in tiles)[-1] == brute_tiles(a, b, 5)[-1]
+    for n, i, j in tiles:
+        assert a[i:i + n] == b[j:j + n]
+
+
+def test_hits_in_small_portions(monkeypatch):
+    r = random.Random(5)
+    for _ in range(40):
+        a, b = (np.array([r.randrange(3) for _ in range(r.randrange(5, 80))], np.uint64) for _ in range(2))
+        used_a, used_b = (np.array([r.random() < 0.1 for _ in x]) for x in (a, b))
+        whole = G._matches(a, b, used_a, used_b, 4)
+        monkeypatch.setattr(G, "HITS", 3)
+        assert sorted(G._matches(a, b, used_a, used_b, 4)) == sorted(whole)
+        monkeypatch.undo()
+        want = []
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not used_a[i + n] and not used_b[j + n]:
+                    n += 1
+                if n >= 4 and (not i or not j or used_a[i - 1] or used_b[j - 1] or a[i - 1] != b[j - 1]):
+                    want.append((n, i, j))
+        assert sorted(whole) == sorted(want)
+
+
+def test_other_columns_stay(spark):
+    docs = documents(spark, ["a b c d e f g", None]).withColumnRenamed("source", "coverage").withColumnRenamed("lang", "item_id")
+    bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    assert G.tiled_pairs(docs, bench).columns == [*docs.columns, "tiled"]
+    assert [r.contaminated for r in sorted(G.contamination(docs, bench).collect(), key=lambda r: r.doc_id)] == [True, False]
