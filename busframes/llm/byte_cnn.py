@@ -214,4 +214,4 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = learn(docs.select("doc_id", "text", "lang").filter(remainder("doc_id", 5) != 0))
     return identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+        "doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -27,6 +27,15 @@ def test_language_held_out_accuracy(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def test_rows_without_doc_id_are_not_held_out(spark, tmp_dir):
+    rows = [(i if i else None, f"some plain words number {i}", "en", "s", 1) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 40)], "doc_id long, quality int, toxic int")
+    saved(spark, tmp_dir, documents=spark.createDataFrame(rows, DOCS), labels=labels)
+    for query in (byte_cnn.query, toxic_fm.query):
+        got = query(spark, tmp_dir).collect()
+        assert len(got) == 40 and all(r.held_out in (True, False) for r in got) and not next(r for r in got if r.doc_id is None).held_out
+
+
 def test_language_tables_equal_the_filters():
     net = byte_cnn.ByteCNN(["a", "b"])
     x = np.random.default_rng(0).integers(0, 255, (3, byte_cnn.WINDOW + byte_cnn.REACH)).astype(np.uint8)
