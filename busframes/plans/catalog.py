@@ -629,6 +629,27 @@ def q_global_order(spark, sf_dir):
     return counts.join(crossed, "id", "left").select("id", "n", (F.col("inside") + F.coalesce("crossed", F.lit(0))).alias("out_of_order"))
 
 
+TIME_RANGE_FRAMES = 8_000
+
+
+def q_recordings_in_time_order(spark, sf_dir):
+    """O1 by the time index: every frame with its place in time. The frames
+    are written range by range; a place is the rows of the files before plus
+    the row in its own file."""
+    from pyspark.sql import Window
+
+    from busframes.sources.time_order import time_ordered
+
+    path = shared_dir(spark, "time-ordered")
+    time_ordered(spark.read.parquet(_indexed(spark, sf_dir)), TIME_RANGE_FRAMES).write.parquet(path)
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))  # a row a range
+    before = files.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    placed = rows.join(F.broadcast(before), "file")
+    return placed.select((F.col("before") + F.col("row") + 1).alias("place"), "module", "ts", "id", bytes_to_hex("data").alias("data_hex"),
+                         control_word_fields("cs")["DLC"].alias("dlc"))
+
+
 #: the first row keys of the target's regions but the first
 REGION_BORDERS = ["MSG_102:", "MSG_103:5", "MSG_105:"]
 
@@ -734,6 +755,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_malformed_rejects": q_text_malformed_rejects,
     "line_protocol_escapes": q_line_protocol_escapes,
     "global_order": q_global_order,
+    "recordings_in_time_order": q_recordings_in_time_order,
     "region_cells": q_region_cells,
     "bucketed_totals": q_bucketed_totals,
     "dictionary_order": q_dictionary_order,

@@ -238,6 +238,8 @@ FROM (SELECT *, list_extract([12, 16, 20, 24, 32, 48, 64], CAST(ln AS INTEGER))
   FROM (SELECT CAST((l_orderkey % 100000) * 1000000 + l_linenumber AS BIGINT) AS ts, l_linenumber AS ln, l_partkey AS pk FROM lineitem)
   WHERE ln % 2 = 1 OR ln % 3 = 0""",
     "global_order": _with(_F) + "SELECT id, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM f GROUP BY id",
+    "recordings_in_time_order": _with(_F) + """SELECT row_number() OVER (ORDER BY ts, id, module, hex) AS place,
+  module, ts, id, hex AS data_hex, 8 AS dlc FROM f""",
     "region_cells": _with(_F, _sig("ts_ns")) + """SELECT CAST(CASE WHEN k >= 'MSG_105:' THEN 3 WHEN k >= 'MSG_103:5' THEN 2 WHEN k >= 'MSG_102:' THEN 1 ELSE 0 END AS INTEGER) AS region,
   count(*) AS n, min(k) AS first_key, max(k) AS last_key, CAST(sum(value) AS BIGINT) AS total
 FROM (SELECT botschaft || ':' || CAST(ts AS VARCHAR) AS k, value FROM sig) GROUP BY 1""",
