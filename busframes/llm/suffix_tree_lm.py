@@ -24,7 +24,8 @@ pass, results stay); a text's other n-grams that may be in
 it meet the model's buckets as blocks too, and come back as sums per text.
 
 Defined cases: null text is empty (its only token is the end); texts repeated
-are scored alike; without training texts every count is 0; an empty table
+are scored alike, rows of one doc_id one by one; a very long text is held as a
+whole by one task, a few words of 64 bits for each of its tokens; without training texts every count is 0; an empty table
 gives no rows; extra columns are ignored.
 """
 

@@ -226,6 +226,34 @@ def test_lm_tree_grows_with_the_corpus(spark, monkeypatch):
         assert all(math.isclose(got[i].score, v, rel_tol=1e-9) for i, v in enumerate(want)) and got[25].score > got[25].base_score + 3
 
 
+def test_lm_rows_that_repeat_long_texts_and_other_columns(spark):
+    texts = ["one two three"] * 12 + ["a long text of words " * 60_000, None, ""]
+    docs = documents(spark, texts)
+    other = docs.withColumns({c: docs["source"] for c in ("id", "rid", "n", "bucket", "kind", "block", "score", "h", "c")})
+    tree, table = L.learn(docs)
+    again, words = L.learn(other)
+    assert (tree.total, tree.distinct, tree.kept) == (again.total, again.distinct, again.kept) and table.count() == words.count()
+    want = {r.doc_id: r for r in L.scores(docs, tree, table).collect()}
+    got = L.scores(other.unionByName(other), again, words).collect()
+    assert sorted(r.doc_id for r in got) == sorted([*want] * 2)
+    assert all(math.isclose(r.score, want[r.doc_id].score, rel_tol=1e-9) and r.n_known == want[r.doc_id].n_known for r in got)
+    assert want[12].n_tokens == 300_001 and want[13].n_tokens == want[14].n_tokens == 1
+    assert L.scores(docs.limit(0), tree, table).collect() == []
+
+
+def test_lm_blocks_give_back_their_columns():
+    r = np.random.default_rng(5)
+    for n in (1, 2, 1000):
+        ids = np.sort(r.integers(0, 2**64, n, dtype=np.uint64))
+        ids[-1] = 2**64 - 1
+        x, y = r.integers(0, 3, n).astype(np.uint64), r.normal(size=n)
+        a, b, c = L._unblock(L._block(L._steps(ids), x, y.view(np.uint64)), n, 3)
+        assert (np.cumsum(a, dtype=np.uint64) == ids).all() and (b == x).all() and (c.view(float) == y).all()
+        for buckets in (1, 7, 100_000):
+            at = L._bucket(ids, buckets)
+            assert (np.diff(at) >= 0).all() and at.min() >= 0 and at.max() < buckets
+
+
 # --------------------------------------------------------- token counts
 
 PIECES = trie_counts.ranked_pieces(P.path("byte_bpe_50k.tiktoken"))
