@@ -12,7 +12,9 @@ from busframes.session import checkpoint_base
 
 
 def _fingerprint(edges: DataFrame):
-    return tuple(edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first())
+    # a sum of longs would overflow beyond 16 million edges
+    mixed = F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)).cast("decimal(20,0)")
+    return tuple(edges.agg(F.count("*"), F.sum(mixed)).first())
 
 
 def _with_least(edges: DataFrame) -> DataFrame:

@@ -117,3 +117,14 @@ def test_each_text_of_a_doc_id_is_searched(spark):
     rows = J.jaccard_classes(docs, 5, 80).collect()
     assert len(rows) == 8
     assert {w.doc_id: w.component_id for w in rows} == {1: 1, 5: 1, 9: 1, 7: 4, 4: 4, 8: 8}
+
+
+def test_components_of_many_edges_are_told_apart_without_overflow(spark):
+    """Hashes below 2 ** 40 of 20 million edges add up to more than a long."""
+    from pyspark.sql import functions as F
+
+    from busframes.llm.graph import _fingerprint
+
+    edges = spark.range(20_000_000).select(F.col("id").alias("a"), F.lit(-1).cast("long").alias("b"))
+    n, total = _fingerprint(edges)
+    assert n == 20_000_000 and total > 1 << 63
