@@ -147,30 +147,71 @@ def text_trace_lines(spark: SparkSession, frames: DataFrame) -> DataFrame:
     return extra.unionByName(text_lines(frames))
 
 
-def _hex(c, digits: int) -> F.Column:
-    """Two's-complement big-endian hex of ``digits`` digits."""
-    return F.substring(F.lpad(F.hex(F.col(c) if isinstance(c, str) else c), 16, "0"), 17 - digits, digits)
-
-
-def record_hex(frames: DataFrame) -> DataFrame:
-    """Raw frames (with ``file_key``, see ``raw_frames``) -> one binary
-    record each, as hex text."""
-    sec = F.floor(F.col("ts") / 1000000)
-    rec = F.concat(
-        _hex(sec, 8), _hex((F.col("ts") % 1000000) * 1000, 8), F.lit("01"),
-        _hex(F.col("module") - 1, 2), _hex(F.size("data") + 8, 4), _hex("id", 8),
-        F.lit("00"), _hex(F.size("data"), 2), F.lit("0000"),
-        F.array_join(F.transform("data", lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-    return frames.select("file_key", "ts", "id", rec.alias("rec"))
+def _low_bytes(values, n: int):
+    """The low ``n`` bytes of each whole number, big-endian, as a matrix."""
+    import numpy as np
+
+    return np.ascontiguousarray(values, ">i8").view(np.uint8).reshape(-1, 8)[:, 8 - n:]
+
+
+def _two_digits(values):
+    """The first two hex digits of each number (negative: of its 64 bits)."""
+    import numpy as np
+
+    x = np.asarray(values, np.int64).view(np.uint64)
+    while (large := x > 255).any():
+        x = np.where(large, x >> np.uint64(4), x)
+    return x.astype(np.uint8)
+
+
+def _records(rows) -> bytes:
+    """The records of one file (an Arrow table of frames) in (ts, id) order,
+    ties by their bytes. Frames without ts, module, id or data give none; a
+    null byte of the data is left out."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rows = rows.select(["ts", "id", "module", "data"]).drop_null().combine_chunks()
+    n = rows.num_rows
+    if not n:
+        return b""
+    ts, fid, module = (rows.column(c).to_numpy().astype(np.int64) for c in ("ts", "id", "module"))
+    data = rows.column("data").combine_chunks()
+    data = data.chunk(0) if isinstance(data, pa.ChunkedArray) else data
+    size = pc.list_value_length(data).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = data.flatten()
+    there = values.is_valid().to_numpy(zero_copy_only=False)
+    held = np.add.reduceat(np.append(there, False), np.cumsum(size) - size, dtype=np.int64) * (size > 0)
+    payload = _two_digits(values.drop_null().to_numpy(zero_copy_only=False))
+    zero = np.zeros(n, np.int64)
+    head = np.hstack([_low_bytes(np.floor(ts / 1000000), 4), _low_bytes(np.fmod(ts, 1000000) * 1000, 4), _low_bytes(zero + 1, 1), _low_bytes(module - 1, 1),
+                      _low_bytes(size + 8, 2), _low_bytes(fid, 4), _low_bytes(zero, 1), _low_bytes(size, 1), _low_bytes(zero, 2)])
+    if (held == held[0]).all():
+        recs = np.ascontiguousarray(np.hstack([head, payload.reshape(n, int(held[0]))]))
+        order = np.lexsort((fid, ts))
+        if ((np.diff(ts[order]) == 0) & (np.diff(fid[order]) == 0)).any():
+            order = np.lexsort((recs.view(f"S{recs.shape[1]}").ravel(), fid, ts))
+        return recs[order].tobytes()
+    ends = np.cumsum(held)
+    recs = [head[i].tobytes() + payload[ends[i] - held[i]:ends[i]].tobytes() for i in range(n)]
+    return b"".join(recs[i] for i in sorted(range(n), key=lambda i: (ts[i], fid[i], recs[i])))
 
 
 def binary_blobs(frames: DataFrame) -> DataFrame:
     """(file_key, content binary): records of a file in (ts, id) order.
-    A group is one file (bounded by ``FRAMES_PER_FILE_KEYS`` orders)."""
-    recs = record_hex(frames)
-    return (recs.groupBy("file_key")
-            .agg(F.array_sort(F.collect_list(F.struct("ts", "id", "rec"))).alias("r"))
-            .select("file_key", F.unhex(F.array_join(F.col("r")["rec"], "")).alias("content")))
+    A group is one file (bounded by ``FRAMES_PER_FILE_KEYS`` orders), encoded
+    as whole columns."""
+    from busframes.session import ship_package
+
+    ship_package(frames.sparkSession)
+
+    def encode(key, rows):
+        import pyarrow as pa
+
+        return pa.table({"file_key": pa.array([key[0].as_py()], pa.int64()), "content": pa.array([_records(rows)], pa.binary())})
+
+    return frames.select("file_key", "ts", "id", "module", "data").groupBy("file_key").applyInArrow(encode, "file_key bigint, content binary")
 
 
 def write_blobs(blobs: DataFrame, out_dir: str) -> None:

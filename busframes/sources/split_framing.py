@@ -6,7 +6,7 @@ only known from the range before it. Two passes over the ranges of a file:
 1. each range works out, for every offset at which a record can enter it (a
    record is at most MAX_RECORD bytes, so the entries lie in the first
    MAX_RECORD bytes), where the chain of records that begins there leaves it.
-   All entries walk on together through twice that span; chains that meet are
+   Jumps of a record are doubled through twice that span; chains that meet are
    one from there on, and the few that are left are followed to the end;
 2. maps compose: BLOCK neighbours become one map of a block, blocks of blocks
    again, until a file has few; from entry 0 at the top, entries go back down,
@@ -59,22 +59,20 @@ def entry_exits(buf, start: int, end: int, size: int):
 
     data = np.frombuffer(buf, np.uint8)
     entries = np.arange(start, min(start + MAX_RECORD, size)) if start else np.zeros(1, np.int64)
-    node, owner = entries.copy(), np.arange(len(entries))
-    # walk on only what lies before the frontier, so that chains can meet
-    frontier, step = min(start + 2 * MAX_RECORD, end), 0
-    while len(on := np.flatnonzero((node >= 0) & (node < frontier))):
-        pos = node[on]
-        whole = pos + HEADER_SIZE <= size
-        at = np.where(whole, pos - start, 0)
-        length = (data[np.minimum(at + 10, len(data) - 1)].astype(np.int64) << 8) | data[np.minimum(at + 11, len(data) - 1)]
-        ahead = pos + HEADER_SIZE + length
-        node[on] = np.where(whole & (length >= PAYLOAD_MIN) & (length < 32768) & (ahead <= size), ahead, -1)
-        step += 1
-        if step % 8 == 0:
-            node, back = np.unique(node, return_inverse=True)
-            owner = back[owner]
-    node, back = np.unique(node, return_inverse=True)
-    owner = back[owner]
+    # where the chain of every offset before the frontier passes it: jumps of
+    # one record, doubled until none lands before the frontier
+    frontier = min(start + 2 * MAX_RECORD, end)
+    pos = np.arange(start, frontier)
+    whole = pos + HEADER_SIZE <= size
+    at = np.where(whole, pos - start, 0)
+    length = (data[np.minimum(at + 10, len(data) - 1)].astype(np.int64) << 8) | data[np.minimum(at + 11, len(data) - 1)]
+    ahead = pos + HEADER_SIZE + length
+    jump = np.where(whole & (length >= PAYLOAD_MIN) & (length < 32768) & (ahead <= size), ahead, -1)
+    while len(on := np.flatnonzero((jump >= 0) & (jump < frontier))):
+        jump[on] = jump[jump[on] - start]
+    near = entries < frontier
+    node = np.where(near, jump[np.where(near, entries - start, 0)], entries) if len(jump) else entries.copy()
+    node, owner = np.unique(node, return_inverse=True)
     out, walked = node.copy(), []
     for k in np.flatnonzero((node >= 0) & (node < end)):
         for starts, left in walked:
@@ -103,16 +101,47 @@ def _read(path: str, start: int, end: int, size: int) -> bytes:
         return bytes(f.read_at(min(end + OVERLAP, size) - start, start))
 
 
-def _maps(batches) -> Iterator:
+def pack_map(entries, exits) -> bytes:
+    """A map (sorted distinct entries, their exits) in few bytes. Entries at
+    the end that map to themselves are kept as a span; of the others, which
+    lie in less than MAX_RECORD offsets and leave at few places, a number of
+    the exit per offset (0: no entry), deflated."""
+    import zlib
+
+    import numpy as np
+
+    n = len(entries)
+    own = (exits == entries) & (entries - np.arange(n) == (entries[-1] - n + 1 if n else 0))
+    k = n - int(np.argmin(own[::-1])) if not own.all() else 0  # own from k on
+    places, number = np.unique(exits[:k], return_inverse=True)
+    first = int(entries[0]) if k else 0
+    codes = np.zeros(int(entries[k - 1]) - first + 1 if k else 0, np.uint16)
+    codes[entries[:k] - first] = number + 1
+    span = (int(entries[k]), int(entries[-1]) + 1) if k < n else (0, 0)
+    return np.array([first, *span, len(places)], np.int64).tobytes() + zlib.compress(places.astype(np.int64).tobytes() + codes.tobytes(), 1)
+
+
+def unpack_map(packed: bytes):
+    """(entries, exits) of ``pack_map``."""
+    import zlib
+
     import numpy as np
+
+    first, begin, end, n = np.frombuffer(packed, np.int64, 4).tolist()
+    rest = zlib.decompress(packed[32:])
+    places, codes = np.frombuffer(rest, np.int64, n), np.frombuffer(rest, np.uint16, offset=8 * n)
+    at, own = np.flatnonzero(codes), np.arange(begin, end)
+    return np.concatenate([at + first, own]), np.concatenate([places[codes[at].astype(np.int64) - 1], own])
+
+
+def _maps(batches) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        for r in batch.to_pylist():
-            entries, exits = entry_exits(_read(r["path"], r["start"], r["end"], r["size"]), r["start"], r["end"], r["size"])
-            yield pa.RecordBatch.from_pydict({
-                "path": [r["path"]], "size": [r["size"]], "range_id": pa.array([r["range_id"]], pa.int32()), "start": [r["start"]], "end": [r["end"]],
-                "entries": pa.array([entries.astype(np.int64).tobytes()], pa.binary()), "exits": pa.array([exits.astype(np.int64).tobytes()], pa.binary())})
+        for a in range(0, batch.num_rows, 64):
+            rows = batch.slice(a, 64)
+            maps = [pack_map(*entry_exits(_read(r["path"], r["start"], r["end"], r["size"]), r["start"], r["end"], r["size"])) for r in rows.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(maps, pa.binary())], [*rows.schema.names, "map"])
 
 
 def compose(first, second):
@@ -127,12 +156,6 @@ def compose(first, second):
     return entries[on], exits[at[on]]
 
 
-def _read_map(r):
-    import numpy as np
-
-    return np.frombuffer(r["entries"], np.int64), np.frombuffer(r["exits"], np.int64)
-
-
 def _composed(batches) -> Iterator:
     """One map per block, from maps sorted by (path, block, range_id)."""
     import pyarrow as pa
@@ -140,17 +163,17 @@ def _composed(batches) -> Iterator:
     def out(r, m):
         return pa.RecordBatch.from_pydict({
             "path": [r["path"]], "range_id": pa.array([r["block"]], pa.int32()),
-            "entries": pa.array([m[0].tobytes()], pa.binary()), "exits": pa.array([m[1].tobytes()], pa.binary())})
+            "map": pa.array([pack_map(*m)], pa.binary())})
 
     last = held = None
     for batch in batches:
         for r in batch.to_pylist():
             if last is not None and (r["path"], r["block"]) == (last["path"], last["block"]):
-                held = compose(held, _read_map(r))
+                held = compose(held, unpack_map(r["map"]))
             else:
                 if last is not None:
                     yield out(last, held)
-                held = _read_map(r)
+                held = unpack_map(r["map"])
             last = r
     if last is not None:
         yield out(last, held)
@@ -171,7 +194,7 @@ def _walked(batches) -> Iterator:
             if at < 0:
                 continue
             rows.append((r["path"], r["range_id"], at))
-            entries, exits = _read_map(r)
+            entries, exits = unpack_map(r["map"])
             i = int(np.searchsorted(entries, at))
             at = int(exits[i]) if i < len(entries) and entries[i] == at else -1
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], ["path", "range_id", "entry"])
@@ -186,11 +209,11 @@ def range_entries(files: DataFrame, range_bytes: int) -> DataFrame:
     checkpoint_base(spark)
     ship_package(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind = "path string, size bigint, range_id int, start bigint, end bigint, entries binary, exits binary"
+    kind = "path string, size bigint, range_id int, start bigint, end bigint, map binary"
 
     def blocks(maps: DataFrame) -> DataFrame:
         block = F.floor(F.col("range_id") / BLOCK).cast("int")
-        return maps.select("path", "range_id", block.alias("block"), "entries", "exits")
+        return maps.select("path", "range_id", block.alias("block"), "map")
 
     def by_block(maps: DataFrame) -> DataFrame:
         return maps.repartition(parts, "path", "block").sortWithinPartitions("path", "block", "range_id")
@@ -200,7 +223,7 @@ def range_entries(files: DataFrame, range_bytes: int) -> DataFrame:
     most = ranges.agg(F.max("range_id")).first()[0] or 0
     levels = [ranges]
     while most >= BLOCK:
-        levels.append(by_block(blocks(levels[-1])).mapInArrow(_composed, "path string, range_id int, entries binary, exits binary").checkpoint())
+        levels.append(by_block(blocks(levels[-1])).mapInArrow(_composed, "path string, range_id int, map binary").checkpoint())
         most //= BLOCK
     walked = None
     for maps in reversed(levels):

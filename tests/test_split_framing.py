@@ -223,3 +223,20 @@ def test_many_ranges_go_through_blocks(spark, tmp_dir, monkeypatch):
 
     entries = S.range_entries(list_recordings(spark, tmp_dir), 6000)
     assert entries.groupBy("path").count().agg({"count": "max"}).first()[0] > 16
+
+
+def test_maps_are_packed_in_few_bytes():
+    """Every entry and exit comes back, in an eighth of their own bytes."""
+    import numpy as np
+    from busframes.sources.split_framing import pack_map, unpack_map
+
+    rnd = random.Random(21)
+    blob = b"".join(_record(1, i, 0, 101 + i % 7, 0x80000, [rnd.randint(0, 255) for _ in range(8)]) for i in range(4000))
+    for start, end in ((0, 16384), (16384, 32768), (98304, len(blob))):
+        entries, exits = entry_exits(blob[start:end + OVERLAP], start, end, len(blob))
+        packed = pack_map(entries, exits)
+        assert [x.tolist() for x in unpack_map(packed)] == [entries.tolist(), exits.tolist()]
+        assert 8 * len(packed) <= 16 * len(entries) or not start
+    for entries, exits in (([], []), ([5], [5]), ([5, 7], [7, 7]), ([3, 4, 6, 7], [3, 9, 6, 7]), ([1, 2], [8, 9])):
+        entries, exits = np.array(entries, np.int64), np.array(exits, np.int64)
+        assert [x.tolist() for x in unpack_map(pack_map(entries, exits))] == [entries.tolist(), exits.tolist()]
