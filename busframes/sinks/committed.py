@@ -32,6 +32,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 
+def _values(column) -> list:
+    """What ``to_pylist`` gives, by whole columns where their type allows it."""
+    import pyarrow as pa
+
+    t = column.type
+    if pa.types.is_list(t):
+        flat, sizes = _values(column.flatten()), column.value_lengths().to_pylist()
+        out, at = [], 0
+        for n in sizes:
+            out.append(None if n is None else flat[at:at + n])
+            at += n or 0
+        return out
+    if pa.types.is_string(t) or pa.types.is_decimal(t) or (pa.types.is_integer(t) and not column.null_count):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    if pa.types.is_timestamp(t) and t.unit == "us" and t.tz == "UTC":
+        zone = pa.scalar(0, t).as_py().tzinfo
+        plain = column.cast(pa.timestamp("us")).to_numpy(zero_copy_only=False).tolist()
+        return [None if v is None else v.replace(tzinfo=zone) for v in plain]
+    return column.to_pylist()
+
+
+def _rows(batch) -> list[dict]:
+    """The rows of an Arrow batch as dicts."""
+    names = batch.schema.names
+    return [dict(zip(names, r)) for r in zip(*map(_values, batch.columns))]
+
+
+_encode = json.JSONEncoder(default=str).encode
+
+
 @dataclass
 class Staged(WriterCommitMessage):
     """What one task staged; no stage where it had no rows."""
@@ -51,7 +81,7 @@ class StoreWriter(DataSourceArrowWriter):
         client.begin(self.job)
         try:
             for batch in iterator:
-                held.extend(batch.to_pylist())
+                held.extend(_rows(batch))
                 while len(held) >= self.batch_rows:
                     client.send(held[:self.batch_rows])
                     sent += self.batch_rows
@@ -142,7 +172,7 @@ class RecordingStore:
     def send(self, rows: list) -> None:
         self._batches += 1
         name = f"{self._path}/_staged/{self._job}/{self._stage}/batch-{self._stage}-{self._batches:06d}.jsonl"
-        self._write(name, "".join(json.dumps(r, default=str) + "\n" for r in rows))
+        self._write(name, "".join(_encode(r) + "\n" for r in rows))
 
     def prepare(self) -> str:
         return self._stage

@@ -143,3 +143,28 @@ def test_write_by_key_runs_its_input_once(spark):
     write_by_key(df, "module", lambda rows, k: got.update({k: (rows.columns, sorted(r.ts for r in rows.collect()))}))
     assert seen.value == 6000
     assert got == {k: (["ts"], [i for i in range(6000) if i % 4 == (3 if k is None else k)]) for k in (0, 1, 2, None)}
+
+
+def test_rows_of_a_batch_by_columns():
+    """Values and text as row by row, in a fraction of the time."""
+    import json
+    import time
+    from decimal import Decimal
+
+    import pyarrow as pa
+    from busframes.sinks.committed import _encode, _rows
+
+    t = pa.schema([("s", pa.string()), ("n", pa.int64()), ("d", pa.decimal128(20, 0)), ("names", pa.list_(pa.string())),
+                   ("vals", pa.list_(pa.decimal128(20, 0))), ("ts", pa.timestamp("us", "UTC"))])
+    odd = [{"s": None, "n": None, "d": None, "names": None, "vals": [], "ts": None},
+           {"s": "a\"ä", "n": -1, "d": Decimal(2**63), "names": ["x", None], "vals": [None, Decimal(7)], "ts": 5}]
+    for rows in (odd, odd[1:], []):
+        batch = pa.RecordBatch.from_pylist(rows * 3, t)
+        for b in (batch, batch.slice(1)):
+            assert _rows(b) == b.to_pylist()
+            assert [_encode(r) for r in _rows(b)] == [json.dumps(r, default=str) for r in b.to_pylist()]
+    many = pa.RecordBatch.from_pylist([{**odd[1], "names": list("abcde"), "vals": list(map(Decimal, range(5)))}] * 20_000, t)
+    begun = time.process_time()
+    plain = many.to_pylist()
+    between = time.process_time()
+    assert _rows(many) == plain and time.process_time() - between < 0.8 * (between - begun) + 0.2
