@@ -7,12 +7,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def cluster_by_id(decoded: DataFrame, partitions: int | None = None) -> DataFrame:
+#: rows of one id or range that one task sorts
+TASK_ROWS = 1 << 20
+
+
+def cluster_by_id(decoded: DataFrame, partitions: int | None = None, slices: int = 1) -> DataFrame:
     """Hash-partition by id and sort each partition by (id, ts): runs of one
     id per partition for writers that prepare a statement per id. A hot id
-    stays in one task here; ``range_by_id_ts`` splits it instead."""
+    stays in one task unless its rows are dealt to ``slices`` by their ts;
+    ``range_by_id_ts`` splits it instead."""
     parts = [partitions] if partitions else []
-    return decoded.repartition(*parts, "id").sortWithinPartitions("id", "ts")
+    by = ["id"] if slices < 2 else ["id", F.pmod(F.xxhash64("ts"), F.lit(slices))]
+    return decoded.repartition(*parts, *by).sortWithinPartitions("id", "ts")
 
 
 def range_by_id_ts(decoded: DataFrame, partitions: int | None = None) -> DataFrame:

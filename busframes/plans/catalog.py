@@ -23,7 +23,7 @@ from busframes.functions.timefmt import MILLIS_FORMAT, today_string
 from busframes.operators.decode import (
     decode_frames_array, decode_frames_long, decode_frames_map, decode_text_array, decode_text_long,
 )
-from busframes.operators.partition import cluster_by_id, count_rows, preview, range_by_id_ts, write_partitioned
+from busframes.operators.partition import TASK_ROWS, cluster_by_id, count_rows, preview, range_by_id_ts, write_partitioned
 from busframes.operators.shape import (
     long_from_array, long_to_cells, replay, strings_map,
     wide_from_names, wide_to_cells,
@@ -618,7 +618,9 @@ def q_global_order(spark, sf_dir):
     from pyspark.sql import Window
 
     path = shared_dir(spark, "ordered")
-    range_by_id_ts(cluster_by_id(_frames(spark, sf_dir).select("id", "ts")), 6).write.parquet(path)
+    # ranges and slices grow with the rows, so that what one task sorts does not
+    slices = -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // TASK_ROWS)
+    range_by_id_ts(cluster_by_id(_frames(spark, sf_dir).select("id", "ts"), slices=slices), max(6, slices)).write.parquet(path)
     key = F.struct("id", "ts")
     rows = spark.read.parquet(path).select("id", "ts", key.alias("k"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     inside = rows.withColumn("late", (F.col("k") < F.lag("k").over(Window.partitionBy("file").orderBy("row"))).cast("int"))
