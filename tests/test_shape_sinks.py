@@ -226,3 +226,22 @@ def test_buckets_need_no_exchange(spark, tmp_dir):
             drop_bucketed(spark, table)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_global_order_cuts_grow_with_the_rows(spark, monkeypatch):
+    """A hot id is dealt to several tasks, and files hold bounded runs."""
+    from pyspark.sql import functions as F
+    from busframes.operators.partition import cluster_by_id
+    from busframes.plans import catalog
+
+    df = spark.range(4000).select(F.lit(7).alias("id"), F.pmod("id", F.lit(977)).alias("ts"))
+    parts = [[(r.id, r.ts) for r in p] for p in cluster_by_id(df, 8, slices=16).rdd.glom().collect()]
+    assert all(p == sorted(p) for p in parts) and max(map(len, parts)) < 2000
+    seen, ranged = [], catalog.range_by_id_ts
+    monkeypatch.setattr(catalog, "TASK_ROWS", 500)
+    monkeypatch.setattr(catalog, "range_by_id_ts", lambda df, n: seen.append(n) or ranged(df, n))
+    sf = "/root/testdata/sf0.001"
+    rows = catalog.q_global_order(spark, sf).collect()
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert seen == [-(-n // 500)] and seen[0] > 6
+    assert sum(r.n for r in rows) == n and not any(r.out_of_order for r in rows)
