@@ -102,10 +102,39 @@ def extract_bits(data, start, length, word=None, size=None) -> Column:
     general = _extract_general(data, start, length)
     if word is None:
         return general
-    fast = _ushr(_c(word), start).bitwiseAND(_ushr(F.lit(-1).cast("bigint"), F.lit(64) - length))
     size = F.size(data) if size is None else _c(size)
-    valid = ((length >= 1) & (length <= 64) & (start >= 0) & (start + length <= size * 8))
-    return F.when(valid, F.when(size <= 8, fast).otherwise(general))
+    return F.when(_inside(start, length, size), F.when(size <= 8, _word_bits(word, start, length)).otherwise(general))
+
+
+def extract_hex_bits(digits, start, length, word, size) -> Column:
+    """``extract_bits`` of a hex payload: ``word`` and ``size`` as there,
+    ``digits`` (see ``hex_digits``) is only looked at for payloads over 8
+    bytes, and there only the nine bytes from the field's first one on."""
+    start, length = _c(start).cast("int"), _c(length).cast("int")
+    return F.when(_inside(start, length, _c(size)), F.when(_c(size) <= 8, _word_bits(word, start, length))
+                  .otherwise(_digits_bits(digits, start, length)))
+
+
+def _inside(start: Column, length: Column, size: Column) -> Column:
+    return (length >= 1) & (length <= 64) & (start >= 0) & (start + length <= size * 8)
+
+
+def _mask(length: Column) -> Column:
+    return _ushr(F.lit(-1).cast("bigint"), F.lit(64) - length)
+
+
+def _word_bits(word, start: Column, length: Column) -> Column:
+    return _ushr(_c(word), start).bitwiseAND(_mask(length))
+
+
+def _digits_bits(digits, start: Column, length: Column) -> Column:
+    at = _shr(start, F.lit(3)) * 2 + 1
+    offset = start.bitwiseAND(F.lit(7))
+    cut = lambda pos, n: F.call_function("substring", _c(digits), pos, F.lit(n))
+    ninth = F.conv(cut(at + 16, 2), 16, 10).cast("bigint")
+    return (_ushr(hex_digits_word(cut(at, 16)), offset)
+            .bitwiseOR(F.when(offset + length > 64, _shl(ninth, F.lit(64) - offset)).otherwise(F.lit(0).cast("bigint")))
+            .bitwiseAND(_mask(length)))
 
 
 def _extract_general(data: Column, start: Column, length: Column) -> Column:
@@ -127,6 +156,30 @@ def decode_array(data, info, word=None, size=None) -> Column:
     return F.transform(_c(info), lambda s: extract_bits(data, s["startBit"], s["len"], word, size))
 
 
+#: signals of a message whose values are written out one by one: an array of
+#: plain expressions is compiled, a lambda over the layout is interpreted. More
+#: of them make methods over 8,000 bytes, which the JVM doesn't compile
+WRITTEN_OUT = 8
+
+
+def decode_layout(info, most: int, word, size, wide) -> Column:
+    """``decode_array`` for layouts of at most ``most`` signals. ``word`` and
+    ``size`` as in ``extract_bits``; ``wide(start, len)`` is the value in a
+    payload over 8 bytes (more code: never written out). Small layouts of
+    classic frames are written out."""
+    info, size = _c(info), _c(size)
+
+    def classic(s) -> Column:
+        start, length = s["startBit"].cast("int"), s["len"].cast("int")
+        return F.when(_inside(start, length, size), _word_bits(word, start, length))
+
+    if 0 < most <= WRITTEN_OUT:
+        short = F.slice(F.array(*[classic(F.get(info, k)) for k in range(most)]), F.lit(1), F.size(info))
+    else:
+        short = F.transform(info, classic)
+    return F.when(size > 8, F.transform(info, lambda s: wide(s["startBit"], s["len"]))).otherwise(short)
+
+
 def hex_bytes(hex_text) -> Column:
     """``'10 50 01'`` -> ``[16, 80, 1]`` (blank separated hex bytes)."""
     parts = F.split(F.trim(_c(hex_text)), " +")
@@ -156,7 +209,7 @@ def hex_id_to_int(token) -> Column:
     Plain string functions, no regex."""
     t = _c(token)
     t = F.when(t.endswith("x"), F.call_function("substring", t, F.lit(1), F.length(t) - 1)).otherwise(t)
-    ok = F.length(t).between(1, 8) & (F.translate(t, "0123456789ABCDEFabcdef", "") == "")
+    ok = F.length(t).between(1, 8) & F.unhex(t).isNotNull()
     return F.when(ok, F.conv(t, 16, 10).cast("bigint").try_cast("int"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.functions.bits import (
-    decode_array, extract_bits, hex_bytes, hex_digits, hex_digits_word, idiv, payload_word,
+    decode_layout, extract_bits, extract_hex_bits, hex_digits, hex_digits_word, idiv, payload_word,
 )
 from busframes.sources.dictionary import SignalDictionary
 
@@ -56,11 +56,11 @@ def _with_word(frames: DataFrame, data_col: str) -> DataFrame:
 
 
 def _with_hex_word(frames: DataFrame) -> DataFrame:
-    """The same for hex payload text; payloads over 8 bytes also become a
-    byte array, once per frame."""
+    """The same for hex payload text; payloads over 8 bytes also keep their
+    digits, of which each signal takes the bytes it touches."""
     digits = frames.withColumn("_digits", hex_digits("data"))
-    sized = digits.withColumns({"_word": hex_digits_word("_digits"), "_n": idiv(F.length("_digits"), 2).cast("int")}).drop("_digits")
-    return sized.withColumn("_bytes", F.when(F.col("_n") > 8, hex_bytes("data")))
+    sized = digits.withColumns({"_word": hex_digits_word("_digits"), "_n": idiv(F.length("_digits"), 2).cast("int")})
+    return sized.withColumn("_digits", F.when(F.col("_n") > 8, F.col("_digits")))
 
 
 def _names(with_names: bool) -> list:
@@ -75,7 +75,8 @@ def decode_frames_array(frames: DataFrame, dictionary: SignalDictionary,
     driver-side lookup is needed downstream."""
     joined = join_dictionary(_with_word(frames, "data"), dictionary)
     return joined.select(*keep, "ts", "id", "botschaft", *_names(with_names),
-                         decode_array("data", "info", "_word", "_n").alias("vals"))
+                         decode_layout("info", dictionary.most_signals, "_word", "_n",
+                                       lambda start, n: extract_bits("data", start, n, "_word", "_n")).alias("vals"))
 
 
 def decode_text_array(frames: DataFrame, dictionary: SignalDictionary,
@@ -85,7 +86,8 @@ def decode_text_array(frames: DataFrame, dictionary: SignalDictionary,
     later layout."""
     joined = join_dictionary(_with_hex_word(frames), dictionary, dictionary.with_unique_names())
     return joined.select(*keep, "ts", "id", "botschaft", *_names(with_names),
-                         decode_array("_bytes", "info", "_word", "_n").alias("vals"))
+                         decode_layout("info", dictionary.most_signals, "_word", "_n",
+                                       lambda start, n: extract_hex_bits("_digits", start, n, "_word", "_n")).alias("vals"))
 
 
 def decode_frames_map(frames: DataFrame, dictionary: SignalDictionary,
@@ -99,21 +101,21 @@ def decode_frames_map(frames: DataFrame, dictionary: SignalDictionary,
                       F.map_from_arrays("names", "vals").alias("map"))
 
 
-def _long(frames: DataFrame, dictionary: SignalDictionary, data_col: str, unique: bool, keep: tuple) -> DataFrame:
+def _long(frames: DataFrame, dictionary: SignalDictionary, extract, data_col: str, unique: bool, keep: tuple) -> DataFrame:
     signals = dictionary.signal_rows(unique).withColumnsRenamed({"start": "_start", "len": "_len"})
     joined = _join(frames, signals, dictionary.signals_broadcastable)
     return joined.select(*keep, "ts", "id", "botschaft", "pos", "signal_name",
-                         extract_bits(data_col, "_start", "_len", "_word", "_n").alias("value"))
+                         extract(data_col, "_start", "_len", "_word", "_n").alias("value"))
 
 
 def decode_frames_long(frames: DataFrame, dictionary: SignalDictionary,
                        data_col: str = "data", keep: tuple = ()) -> DataFrame:
     """Raw frames -> one row per (frame, signal): ts, id, botschaft,
     pos, signal_name, value."""
-    return _long(_with_word(frames, data_col), dictionary, data_col, False, keep)
+    return _long(_with_word(frames, data_col), dictionary, extract_bits, data_col, False, keep)
 
 
 def decode_text_long(frames: DataFrame, dictionary: SignalDictionary, keep: tuple = ()) -> DataFrame:
     """Text frames (data hex string) -> the same; of signals with one name in
     a message the later layout only."""
-    return _long(_with_hex_word(frames), dictionary, "_bytes", True, keep)
+    return _long(_with_hex_word(frames), dictionary, extract_hex_bits, "_digits", True, keep)

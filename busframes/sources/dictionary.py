@@ -71,7 +71,8 @@ class SignalDictionary:
 
     ``messages``: identifier, botschaft, info. ``n_bytes`` and
     ``n_signal_bytes``, the sizes of a broadcast copy of the messages and of
-    one row per signal, decide the join strategy.
+    one row per signal, decide the join strategy; ``most_signals`` (of one
+    message) decides how layouts are decoded.
     """
 
     messages: DataFrame
@@ -79,6 +80,7 @@ class SignalDictionary:
     n_signals: int
     n_bytes: int
     n_signal_bytes: int
+    most_signals: int = 0  # 0: not measured
 
     @classmethod
     def load(cls, rows: DataFrame, persist: bool = True) -> "SignalDictionary":
@@ -91,8 +93,9 @@ class SignalDictionary:
         stats = messages.agg(F.count(F.lit(1)).alias("m"),
                              F.coalesce(F.sum(F.size("info")), F.lit(0)).alias("s"),
                              F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b"),
-                             F.coalesce(F.sum(names + F.size("info") * (F.lit(96) + F.octet_length("botschaft"))), F.lit(0)).alias("r")).first()
-        return cls(messages, int(stats["m"]), int(stats["s"]), int(stats["b"]), int(stats["r"]))
+                             F.coalesce(F.sum(names + F.size("info") * (F.lit(96) + F.octet_length("botschaft"))), F.lit(0)).alias("r"),
+                             F.coalesce(F.max(F.size("info")), F.lit(0)).alias("k")).first()
+        return cls(messages, int(stats["m"]), int(stats["s"]), int(stats["b"]), int(stats["r"]), int(stats["k"]))
 
     @property
     def broadcastable(self) -> bool:
