@@ -382,8 +382,9 @@ def q_insert_statements_grouped(spark, sf_dir):
 
 def q_line_protocol_points(spark, sf_dir):
     """K7: one line-protocol point per decoded frame."""
-    dec = decode_frames_array(_frames(spark, sf_dir), _dictionary(spark), with_names=True)
-    return line_protocol(dec)
+    d = _dictionary(spark)
+    dec = decode_frames_array(_frames(spark, sf_dir), d, with_names=True)
+    return line_protocol(dec, most=d.most_signals)
 
 
 def q_wide_store_rows(spark, sf_dir):

@@ -163,8 +163,8 @@ def decode(frames: DataFrame, spec: JobSpec, dictionary: SignalDictionary) -> Da
     raise ValueError(f"unknown decode {spec.decode!r}")
 
 
-def shape(decoded: DataFrame, spec: JobSpec) -> DataFrame:
-    """The rows the sink receives."""
+def shape(decoded: DataFrame, spec: JobSpec, most_signals: int = 0) -> DataFrame:
+    """The rows the sink receives. ``most_signals``: of a message, where known."""
     if spec.sink == "module_tables":
         if spec.source == "text":   # ts in ns since trace start, data as hex text
             return decoded.select("module", micros_to_string(idiv("ts", 1000)).alias("ts"), "id", "len", "data")
@@ -184,7 +184,7 @@ def shape(decoded: DataFrame, spec: JobSpec) -> DataFrame:
     if spec.sink == "rows":
         return wide_store_rows(decoded, spec.device)
     if spec.sink == "points":
-        return line_protocol(decoded, spec.device)
+        return line_protocol(decoded, spec.device, most_signals)
     if spec.sink == "csv":
         return long_from_array(decoded).drop("pos")
     raise ValueError(f"unknown sink {spec.sink!r}")
@@ -237,7 +237,7 @@ def run(spark: SparkSession, spec: JobSpec, trace_path: str, dictionary: SignalD
         # decoding does not depend on ts: replaying decoded rows gives the
         # same rows as decoding replayed frames, with 1/11 of the decode work
         decoded = replay(decoded)
-    shaped = shape(decoded, spec)
+    shaped = shape(decoded, spec, dictionary.most_signals)
     delivered = deliver_shaped(shaped, spec, target, dictionary)
     metrics = {"delivered": delivered}
     if target.rejects_path:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from busframes.functions.bits import WRITTEN_OUT
 from busframes.functions.timefmt import micros_to_millis_timestamp
 from busframes.operators.batching import batch_within_key
 
@@ -20,7 +21,7 @@ TWO_POW_64 = 18446744073709551616
 def row_tuple(ts="ts", vals="vals") -> F.Column:
     """``(ts,v1,v2,...)``; a null value is written as NULL."""
     return F.concat(F.lit("("), F.col(ts).cast("string"), F.lit(","),
-                    F.array_join(F.transform(vals, lambda v: v.cast("string")), ",", "NULL"),
+                    F.array_join(F.col(vals).cast("array<string>"), ",", "NULL"),
                     F.lit(")"))
 
 
@@ -48,31 +49,44 @@ def insert_statements(decoded: DataFrame, batch_rows: int = 5000, prefix: str =
 
 
 def _escape_key(c: F.Column) -> F.Column:
-    return F.regexp_replace(c, r"([,= ])", r"\\$1")
+    for mark in (",", "=", " "):
+        c = F.replace(c, F.lit(mark), F.lit("\\" + mark))
+    return c
 
 
 def _has_field() -> F.Column:
     """A point needs a field; frames too short for every signal have none."""
-    return F.exists("vals", lambda v: v.isNotNull())
+    return F.array_max("vals").isNotNull()
 
 
-def _point_head(device: str) -> F.Column:
+def _with_fields(decoded: DataFrame) -> DataFrame:
+    """Points only, their fields (name and value) sorted by name."""
+    return decoded.filter(_has_field()).withColumn(
+        "_fields", F.sort_array(F.arrays_zip(F.col("names").alias("k"), F.col("vals").alias("v"))))
+
+
+def _point_head(device: str, most: int = 0) -> F.Column:
     """``<measurement>,device=<device> f1=1i,f2=2i``: fields sorted by name,
-    null fields left out, integers with the ``i`` suffix."""
-    fields = F.array_sort(F.filter(F.arrays_zip(F.col("names").alias("k"), F.col("vals").alias("v")),
-                                   lambda x: x["v"].isNotNull()))
-    field_text = F.array_join(F.transform(fields, lambda x: F.concat(
-        _escape_key(x["k"]), F.lit("="), x["v"].cast("string"), F.lit("i"))), ",")
+    null fields left out, integers with the ``i`` suffix. ``most``: fields of
+    a point at most (0: any number); few of them are written out."""
+    def text(x):  # null without a value
+        return F.concat(_escape_key(x["k"]), F.lit("="), x["v"].cast("string"), F.lit("i"))
+
+    if 0 < most <= WRITTEN_OUT:
+        field_text = F.concat_ws(",", *[text(F.get("_fields", k)) for k in range(most)])
+    else:
+        field_text = F.array_join(F.transform("_fields", text), ",")
     return F.concat(_escape_key(F.col("botschaft")), F.lit(",device="), _escape_key(F.lit(device)),
                     F.lit(" "), field_text)
 
 
-def line_protocol(decoded: DataFrame, device: str = "Datalogger1") -> DataFrame:
+def line_protocol(decoded: DataFrame, device: str = "Datalogger1", most: int = 0) -> DataFrame:
     """Array form with names -> one line-protocol record per frame, time in
-    µs. Frames without any value give no point. Output: measurement, time, line."""
-    return decoded.filter(_has_field()).select(
+    µs. Frames without any value give no point. ``most``: signals of a message
+    at most, where known. Output: measurement, time, line."""
+    return _with_fields(decoded).select(
         F.col("botschaft").alias("measurement"), F.col("ts").alias("time"),
-        F.concat(_point_head(device), F.lit(" "), F.col("ts").cast("string")).alias("line"))
+        F.concat(_point_head(device, most), F.lit(" "), F.col("ts").cast("string")).alias("line"))
 
 
 def hour_stamped_points(decoded: DataFrame, stamp=None, device: str = "Datalogger1") -> DataFrame:
@@ -82,7 +96,7 @@ def hour_stamped_points(decoded: DataFrame, stamp=None, device: str = "Datalogge
     from busframes.functions.timefmt import hour_stamp_to_millis
 
     time_ms = hour_stamp_to_millis(stamp) if stamp is not None else F.lit(None).cast("bigint")
-    pts = decoded.filter(_has_field()).withColumn("_t", time_ms)
+    pts = _with_fields(decoded).withColumn("_t", time_ms)
     head = _point_head(device)
     return pts.select(F.col("botschaft").alias("measurement"), F.col("_t").alias("time_ms"),
                       F.when(F.col("_t").isNull(), head)

@@ -35,6 +35,8 @@ RAW_FRAME_COLUMNS = ("module", "ts", "id", "data")
 
 RANGE_BYTES = 128 << 20   # larger recordings are framed by one task per range
 BATCH_FRAMES = 20_000     # frames per Arrow batch
+TASK_BYTES = 32 << 20     # of whole recordings that one task frames
+OPEN_BYTES = 128 << 10    # what opening a recording costs, in bytes
 
 
 def _decode_records(content, starts, lengths) -> dict:
@@ -271,12 +273,18 @@ def read_raw_files(spark: SparkSession, path: str, glob: str | None = None) -> D
     return reader.load(path).select("path", "length", "content")
 
 
+def _tasks(spark: SparkSession, total_bytes: int) -> int:
+    """Tasks for whole recordings: a task costs more to begin than a small
+    recording to frame, so their number goes by bytes, not by files."""
+    return max(4 * spark.sparkContext.defaultParallelism, -(-total_bytes // TASK_BYTES))
+
+
 def read_binary_trace(spark: SparkSession, path: str, glob: str | None = None,
                       order_by_ts: bool = False, range_bytes: int = RANGE_BYTES,
                       ids: tuple[int, ...] | None = None, where=None) -> ParsedTrace:
     """Scan binary recordings (file, directory or glob; any Hadoop URI) into
     raw frames. Files are treated one by one: those up to ``range_bytes`` are
-    framed whole, packed into shared tasks; larger ones range by range. The
+    framed whole, packed into shared tasks by their bytes; larger ones range by range. The
     rows don't depend on it. ``ids`` keeps frames with these ids only,
     ``where`` (a FrameFilter) frames of given ids, modules and times."""
     from busframes.sources.frame_filter import FrameFilter
@@ -286,9 +294,12 @@ def read_binary_trace(spark: SparkSession, path: str, glob: str | None = None,
     where = where or FrameFilter()
     where = where if ids is None else where.and_ids(ids)
     files = list_recordings(spark, path, glob)
-    framed = frame_files(files.filter(F.col("length") <= range_bytes), where=where)
-    large = files.filter(F.col("length") > range_bytes)
-    if large.limit(1).count():
+    whole = F.col("length") <= range_bytes
+    large = files.filter(~whole)
+    found = files.agg(F.coalesce(F.sum(F.when(whole, F.col("length") + OPEN_BYTES)), F.lit(0)).alias("small"),
+                      F.count(F.when(~whole, F.lit(1))).alias("large")).first()
+    framed = frame_files(files.filter(whole).coalesce(_tasks(spark, found["small"])), where=where)
+    if found["large"]:
         framed = framed.unionByName(read_ranges(large, range_bytes, where))
     out = split_framed(framed)
     if order_by_ts:
