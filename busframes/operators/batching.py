@@ -11,7 +11,8 @@ The cuts are fixed before any row is numbered, so the same row falls into the
 same range in every evaluation: nothing of the input is stored. It is read
 three times, twice for its key and leading order column alone (the sketch, the
 counts; where every key fits one range, the sketch only), so columns that are
-dear to make (a decode) are made once. Stage a trace that is dear to parse.
+dear to make (a decode) are made once. Stage a trace that is dear to parse
+(``staged``).
 Rows with one key and one value of the leading order column stay together.
 """
 
@@ -24,6 +25,7 @@ from busframes.operators.ranges import MAX_CUTS, cuts_below, cuts_of
 
 KEY_CUTS = 8191          # of one key
 RANGE_ROWS = 1 << 18     # rows of a range, unless that makes more than MAX_CUTS ranges
+MERGERS = 8              # tasks that merge the sketches of one key
 
 
 def _same(a: DataFrame, b: DataFrame, key: list[str], prefix: str):
@@ -33,6 +35,31 @@ def _same(a: DataFrame, b: DataFrame, key: list[str], prefix: str):
     return cond
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read back from there."""
+    from busframes.session import shared_dir
+
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _key_stats(df: DataFrame, key: list[str], lead) -> DataFrame:
+    """Per key its rows (``_rows``) and KEY_CUTS cuts of ``lead`` (``_all``).
+
+    Every task of the input sends a sketch per key, so one task can't merge
+    them all: ``MERGERS`` tasks per key merge a share each, and the shares'
+    cuts, thinned so that each stands for as many rows, give those of the key."""
+    parts = (df.select(*key, lead.alias("_lead"), F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_part"))
+             .groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_rows"), cuts_of(F.col("_lead"), KEY_CUTS + 1).alias("_all")))
+    parts = parts.withColumn("_total", F.sum("_rows").over(Window.partitionBy(*key)))
+    n = F.ceil(F.col("_rows") * F.least(F.lit(KEY_CUTS + 1), F.col("_total")) / F.col("_total")).cast("int")
+    points = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(
+        "_all", F.greatest(F.lit(0), F.floor(i.cast("bigint") * (KEY_CUTS + 1) / (n + 1)).cast("int") - 1)))
+    return (parts.select(*key, "_total", F.explode_outer(points).alias("_point")).groupBy(*key)
+            .agg(F.max("_total").alias("_rows"), cuts_of(F.col("_point"), KEY_CUTS + 1).alias("_all")))
+
+
 def rank_within_key(df: DataFrame, key: list[str], order: list[str],
                     partitions: int | None = None, col: str = "rank") -> DataFrame:
     """Add ``col`` = 0-based rank of the row inside its key by ``order``.
@@ -45,7 +72,7 @@ def rank_within_key(df: DataFrame, key: list[str], order: list[str],
     checkpoint_base(df.sparkSession)
     lead = F.col(order[0]).cast("bigint")
     number = F.row_number().over(Window.partitionBy(*key, "_range").orderBy(*order)) - 1
-    stats = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), cuts_of(lead, KEY_CUTS + 1).alias("_all")).checkpoint()
+    stats = _key_stats(df, key, lead).checkpoint()
     total = stats.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     ranges = min(MAX_CUTS, partitions or max(1, total // RANGE_ROWS))
     n = F.least(F.lit(KEY_CUTS + 1), F.ceil(F.col("_rows") / max(1, total // ranges))).cast("int")
