@@ -20,6 +20,7 @@ from busframes.functions import (
 )
 from busframes.functions.bits import idiv
 from busframes.functions.timefmt import MILLIS_FORMAT, today_string
+from busframes.operators.batching import staged
 from busframes.operators.decode import (
     decode_frames_array, decode_frames_long, decode_frames_map, decode_text_array, decode_text_long,
 )
@@ -377,7 +378,7 @@ def q_insert_statements_grouped(spark, sf_dir):
     """K5 + P20: values in dictionary order, 20,000 rows per statement,
     tables suffixed ``_1_2``."""
     dec = decode_text_array(_text_frames(spark, sf_dir), _two_layouts(spark))
-    return insert_statements(dec, batch_rows=20000, prefix="", suffix="_1_2")
+    return insert_statements(staged(dec, "decoded-rows"), batch_rows=20000, prefix="", suffix="_1_2")
 
 
 def q_line_protocol_points(spark, sf_dir):
