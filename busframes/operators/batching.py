@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from busframes.operators.ranges import MAX_CUTS, cuts_below, cuts_of
+from busframes.operators.ranges import MAX_CUTS, cuts_of, with_cuts_below
 
 KEY_CUTS = 8191          # of one key
 RANGE_ROWS = 1 << 18     # rows of a range, unless that makes more than MAX_CUTS ranges
@@ -84,7 +84,7 @@ def rank_within_key(df: DataFrame, key: list[str], order: list[str],
         F.sequence(F.lit(1), n - 1), lambda i: F.get("_all", F.floor(i.cast("bigint") * (KEY_CUTS + 1) / n).cast("int") - 1))).otherwise(F.array().cast("array<bigint>"))
     plan = stats.select(*[F.col(k).alias(f"_p_{k}") for k in key], cuts.alias("_cuts"))
     cut = df.join(F.broadcast(plan), _same(df, plan, key, "_p_"))
-    ranged = cut.withColumn("_range", cuts_below(lead, F.col("_cuts"), most)).drop("_cuts", *[f"_p_{k}" for k in key])
+    ranged = with_cuts_below(cut, "_range", lead, F.col("_cuts"), most).drop("_cuts", *[f"_p_{k}" for k in key])
     sizes = ranged.groupBy(*key, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*[F.col(k).alias(f"_o_{k}") for k in key], F.col("_range").alias("_o_range"),

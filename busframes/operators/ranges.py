@@ -57,6 +57,16 @@ def cuts_below(value: Column, cuts: Column, most: int = MAX_CUTS, equal: bool =
     return F.aggregate(steps, F.lit(0), halve)
 
 
+def with_cuts_below(df: DataFrame, col: str, value: Column, cuts: Column, most: int) -> DataFrame:
+    """``cuts_below`` as column ``col``, a projection per halving: the steps
+    are compiled, where those of an aggregate are interpreted."""
+    out = df.withColumn(col, F.lit(0))
+    for step in range(max(most, 1).bit_length() - 1, -1, -1):
+        at = F.col(col) + F.lit(1 << step)
+        out = out.withColumn(col, F.when(F.get(cuts, at - 1) <= value, at).otherwise(F.col(col)))
+    return out
+
+
 def range_number(value: Column, cuts: list[int], tie: Column | None = None) -> Column:
     """Range 0 to len(cuts) of a row, rising with ``value``. Where a value is
     cut several times its rows spread over those ranges by ``tie`` (bigint,
