@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframes.functions.bits import (
-    decode_layout, extract_bits, extract_hex_bits, hex_digits, hex_digits_word, idiv, payload_word,
+    decode_layout, extract_bits, extract_hex_bits, hex_bytes, hex_digits, hex_digits_word, idiv, payload_word,
 )
 from busframes.sources.dictionary import SignalDictionary
 
@@ -101,21 +101,23 @@ def decode_frames_map(frames: DataFrame, dictionary: SignalDictionary,
                       F.map_from_arrays("names", "vals").alias("map"))
 
 
-def _long(frames: DataFrame, dictionary: SignalDictionary, extract, data_col: str, unique: bool, keep: tuple) -> DataFrame:
+def _long(frames: DataFrame, dictionary: SignalDictionary, data_col: str, unique: bool, keep: tuple) -> DataFrame:
     signals = dictionary.signal_rows(unique).withColumnsRenamed({"start": "_start", "len": "_len"})
     joined = _join(frames, signals, dictionary.signals_broadcastable)
     return joined.select(*keep, "ts", "id", "botschaft", "pos", "signal_name",
-                         extract(data_col, "_start", "_len", "_word", "_n").alias("value"))
+                         extract_bits(data_col, "_start", "_len", "_word", "_n").alias("value"))
 
 
 def decode_frames_long(frames: DataFrame, dictionary: SignalDictionary,
                        data_col: str = "data", keep: tuple = ()) -> DataFrame:
     """Raw frames -> one row per (frame, signal): ts, id, botschaft,
     pos, signal_name, value."""
-    return _long(_with_word(frames, data_col), dictionary, extract_bits, data_col, False, keep)
+    return _long(_with_word(frames, data_col), dictionary, data_col, False, keep)
 
 
 def decode_text_long(frames: DataFrame, dictionary: SignalDictionary, keep: tuple = ()) -> DataFrame:
     """Text frames (data hex string) -> the same; of signals with one name in
-    a message the later layout only."""
-    return _long(_with_hex_word(frames), dictionary, extract_hex_bits, "_digits", True, keep)
+    a message the later layout only. Payloads over 8 bytes become byte arrays,
+    once per frame, below the join."""
+    worded = _with_hex_word(frames)
+    return _long(worded.withColumn("_bytes", F.when(F.col("_n") > 8, hex_bytes("data"))), dictionary, "_bytes", True, keep)
