@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,7 @@ from busframes.session import checkpoint_base
 U = np.uint64
 GRAM = 40
 PIECE = 1 << 20
+TAILS = 4 << 20  # bytes of the suffixes that are sorted at a time
 MULT = 0x9E3779B97F4A7C15 | 1
 _BYTE = B.mix(np.arange(1, 257).astype(U))
 SPANS = "key long, r long, rid long, s long, e long, kind int"
@@ -252,20 +254,44 @@ def interval_cover(order_lcp: np.ndarray, left: np.ndarray, least: int, groups:
 
 def suffix_cover(regions: list[bytes], length: int, groups: list | None = None):
     """(region, start, covered length) of the starts that maximal repeat
-    groups cover; the starts of a region have ``length`` bytes behind them."""
+    groups cover; the starts of a region have ``length`` bytes behind them.
+    Strings are hashed in slabs of regions, and the suffix array is made for
+    some classes of equal strings at a time: groups never cross classes, and a
+    region has at most one start in each."""
     buf = np.frombuffer(b"".join(regions), np.uint8)
     sizes = np.array([len(x) for x in regions])
     offs = np.concatenate([[0], np.cumsum(sizes)])
     count = sizes - length + 1
-    region = np.repeat(np.arange(len(regions)), count)
-    at = B.expand(offs[:-1], count)
-    inside = at - offs[region]
-    _, cls, n = np.unique(rolling(buf, length)[0][at], return_inverse=True, return_counts=True)
-    on = n[cls] > 1  # other strings occur once
-    region, at, inside, cls = region[on], at[on], inside[on], cls[on]
-    if not len(at):
-        return at, at, at
-    # suffix array of what is left: equal strings are neighbours, ordered by what follows
+    first = np.concatenate([[0], np.cumsum(count)])
+    h, a = np.zeros(first[-1], U), 0
+    while a < len(regions):
+        b = max(a + 1, int(np.searchsorted(offs, offs[a] + PIECE, "right")) - 1)
+        h[first[a]:first[b]] = rolling(buf[offs[a]:offs[b]], length)[0][B.expand(offs[a:b] - offs[a], count[a:b])]
+        a = b
+    classes = np.argsort(h, kind="stable")
+    cuts = B.runs(h[classes])
+    del h
+    n = np.diff(cuts)
+    some = np.flatnonzero(n > 1)  # other strings occur once
+    ends = np.cumsum(n[some])
+    most = max(1, TAILS // (int(sizes.max(initial=length)) - length + 1))
+    found, a, before = [], 0, 0
+    while a < len(some):
+        b = max(a + 1, int(np.searchsorted(ends, before + most, "right")))
+        mine = classes[B.expand(cuts[some[a:b]], n[some[a:b]])]
+        region = np.searchsorted(first, mine, "right") - 1
+        own = None if groups is None else []
+        found.append(_class_cover(buf, offs, region, mine - first[region], np.repeat(np.arange(b - a), n[some[a:b]]), length, own))
+        if own:
+            groups.extend((size, x + before, y + before) for size, x, y in own)
+        a, before = b, int(ends[b - 1])
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+
+
+def _class_cover(buf: np.ndarray, offs: np.ndarray, region: np.ndarray, inside: np.ndarray, cls: np.ndarray, length: int, groups: list | None):
+    """suffix_cover for the starts of whole classes, given class by class."""
+    at = offs[region] + inside
+    # suffix array: equal strings are neighbours, ordered by what follows
     rest = offs[region + 1] - at - length
     width = int(rest.max())
     tail = np.zeros((len(at), width + 1), np.uint8)
@@ -350,14 +376,21 @@ def repeat_spans(docs: DataFrame, length: int = 200, group_bytes: int = 16 << 20
     return out.unionByName(_detail(with_text(open_), length).select("rid", "s", "e"))
 
 
-def _merged(spans) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out]
+def _merged(column: pa.Array) -> Iterator[list[tuple[int, int]]]:
+    """The union of each row's spans in order; none for null. Spans stay
+    numbers in arrays: a repetitive text has one for every byte."""
+    count = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    s, e = (x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten())
+    wide = int(e.max(initial=0)) + 2  # rows lie apart
+    base = np.repeat(np.arange(len(count)) * wide, count)
+    s, e = s + base, e + base
+    order = np.argsort(s, kind="stable")
+    s, e = s[order], np.maximum.accumulate(e[order])
+    last = np.flatnonzero(np.concatenate([s[1:] > e[:-1], [True]])) if len(s) else np.zeros(0, np.int64)
+    s, e = s[np.concatenate([[0], last[:-1] + 1])] if len(s) else s, e[last]
+    ends = np.searchsorted(s, np.arange(1, len(count) + 1) * wide)
+    for row, (a, b) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends)):
+        yield list(zip((s[a:b] - row * wide).tolist(), (e[a:b] - row * wide).tolist()))
 
 
 def _joined(docs: DataFrame, length: int) -> DataFrame:
@@ -372,9 +405,8 @@ def removed(docs: DataFrame, length: int = 200) -> DataFrame:
         for whole in batches:
             for b in B.slices(whole):
                 out: list[list] = [[] for _ in range(4)]
-                for text, spans in zip(b.column("text"), b.column("__spans").to_pylist()):
+                for text, spans in zip(b.column("text"), _merged(b.column("__spans"))):
                     data = memoryview(text.as_buffer() or b"") if text.is_valid else memoryview(b"")
-                    spans = _merged([(x["s"], x["e"]) for x in spans or []])
                     kept, at = hashlib.sha256(), 0
                     for s, e in spans + [(len(data), len(data))]:
                         kept.update(data[at:s])
@@ -405,19 +437,20 @@ def drop_repeats(spark, docs: DataFrame, sf_dir: str, length: int = 200) -> Data
     """Pipeline stage: repeated bytes leave the texts (characters that a span
     covers in part stay); n_chars follows; other columns pass through."""
     def run(batches):
-        for b in batches:
-            texts = []
-            for text, spans in zip(b.column("text"), b.column("__spans").to_pylist()):
-                if not text.is_valid or not spans:
-                    texts.append(text.as_py())
-                    continue
-                data, at, kept = text.as_buffer().to_pybytes(), 0, []
-                for s, e in whole_chars(data, _merged([(x["s"], x["e"]) for x in spans])) + [(len(data), len(data))]:
-                    kept.append(data[at:s])
-                    at = e
-                texts.append(b"".join(kept).decode())
-            names = [f.name for f in b.schema if f.name != "__spans"]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field("text").type) if n == "text" else b.column(n) for n in names], names)
+        for whole in batches:
+            for b in B.slices(whole):
+                texts = []
+                for text, spans in zip(b.column("text"), _merged(b.column("__spans"))):
+                    if not text.is_valid or not spans:
+                        texts.append(text.as_py())
+                        continue
+                    data, at, kept = text.as_buffer().to_pybytes(), 0, []
+                    for s, e in whole_chars(data, spans) + [(len(data), len(data))]:
+                        kept.append(data[at:s])
+                        at = e
+                    texts.append(b"".join(kept).decode())
+                names = [f.name for f in b.schema if f.name != "__spans"]
+                yield pa.RecordBatch.from_arrays([pa.array(texts, b.schema.field("text").type) if n == "text" else b.column(n) for n in names], names)
 
     out = _joined(docs, length).mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

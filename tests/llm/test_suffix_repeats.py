@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import DOCS, EDGES, documents
 from pyspark.sql import functions as F
@@ -80,6 +82,54 @@ def test_maximal_repeat_groups_with_all_occurrences():
     assert covered[(0, 2)] == covered[(2, 2)] == 12 and covered[(3, 2)] == 7
 
 
+def one_anchor(n, seed=2):
+    """Regions with one middle and edges of their own."""
+    r = np.random.default_rng(seed)
+    middle, out = r.integers(97, 123, 279).astype(np.uint8), []
+    for _ in range(n):
+        x = r.integers(97, 123, 279).astype(np.uint8)
+        a, b = r.integers(0, 30), 279 - r.integers(0, 30)
+        x[a:b] = middle[a:b]
+        out.append(x.tobytes())
+    return out
+
+
+def test_large_group_takes_memory_for_some_classes_at_a_time():
+    regions = one_anchor(8000)
+    size = sum(map(len, regions))
+    tracemalloc.start()
+    region, start, cover = S.suffix_cover(regions, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(region) > 100_000 and cover.min() >= 200
+    assert peak < 25 * size, f"{peak / size:.1f} bytes for each byte of the group"
+
+
+def test_classes_at_a_time_find_the_same_groups(monkeypatch):
+    regions = one_anchor(60) + ["ab".encode() * 130, b"x" + "ab".encode() * 130, b"short" * 40]
+    groups, few = [], []
+    whole = [x.tolist() for x in S.suffix_cover(regions, 200, groups)]
+    monkeypatch.setattr(S, "TAILS", 500)
+    monkeypatch.setattr(S, "PIECE", 700)
+    assert [x.tolist() for x in S.suffix_cover(regions, 200, few)] == whole and len(whole[0]) > 500
+    assert few == groups and len(groups) > 5
+    assert [len(x) for x in S.suffix_cover([b"y" * 200, b"z" * 200], 200)] == [0, 0, 0]
+
+
+def test_spans_of_rows_are_united_in_arrays():
+    r = random.Random(3)
+    rows = [None, [], [(0, 5)], [(5, 9), (0, 5)], [(3, 4), (0, 9), (1, 2)], None, *([(a, a + r.randrange(1, 9)) for a in r.sample(range(60), 8)] for _ in range(30)), [], [(7, 8)]]
+    column = pa.array([None if x is None else [{"s": s, "e": e} for s, e in x] for x in rows], pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))
+    assert all(s < e for x in S._merged(column) for s, e in x)
+    for part, own in ((column, rows), (column.slice(3, 20), rows[3:23]), (column.slice(0, 2), rows[:2]), (column.slice(0, 0), [])):
+        got = list(S._merged(part))
+        assert len(got) == len(own)
+        for spans, x in zip(got, own):
+            covered = {i for s, e in x or [] for i in range(s, e)}
+            assert {i for s, e in spans for i in range(s, e)} == covered
+            assert all(e < s for (_, e), (s, _) in zip(spans, spans[1:]))
+
+
 def test_stage_keeps_columns_and_characters(spark):
     shared = "é" * 120
     docs = spark.createDataFrame([(1, "a " + shared + "ô b", None, "s", 5), (2, shared + "î", "fr", None, None), (3, None, None, None, None), (4, "clean", "en", "s", 5)], DOCS)
