@@ -8,13 +8,17 @@ of k-word shingles. The join is exact; classes are the connected components.
    the sizes). The hash space is cut into p > K ranges, so at least p - K of a
    pair's ranges hold the same elements. A document emits one key per range,
    without its lightest ranges (fewest elements that aren't common to many
-   documents) as far as p - K - 1 may be left out; sets of at
-   most SMALL elements emit their subsets with the few deletions allowed.
-   Sizes are dealt into geometric classes; a document emits keys for its own
-   class and, if a larger partner can be there, for the next.
-3. Tasks reduce a key's documents to their least before the shuffle; sorted
-   runs of a key link to their least document, streamed. Components of these
-   unverified edges are clusters: every true link is inside one cluster.
+   documents) as far as p - K - t may be left out, so that a similar pair
+   shares t keys; sets of at most SMALL elements emit their subsets with the
+   few deletions allowed, of which one is shared. Sizes are dealt into
+   geometric classes; a document emits keys for its own class and, if a larger
+   partner can be there, for the next.
+3. Keys of one document go. A document with fewer than t keys of a class left
+   has no partner: it goes, and with it keys that are then of one document.
+   Documents with t keys under one and the same least document form groups,
+   then the same is asked of the keys that cross groups, and what is left links
+   groups. Components are clusters: every true link is inside one cluster, and
+   passages that unlike documents share don't chain them to ever larger ones.
 4. A cluster is verified in one block if its shingles fit ``block_shingles``.
    Inside a block a token-group matrix decides what is compared: documents
    ordered by their least hashes form groups, the matrix lists each token's
@@ -39,7 +43,8 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from busframes.llm import bytesops as B
@@ -61,12 +66,12 @@ def _bounds(percent: int) -> np.ndarray:
     return np.array(out)
 
 
-def _plan(largest: int, percent: int) -> tuple[int, int]:
-    """(ranges, how many may be left out) for pairs whose larger set has at
-    most ``largest`` elements."""
+def _plan(largest: int, percent: int) -> tuple[int, int, int]:
+    """(ranges, how many may be left out, how many that are kept a pair shares)
+    for pairs whose larger set has at most ``largest`` elements."""
     differ = 2 * largest * (100 - percent) // (100 + percent)
-    spare = differ + 1
-    return differ + 1 + spare, spare
+    shared = 2 + differ // 8
+    return 2 * (differ + 1), differ + 2 - shared, shared
 
 
 class Frequent:
@@ -90,32 +95,40 @@ NONE = Frequent(np.zeros(0, U))
 
 
 def set_keys(s: np.ndarray, percent: int, bounds: np.ndarray, frequent: Frequent = NONE) -> np.ndarray:
-    """Keys of one sorted set; sets at least that similar share one. Ranges
+    """Keys of one sorted set; sets at least that similar share one."""
+    return np.unique(keys_and_needs(s, percent, bounds, frequent)[0])
+
+
+def keys_and_needs(s: np.ndarray, percent: int, bounds: np.ndarray, frequent: Frequent = NONE) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, needs) of one sorted set: of the keys with the same need, sets at
+    least that similar share as many as it says, for one of the needs. Ranges
     weigh by their elements that aren't frequent, then by all: equal ranges
     weigh alike whatever ``frequent`` holds, so it changes cost, not links."""
-    n, out = len(s), []
+    n, out, needs = len(s), [], []
     if not n:
-        return np.zeros(0, U)
+        return np.zeros(0, U), np.zeros(0, np.int32)
     mixed = B.mix(s + U(0x632BE59BD9B4E019))
     if percent * n <= 100 * SMALL:
         total = np.add.reduce(mixed)
         for d in range((100 - percent) * n // 100 + 1):
             gone = np.array([np.add.reduce(mixed[list(c)]) for c in combinations(range(n), d)], U) if d else np.zeros(1, U)
-            out.append(B.mix((total - gone) ^ U(n - d << 40)))
+            out.append(np.unique(B.mix((total - gone) ^ U(n - d << 40))))
+            needs.append(1)
     if n > SMALL:
         upto = np.concatenate([np.zeros(1, U), np.cumsum(mixed, dtype=U)])
         rare = np.concatenate([[0], np.cumsum(~frequent.holds(s))])
         own = int(np.searchsorted(bounds, n, "right")) - 1
         for c in (own, own + 1) if n * 100 >= percent * bounds[own + 1] else (own,):
-            p, spare = _plan(int(bounds[c + 1]) - 1, percent)
+            p, spare, shared = _plan(int(bounds[c + 1]) - 1, percent)
             cuts = np.searchsorted(((s >> U(32)) * U(p)) >> U(32), np.arange(p + 1).astype(U))
             weight = (rare[cuts[1:]] - rare[cuts[:-1]]) * 64 + np.minimum(np.diff(cuts), 63)
             sums = upto[cuts[1:]] - upto[cuts[:-1]]
             keys = B.mix(sums ^ B.mix((np.arange(p) + (c + 1 << 32)).astype(U)))
             # without the ``spare`` lightest; ties by key, which equal ranges share, so that the
-            # greatest of a pair's equal ranges stays in both
+            # greatest of a pair's equal ranges stay in both
             out.append(keys[np.lexsort((keys, weight))[spare:]])
-    return np.unique(np.concatenate(out))
+            needs.append(shared)
+    return np.concatenate(out), np.repeat(needs, [len(x) for x in out]).astype(np.int32)
 
 
 def shingle_sets(column, k: int) -> list[np.ndarray]:
@@ -170,73 +183,85 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def key_edges(docs: DataFrame, k: int, percent: int, frequent: Frequent = NONE) -> DataFrame:
-    """Unverified edges (a, b) between documents that share a key. Keys are
-    not stored: they are made, reduced in the task and shuffled once."""
+def shared_keys(docs: DataFrame, k: int, percent: int, frequent: Frequent = NONE) -> DataFrame:
+    """(run, doc, need): a row per document and key that it shares; ``run``
+    numbers the keys, which are not stored, and ``need`` is as above."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(frequent)
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _bounds(percent)
         for whole in batches:
             for b in B.slices(whole, most=1 << 20):
-                keys = [set_keys(s, percent, bounds, sent.value).view(np.int64) for s in shingle_sets(b.column("text"), k)]
-                ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-                yield np.repeat(ids, [len(x) for x in keys]), np.concatenate(keys)
+                keys, needs = zip(*(keys_and_needs(s, percent, bounds, sent.value) for s in shingle_sets(b.column("text"), k)))
+                doc = np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False), [len(x) for x in keys])
+                key, need = np.concatenate(keys).view(np.int64), np.concatenate(needs)
+                for a in range(0, len(key), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[a:a + 100_000]) for x in (key, doc, need)], ["key", "doc", "need"])
 
     B.prepare(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (_texts(docs).mapInArrow(lambda it: _local_edges(keyed(it)), "key long, doc long, peer long").repartition(parts, "key")
-            .sortWithinPartitions("key", "doc").mapInArrow(_run_edges, "a long, b long"))
-
-
-def _local_edges(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """One row (key, doc, null) per key and task, and rows (doc, doc, peer)
-    for the documents that met their peer here."""
-    def flush(held):
-        doc, key = np.concatenate([d for d, _ in held]), np.concatenate([x for _, x in held])
-        order = np.lexsort((doc, key))
-        doc, key = doc[order], key[order]
-        cuts = B.runs(key)
-        first = np.repeat(doc[cuts[:-1]], np.diff(cuts))
-        met = np.unique(np.stack([doc, first], 1)[doc != first], axis=0)
-        for a in range(0, len(cuts) - 1, 100_000):
-            at = cuts[:-1][a:a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(doc[at]), pa.nulls(len(at), pa.int64())], ["key", "doc", "peer"])
-        yield pa.RecordBatch.from_arrays([pa.array(met[:, 0]), pa.array(met[:, 0]), pa.array(met[:, 1])], ["key", "doc", "peer"])
-
-    held, size = [], 0
-    for docs, keys in pairs:
-        held.append((docs, keys))
-        size += len(keys)
-        if size >= 1_000_000:
-            yield from flush(held)
-            held, size = [], 0
-    if held:
-        yield from flush(held)
-
-
-def _run_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b) from rows sorted by (key, doc): each run to its first."""
-    last_key, last_doc = None, 0
+    path = shared_dir(spark, "shared-keys")
+    (_texts(docs).mapInArrow(keyed, "key long, doc long, need int").repartition(parts, "key")
+     .sortWithinPartitions("key", "doc").mapInArrow(_run_rows, "run long, doc long, need int").write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of keys with several documents, from rows sorted by (key, doc);
+    rows that repeat count once. One row is carried over."""
+    run, carry, told = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40, None, False
     for b in batches:
         if not b.num_rows:
             continue
-        doc = b.column("doc").to_numpy(zero_copy_only=False)
-        key = b.column("key").to_numpy(zero_copy_only=False)
-        met = b.column("peer").is_valid().to_numpy(zero_copy_only=False)
-        peer = b.column("peer").fill_null(0).to_numpy(zero_copy_only=False)
-        out = [np.stack([doc[met], peer[met]], 1)]
-        doc, key = doc[~met], key[~met]
-        if len(key):
-            cuts = B.runs(key)
-            first = np.repeat(doc[cuts[:-1]], np.diff(cuts))
-            if last_key is not None and key[0] == last_key:
-                first[:cuts[1]] = last_doc
-            last_key, last_doc = key[-1], first[-1]
-            out.append(np.stack([doc, first], 1)[doc != first])
-        edges = np.unique(np.concatenate(out), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
+        cols = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc", "need")]
+        if carry is not None:
+            cols = [np.concatenate([[c], x]) for c, x in zip(carry, cols)]
+        key, doc, need = cols
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])
+        key, doc, need = key[new], doc[new], need[new]
+        same = key[1:] == key[:-1]
+        ids = run + np.concatenate([[0], np.cumsum(~same)])
+        out = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        told, last = (told if len(key) == 1 else bool(same[-1])), told
+        if last:
+            out[0] = False
+        yield pa.RecordBatch.from_arrays([pa.array(ids[out]), pa.array(doc[out]), pa.array(need[out].astype(np.int32))], ["run", "doc", "need"])
+        run, carry = int(ids[-1]), (key[-1], doc[-1], need[-1])
+
+
+def _partners(rows: DataFrame) -> DataFrame:
+    """Rows (run, doc, need, label), all in runs of several labels, of documents
+    that have as many of them as they need. What goes leaves runs of one label,
+    so this is asked again while a tenth of the rows go; the others cost only."""
+    before = None
+    while True:
+        enough = rows.groupBy("doc", "need").agg(F.count("*").alias("n")).filter("n >= need").select("doc", "need").checkpoint()
+        rows = _across(rows.join(_few(enough), ["doc", "need"], "left_semi"))
+        left = rows.count()
+        if not left or (before is not None and left > 0.9 * before):
+            return rows
+        before = left
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """The rows of runs with several labels."""
+    run = Window.partitionBy("run")
+    ends = rows.withColumns({"_min": F.min("label").over(run), "_max": F.max("label").over(run)})
+    return ends.filter("_min <> _max").select("run", "doc", "need", "label").checkpoint()
+
+
+def key_edges(docs: DataFrame, k: int, percent: int, frequent: Frequent = NONE) -> DataFrame:
+    """Unverified edges (a, b); all similar documents are connected by them."""
+    rows = _partners(shared_keys(docs, k, percent, frequent).withColumn("label", F.col("doc")))
+    run = Window.partitionBy("run")
+    near = (rows.withColumn("b", F.min("doc").over(run)).filter("doc <> b").groupBy("doc", "need", "b").agg(F.count("*").alias("n"))
+            .filter("n >= need").select(F.col("doc").alias("a"), "b").distinct().checkpoint())
+    groups = connected_components(near).select(F.col("id").alias("doc"), "component").checkpoint()
+    rows = _across(rows.join(_few(groups), "doc", "left").withColumn("label", F.coalesce("component", "label")))
+    far = (_partners(rows).withColumn("b", F.min("label").over(run)).filter("label <> b")
+           .select(F.col("label").alias("a"), "b").distinct())
+    return near.unionByName(far)
 
 
 class _Union:

@@ -64,6 +64,63 @@ def test_keys_never_miss_a_similar_pair(k, percent):
     assert met > 20
 
 
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80), (1, 60), (3, 100)])
+def test_similar_pairs_share_as_many_keys_as_they_need(k, percent):
+    """Whatever is held to be frequent, and also where half of a text is."""
+    texts = [t or "" for t in corpus(k * 5 + percent, 160)]
+    sets = J.shingle_sets(pa.array(texts), k)
+    bounds = J._bounds(percent)
+    frequent = J.Frequent(np.concatenate(sets)[::2])
+    keys = []
+    for s in sets:
+        x, need = J.keys_and_needs(s, percent, bounds, frequent)
+        keys.append({n: set(x[need == n].tolist()) for n in set(need.tolist())})
+    met = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                met += 1
+                assert any(len(keys[a][n] & keys[b].get(n, set())) >= n for n in keys[a]), (a, b)
+    assert met > 20
+
+
+def test_rows_of_shared_keys_from_batches_cut_anywhere():
+    r = random.Random(4)
+    rows = sorted((r.randrange(12), r.randrange(9)) for _ in range(60))
+    docs = {}
+    for key, doc in rows:
+        docs.setdefault(key, set()).add(doc)
+    for _ in range(60):
+        cuts = sorted([0, 60, *(r.randrange(61) for _ in range(r.randrange(40)))])
+        batches = [pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows[a:b]], pa.int64()), pa.array([x[1] for x in rows[a:b]], pa.int64()), pa.array([2] * (b - a), pa.int32())],
+                                              ["key", "doc", "need"]) for a, b in zip(cuts[:-1], cuts[1:])]
+        got = {}
+        for b in J._run_rows(iter(batches)):
+            for run, doc in zip(b.column("run").to_pylist(), b.column("doc").to_pylist()):
+                assert doc not in got.setdefault(run, set())
+                got[run].add(doc)
+        assert sorted(map(sorted, got.values())) == sorted(sorted(d) for d in docs.values() if len(d) > 1)
+
+
+def test_passages_of_unlike_documents_make_no_cluster(spark):
+    """A chain of documents, each with a passage of the one before it and one
+    of the next, a sixth of its words each."""
+    r = random.Random(2)
+    def fresh(n):
+        return [f"v{r.randrange(10 ** 9)}" for _ in range(n)]
+    passages = [fresh(100) for _ in range(41)]
+    texts = [" ".join(fresh(150) + passages[i] + fresh(100) + passages[i + 1] + fresh(150)) for i in range(40)]
+    texts += [texts[7] + " end", texts[30].replace(" ", " mid ", 1)]
+    docs = documents(spark, texts)
+    clusters = {}
+    for x in connected_components(J.key_edges(docs, 5, 80)).collect():
+        clusters.setdefault(x.component, set()).add(x.id)
+    assert sorted(map(sorted, clusters.values())) == [[7, 40], [30, 41]]
+    got = {x.doc_id: x.component_id for x in J.jaccard_classes(docs, 5, 80).collect()}
+    assert got == {i: {40: 7, 41: 30}.get(i, i) for i in range(42)}
+
+
 @pytest.mark.parametrize("limit", [2_000_000, 60])
 def test_classes_against_brute_force(spark, limit):
     """Small limits force clusters through the split path."""
